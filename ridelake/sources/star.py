@@ -1,0 +1,35 @@
+"""A loaded star schema as the reports see it, keyed by the natural ids."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ridelake.functions.rules import fact_fare
+from ridelake.functions.temporal import date_key, quarter_hour_key
+from ridelake.sources import operational
+
+
+def facts(spark: SparkSession, folder: str) -> DataFrame:
+    fare = fact_fare(F.col("base_fare"), F.col("surge_multiplier"), F.col("tip_amount"), F.col("discount_amount"))
+    requested = F.col("requested_at")
+    return operational.priced_trips(spark, folder).select(
+        F.col("trip_id").alias("source_trip_id"),
+        date_key(requested).alias("date_key"),
+        quarter_hour_key(requested).alias("time_key"),
+        F.col("driver_id").alias("driver_key"),
+        F.col("passenger_id").alias("passenger_key"),
+        F.col("pickup_location_id").alias("pickup_location_key"),
+        F.col("dropoff_location_id").alias("dropoff_location_key"),
+        F.col("payment_method_id").alias("payment_method_key"),
+        fare.cast("decimal(12,2)").alias("fare_amount"),
+        "requested_at",
+    )
+
+
+def places(spark: SparkSession, folder: str) -> DataFrame:
+    return operational.locations(spark, folder).withColumnRenamed("location_id", "location_key")
+
+
+def methods(spark: SparkSession, folder: str) -> DataFrame:
+    return operational.payment_methods(spark, folder).withColumnRenamed("payment_method_id", "payment_method_key")

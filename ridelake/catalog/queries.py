@@ -335,7 +335,7 @@ def anti_left(spark, folder):
 @query
 def scalar_lookup(spark, folder):
     """Passenger ids found by cleaned name, from hand-typed names."""
-    typed = normalise.with_clean_names(source.messy_rides(spark, folder)).select("ride_id", "passenger_name")
+    typed = source.messy_rides(spark, folder).select("ride_id", text.clean_name(F.col("passenger_name")).alias("passenger_name"))
     known = source.passenger_names(spark, folder).withColumn("name", F.replace("name", F.lit("#"), F.lit(" ")))
     found = lookups.one_value_lookup(typed, known, "passenger_name", "name", "passenger_id", "passenger_id", row_id="ride_id")
     return found.select("ride_id", "passenger_name", "passenger_id")
@@ -344,24 +344,25 @@ def scalar_lookup(spark, folder):
 @query
 def normalize_trips(spark, folder):
     """Hand-typed flat rides to trips by id, shown by name again."""
-    clean = normalise.with_clean_names(source.messy_rides(spark, folder))
-    tables = {names.table: writers.snapshot(normalise.name_table(clean, names)) for names in normalise.NAME_TABLES}
-    trips = normalise.normalised_trips(clean, tables)
-    renamed = {"drivers": "driver_id", "passengers": "passenger_id"}
-    for table, key in renamed.items():
-        trips = lookups.lookup(trips, tables[table], key, key, {f"{table}_name": "name"}, row_id="trip_id")
-    for role in ("pickup", "dropoff"):
-        trips = lookups.lookup(
-            trips, tables["locations"], f"{role}_location_id", "location_id", {f"{role}_city": "city_name"}, row_id="trip_id"
-        )
-    trips = lookups.lookup(
-        trips, tables["payment_methods"], "payment_method_id", "payment_method_id", {"payment_method": "name"}, row_id="trip_id"
-    )
-    return trips.select(
-        "trip_id", F.col("drivers_name").alias("driver_name"), F.col("passengers_name").alias("passenger_name"),
-        "pickup_city", "dropoff_city", "payment_method", "fare_amount", "distance_km", "status", "requested_at",
-        "completed_at", "rating",
+    rides = source.messy_rides(spark, folder)
+    tables, ids = {}, {}
+    for names in normalise.NAME_TABLES:
+        spelt = writers.snapshot(normalise.spellings(rides, names))
+        tables[names.table] = normalise.name_table(spelt, names)
+        ids[names.table] = normalise.spelling_ids(spelt, names, tables[names.table])
+    trips = normalise.normalised_trips(rides, ids)
+    sizes = lookups.table_sizes(tables)
+    roles = (
+        ("drivers", "driver_id", "driver_id", "name", "driver_name"),
+        ("passengers", "passenger_id", "passenger_id", "name", "passenger_name"),
+        ("locations", "pickup_location_id", "location_id", "city_name", "pickup_city"),
+        ("locations", "dropoff_location_id", "location_id", "city_name", "dropoff_city"),
+        ("payment_methods", "payment_method_id", "payment_method_id", "name", "payment_method"),
     )
+    shown = trips
+    for table, key, match, column, name in roles:
+        shown = lookups.lookup(shown, tables[table], key, match, {name: column}, row_id="trip_id", size=sizes[table], keys_from=trips)
+    return shown.drop("driver_id", "passenger_id", "pickup_location_id", "dropoff_location_id", "payment_method_id")
 
 
 # Checks
@@ -495,14 +496,18 @@ def dim_time(spark, folder):
 
 
 def _resolved(spark, folder):
-    dims = warehouse.build_dimensions(spark, _sources(spark, folder), temporal.ntz(AS_OF), *CALENDAR)
-    return facts.resolve_keys(operational.priced_trips(spark, folder), dims), dims
+    """Trips with their keys; a dimension is at most as large as its source table."""
+    sources = _sources(spark, folder)
+    dims = warehouse.build_dimensions(spark, sources, temporal.ntz(AS_OF), *CALENDAR)
+    bounds = {dim.table: sources[dim.source].select(dim.natural) for dim in warehouse.DIMENSIONS}
+    sizes = lookups.table_sizes({"dim_date": dims["dim_date"], "dim_time": dims["dim_time"], **bounds})
+    return facts.resolve_keys(operational.priced_trips(spark, folder), dims, sizes)
 
 
 @query
 def fact_key_resolution(spark, folder):
     """Trips per outcome of the key lookup."""
-    resolved, _ = _resolved(spark, folder)
+    resolved = _resolved(spark, folder)
     outcome = F.coalesce("reject_reason", F.lit("accepted")).alias("outcome")
     return resolved.groupBy(outcome).agg(flat.rows("trips"))
 
@@ -510,7 +515,7 @@ def fact_key_resolution(spark, folder):
 @query
 def fact_trips(spark, folder):
     """Accepted facts; surrogate keys are shown by whether they are set."""
-    resolved, _ = _resolved(spark, folder)
+    resolved = _resolved(spark, folder)
     keys = [f"{name}_key" for name in ("driver", "passenger", "vehicle", "pickup_location", "dropoff_location", "payment_method", "promo_code")]
     rows = facts.measures(resolved)
     return rows.withColumns({key: F.col(key).isNotNull() for key in keys})

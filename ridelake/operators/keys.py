@@ -5,21 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-LANES = 64
-
-
 def next_free_key(table: DataFrame, key: str) -> Column:
     """Highest key in use, 0 for an empty table, as a scalar subquery."""
     return table.agg(F.coalesce(F.max(key), F.lit(0)).cast("long")).scalar()
 
 
-def assign_keys(df: DataFrame, key: str, natural: str, start: Column | int = 0, lanes: int = LANES) -> DataFrame:
+def assign_keys(df: DataFrame, key: str, natural: str, start: Column | int = 0) -> DataFrame:
     """Number rows that are unique on ``natural``, each lane counting in its own stride.
 
-    Rows are hashed into lanes and numbered inside a lane, so lanes run in parallel
-    and the same rows always get the same keys, also when a task is re-run. Keys
-    are unique and above ``start``; gaps occur as with database sequences.
+    Rows are hashed into lanes, a few per shuffle partition, and numbered inside a
+    lane: lanes run in parallel, and the same rows get the same keys when a task is
+    re-run. Keys are unique and above ``start``; gaps occur as with sequences.
     """
+    lanes = 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     first = start if isinstance(start, Column) else F.lit(start).cast("long")
     lane = F.pmod(F.xxhash64(natural), F.lit(lanes))
     place = F.row_number().over(Window.partitionBy("_lane").orderBy(natural))

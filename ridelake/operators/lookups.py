@@ -1,42 +1,61 @@
 """Attaching a keyed table to a much larger one.
 
-A side is broadcast only after its row count has been checked. Beyond the bound the
-join shuffles, and the rows of over-represented keys (and of NULL keys) are spread
+A side is broadcast only after its size has been measured. Beyond the bound the join
+shuffles, and the rows of over-represented keys (and of NULL keys) are spread
 over many partitions so that one hot driver or city does not become one long task.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
+from operator import add
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
-# Lookup rows are a key plus a few short columns, so this many stay far below the
-# memory of an executor.
-BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 32 * 1024 * 1024
+
+# The sketch behind ``crowded_keys`` tracks this many candidates and reports this
+# many keys. A key it leaves out holds less than a five-thousandth of the rows.
+CROWDED_KEYS, TRACKED_KEYS = 5_000, 50_000
 
 _KEY, _PIECE, _PIECES = "_key", "_piece", "_pieces"
 
 
-def row_counts(frames: Mapping[str, DataFrame]) -> dict[str, int]:
-    """Row counts of several tables in one job (Parquet answers from its footers)."""
-    tagged = None
+class Size(NamedTuple):
+    rows: int
+    bytes: int
+
+
+def table_sizes(frames: Mapping[str, DataFrame]) -> dict[str, Size]:
+    """Rows and uncompressed bytes of several tables, measured in one job.
+
+    Only text columns are read; everything else has a fixed width, so for a table
+    without text the file footers answer.
+    """
+    parts = []
     for name, frame in frames.items():
-        one = frame.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("name"), "n")
-        tagged = one if tagged is None else tagged.union(one)
-    return {row["name"]: row["n"] for row in tagged.collect()}
+        texts = [field.name for field in frame.schema if isinstance(field.dataType, StringType)]
+        fixed = F.lit(16 * (len(frame.columns) + 1))
+        width = reduce(add, [F.coalesce(F.octet_length(F.col(text)), F.lit(0)) for text in texts], fixed)
+        measured = frame.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes"))
+        parts.append(measured.select(F.lit(name).alias("name"), "rows", "bytes"))
+    return {row["name"]: Size(row["rows"], row["bytes"]) for row in reduce(DataFrame.union, parts).collect()}
 
 
 def crowded_keys(facts: DataFrame, key: str, pieces: int) -> DataFrame:
     """Keys holding more than one partition's fair share, and how many pieces each needs.
 
-    A frequent-items sketch finds them in one pass; there can be at most ``pieces``
-    of them, which bounds both this table and the copies made from it. A key the
-    sketch misses only costs balance, never rows.
+    A frequent-items sketch finds them in one pass over the key column. Their number
+    is bounded, and so is the sum of all pieces, whatever the data. A key the sketch
+    misses only costs balance, never rows.
     """
+    most = min(pieces, CROWDED_KEYS)
     found = facts.agg(
-        F.expr(f"approx_top_k(`{key}`, {pieces})").alias("top"), F.count(F.lit(1)).alias("total")
+        F.expr(f"approx_top_k(`{key}`, {most}, {TRACKED_KEYS})").alias("top"), F.count(F.lit(1)).alias("total")
     )
     share = F.col("item.count") * pieces / F.col("total")
     return (
@@ -46,35 +65,27 @@ def crowded_keys(facts: DataFrame, key: str, pieces: int) -> DataFrame:
     )
 
 
-def spread_join(facts: DataFrame, table: DataFrame, key: str, row_id: str, how: str) -> DataFrame:
+def spread_join(
+    facts: DataFrame, table: DataFrame, key: str, row_id: str, how: str, keys_from: DataFrame | None = None
+) -> DataFrame:
     """Shuffle join of ``facts.key = table._key`` with crowded keys cut into pieces.
 
     The piece of a fact row is a hash of its id, so a re-run task picks the same one.
-    NULL keys match nothing but are spread likewise.
+    NULL keys match nothing but are spread likewise. ``keys_from`` is a cheaper frame
+    with the same key column to look for crowded keys in.
     """
-    spark = facts.sparkSession
-    pieces = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    crowded = crowded_keys(facts, key, pieces)
-    scatter = F.xxhash64(row_id)
-
+    pieces = max(2, int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    crowded = crowded_keys(facts if keys_from is None else keys_from, key, pieces)
+    cuts = F.when(F.col(key).isNull(), F.lit(pieces)).otherwise(F.coalesce(F.col(_PIECES), F.lit(1)))
     left = (
         facts.join(F.broadcast(crowded), F.col(key) == F.col(_KEY), "left")
-        .withColumn(
-            _PIECE,
-            F.when(F.col(key).isNull(), F.pmod(scatter, F.lit(pieces)))
-            .otherwise(F.pmod(scatter, F.coalesce(F.col(_PIECES), F.lit(1)).cast("long")))
-            .cast("int"),
-        )
+        .withColumn(_PIECE, F.pmod(F.xxhash64(row_id), cuts).cast("int"))
         .drop(_KEY, _PIECES)
     )
-    right = (
-        table.join(F.broadcast(crowded), _KEY, "left")
-        .withColumn(_PIECE, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(_PIECES), F.lit(1)) - 1)))
-        .drop(_PIECES)
-        .withColumnRenamed(_PIECE, _PIECE + "_r")
-    )
-    matched = (F.col(key) == F.col(_KEY)) & (F.col(_PIECE) == F.col(_PIECE + "_r"))
-    return left.join(right, matched, how).drop(_PIECE, _PIECE + "_r")
+    copies = F.sequence(F.lit(0), F.coalesce(F.col(_PIECES), F.lit(1)) - 1)
+    right = table.join(F.broadcast(crowded), _KEY, "left").withColumn("_copy", F.explode(copies)).drop(_PIECES)
+    matched = (F.col(key) == F.col(_KEY)) & (F.col(_PIECE) == F.col("_copy"))
+    return left.join(right, matched, how).drop(_PIECE, "_copy")
 
 
 def lookup(
@@ -85,25 +96,26 @@ def lookup(
     take: Mapping[str, str | Column],
     *,
     row_id: str,
-    rows: int | None = None,
+    size: Size | None = None,
     how: str = "left",
-    broadcast_rows: int | None = None,
+    keys_from: DataFrame | None = None,
+    limit: int | None = None,
 ) -> DataFrame:
     """Add columns of ``table`` (unique on ``match``) to every fact row.
 
-    ``take`` names the new columns and what each comes from. ``rows`` is the table's
-    row count if the caller has it already; otherwise it is counted here.
+    ``take`` names the new columns and what each comes from. ``size`` is the table's
+    measured size, or an upper bound, if the caller has it; otherwise it is measured
+    here. Up to ``limit`` bytes the table is broadcast, beyond it the join spreads.
     """
-    bound = BROADCAST_ROWS if broadcast_rows is None else broadcast_rows
     picked = table.select(
         F.col(match).alias(_KEY),
         *[(F.col(source) if isinstance(source, str) else source).alias(name) for name, source in take.items()],
     )
-    size = row_counts({"table": table})["table"] if rows is None else rows
-    if size <= bound:
+    measured = table_sizes({"table": picked})["table"] if size is None else size
+    if measured.bytes <= (BROADCAST_BYTES if limit is None else limit):
         joined = facts.join(F.broadcast(picked), F.col(key) == F.col(_KEY), how)
     else:
-        joined = spread_join(facts, picked, key, row_id, how)
+        joined = spread_join(facts, picked, key, row_id, how, keys_from)
     return joined.drop(_KEY)
 
 

@@ -14,7 +14,7 @@ from ridelake.functions.rules import fact_fare
 from ridelake.functions.temporal import date_key, minutes_between, ntz, quarter_hour_key
 from ridelake.operators.changes import insert_if_absent
 from ridelake.operators.keys import next_free_key, parallel_keys
-from ridelake.operators.lookups import lookup, row_counts
+from ridelake.operators.lookups import Size, lookup, table_sizes
 from ridelake.plans.warehouse import DIMENSIONS, dim_date, dim_time
 from ridelake.sources.readers import read_table
 from ridelake.sources.writers import append, create_if_absent, replace, snapshot
@@ -54,18 +54,21 @@ def _one_per(table: DataFrame, link: Link) -> DataFrame:
     return table.groupBy(link.match).agg(F.max(link.take).alias(link.take))
 
 
-def resolve_keys(trips: DataFrame, dims: dict[str, DataFrame], broadcast_rows: int | None = None) -> DataFrame:
+def resolve_keys(
+    trips: DataFrame, dims: dict[str, DataFrame], sizes: dict[str, Size] | None = None, limit: int | None = None
+) -> DataFrame:
     """Surrogate keys for every trip and, where one is missing, the first reason why.
 
     A NULL id of an optional link passes; an unknown one does not.
     """
-    sizes = row_counts(dims)
+    measured = sizes or table_sizes({link.table: dims[link.table].select(link.match, link.take) for link in LINKS})
     requested = F.col("requested_at")
-    resolved = trips.withColumns({"date_key": date_key(requested), "time_key": quarter_hour_key(requested)})
+    timed = trips.withColumns({"date_key": date_key(requested), "time_key": quarter_hour_key(requested)})
+    resolved = timed
     for link in LINKS:
         resolved = lookup(
             resolved, _one_per(dims[link.table], link), link.by, link.match, {link.name: link.take},
-            row_id="trip_id", rows=sizes[link.table], broadcast_rows=broadcast_rows,
+            row_id="trip_id", size=measured[link.table], keys_from=timed, limit=limit,
         )
 
     def missing(link: Link) -> Column:

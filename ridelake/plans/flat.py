@@ -170,14 +170,14 @@ def payment_method_names(rides: DataFrame) -> DataFrame:
 
 
 def clean_names(names: DataFrame, column: str) -> DataFrame:
-    return names.select(clean_name(F.col(column)).alias("name")).distinct()
+    """Distinct names behind all spellings, each spelling cleaned once."""
+    return names.select(column).distinct().select(clean_name(F.col(column)).alias("name")).distinct()
 
 
 def count_clean_names(names: DataFrame, column: str) -> DataFrame:
     """How many spellings there are, and how many names are behind them."""
-    return names.agg(
-        F.countDistinct(column).alias("spellings"), F.countDistinct(clean_name(F.col(column))).alias("names")
-    )
+    spelt = names.select(column).distinct()
+    return spelt.agg(F.count(column).alias("spellings"), F.countDistinct(clean_name(F.col(column))).alias("names"))
 
 
 # Changes

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,10 +14,10 @@ from ridelake.functions.rules import RIDE_STATUSES
 from ridelake.functions.text import clean_name
 from ridelake.operators.changes import insert_if_absent
 from ridelake.operators.keys import assign_keys, next_free_key
-from ridelake.operators.lookups import lookup, row_counts
+from ridelake.operators.lookups import lookup, table_sizes
 from ridelake.operators.quality import References, Rule, Unique, above, between, not_null, one_of
 from ridelake.sources.readers import read_table
-from ridelake.sources.writers import append, create_if_absent
+from ridelake.sources.writers import append, create_if_absent, snapshot
 
 
 @dataclass(frozen=True)
@@ -39,44 +40,53 @@ NAME_TABLES = (
 )
 
 
-def with_clean_names(rides: DataFrame) -> DataFrame:
-    """Clean both person columns once; every later step joins on the result."""
-    return rides.withColumns({name: clean_name(F.col(name)) for name in ("driver_name", "passenger_name")})
+def spellings(rides: DataFrame, names: Names) -> DataFrame:
+    """Every spelling that occurs, with the name it stands for.
+
+    Spellings are made distinct first, so cleaning runs once per spelling instead of
+    once per ride.
+    """
+    columns = [rides.select(F.col(column).alias("spelling")) for column in names.fed_by]
+    occurring = reduce(DataFrame.union, columns).where(F.col("spelling").isNotNull()).distinct()
+    name = clean_name(F.col("spelling")) if names.cleaned else F.col("spelling")
+    return occurring.withColumn(names.name, name)
 
 
-def name_table(clean: DataFrame, names: Names, existing: DataFrame | None = None) -> DataFrame:
-    """Distinct names not stored yet, each with a new id."""
-    found = None
-    for column in names.fed_by:
-        part = clean.select(F.col(column).alias(names.name)).where(F.col(column).isNotNull()).distinct()
-        found = part if found is None else found.union(part).distinct()
+def name_table(spelt: DataFrame, names: Names, existing: DataFrame | None = None) -> DataFrame:
+    """Names not stored yet, each with a new id."""
+    found = spelt.select(names.name).distinct()
     if existing is None:
         return assign_keys(found, names.key, names.name)
     fresh = insert_if_absent(found, existing, [names.name])
     return assign_keys(fresh, names.key, names.name, next_free_key(existing, names.key))
 
 
-def normalised_trips(clean: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
+def spelling_ids(spelt: DataFrame, names: Names, table: DataFrame) -> DataFrame:
+    """Spelling to id, the lookup the trips need."""
+    return spelt.join(table, names.name).select("spelling", F.col(names.key).alias("id"))
+
+
+def normalised_trips(rides: DataFrame, ids: dict[str, DataFrame]) -> DataFrame:
     """Trips by id: four required names, an optional payment method.
 
     A ride keeps its own id as trip id, which is unique and costs no shuffle.
     """
-    sizes = row_counts(tables)
-    trips = clean
+    sizes = table_sizes(ids)
     roles = (
-        ("drivers", "driver_name", "name", "driver_id", "inner"),
-        ("passengers", "passenger_name", "name", "passenger_id", "inner"),
-        ("locations", "pickup_city", "city_name", "pickup_location_id", "inner"),
-        ("locations", "dropoff_city", "city_name", "dropoff_location_id", "inner"),
-        ("payment_methods", "payment_method", "name", "payment_method_id", "left"),
+        ("drivers", "driver_name", "driver_id", "inner"),
+        ("passengers", "passenger_name", "passenger_id", "inner"),
+        ("locations", "pickup_city", "pickup_location_id", "inner"),
+        ("locations", "dropoff_city", "dropoff_location_id", "inner"),
+        ("payment_methods", "payment_method", "payment_method_id", "left"),
     )
-    keys = {names.table: names.key for names in NAME_TABLES}
-    for table, column, match, name, how in roles:
+    trips = rides
+    for table, column, name, how in roles:
         trips = lookup(
-            trips, tables[table], column, match, {name: keys[table]}, row_id="ride_id", rows=sizes[table], how=how
+            trips, ids[table], column, "spelling", {name: "id"},
+            row_id="ride_id", size=sizes[table], how=how, keys_from=rides,
         )
     renamed = {"trip_id": "ride_id", "distance_km": "ride_distance_km", "status": "ride_status"}
-    return trips.select(*[F.col(renamed.get(field.name, field.name)).alias(field.name) for field in schemas.NORMALISED_TRIPS])
+    return trips.select(*[F.col(renamed.get(name, name)).alias(name) for name in schemas.NORMALISED_TRIPS.names])
 
 
 def trip_rules() -> list[Rule]:
@@ -110,16 +120,15 @@ def load_normalised(spark: SparkSession, rides: DataFrame, root: str) -> dict[st
     Returns the rows added per table. Names are written before trips read them back,
     so the ids a trip carries are the stored ones.
     """
-    clean = with_clean_names(rides)
-    added, stored = {}, {}
+    added, ids = {}, {}
     for names in NAME_TABLES:
         path = f"{root}/{names.table}"
         create_if_absent(spark, path, names.schema)
-        fresh = name_table(clean, names, read_table(spark, path))
-        added[names.table] = append(schemas.conform(fresh, names.schema), path)
-        stored[names.table] = read_table(spark, path)
+        spelt = snapshot(spellings(rides, names))
+        added[names.table] = append(schemas.conform(name_table(spelt, names, read_table(spark, path)), names.schema), path)
+        ids[names.table] = spelling_ids(spelt, names, read_table(spark, path))
     path = f"{root}/trips"
     create_if_absent(spark, path, schemas.NORMALISED_TRIPS)
-    trips = insert_if_absent(normalised_trips(clean, stored), read_table(spark, path), ["trip_id"])
+    trips = insert_if_absent(normalised_trips(rides, ids), read_table(spark, path), ["trip_id"])
     added["trips"] = append(schemas.conform(trips, schemas.NORMALISED_TRIPS), path)
     return added

@@ -14,7 +14,7 @@ from ridelake.functions.numeric import percent_of
 from ridelake.functions.ordering import ascending, descending
 from ridelake.functions.rules import view_fare
 from ridelake.functions.temporal import minutes_between
-from ridelake.operators.lookups import lookup, row_counts
+from ridelake.operators.lookups import lookup, table_sizes
 from ridelake.operators.running import running_total, share_of_total
 
 
@@ -26,7 +26,7 @@ def completed_trips(
     trips: DataFrame, drivers: DataFrame, passengers: DataFrame, cities: DataFrame, payments: DataFrame
 ) -> DataFrame:
     """Completed trips with names for ids; a trip without payment method stays."""
-    sizes = row_counts({"drivers": drivers, "passengers": passengers, "cities": cities, "payments": payments})
+    sizes = table_sizes({"drivers": drivers, "passengers": passengers, "cities": cities, "payments": payments})
     detail = trips.where(has_status("completed"))
     roles = (
         (drivers, "drivers", "driver_id", "driver_id", "name", "driver_name", "inner"),
@@ -36,7 +36,7 @@ def completed_trips(
         (payments, "payments", "payment_method_id", "payment_method_id", "name", "payment_method", "left"),
     )
     for table, size, key, match, column, name, how in roles:
-        detail = lookup(detail, table, key, match, {name: column}, row_id="trip_id", rows=sizes[size], how=how)
+        detail = lookup(detail, table, key, match, {name: column}, row_id="trip_id", size=sizes[size], how=how, keys_from=trips)
     return detail.select(
         "trip_id", "driver_name", "passenger_name", "pickup_city", "dropoff_city",
         "fare_amount", "distance_km", "rating", "payment_method", "requested_at", "completed_at",

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridelake.operators.lookups import lookup, row_counts
+from ridelake.operators.lookups import Size, lookup, table_sizes
 from ridelake.sources.readers import read_table
 
 # Fixed values of the projection.
@@ -57,13 +57,13 @@ def orders_with(spark: SparkSession, folder: str, status: str | None) -> DataFra
     return orders.where(F.col("o_orderstatus") == code)
 
 
-def _people(spark: SparkSession, folder: str, table: str, prefix: str, cities: int) -> DataFrame:
+def _people(spark: SparkSession, folder: str, table: str, prefix: str, cities: Size) -> DataFrame:
     """Suppliers or customers with the name of their nation."""
     nation = stored(spark, folder, "nation")
     people = stored(spark, folder, table)
     return lookup(
         people, nation, f"{prefix}_nationkey", "n_nationkey", {"city": "n_name"},
-        row_id=people.columns[0], rows=cities, how="inner",
+        row_id=people.columns[0], size=cities, how="inner",
     )
 
 
@@ -74,9 +74,9 @@ def rides(spark: SparkSession, folder: str, *joined: str, status: str | None = N
         sides["customer"] = stored(spark, folder, "customer")
     if set(joined) & set(PLACE_COLUMNS):
         sides["nation"] = stored(spark, folder, "nation")
-    sizes = row_counts(sides)
+    sizes = table_sizes(sides)
 
-    flat = ride_columns(orders_with(spark, folder, status), sizes["supplier"])
+    flat = ride_columns(orders_with(spark, folder, status), sizes["supplier"].rows)
     wanted = (
         ("supplier", "s", "driver_id", "s_suppkey", "driver_name", "dropoff_city"),
         ("customer", "c", "passenger_id", "c_custkey", "passenger_name", "pickup_city"),
@@ -90,7 +90,7 @@ def rides(spark: SparkSession, folder: str, *joined: str, status: str | None = N
             people = _people(spark, folder, table, prefix, sizes["nation"])
             take[city] = "city"
         if take:
-            flat = lookup(flat, people, key, match, take, row_id="ride_id", rows=sizes[table], how="inner")
+            flat = lookup(flat, people, key, match, take, row_id="ride_id", size=sizes[table], how="inner")
     return flat.select("ride_id", *joined, *[c for c in flat.columns if c not in ("ride_id", "driver_id", "passenger_id", *joined)])
 
 
@@ -146,8 +146,8 @@ def trips(spark: SparkSession, folder: str, places: bool = False, status: str |
     sides = {"supplier": stored(spark, folder, "supplier")}
     if places:
         sides["customer"] = stored(spark, folder, "customer")
-    sizes = row_counts(sides)
-    flat = ride_columns(orders_with(spark, folder, status), sizes["supplier"])
+    sizes = table_sizes(sides)
+    flat = ride_columns(orders_with(spark, folder, status), sizes["supplier"].rows)
     located = []
     if places:
         located = ["pickup_location_id", "dropoff_location_id"]
@@ -156,7 +156,7 @@ def trips(spark: SparkSession, folder: str, places: bool = False, status: str |
             ("supplier", "driver_id", "s_suppkey", "s_nationkey", located[1]),
         ):
             take = {name: F.col(column).cast("long")}
-            flat = lookup(flat, sides[table], key, match, take, row_id="ride_id", rows=sizes[table], how="inner")
+            flat = lookup(flat, sides[table], key, match, take, row_id="ride_id", size=sizes[table], how="inner")
     return flat.select(
         F.col("ride_id").alias("trip_id"),
         "driver_id",

@@ -16,7 +16,9 @@ from ridelake import schemas
 from ridelake.functions import numeric, rules, temporal, text
 from ridelake.operators import changes, lookups, quality
 from ridelake.plans import facts, flat, normalise, reports, warehouse
-from ridelake.sources import operational, readers, rides as source, star, writers
+from ridelake.sources import operational, readers, star, writers
+from ridelake.sources import rides as source
+from ridelake.sources.stored import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -103,7 +105,7 @@ def scalar_strings(spark, folder):
     color = F.col("color")
     return (
         source.messy_names(spark, folder)
-        .join(source.stored(spark, folder, "part"), "p_partkey")
+        .join(stored(spark, folder, "part"), "p_partkey")
         .withColumn("color", F.when(F.col("p_size") > 25, F.split_part("p_name", F.lit(" "), F.lit(1))))
         .select(
             "p_partkey",
@@ -125,7 +127,7 @@ def scalar_strings(spark, folder):
 def scalar_dates(spark, folder):
     ts = F.col("ts")
     midnight = ts.cast("date").cast("timestamp_ntz")
-    return source.stored(spark, folder, "events").select(
+    return stored(spark, folder, "events").select(
         "event_id",
         temporal.months_before(ts, 6).alias("half_year_before"),
         temporal.months_before(ts, 24).alias("two_years_before"),
@@ -151,7 +153,7 @@ def scalar_numeric(spark, folder):
     half = total / F.lit(2).cast("decimal(1,0)")
     size = (F.col("o_orderkey") % 4).cast("decimal(10,0)")
     paid = F.when(F.col("o_orderstatus") != "P", total)
-    return source.stored(spark, folder, "orders").select(
+    return stored(spark, folder, "orders").select(
         "o_orderkey",
         numeric.round_half_up(half, 2).alias("half_up"),
         numeric.round_half_even(half, 2).alias("half_even"),
@@ -182,8 +184,8 @@ def promo_discount(spark, folder):
 def _city_sides(spark, folder):
     """Passengers' cities against the cities of overdrawn drivers."""
     started = source.rides(spark, folder, "pickup_city").select(F.col("pickup_city").alias("city")).distinct()
-    suppliers = source.stored(spark, folder, "supplier").where(F.col("s_acctbal") < 0)
-    reached = suppliers.join(source.stored(spark, folder, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+    suppliers = stored(spark, folder, "supplier").where(F.col("s_acctbal") < 0)
+    reached = suppliers.join(stored(spark, folder, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
     return started, reached.select(F.col("n_name").alias("city")).distinct()
 
 
@@ -399,14 +401,14 @@ def dq_completed_at(spark, folder):
 
 @query
 def dq_width(spark, folder):
-    part = source.stored(spark, folder, "part")
+    part = stored(spark, folder, "part")
     checks = [quality.max_length("p_name", 9), quality.fits_decimal("p_retailprice", 5, 2), quality.fits_decimal("p_size", 1, 0)]
     return quality.rule_report(part, checks, "p_partkey")
 
 
 @query
 def dq_duplicate_keys(spark, folder):
-    return quality.duplicate_keys(source.stored(spark, folder, "lineitem"), ["l_orderkey", "l_linenumber"])
+    return quality.duplicate_keys(stored(spark, folder, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
 @query
@@ -453,7 +455,7 @@ def batch_gate(spark, folder):
 @query
 def insert_if_absent(spark, folder):
     """Order lines added to those shipped before 1998, first shipment per line winning."""
-    lines = source.stored(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate", "l_partkey", "l_suppkey", "l_quantity")
+    lines = stored(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate", "l_partkey", "l_suppkey", "l_quantity")
     present = lines.where(F.col("l_shipdate") < temporal.ntz("1998-01-01 00:00:00"))
     return changes.insert_if_absent(lines, present, ["l_orderkey", "l_linenumber"], ["l_shipdate"])
 
@@ -484,13 +486,13 @@ for _dim in warehouse.DIMENSIONS:
 @query
 def dim_date(spark, folder):
     """The calendar of the days on which rides were ordered, first to last."""
-    return warehouse.dates_spanning(source.stored(spark, folder, "orders"), "o_orderdate")
+    return warehouse.dates_spanning(stored(spark, folder, "orders"), "o_orderdate")
 
 
 @query
 def dim_time(spark, folder):
     """The clock with the number of events in each quarter hour."""
-    events = source.stored(spark, folder, "events")
+    events = stored(spark, folder, "events")
     seen = events.groupBy(temporal.quarter_hour_key(F.col("ts")).alias("time_key")).agg(flat.rows("events"))
     return warehouse.dim_time(spark).join(seen, "time_key", "left").fillna(0, ["events"])
 
@@ -554,7 +556,7 @@ def incremental_slice(spark, folder):
 
 @query
 def revenue_city_month(spark, folder):
-    days = warehouse.dates_spanning(source.stored(spark, folder, "orders"), "o_orderdate")
+    days = warehouse.dates_spanning(stored(spark, folder, "orders"), "o_orderdate")
     return reports.revenue_by_city_month(star.facts(spark, folder), star.places(spark, folder), days)
 
 
@@ -570,7 +572,7 @@ def revenue_by_method(spark, folder):
 
 @query
 def avg_fare_method_month(spark, folder):
-    days = warehouse.dates_spanning(source.stored(spark, folder, "orders"), "o_orderdate")
+    days = warehouse.dates_spanning(stored(spark, folder, "orders"), "o_orderdate")
     return reports.avg_fare_by_method_month(star.facts(spark, folder), star.methods(spark, folder), days)
 
 

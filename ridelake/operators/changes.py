@@ -17,7 +17,7 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> D
     """
     ranked = [*order, *[name for name in df.columns if name not in order and name not in keys]]
     best = df.groupBy(*keys).agg(F.min(F.struct(*ranked)).alias("_first"))
-    return best.select(*[F.col(name) if name in keys else F.col("_first." + name).alias(name) for name in df.columns])
+    return best.select(*keys, "_first.*").select(*df.columns)
 
 
 def insert_if_absent(

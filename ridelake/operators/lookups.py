@@ -22,7 +22,7 @@ BROADCAST_BYTES = 32 * 1024 * 1024
 # many keys. A key it leaves out holds less than a five-thousandth of the rows.
 CROWDED_KEYS, TRACKED_KEYS = 5_000, 50_000
 
-_KEY, _PIECE, _PIECES = "_key", "_piece", "_pieces"
+_PIECE, _PIECES = "_piece", "_pieces"
 
 
 class Size(NamedTuple):
@@ -61,14 +61,14 @@ def crowded_keys(facts: DataFrame, key: str, pieces: int) -> DataFrame:
     return (
         found.select(F.explode("top").alias("item"), "total")
         .where(F.col("item.item").isNotNull() & (share > 1))
-        .select(F.col("item.item").alias(_KEY), F.ceil(share).cast("int").alias(_PIECES))
+        .select(F.col("item.item").alias(key), F.ceil(share).cast("int").alias(_PIECES))
     )
 
 
 def spread_join(
     facts: DataFrame, table: DataFrame, key: str, row_id: str, how: str, keys_from: DataFrame | None = None
 ) -> DataFrame:
-    """Shuffle join of ``facts.key = table._key`` with crowded keys cut into pieces.
+    """Shuffle join on ``key`` with the rows of crowded keys cut into pieces.
 
     The piece of a fact row is a hash of its id, so a re-run task picks the same one.
     NULL keys match nothing but are spread likewise. ``keys_from`` is a cheaper frame
@@ -77,15 +77,10 @@ def spread_join(
     pieces = max(2, int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     crowded = crowded_keys(facts if keys_from is None else keys_from, key, pieces)
     cuts = F.when(F.col(key).isNull(), F.lit(pieces)).otherwise(F.coalesce(F.col(_PIECES), F.lit(1)))
-    left = (
-        facts.join(F.broadcast(crowded), F.col(key) == F.col(_KEY), "left")
-        .withColumn(_PIECE, F.pmod(F.xxhash64(row_id), cuts).cast("int"))
-        .drop(_KEY, _PIECES)
-    )
+    left = facts.join(F.broadcast(crowded), key, "left").withColumn(_PIECE, F.pmod(F.xxhash64(row_id), cuts).cast("int"))
     copies = F.sequence(F.lit(0), F.coalesce(F.col(_PIECES), F.lit(1)) - 1)
-    right = table.join(F.broadcast(crowded), _KEY, "left").withColumn("_copy", F.explode(copies)).drop(_PIECES)
-    matched = (F.col(key) == F.col(_KEY)) & (F.col(_PIECE) == F.col("_copy"))
-    return left.join(right, matched, how).drop(_PIECE, "_copy")
+    right = table.join(F.broadcast(crowded), key, "left").withColumn(_PIECE, F.explode(copies)).drop(_PIECES)
+    return left.drop(_PIECES).join(right, [key, _PIECE], how).drop(_PIECE)
 
 
 def lookup(
@@ -108,15 +103,13 @@ def lookup(
     here. Up to ``limit`` bytes the table is broadcast, beyond it the join spreads.
     """
     picked = table.select(
-        F.col(match).alias(_KEY),
+        F.col(match).alias(key),
         *[(F.col(source) if isinstance(source, str) else source).alias(name) for name, source in take.items()],
     )
     measured = table_sizes({"table": picked})["table"] if size is None else size
     if measured.bytes <= (BROADCAST_BYTES if limit is None else limit):
-        joined = facts.join(F.broadcast(picked), F.col(key) == F.col(_KEY), how)
-    else:
-        joined = spread_join(facts, picked, key, row_id, how, keys_from)
-    return joined.drop(_KEY)
+        return facts.join(F.broadcast(picked), key, how)
+    return spread_join(facts, picked, key, row_id, how, keys_from)
 
 
 def one_value_lookup(
@@ -135,8 +128,7 @@ def without_match(rows: DataFrame, key: str, others: DataFrame, other_key: str)
     The others are reduced to distinct keys map-side first, so a hot key never
     travels more than once per task.
     """
-    seen = others.select(F.col(other_key).alias(_KEY)).distinct()
-    return rows.join(seen, F.col(key) == F.col(_KEY), "left_anti")
+    return rows.join(others.select(F.col(other_key).alias(key)).distinct(), key, "left_anti")
 
 
 def not_in(rows: DataFrame, key: str, others: DataFrame, other_key: str) -> DataFrame:

@@ -47,11 +47,13 @@ LINKS = (
 )
 
 
-def _one_per(table: DataFrame, link: Link) -> DataFrame:
-    """A lookup table that cannot multiply trips: the newest key of each natural key."""
-    if link.match == link.take:
-        return table.select(link.match).distinct()
-    return table.groupBy(link.match).agg(F.max(link.take).alias(link.take))
+def _one_per_key(dims: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Lookup tables that cannot multiply trips: the newest key of each natural key."""
+    single = {}
+    for link in LINKS:
+        keyed = dims[link.table].groupBy(link.match)
+        single[link.table] = dims[link.table] if link.match == link.take else keyed.agg(F.max(link.take).alias(link.take))
+    return single
 
 
 def resolve_keys(
@@ -61,13 +63,14 @@ def resolve_keys(
 
     A NULL id of an optional link passes; an unknown one does not.
     """
+    tables = _one_per_key(dims)
     measured = sizes or table_sizes({link.table: dims[link.table].select(link.match, link.take) for link in LINKS})
     requested = F.col("requested_at")
     timed = trips.withColumns({"date_key": date_key(requested), "time_key": quarter_hour_key(requested)})
     resolved = timed
     for link in LINKS:
         resolved = lookup(
-            resolved, _one_per(dims[link.table], link), link.by, link.match, {link.name: link.take},
+            resolved, tables[link.table], link.by, link.match, {link.name: link.take},
             row_id="trip_id", size=measured[link.table], keys_from=timed, limit=limit,
         )
 

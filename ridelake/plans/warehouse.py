@@ -78,20 +78,19 @@ class Dimension:
     key: str
     natural: str
     schema: StructType
-    derived: Callable[[Column], dict[str, Column]] = lambda as_of: {}
+    derived: Callable[[Column], dict[str, Column]] | None = None
 
     def rows(self, source: DataFrame, as_of: Column) -> DataFrame:
         """Attributes as of a moment, without a surrogate key."""
-        named = source.withColumns(self.derived(as_of))
-        return named.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema if f.name != self.key])
+        attributes = StructType([field for field in self.schema if field.name != self.key])
+        return schemas.conform(source.withColumns(self.derived(as_of)) if self.derived else source, attributes)
 
     def new_rows(self, source: DataFrame, as_of: Column, existing: DataFrame | None = None) -> DataFrame:
         """Rows whose natural key is not stored yet, with new surrogate keys.
 
         Stored rows never change, so derived columns stay as of their first load.
         """
-        rows = self.rows(source, as_of)
-        fresh = insert_if_absent(rows, existing, [self.natural])
+        fresh = insert_if_absent(self.rows(source, as_of), existing, [self.natural])
         start = 0 if existing is None else next_free_key(existing, self.key)
         return schemas.conform(assign_keys(fresh, self.key, self.natural, start), self.schema)
 

@@ -285,4 +285,10 @@ WAREHOUSE = {
 
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
     """Project a frame onto a declared schema: same columns, order and types."""
-    return df.select(*[F.col(field.name).cast(field.dataType).alias(field.name) for field in schema])
+    present = {field.name: field.dataType for field in df.schema}
+    return df.select(
+        *[
+            field.name if present[field.name] == field.dataType else F.col(field.name).cast(field.dataType).alias(field.name)
+            for field in schema
+        ]
+    )

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-# AQE sizes shuffle partitions at run time from a generous start, splits skewed
+# Long plans are built column by column, so recording a call site for each is off. AQE
+# sizes shuffle partitions at run time from a generous start, splits skewed
 # join partitions, and turns a join whose side proves small into a broadcast join.
 ENGINE_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -12,6 +13,7 @@ ENGINE_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from ridelake.functions.rules import promo_discount
 from ridelake.functions.temporal import ntz
 from ridelake.functions.text import zero_padded
-from ridelake.operators.lookups import table_sizes
-from ridelake.sources.rides import minutes, payment_number, payment_names, ride_columns, stored
+from ridelake.sources.rides import counted, minutes, payment_names, payment_number, ride_columns
+from ridelake.sources.stored import stored
 
 # Fixed values of the projection.
 STATES = ("New York", "Ohio", "Texas", "California", "Vermont", "Iowa", "Florida", "Ontario")
@@ -111,8 +111,8 @@ def vehicle_assignments(spark: SparkSession, folder: str) -> DataFrame:
 
 def priced_trips(spark: SparkSession, folder: str) -> DataFrame:
     """Operational trips; a few point at vehicles, places and promos that do not exist."""
-    sizes = table_sizes({name: stored(spark, folder, name).select() for name in ("supplier", "part")})
-    flat = ride_columns(stored(spark, folder, "orders"), sizes["supplier"].rows)
+    drivers, vehicles_known = (counted(stored(spark, folder, name)) for name in ("supplier", "part"))
+    flat = ride_columns(stored(spark, folder, "orders"), drivers)
     key, passenger = F.col("ride_id"), F.col("passenger_id")
     done = F.col("ride_status") == "completed"
     base = F.col("fare_amount")
@@ -125,7 +125,7 @@ def priced_trips(spark: SparkSession, folder: str) -> DataFrame:
         key.alias("trip_id"),
         "driver_id",
         "passenger_id",
-        F.when(key % 7 != 0, (key * 13) % (sizes["part"].rows + 20)).alias("vehicle_id"),
+        F.when(key % 7 != 0, (key * 13) % (vehicles_known + 20)).alias("vehicle_id"),
         (passenger % 26).alias("pickup_location_id"),
         (key % 25).alias("dropoff_location_id"),
         F.when(F.col("ride_status") != "no_show", payment_number(F.col("payment_method"))).alias("payment_method_id"),
@@ -145,7 +145,7 @@ def priced_trips(spark: SparkSession, folder: str) -> DataFrame:
 
 def trip_cancellations(spark: SparkSession, folder: str) -> DataFrame:
     """One record per cancelled trip."""
-    flat = ride_columns(stored(spark, folder, "orders").where(F.col("o_orderstatus") == "O"), 1)
+    flat = ride_columns(stored(spark, folder, "orders").where(F.col("o_orderstatus") == "O"), F.lit(1))
     key = F.col("ride_id")
     return flat.select(
         key.alias("trip_id"),

@@ -9,25 +9,29 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridelake.operators.lookups import Size, lookup, table_sizes
-from ridelake.sources.readers import read_table
+from ridelake.operators.lookups import lookup, table_sizes
+from ridelake.sources.stored import stored
 
 # Fixed values of the projection.
 STATUS_OF = {"F": "completed", "O": "cancelled", "P": "no_show"}
 NO_PAYMENT = "4-NOT SPECIFIED"
 PLACE_COLUMNS = ("pickup_city", "dropoff_city")
-
-
-def stored(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return read_table(spark, f"{folder}/{name}.parquet")
+KEY_AND_NAME = {
+    "supplier": ("s_suppkey", "s_name"),
+    "customer": ("c_custkey", "c_name"),
+    "nation": ("n_nationkey", "n_name"),
+}
 
 
 def minutes(number: Column) -> Column:
     return F.make_dt_interval(F.lit(0), F.lit(0), number.cast("int"))
 
 
-def ride_columns(orders: DataFrame, drivers: int) -> DataFrame:
-    """Everything about a ride that its order row alone tells."""
+def ride_columns(orders: DataFrame, drivers: Column) -> DataFrame:
+    """Everything about a ride that its order row alone tells.
+
+    ``drivers`` is how many drivers there are; rides are dealt out among them.
+    """
     key = F.col("o_orderkey")
     status = F.when(F.col("o_orderstatus") == "F", STATUS_OF["F"])
     for code in ("O", "P"):
@@ -48,6 +52,11 @@ def ride_columns(orders: DataFrame, drivers: int) -> DataFrame:
     )
 
 
+def counted(table: DataFrame) -> Column:
+    """Row count as a scalar subquery: nothing runs unless the value is used."""
+    return table.agg(F.count(F.lit(1))).scalar()
+
+
 def orders_with(spark: SparkSession, folder: str, status: str | None) -> DataFrame:
     """Orders, narrowed by a predicate on the stored code so that it reaches the scan."""
     orders = stored(spark, folder, "orders")
@@ -57,41 +66,32 @@ def orders_with(spark: SparkSession, folder: str, status: str | None) -> DataFra
     return orders.where(F.col("o_orderstatus") == code)
 
 
-def _people(spark: SparkSession, folder: str, table: str, prefix: str, cities: Size) -> DataFrame:
-    """Suppliers or customers with the name of their nation."""
-    nation = stored(spark, folder, "nation")
-    people = stored(spark, folder, table)
-    return lookup(
-        people, nation, f"{prefix}_nationkey", "n_nationkey", {"city": "n_name"},
-        row_id=people.columns[0], size=cities, how="inner",
-    )
-
-
 def rides(spark: SparkSession, folder: str, *joined: str, status: str | None = None) -> DataFrame:
     """Flat rides; ``joined`` names the person and city columns wanted as well."""
-    sides = {"supplier": stored(spark, folder, "supplier")}
-    if set(joined) & {"passenger_name", "pickup_city"}:
-        sides["customer"] = stored(spark, folder, "customer")
+    people = {"driver": "supplier", "passenger": "customer"}
+    cities = {"driver": "dropoff_city", "passenger": "pickup_city"}
+    wanted = {role: [c for c in (f"{role}_name", cities[role]) if c in joined] for role in people}
+    needed = [people[role] for role, columns in wanted.items() if columns]
     if set(joined) & set(PLACE_COLUMNS):
-        sides["nation"] = stored(spark, folder, "nation")
-    sizes = table_sizes(sides)
-
-    flat = ride_columns(orders_with(spark, folder, status), sizes["supplier"].rows)
-    wanted = (
-        ("supplier", "s", "driver_id", "s_suppkey", "driver_name", "dropoff_city"),
-        ("customer", "c", "passenger_id", "c_custkey", "passenger_name", "pickup_city"),
-    )
-    for table, prefix, key, match, name, city in wanted:
-        take = {}
-        people = stored(spark, folder, table)
-        if name in joined:
-            take[name] = f"{prefix}_name"
-        if city in joined:
-            people = _people(spark, folder, table, prefix, sizes["nation"])
-            take[city] = "city"
-        if take:
-            flat = lookup(flat, people, key, match, take, row_id="ride_id", size=sizes[table], how="inner")
-    return flat.select("ride_id", *joined, *[c for c in flat.columns if c not in ("ride_id", "driver_id", "passenger_id", *joined)])
+        needed.append("nation")
+    tables = {name: stored(spark, folder, name) for name in {"supplier", *needed}}
+    sizes = table_sizes({name: tables[name].select(*KEY_AND_NAME[name]) for name in needed}) if needed else {}
+
+    flat = ride_columns(orders_with(spark, folder, status), counted(tables["supplier"]))
+    for role, columns in wanted.items():
+        if not columns:
+            continue
+        table = people[role]
+        key, name, nation = KEY_AND_NAME[table][0], KEY_AND_NAME[table][1], f"{table[0]}_nationkey"
+        side = tables[table]
+        if cities[role] in columns:
+            side = lookup(
+                side, tables["nation"], nation, "n_nationkey", {"city": "n_name"}, row_id=key, size=sizes["nation"], how="inner"
+            )
+        take = {column: name if column.endswith("_name") else "city" for column in columns}
+        flat = lookup(flat, side, f"{role}_id", key, take, row_id="ride_id", size=sizes[table], how="inner")
+    plain = [c for c in flat.columns if c not in ("ride_id", "driver_id", "passenger_id", *joined)]
+    return flat.select("ride_id", *joined, *plain)
 
 
 def messy_rides(spark: SparkSession, folder: str) -> DataFrame:
@@ -143,19 +143,18 @@ def payment_names(spark: SparkSession, folder: str) -> DataFrame:
 
 def trips(spark: SparkSession, folder: str, places: bool = False, status: str | None = None) -> DataFrame:
     """Rides by id instead of by name; location ids only on request (two joins)."""
-    sides = {"supplier": stored(spark, folder, "supplier")}
-    if places:
-        sides["customer"] = stored(spark, folder, "customer")
-    sizes = table_sizes(sides)
-    flat = ride_columns(orders_with(spark, folder, status), sizes["supplier"].rows)
+    flat = ride_columns(orders_with(spark, folder, status), counted(stored(spark, folder, "supplier")))
     located = []
     if places:
         located = ["pickup_location_id", "dropoff_location_id"]
-        for table, key, match, column, name in (
-            ("customer", "passenger_id", "c_custkey", "c_nationkey", located[0]),
-            ("supplier", "driver_id", "s_suppkey", "s_nationkey", located[1]),
+        sides = {name: stored(spark, folder, name) for name in ("customer", "supplier")}
+        sizes = table_sizes({name: side.select(KEY_AND_NAME[name][0]) for name, side in sides.items()})
+        for table, key, column, name in (
+            ("customer", "passenger_id", "c_nationkey", located[0]),
+            ("supplier", "driver_id", "s_nationkey", located[1]),
         ):
             take = {name: F.col(column).cast("long")}
+            match = KEY_AND_NAME[table][0]
             flat = lookup(flat, sides[table], key, match, take, row_id="ride_id", size=sizes[table], how="inner")
     return flat.select(
         F.col("ride_id").alias("trip_id"),

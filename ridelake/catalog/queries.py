@@ -501,7 +501,7 @@ def _resolved(spark, folder):
     """Trips with their keys; a dimension is at most as large as its source table."""
     sources = _sources(spark, folder)
     dims = warehouse.build_dimensions(spark, sources, temporal.ntz(AS_OF), *CALENDAR)
-    bounds = {dim.table: sources[dim.source].select(dim.natural) for dim in warehouse.DIMENSIONS}
+    bounds = {dim.table: sources[dim.source].select(dim.natural, F.lit(0).cast("long")) for dim in warehouse.DIMENSIONS}
     sizes = lookups.table_sizes({"dim_date": dims["dim_date"], "dim_time": dims["dim_time"], **bounds})
     return facts.resolve_keys(operational.priced_trips(spark, folder), dims, sizes)
 

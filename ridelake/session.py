@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 # Long plans are built column by column, so recording a call site for each is off. AQE
@@ -24,6 +26,7 @@ def local_session(app: str, cpus: int | str = "*", partitions: int = 8) -> Spark
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="ridelake-tables-"))
         .config("spark.sql.shuffle.partitions", str(partitions))
     )
     for key, value in ENGINE_SETTINGS.items():

@@ -26,6 +26,11 @@ def replace(df: DataFrame, path: str, by: tuple[str, ...] = ()) -> int:
     return _written(df, path, "overwrite", by)
 
 
+def replace_bucketed(df: DataFrame, table: str, by: str, buckets: int) -> None:
+    """A catalog table hashed and sorted by a key: two such tables join on it unshuffled."""
+    df.write.mode("overwrite").bucketBy(buckets, by).sortBy(by).saveAsTable(table)
+
+
 def create_if_absent(spark: SparkSession, path: str, schema) -> None:
     """An empty table under a declared schema; an existing one is left alone."""
     spark.createDataFrame([], schema).write.mode("ignore").parquet(path)

@@ -337,7 +337,8 @@ def anti_left(spark, folder):
 @query
 def scalar_lookup(spark, folder):
     """Passenger ids found by cleaned name, from hand-typed names."""
-    typed = source.messy_rides(spark, folder).select("ride_id", text.clean_name(F.col("passenger_name")).alias("passenger_name"))
+    rides = source.messy_rides(spark, folder)
+    typed = rides.select("ride_id", text.clean_name(F.col("passenger_name")).alias("passenger_name"))
     known = source.passenger_names(spark, folder).withColumn("name", F.replace("name", F.lit("#"), F.lit(" ")))
     found = lookups.one_value_lookup(typed, known, "passenger_name", "name", "passenger_id", "passenger_id", row_id="ride_id")
     return found.select("ride_id", "passenger_name", "passenger_id")
@@ -345,8 +346,8 @@ def scalar_lookup(spark, folder):
 
 @query
 def normalize_trips(spark, folder):
-    """Hand-typed flat rides to trips by id, shown by name again."""
-    rides = source.messy_rides(spark, folder)
+    """Hand-typed flat rides, stored once, to trips by id, shown by name again."""
+    rides = writers.snapshot(source.messy_rides(spark, folder))
     tables, ids = {}, {}
     for names in normalise.NAME_TABLES:
         spelt = writers.snapshot(normalise.spellings(rides, names))

@@ -16,7 +16,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-BROADCAST_BYTES = 32 * 1024 * 1024
+# A lookup table up to this measured size is sent to every executor: cheaper than moving
+# the trips, and small next to an executor's memory even when several are held at once.
+BROADCAST_BYTES = 128 * 1024 * 1024
 
 # The sketch behind ``crowded_keys`` tracks this many candidates and reports this
 # many keys. A key it leaves out holds less than a five-thousandth of the rows.

@@ -6,15 +6,17 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# Long plans are built column by column, so recording a call site for each is off. AQE
-# sizes shuffle partitions at run time from a generous start, splits skewed
-# join partitions, and turns a join whose side proves small into a broadcast join.
+# AQE sizes shuffle partitions at run time from a generous start, splits skewed join
+# partitions, and turns a join whose side proves small into a broadcast join. The JVM
+# never compiles a method above 8000 bytes, so such a stage is better run operator by
+# operator. Recording a call site for every column only slows building long plans.
 ENGINE_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 

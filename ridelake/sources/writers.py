@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -50,26 +51,25 @@ def named_view(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.table(name)
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder the cluster names; only a local session gets its own."""
+def shared_folder(spark: SparkSession) -> str:
+    """The folder the cluster names for checkpoints; only a local session gets its own."""
     context = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if context.getCheckpointDir() is not None:
-        return
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if named:
-        context.setCheckpointDir(named)
-    elif context.master.startswith("local"):
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="ridelake-"))
-    else:
+        return named
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="ridelake-"))
+    return context.getCheckpointDir()
 
 
 def snapshot(df: DataFrame, name: str | None = None) -> DataFrame:
     """Freeze a result: later changes of its inputs no longer show.
 
-    The copy lies in the shared checkpoint folder, so a lost executor costs nothing
-    and a plain view's re-read is avoided.
+    The copy is a Parquet table in the shared checkpoint folder. It cuts the lineage,
+    outlives any executor, and later steps read only the columns they need from it.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    frozen = df.checkpoint(eager=True)
+    path = f"{shared_folder(df.sparkSession)}/snapshot-{uuid4().hex}"
+    df.write.parquet(path)
+    frozen = df.sparkSession.read.schema(df.schema).parquet(path)
     return named_view(frozen, name) if name else frozen

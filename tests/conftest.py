@@ -6,7 +6,6 @@ import io
 import pytest
 
 from ridelake.session import local_session
-from ridelake.sources.writers import ensure_checkpoint_dir
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -14,7 +13,6 @@ SMALL = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     session = local_session("tests", partitions=4)
-    ensure_checkpoint_dir(session)
     yield session
     session.stop()
 

@@ -360,6 +360,14 @@ ORACLE: dict[str, str] = {
         UNION ALL SELECT 'passenger_id_requested_at_unique', CAST(coalesce(sum(n - 1), 0) AS BIGINT), min(first)
           FROM (SELECT count(*) AS n, min(trip_id) AS first FROM faulty GROUP BY passenger_id, requested_at HAVING count(*) > 1)
         UNION ALL SELECT 'driver_id_reference', count(*), min(trip_id) FROM faulty WHERE driver_id NOT IN (SELECT s_suppkey FROM supplier)"""),
+    "dq_declared": over(PRICED, """
+        SELECT 'trips' AS tbl, 'vehicle_id_reference' AS rule, count(*) AS violations, min(trip_id) AS first_row
+        FROM priced WHERE vehicle_id NOT IN (SELECT p_partkey FROM part) HAVING count(*) > 0
+        UNION ALL SELECT 'trips', 'pickup_location_id_reference', count(*), min(trip_id)
+        FROM priced WHERE pickup_location_id NOT IN (SELECT n_nationkey FROM nation) HAVING count(*) > 0
+        UNION ALL SELECT 'trips', 'promo_code_id_reference', count(*), min(trip_id)
+        FROM priced WHERE promo_code_id NOT IN (SELECT n_nationkey FROM nation) HAVING count(*) > 0
+        UNION ALL SELECT 'vehicles', 'year_above', count(*), min(p_partkey) FROM part WHERE 1975 + p_size <= 1980 HAVING count(*) > 0"""),
     "insert_if_absent": """
         WITH ranked AS (
           SELECT l_orderkey, l_linenumber, l_shipdate, l_partkey, l_suppkey, l_quantity,

@@ -15,7 +15,7 @@ from pyspark.sql.types import DecimalType, ShortType
 from ridelake import schemas
 from ridelake.functions import numeric, rules, temporal, text
 from ridelake.operators import changes, lookups, quality
-from ridelake.plans import facts, flat, normalise, reports, warehouse
+from ridelake.plans import constraints, facts, flat, normalise, reports, warehouse
 from ridelake.sources import operational, readers, star, writers
 from ridelake.sources import rides as source
 from ridelake.sources.stored import stored
@@ -403,7 +403,7 @@ def dq_completed_at(spark, folder):
 @query
 def dq_width(spark, folder):
     part = stored(spark, folder, "part")
-    checks = [quality.max_length("p_name", 9), quality.fits_decimal("p_retailprice", 5, 2), quality.fits_decimal("p_size", 1, 0)]
+    checks = [quality.max_length("p_name", 9), quality.fits("p_retailprice", "decimal(5,2)"), quality.fits("p_size", "decimal(1,0)")]
     return quality.rule_report(part, checks, "p_partkey")
 
 
@@ -453,6 +453,19 @@ def batch_gate(spark, folder):
     )
 
 
+@query
+def dq_declared(spark, folder):
+    """Declared constraints that the stored trips and vehicles break."""
+    sides = _sources(spark, folder)
+    tables = {"trips": (operational.priced_trips(spark, folder), "trip_id"), "vehicles": (sides["vehicles"], "vehicle_id")}
+    reports_by_table = [
+        quality.batch_report(rows, row_id, **constraints.operational_constraints(table, sides)).withColumn("tbl", F.lit(table))
+        for table, (rows, row_id) in tables.items()
+    ]
+    trips, vehicles = reports_by_table
+    return trips.unionByName(vehicles).where(F.col("violations") > 0)
+
+
 @query
 def insert_if_absent(spark, folder):
     """Order lines added to those shipped before 1998, first shipment per line winning."""
@@ -548,9 +561,9 @@ def incremental_slice(spark, folder):
     """Trips a second load adds to a warehouse that holds everything before 2000."""
     every = star.facts(spark, folder)
     held = every.where(F.col("requested_at") < temporal.ntz(LOADED_UNTIL))
-    mark = facts.high_water_mark(held).first()["watermark"]
+    since = facts.high_water_mark(held).first()["watermark"]
     fresh = changes.insert_if_absent(
-        facts.slice_from(every, mark), facts.stored_from(held, mark), ["source_trip_id"], ["requested_at"]
+        facts.slice_from(every, since), facts.stored_from(held, since), ["source_trip_id"], ["requested_at"]
     )
     return fresh.select("source_trip_id", "requested_at", "date_key", "fare_amount")
 

@@ -7,8 +7,9 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
-from ridelake.sources.writers import append
+from ridelake.sources.writers import append, replace
 
 
 @dataclass(frozen=True)
@@ -47,10 +48,9 @@ def max_length(column: str, width: int) -> Rule:
     return Rule(f"{column}_width", F.length(column) <= width)
 
 
-def fits_decimal(column: str, precision: int, scale: int) -> Rule:
+def fits(column: str, kind: DataType | str) -> Rule:
     """The value survives the cast; must run before the column is narrowed."""
-    narrowed = F.col(column).try_cast(f"decimal({precision},{scale})")
-    return Rule(f"{column}_fits", F.col(column).isNull() | narrowed.isNotNull())
+    return Rule(f"{column}_fits", F.col(column).isNull() | F.col(column).try_cast(kind).isNotNull())
 
 
 def check(name: str, passes: Column) -> Rule:
@@ -179,7 +179,11 @@ class Batch:
     rules: Sequence[Rule] = ()
     unique: Sequence[Unique] = ()
     references: Sequence[References] = ()
-    columns: Sequence[Column] = ("*",)
+    columns: Sequence[Column | str] = ("*",)
+    replaces: bool = False
+
+    def write(self) -> int:
+        return (replace if self.replaces else append)(self.rows.select(*self.columns), self.path)
 
     def assert_valid(self) -> None:
         report = batch_report(self.rows, self.row_id, self.rules, self.unique, self.references)
@@ -192,14 +196,14 @@ def load_batches(batches: Sequence[Batch]) -> int:
     """All or nothing: every batch is checked before the first one is written.
 
     Rules see the wide rows; ``columns`` narrows them on the way out. The checks and
-    the write read the same persisted rows. Each append is atomic by itself; a crash
-    between two appends is repaired by a keyed re-run.
+    the write read the same persisted rows. Each write is atomic by itself; a crash
+    between two of them is repaired by a keyed re-run.
     """
     kept = [batch.rows.persist() for batch in batches]
     try:
         for batch in batches:
             batch.assert_valid()
-        return sum(append(batch.rows.select(*batch.columns), batch.path) for batch in batches)
+        return sum(batch.write() for batch in batches)
     finally:
         for rows in kept:
             rows.unpersist()

@@ -113,23 +113,19 @@ def high_water_mark(facts: DataFrame) -> DataFrame:
     return facts.where(F.col("date_key") == last_day).agg(F.max("requested_at").alias("watermark"))
 
 
-def slice_from(trips: DataFrame, mark: datetime | None, lookback: timedelta = timedelta(0)) -> DataFrame:
-    """Trips at or after the mark (all of them without one).
+def slice_from(trips: DataFrame, since: datetime | None) -> DataFrame:
+    """Trips requested at or after a time (all of them without one).
 
     Trips sharing the mark's own timestamp are read again, since some may be new;
-    the keyed insert drops those already stored. ``lookback`` re-reads further, for
-    trips that arrive late.
+    the keyed insert drops those already stored.
     """
-    return trips if mark is None else trips.where(F.col("requested_at") >= ntz(mark - lookback))
+    return trips if since is None else trips.where(F.col("requested_at") >= ntz(since))
 
 
-def stored_from(facts: DataFrame, mark: datetime | None, lookback: timedelta = timedelta(0)) -> DataFrame:
+def stored_from(facts: DataFrame, since: datetime) -> DataFrame:
     """The stored facts a slice can collide with; partition and row-group filters
     keep the rest unread."""
-    if mark is None:
-        return facts
-    bound = ntz(mark - lookback)
-    return facts.where((F.col("date_key") >= date_key(bound)) & (F.col("requested_at") >= bound))
+    return facts.where((F.col("date_key") >= date_key(ntz(since))) & (F.col("requested_at") >= ntz(since)))
 
 
 def new_facts(trips: DataFrame, dims: dict[str, DataFrame], stored: DataFrame | None = None) -> DataFrame:
@@ -156,31 +152,44 @@ def load_dimensions(
     return added
 
 
-def load_facts(
-    spark: SparkSession, trips: DataFrame, root: str, lookback: timedelta = timedelta(0)
+def stored_facts(spark: SparkSession, root: str) -> DataFrame:
+    """The fact table, created by day if it is not there yet."""
+    path = f"{root}/fact_trips"
+    create_if_absent(spark, path, schemas.FACT_TRIPS, by=("date_key",))
+    return read_table(spark, path, schemas.FACT_TRIPS)
+
+
+def load_slice(
+    spark: SparkSession, trips: DataFrame, root: str, since: datetime | None, rejected: str | None = None
 ) -> dict[str, int]:
-    """Resolve and append the trips that are not in the warehouse yet.
+    """Resolve and append the trips of a slice that are not stored yet.
 
-    The resolved slice is frozen once and read twice, for the facts and for the
-    rejects. Facts are stored by day; the rebalance sizes the files and splits a
-    crowded day over several writers.
+    ``since`` is the earliest request time in the slice; stored facts before it
+    cannot collide and stay unread. The resolved slice is frozen once and read twice,
+    for the facts and for the rejects. Facts are stored by day; the rebalance sizes
+    the files and splits a crowded day over several writers.
     """
-    path = f"{root}/fact_trips"
-    spark.createDataFrame([], schemas.FACT_TRIPS).write.mode("ignore").partitionBy("date_key").parquet(path)
-    stored = read_table(spark, path, schemas.FACT_TRIPS)
-    mark = high_water_mark(stored).first()["watermark"]
+    stored = stored_facts(spark, root)
     dims = {table: read_table(spark, f"{root}/{table}") for table in schemas.WAREHOUSE if table != "fact_trips"}
-
-    resolved = snapshot(resolve_keys(slice_from(trips, mark, lookback), dims))
-    known = None if mark is None else stored_from(stored, mark, lookback)
+    resolved = snapshot(resolve_keys(trips, dims))
+    known = stored if since is None else stored_from(stored, since)
     fresh = insert_if_absent(measures(resolved), known, ["source_trip_id"], ["requested_at"])
     keyed = parallel_keys(fresh.hint("rebalance", "date_key"), "trip_key", next_free_key(stored, "trip_key"))
     return {
-        "fact_trips": append(schemas.conform(keyed, schemas.FACT_TRIPS), path, by=("date_key",)),
-        "rejected_trips": replace(rejects(resolved), f"{root}/rejected_trips"),
+        "fact_trips": append(schemas.conform(keyed, schemas.FACT_TRIPS), f"{root}/fact_trips", by=("date_key",)),
+        "rejected_trips": replace(rejects(resolved), rejected or f"{root}/rejected_trips"),
     }
 
 
+def load_facts(
+    spark: SparkSession, trips: DataFrame, root: str, lookback: timedelta = timedelta(0)
+) -> dict[str, int]:
+    """Load what the high-water mark says is new; everything into an empty warehouse."""
+    mark = high_water_mark(stored_facts(spark, root)).first()["watermark"]
+    since = None if mark is None else mark - lookback
+    return load_slice(spark, slice_from(trips, since), root, since)
+
+
 def run_etl(
     spark: SparkSession,
     sources: dict[str, DataFrame],

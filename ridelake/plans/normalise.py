@@ -10,12 +10,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ridelake import schemas
-from ridelake.functions.rules import RIDE_STATUSES
 from ridelake.functions.text import clean_name
 from ridelake.operators.changes import insert_if_absent
 from ridelake.operators.keys import assign_keys, next_free_key
 from ridelake.operators.lookups import lookup, table_sizes
-from ridelake.operators.quality import References, Rule, Unique, above, between, not_null, one_of
 from ridelake.sources.readers import read_table
 from ridelake.sources.writers import append, create_if_absent, snapshot
 
@@ -89,31 +87,6 @@ def normalised_trips(rides: DataFrame, ids: dict[str, DataFrame]) -> DataFrame:
     return trips.select(*[F.col(renamed.get(name, name)).alias(name) for name in schemas.NORMALISED_TRIPS.names])
 
 
-def trip_rules() -> list[Rule]:
-    required = [field.name for field in schemas.NORMALISED_TRIPS if not field.nullable]
-    return [
-        *map(not_null, required),
-        above("fare_amount", 0),
-        one_of("status", RIDE_STATUSES),
-        between("rating", 1, 5),
-    ]
-
-
-def trip_constraints(tables: dict[str, DataFrame]) -> dict:
-    """Constraints of the trips table for a batch load."""
-    return {
-        "rules": trip_rules(),
-        "unique": (Unique(("trip_id",)),),
-        "references": (
-            References("driver_id", tables["drivers"], "driver_id"),
-            References("passenger_id", tables["passengers"], "passenger_id"),
-            References("pickup_location_id", tables["locations"], "location_id"),
-            References("dropoff_location_id", tables["locations"], "location_id"),
-            References("payment_method_id", tables["payment_methods"], "payment_method_id"),
-        ),
-    }
-
-
 def load_normalised(spark: SparkSession, rides: DataFrame, root: str) -> dict[str, int]:
     """Write the name tables, then the trips that point at them; safe to run again.
 

@@ -7,6 +7,7 @@ from uuid import uuid4
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 from pyspark.sql.utils import AnalysisException
 
 
@@ -32,9 +33,10 @@ def replace_bucketed(df: DataFrame, table: str, by: str, buckets: int) -> None:
     df.write.mode("overwrite").bucketBy(buckets, by).sortBy(by).saveAsTable(table)
 
 
-def create_if_absent(spark: SparkSession, path: str, schema) -> None:
+def create_if_absent(spark: SparkSession, path: str, schema: StructType, by: tuple[str, ...] = ()) -> None:
     """An empty table under a declared schema; an existing one is left alone."""
-    spark.createDataFrame([], schema).write.mode("ignore").parquet(path)
+    writer = spark.createDataFrame([], schema).write.mode("ignore")
+    (writer.partitionBy(*by) if by else writer).parquet(path)
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ridelake import schemas
 from ridelake.operators.quality import Batch, BatchRejected, load_batch
 from ridelake.plans import flat, normalise, reports
+from ridelake.plans.constraints import normalised_trip_constraints
 from ridelake.sources.readers import read_table
 from tests.conftest import rows_of
 
@@ -92,13 +93,13 @@ def test_trips_reject_what_rides_accept(spark, typed, tmp_path):
     tables = {name: read_table(spark, f"{root}/{name}") for name in ("drivers", "passengers", "locations", "payment_methods")}
     trips = read_table(spark, f"{root}/trips").withColumn("trip_id", F.col("trip_id") + 100)
     path = str(tmp_path / "loaded")
-    assert load_batch(Batch(trips, path, "trip_id", **normalise.trip_constraints(tables))) == 3
+    assert load_batch(Batch(trips, path, "trip_id", **normalised_trip_constraints(tables))) == 3
     free = trips.withColumn("fare_amount", F.when(F.col("trip_id") == 102, 0).otherwise(F.col("fare_amount")))
     with pytest.raises(BatchRejected, match="row 102 breaks fare_amount_above"):
-        load_batch(Batch(free, path, "trip_id", **normalise.trip_constraints(tables)))
+        load_batch(Batch(free, path, "trip_id", **normalised_trip_constraints(tables)))
     lost = trips.withColumn("payment_method_id", F.lit(12345))
     with pytest.raises(BatchRejected, match="payment_method_id_reference"):
-        load_batch(Batch(lost, path, "trip_id", **normalise.trip_constraints(tables)))
+        load_batch(Batch(lost, path, "trip_id", **normalised_trip_constraints(tables)))
     assert read_table(spark, path).count() == 3
 
 

@@ -47,7 +47,7 @@ def test_report_counts_in_one_pass(frame):
 
 def test_width_runs_on_wide_columns(frame):
     rows = frame("id int, name string, v double", (1, "abc", 9.94), (2, "abcd", 99.0), (3, None, None))
-    report = q.rule_report(rows, [q.max_length("name", 3), q.fits_decimal("v", 2, 1)], "id")
+    report = q.rule_report(rows, [q.max_length("name", 3), q.fits("v", "decimal(2,1)")], "id")
     assert rows_of(report) == [("name_width", 1, 2), ("v_fits", 1, 2)]
 
 

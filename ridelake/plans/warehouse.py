@@ -53,9 +53,10 @@ def dates_spanning(events: DataFrame, ts: str) -> DataFrame:
 
 
 def dim_time(spark: SparkSession) -> DataFrame:
-    """The 96 quarter hours of a day."""
+    """The 96 quarter hours of a day: every hour with each of its four starts."""
     hour, minute = F.col("hour"), F.col("minute_bucket")
-    clock = number_series(spark, 0, 23, 1, "hour").crossJoin(number_series(spark, 0, 45, 15, "minute_bucket"))
+    starts = F.explode(F.sequence(F.lit(0), F.lit(45), F.lit(15)))
+    clock = number_series(spark, 0, 23, 1, "hour").withColumn("minute_bucket", starts)
     return schemas.conform(
         clock.select(
             (hour * 100 + minute).alias("time_key"),

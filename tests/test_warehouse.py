@@ -11,6 +11,7 @@ from ridelake.functions.temporal import ntz
 from ridelake.plans import facts, reports, warehouse
 from ridelake.sources import operational
 from ridelake.sources.readers import read_table
+from ridelake.streaming import incremental
 from tests.conftest import by_text, rows_of
 
 AS_OF = datetime(2024, 7, 1)
@@ -146,6 +147,23 @@ def test_incremental_load_keeps_ties_and_late_rows(spark, sources, trips, tmp_pa
     assert stored(spark, root, "fact_trips").count() == 5
 
 
+def test_arriving_files_load_once(spark, sources, trips, tmp_path):
+    root, folder = str(tmp_path / "dw"), str(tmp_path / "arriving")
+    facts.load_dimensions(spark, sources, root, ntz(AS_OF), *CALENDAR)
+
+    def arrive(*rows):
+        trips(*rows).coalesce(1).write.mode("append").parquet(folder)
+        incremental.follow_trips(spark, folder, root, f"test-{tmp_path.name}").awaitTermination()
+        return sorted(row[0] for row in stored(spark, root, "fact_trips").select("source_trip_id").collect())
+
+    assert arrive(trip(1), trip(2, driver=9)) == [1]
+    late = trip(3, at=datetime(2024, 1, 2))
+    assert arrive(trip(1), late, trip(4)) == [1, 3, 4]
+    assert stored(spark, root, "rejected_arrivals").count() == 1
+    incremental.load_arriving(trips(trip(1), late, trip(4)), 1, root)
+    assert stored(spark, root, "fact_trips").count() == 3
+
+
 def test_watermark_reads_the_last_day_only(spark, sources, trips, tmp_path):
     root = str(tmp_path / "dw")
     run(spark, sources, root, trips(trip(1), trip(2, at=datetime(2024, 6, 1))))

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from functools import reduce
+from math import ceil
 from operator import add
 from typing import NamedTuple
 
@@ -16,6 +17,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from ridelake.schemas import INT
+from ridelake.schemas import table as declared
+
 # A lookup table up to this measured size is sent to every executor: cheaper than moving
 # the trips, and small next to an executor's memory even when several are held at once.
 BROADCAST_BYTES = 128 * 1024 * 1024
@@ -48,23 +52,29 @@ def table_sizes(frames: Mapping[str, DataFrame]) -> dict[str, Size]:
     return {row["name"]: Size(row["rows"], row["bytes"]) for row in reduce(DataFrame.union, parts).collect()}
 
 
-def crowded_keys(facts: DataFrame, key: str, pieces: int) -> DataFrame:
+def partitions(frame: DataFrame) -> int:
+    """Shuffle partitions of the session, at least two."""
+    return max(2, int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def crowded_keys(facts: DataFrame, key: str, pieces: int) -> list[tuple[object, int]]:
     """Keys holding more than one partition's fair share, and how many pieces each needs.
 
     A frequent-items sketch finds them in one pass over the key column. Their number
     is bounded, and so is the sum of all pieces, whatever the data. A key the sketch
-    misses only costs balance, never rows.
+    misses only costs balance, never rows. The answer is taken once and then fixed:
+    two evaluations of a sketch may differ, and both sides of a join must agree.
     """
     most = min(pieces, CROWDED_KEYS)
-    found = facts.agg(
-        F.expr(f"approx_top_k(`{key}`, {most}, {TRACKED_KEYS})").alias("top"), F.count(F.lit(1)).alias("total")
-    )
-    share = F.col("item.count") * pieces / F.col("total")
-    return (
-        found.select(F.explode("top").alias("item"), "total")
-        .where(F.col("item.item").isNotNull() & (share > 1))
-        .select(F.col("item.item").alias(key), F.ceil(share).cast("int").alias(_PIECES))
-    )
+    sketch = F.expr(f"approx_top_k(`{key}`, {most}, {TRACKED_KEYS})")
+    found = facts.agg(sketch.alias("top"), F.count(F.lit(1)).alias("total")).first()
+    shares = [(item["item"], item["count"] * pieces / found["total"]) for item in found["top"] or []]
+    return [(item, ceil(share)) for item, share in shares if item is not None and share > 1]
+
+
+def key_frame(facts: DataFrame, key: str, crowded: list[tuple[object, int]]) -> DataFrame:
+    """The crowded keys as a small frame to join with."""
+    return facts.sparkSession.createDataFrame(crowded, declared((key, facts.schema[key].dataType), (_PIECES, INT)))
 
 
 def spread_join(
@@ -76,8 +86,8 @@ def spread_join(
     NULL keys match nothing but are spread likewise. ``keys_from`` is a cheaper frame
     with the same key column to look for crowded keys in.
     """
-    pieces = max(2, int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    crowded = crowded_keys(facts if keys_from is None else keys_from, key, pieces)
+    pieces = partitions(facts)
+    crowded = key_frame(facts, key, crowded_keys(facts if keys_from is None else keys_from, key, pieces))
     cuts = F.when(F.col(key).isNull(), F.lit(pieces)).otherwise(F.coalesce(F.col(_PIECES), F.lit(1)))
     left = facts.join(F.broadcast(crowded), key, "left").withColumn(_PIECE, F.pmod(F.xxhash64(row_id), cuts).cast("int"))
     copies = F.sequence(F.lit(0), F.coalesce(F.col(_PIECES), F.lit(1)) - 1)

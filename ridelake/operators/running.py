@@ -6,35 +6,38 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ridelake.functions.temporal import hour_number
+from ridelake.operators.lookups import crowded_keys, key_frame, partitions
 
 
 def running_total(df: DataFrame, per: str, at: str, value: str, name: str) -> DataFrame:
     """Cumulative ``value`` per key in time order; rows at the same time share a total.
 
-    Each key's history is cut at the full hours. Inside an hour the window runs over
-    that hour's rows only; what came before is added from hourly sums, which are
-    combined map-side and number at most one per key and hour. Rows of the same time
-    never straddle a cut, so ties come out as under one window over all. ``per`` and
-    ``at`` hold no NULLs.
+    The history of a crowded key is cut at the full hours: inside an hour the window
+    runs over that hour's rows only, and what came before is added from hourly sums,
+    which are combined map-side. Rows of the same time never straddle a cut, so ties
+    come out as under one window over all. Other keys keep one window each, and the
+    rows are shuffled once in either case. ``per`` and ``at`` hold no NULLs.
     """
-    rows = df.withColumn("_hour", hour_number(F.col(at)))
-    before = Window.partitionBy(per).orderBy("_hour").rowsBetween(Window.unboundedPreceding, -1)
+    crowded = crowded_keys(df, per, partitions(df))
+    if not crowded:
+        return df.withColumn(name, F.sum(value).over(Window.partitionBy(per).orderBy(at)))
+
+    keys = F.broadcast(key_frame(df, per, crowded).select(per, F.lit(True).alias("_crowded")))
+    hour = hour_number(F.col(at))
+    before = Window.partitionBy(per).orderBy("_cut").rowsBetween(Window.unboundedPreceding, -1)
     earlier = (
-        rows.groupBy(per, "_hour")
+        df.join(keys, per, "left_semi")
+        .groupBy(per, hour.alias("_cut"))
         .agg(F.sum(value).alias("_sum"))
-        .select(per, "_hour", F.sum("_sum").over(before).alias("_before"))
+        .select(per, "_cut", F.sum("_sum").over(before).alias("_before"))
     )
-    within = Window.partitionBy(per, "_hour").orderBy(at)
-    same_hour = (F.col("r." + per) == F.col("e." + per)) & (F.col("r._hour") == F.col("e._hour"))
+    within = F.sum(value).over(Window.partitionBy(per, "_cut").orderBy(at))
+    cut = df.join(keys, per, "left").withColumn("_cut", F.when(F.col("_crowded"), hour).otherwise(0))
     total = F.when(F.col("_before").isNull(), F.col("_within")).otherwise(
         F.col("_before") + F.coalesce(F.col("_within"), F.lit(0))
     )
-    return (
-        rows.withColumn("_within", F.sum(value).over(within))
-        .alias("r")
-        .join(earlier.alias("e"), same_hour, "left")
-        .select(*[F.col("r." + column) for column in df.columns], total.alias(name))
-    )
+    summed = cut.withColumn("_within", within).join(earlier, [per, "_cut"], "left")
+    return summed.select(*df.columns, total.alias(name))
 
 
 def share_of_total(grouped: DataFrame, count: str, name: str, digits: int) -> DataFrame:

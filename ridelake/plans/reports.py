@@ -104,7 +104,7 @@ def running_fare(trips: DataFrame, drivers: DataFrame) -> DataFrame:
     """Each completed trip with its driver's takings up to then."""
     done = trips.where(has_status("completed")).select("trip_id", "driver_id", "requested_at", "fare_amount")
     summed = running_total(done, "driver_id", "requested_at", "fare_amount", "running_total_fare")
-    named = lookup(summed, drivers, "driver_id", "driver_id", {"driver_name": "name"}, row_id="trip_id", how="inner")
+    named = lookup(summed, drivers, "driver_id", "driver_id", {"driver_name": "name"}, row_id="trip_id", how="inner", keys_from=done)
     return named.select("trip_id", "driver_name", "requested_at", "fare_amount", "running_total_fare").orderBy(
         ascending("driver_name"), ascending("requested_at"), ascending("trip_id")
     )

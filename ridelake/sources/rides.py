@@ -77,7 +77,7 @@ def rides(spark: SparkSession, folder: str, *joined: str, status: str | None = N
     tables = {name: stored(spark, folder, name) for name in {"supplier", *needed}}
     sizes = table_sizes({name: tables[name].select(*KEY_AND_NAME[name]) for name in needed}) if needed else {}
 
-    flat = ride_columns(orders_with(spark, folder, status), counted(tables["supplier"]))
+    base = flat = ride_columns(orders_with(spark, folder, status), counted(tables["supplier"]))
     for role, columns in wanted.items():
         if not columns:
             continue
@@ -89,7 +89,7 @@ def rides(spark: SparkSession, folder: str, *joined: str, status: str | None = N
                 side, tables["nation"], nation, "n_nationkey", {"city": "n_name"}, row_id=key, size=sizes["nation"], how="inner"
             )
         take = {column: name if column.endswith("_name") else "city" for column in columns}
-        flat = lookup(flat, side, f"{role}_id", key, take, row_id="ride_id", size=sizes[table], how="inner")
+        flat = lookup(flat, side, f"{role}_id", key, take, row_id="ride_id", size=sizes[table], how="inner", keys_from=base)
     plain = [c for c in flat.columns if c not in ("ride_id", "driver_id", "passenger_id", *joined)]
     return flat.select("ride_id", *joined, *plain)
 
@@ -143,7 +143,7 @@ def payment_names(spark: SparkSession, folder: str) -> DataFrame:
 
 def trips(spark: SparkSession, folder: str, places: bool = False, status: str | None = None) -> DataFrame:
     """Rides by id instead of by name; location ids only on request (two joins)."""
-    flat = ride_columns(orders_with(spark, folder, status), counted(stored(spark, folder, "supplier")))
+    base = flat = ride_columns(orders_with(spark, folder, status), counted(stored(spark, folder, "supplier")))
     located = []
     if places:
         located = ["pickup_location_id", "dropoff_location_id"]
@@ -155,7 +155,7 @@ def trips(spark: SparkSession, folder: str, places: bool = False, status: str |
         ):
             take = {name: F.col(column).cast("long")}
             match = KEY_AND_NAME[table][0]
-            flat = lookup(flat, sides[table], key, match, take, row_id="ride_id", size=sizes[table], how="inner")
+            flat = lookup(flat, sides[table], key, match, take, row_id="ride_id", size=sizes[table], how="inner", keys_from=base)
     return flat.select(
         F.col("ride_id").alias("trip_id"),
         "driver_id",

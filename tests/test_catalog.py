@@ -3,6 +3,7 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry
+from ridelake.operators import lookups
 from tests.compare import difference, sql_session
 from tests.conftest import plan_of
 
@@ -19,6 +20,14 @@ def test_query_matches_sql(spark, con, folder, name):
     assert difference(spark, con, QUERIES[name], ORACLE[name], folder) is None
 
 
+@pytest.mark.parametrize(
+    "name", ["completed_trips_view", "fact_trips", "high_value", "normalize_trips", "promo_discount", "running_fare", "scalar_lookup"]
+)
+def test_query_matches_sql_beyond_the_broadcast_bound(spark, con, folder, name, monkeypatch):
+    monkeypatch.setattr(lookups, "BROADCAST_BYTES", 0)
+    assert difference(spark, con, QUERIES[name], ORACLE[name], folder) is None
+
+
 def test_every_query_has_a_check():
     assert set(QUERIES) == set(ORACLE)
 

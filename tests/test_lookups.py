@@ -34,8 +34,13 @@ def test_spread_join_equals_broadcast_join(facts, table, how):
 
 
 def test_crowded_keys_and_their_pieces(facts):
-    found = dict(rows_of(lookups.crowded_keys(facts, "k", 12)))
-    assert found == {7: 4}  # 2000 of 6000 rows are 4 of 12 shares
+    assert lookups.crowded_keys(facts, "k", 12) == [(7, 4)]  # 2000 of 6000 rows are 4 of 12 shares
+
+
+def test_no_keys_no_crowd(facts):
+    assert lookups.crowded_keys(facts.where("id < 0"), "k", 12) == []
+    assert lookups.crowded_keys(facts.where("k IS NULL"), "k", 12) == []
+    assert lookups.crowded_keys(facts.select("id"), "id", 12) == []
 
 
 def test_spread_join_spreads_hot_and_null_keys(spark, facts, table):

@@ -37,12 +37,16 @@ def test_equals_one_window_over_all(frame, seed):
     assert rows_of(got) == rows_of(want)
 
 
-def test_no_task_sees_a_whole_history(spark, frame):
-    """The detail rows are partitioned by driver and hour, never by driver alone."""
-    trips = frame(DDL, (1, 1, datetime(2024, 1, 1), Decimal(1)))
-    text = plan_of(running_total(trips, "driver", "at", "fare", "total"))
+def test_no_task_sees_a_crowded_history(frame):
+    """A crowded driver's rows are windowed by hour; only hourly sums meet per driver."""
+    crowd = [(i, 1, datetime(2024, 1, 1) + timedelta(minutes=i), Decimal(1)) for i in range(300)]
+    text = plan_of(running_total(frame(DDL, *crowd), "driver", "at", "fare", "total"))
     windows = [line for line in text.splitlines() if "Window [" in line]
-    assert any("_hour" in line.split("],")[-2] for line in windows), windows
+    assert len(windows) == 2
+    assert sum("hashpartitioning(driver" in line and "_cut" in line for line in text.splitlines()) >= 1
+    even = [(i, i, datetime(2024, 1, 1), Decimal(1)) for i in range(300)]
+    text = plan_of(running_total(frame(DDL, *even), "driver", "at", "fare", "total"))
+    assert text.count("Window [") == 1 and "Join" not in text
 
 
 def test_share_of_total(frame):

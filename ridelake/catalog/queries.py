@@ -348,13 +348,11 @@ def scalar_lookup(spark, folder):
 def normalize_trips(spark, folder):
     """Hand-typed flat rides, stored once, to trips by id, shown by name again."""
     rides = writers.snapshot(source.messy_rides(spark, folder))
-    tables, ids = {}, {}
-    for names in normalise.NAME_TABLES:
-        spelt = writers.snapshot(normalise.spellings(rides, names))
-        tables[names.table] = normalise.name_table(spelt, names)
-        ids[names.table] = normalise.spelling_ids(spelt, names, tables[names.table])
-    trips = normalise.normalised_trips(rides, ids)
-    sizes = lookups.table_sizes(tables)
+    spelt = {names.table: writers.snapshot(normalise.spellings(rides, names)) for names in normalise.NAME_TABLES}
+    tables = {names.table: normalise.name_table(spelt[names.table], names) for names in normalise.NAME_TABLES}
+    ids = {names.table: normalise.spelling_ids(spelt[names.table], names, tables[names.table]) for names in normalise.NAME_TABLES}
+    sizes = normalise.id_sizes(spelt)
+    trips = normalise.normalised_trips(rides, ids, sizes)
     roles = (
         ("drivers", "driver_id", "driver_id", "name", "driver_name"),
         ("passengers", "passenger_id", "passenger_id", "name", "passenger_name"),

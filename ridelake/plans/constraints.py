@@ -89,16 +89,20 @@ def ride_constraints() -> dict:
     }
 
 
-def normalised_trip_constraints(tables: Mapping[str, DataFrame]) -> dict:
+def normalised_trip_rules() -> list[Rule]:
     """Stricter than for flat rides: a trip's fare is above zero."""
     value = _value(schemas.NORMALISED_TRIPS)
+    return [
+        *column_rules(schemas.NORMALISED_TRIPS, NORMALISED_WIDTHS["trips"]),
+        check("fare_amount_above", value("fare_amount") > 0),
+        one_of("status", model.RIDE_STATUSES),
+        check("rating_range", _stars(value("rating"))),
+    ]
+
+
+def normalised_trip_constraints(tables: Mapping[str, DataFrame]) -> dict:
     return {
-        "rules": [
-            *column_rules(schemas.NORMALISED_TRIPS, NORMALISED_WIDTHS["trips"]),
-            check("fare_amount_above", value("fare_amount") > 0),
-            one_of("status", model.RIDE_STATUSES),
-            check("rating_range", _stars(value("rating"))),
-        ],
+        "rules": normalised_trip_rules(),
         "unique": [Unique(("trip_id",))],
         "references": [
             References("driver_id", tables["drivers"], "driver_id"),

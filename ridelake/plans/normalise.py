@@ -13,7 +13,9 @@ from ridelake import schemas
 from ridelake.functions.text import clean_name
 from ridelake.operators.changes import insert_if_absent
 from ridelake.operators.keys import assign_keys, next_free_key
-from ridelake.operators.lookups import lookup, table_sizes
+from ridelake.operators.lookups import Size, lookup, table_sizes
+from ridelake.operators.quality import Batch, load_batch
+from ridelake.plans.constraints import normalised_trip_rules
 from ridelake.sources.readers import read_table
 from ridelake.sources.writers import append, create_if_absent, snapshot
 
@@ -60,16 +62,20 @@ def name_table(spelt: DataFrame, names: Names, existing: DataFrame | None = None
 
 
 def spelling_ids(spelt: DataFrame, names: Names, table: DataFrame) -> DataFrame:
-    """Spelling to id, the lookup the trips need."""
-    return spelt.join(table, names.name).select("spelling", F.col(names.key).alias("id"))
+    """Spelling to id, the lookup the trips need; a name stored twice keeps its first id."""
+    return spelt.join(table.groupBy(names.name).agg(F.min(names.key).alias("id")), names.name).select("spelling", "id")
 
 
-def normalised_trips(rides: DataFrame, ids: dict[str, DataFrame]) -> DataFrame:
+def id_sizes(spelt: dict[str, DataFrame]) -> dict[str, Size]:
+    """What the spelling-to-id tables can measure at most: spelling, name and an id."""
+    return table_sizes({table: spellings.withColumn("id", F.lit(0).cast("long")) for table, spellings in spelt.items()})
+
+
+def normalised_trips(rides: DataFrame, ids: dict[str, DataFrame], sizes: dict[str, Size]) -> DataFrame:
     """Trips by id: four required names, an optional payment method.
 
     A ride keeps its own id as trip id, which is unique and costs no shuffle.
     """
-    sizes = table_sizes(ids)
     roles = (
         ("drivers", "driver_name", "driver_id", "inner"),
         ("passengers", "passenger_name", "passenger_id", "inner"),
@@ -91,17 +97,19 @@ def load_normalised(spark: SparkSession, rides: DataFrame, root: str) -> dict[st
     """Write the name tables, then the trips that point at them; safe to run again.
 
     Returns the rows added per table. Names are written before trips read them back,
-    so the ids a trip carries are the stored ones.
+    so the ids a trip carries are the stored ones. A trip that breaks a rule of the
+    trips table keeps all trips out.
     """
-    added, ids = {}, {}
+    added, spelt, ids = {}, {}, {}
     for names in NAME_TABLES:
         path = f"{root}/{names.table}"
         create_if_absent(spark, path, names.schema)
-        spelt = snapshot(spellings(rides, names))
-        added[names.table] = append(schemas.conform(name_table(spelt, names, read_table(spark, path)), names.schema), path)
-        ids[names.table] = spelling_ids(spelt, names, read_table(spark, path))
+        found = spelt[names.table] = snapshot(spellings(rides, names))
+        added[names.table] = append(schemas.conform(name_table(found, names, read_table(spark, path)), names.schema), path)
+        ids[names.table] = spelling_ids(found, names, read_table(spark, path))
     path = f"{root}/trips"
     create_if_absent(spark, path, schemas.NORMALISED_TRIPS)
-    trips = insert_if_absent(normalised_trips(rides, ids), read_table(spark, path), ["trip_id"])
-    added["trips"] = append(schemas.conform(trips, schemas.NORMALISED_TRIPS), path)
+    trips = insert_if_absent(normalised_trips(rides, ids, id_sizes(spelt)), read_table(spark, path), ["trip_id"])
+    rows = schemas.conform(trips, schemas.NORMALISED_TRIPS)
+    added["trips"] = load_batch(Batch(rows, path, "trip_id", normalised_trip_rules()))
     return added

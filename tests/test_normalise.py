@@ -86,6 +86,22 @@ def test_second_load_adds_only_what_is_new(spark, typed, tmp_path):
     assert drivers.count() == drivers.select("driver_id").distinct().count() == 3
 
 
+def test_a_free_ride_keeps_all_trips_out(spark, typed, tmp_path):
+    root = str(tmp_path / "db")
+    free = typed.union(spark.createDataFrame([ride(4, "Hari", "0")], schemas.RIDES))
+    with pytest.raises(BatchRejected, match="row 4 breaks fare_amount_above"):
+        normalise.load_normalised(spark, free, root)
+    assert read_table(spark, f"{root}/trips").count() == 0
+    assert read_table(spark, f"{root}/drivers").count() == 3
+
+
+def test_a_name_stored_twice_does_not_multiply_trips(frame):
+    drivers = normalise.NAME_TABLES[0]
+    spelt = frame("spelling string, name string", ("anita", "Anita"), ("ANITA", "Anita"))
+    table = frame("driver_id bigint, name string", (5, "Anita"), (3, "Anita"))
+    assert rows_of(normalise.spelling_ids(spelt, drivers, table)) == [("ANITA", 3), ("anita", 3)]
+
+
 def test_trips_reject_what_rides_accept(spark, typed, tmp_path):
     """A free ride is a valid ride but not a valid trip."""
     root = str(tmp_path / "db")

@@ -15,9 +15,9 @@ from ridelake.operators.changes import insert_if_absent
 from ridelake.operators.keys import assign_keys, next_free_key
 from ridelake.operators.lookups import Size, lookup, table_sizes
 from ridelake.operators.quality import Batch, load_batch
-from ridelake.plans.constraints import normalised_trip_rules
+from ridelake.plans.constraints import NORMALISED_WIDTHS, column_rules, normalised_trip_rules
 from ridelake.sources.readers import read_table
-from ridelake.sources.writers import append, create_if_absent, snapshot
+from ridelake.sources.writers import create_if_absent, snapshot
 
 
 @dataclass(frozen=True)
@@ -105,7 +105,9 @@ def load_normalised(spark: SparkSession, rides: DataFrame, root: str) -> dict[st
         path = f"{root}/{names.table}"
         create_if_absent(spark, path, names.schema)
         found = spelt[names.table] = snapshot(spellings(rides, names))
-        added[names.table] = append(schemas.conform(name_table(found, names, read_table(spark, path)), names.schema), path)
+        fresh = schemas.conform(name_table(found, names, read_table(spark, path)), names.schema)
+        rules = column_rules(names.schema, NORMALISED_WIDTHS[names.table])
+        added[names.table] = load_batch(Batch(fresh, path, names.key, rules))
         ids[names.table] = spelling_ids(found, names, read_table(spark, path))
     path = f"{root}/trips"
     create_if_absent(spark, path, schemas.NORMALISED_TRIPS)

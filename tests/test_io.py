@@ -2,6 +2,7 @@ from __future__ import annotations
 
 from datetime import datetime
 from decimal import Decimal
+from unittest import mock
 
 import pytest
 from pyspark.sql import functions as F
@@ -98,6 +99,17 @@ def test_snapshot_does_not_follow_its_source(spark, frame, tmp_path):
     assert readers.read_table(spark, path).count() == 2
 
 
+def test_database_reads_are_sliced():
+    session = mock.MagicMock()
+    reader = session.read.format.return_value.options.return_value
+    reader.option.return_value = reader
+    readers.read_jdbc(session, "jdbc:x", "SELECT 1", split_on="trip_id", low=1, high=9, pieces=4, user="u")
+    given = dict(call.args for call in reader.option.call_args_list)
+    assert given["dbtable"] == "(SELECT 1) AS source"
+    assert (given["partitionColumn"], given["lowerBound"], given["upperBound"], given["numPartitions"]) == ("trip_id", "1", "9", "4")
+    reader.load.assert_called_once_with()
+
+
 def test_series(spark):
     assert [str(r[0]) for r in readers.day_series(spark, "2024-02-28", "2024-03-01").collect()] == ["2024-02-28", "2024-02-29", "2024-03-01"]
     assert [r[0] for r in readers.number_series(spark, 0, 45, 15, "m").collect()] == [0, 15, 30, 45]

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 from decimal import Decimal
+from uuid import uuid4
 
 import pytest
 from pyspark.sql import functions as F
@@ -148,12 +149,12 @@ def test_incremental_load_keeps_ties_and_late_rows(spark, sources, trips, tmp_pa
 
 
 def test_arriving_files_load_once(spark, sources, trips, tmp_path):
-    root, folder = str(tmp_path / "dw"), str(tmp_path / "arriving")
+    root, folder, name = str(tmp_path / "dw"), str(tmp_path / "arriving"), f"test-{uuid4().hex}"
     facts.load_dimensions(spark, sources, root, ntz(AS_OF), *CALENDAR)
 
     def arrive(*rows):
         trips(*rows).coalesce(1).write.mode("append").parquet(folder)
-        incremental.follow_trips(spark, folder, root, f"test-{tmp_path.name}").awaitTermination()
+        incremental.follow_trips(spark, folder, root, name).awaitTermination()
         return sorted(row[0] for row in stored(spark, root, "fact_trips").select("source_trip_id").collect())
 
     assert arrive(trip(1), trip(2, driver=9)) == [1]

@@ -149,12 +149,8 @@ def not_in(rows: DataFrame, key: str, others: DataFrame, other_key: str) -> Data
     A NULL among the others empties the result; a NULL key qualifies only when
     there are no others at all.
     """
-    known = others.agg(
-        F.struct(
-            F.count(F.lit(1)).alias("rows"),
-            (F.count(F.lit(1)) - F.count(other_key)).alias("nulls"),
-        ).alias("known")
-    )
-    facts = known.scalar()
+    rows_seen, keys_seen = F.count(F.lit(1)), F.count(other_key)
+    kind = F.when(rows_seen == 0, "empty").when(keys_seen < rows_seen, "with null").otherwise("plain")
+    found = others.agg(kind.alias("kind")).scalar()
     kept = without_match(rows, key, others.where(F.col(other_key).isNotNull()), other_key)
-    return kept.where((facts["nulls"] == 0) & (F.col(key).isNotNull() | (facts["rows"] == 0)))
+    return kept.where(found.isin(F.lit("empty"), F.when(F.col(key).isNotNull(), "plain")))

@@ -6,6 +6,8 @@ nations the two cities. Only the joins a caller asks for are made.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,12 +17,26 @@ from ridelake.sources.stored import stored
 # Fixed values of the projection.
 STATUS_OF = {"F": "completed", "O": "cancelled", "P": "no_show"}
 NO_PAYMENT = "4-NOT SPECIFIED"
-PLACE_COLUMNS = ("pickup_city", "dropoff_city")
-KEY_AND_NAME = {
-    "supplier": ("s_suppkey", "s_name"),
-    "customer": ("c_custkey", "c_name"),
-    "nation": ("n_nationkey", "n_name"),
-}
+
+
+@dataclass(frozen=True)
+class Role:
+    """One side of a ride: the stored table of its people and what rides show of them."""
+
+    table: str
+    key: str
+    name: str
+    nation: str
+    ride_key: str
+    ride_name: str
+    ride_city: str
+    location: str
+
+
+ROLES = (
+    Role("supplier", "s_suppkey", "s_name", "s_nationkey", "driver_id", "driver_name", "dropoff_city", "dropoff_location_id"),
+    Role("customer", "c_custkey", "c_name", "c_nationkey", "passenger_id", "passenger_name", "pickup_city", "pickup_location_id"),
+)
 
 
 def minutes(number: Column) -> Column:
@@ -68,29 +84,27 @@ def orders_with(spark: SparkSession, folder: str, status: str | None) -> DataFra
 
 def rides(spark: SparkSession, folder: str, *joined: str, status: str | None = None) -> DataFrame:
     """Flat rides; ``joined`` names the person and city columns wanted as well."""
-    people = {"driver": "supplier", "passenger": "customer"}
-    cities = {"driver": "dropoff_city", "passenger": "pickup_city"}
-    wanted = {role: [c for c in (f"{role}_name", cities[role]) if c in joined] for role in people}
-    needed = [people[role] for role, columns in wanted.items() if columns]
-    if set(joined) & set(PLACE_COLUMNS):
-        needed.append("nation")
-    tables = {name: stored(spark, folder, name) for name in {"supplier", *needed}}
-    sizes = table_sizes({name: tables[name].select(*KEY_AND_NAME[name]) for name in needed}) if needed else {}
-
-    base = flat = ride_columns(orders_with(spark, folder, status), counted(tables["supplier"]))
+    base = ride_columns(orders_with(spark, folder, status), counted(stored(spark, folder, "supplier")))
+    wanted = {role: [c for c in (role.ride_name, role.ride_city) if c in joined] for role in ROLES}
+    sides = {role.table: stored(spark, folder, role.table).select(role.key, role.name, role.nation) for role in ROLES if wanted[role]}
+    if {role.ride_city for role in ROLES} & set(joined):
+        sides["nation"] = stored(spark, folder, "nation").select("n_nationkey", "n_name")
+    sizes = table_sizes(sides) if sides else {}
+
+    flat = base
     for role, columns in wanted.items():
-        if not columns:
-            continue
-        table = people[role]
-        key, name, nation = KEY_AND_NAME[table][0], KEY_AND_NAME[table][1], f"{table[0]}_nationkey"
-        side = tables[table]
-        if cities[role] in columns:
-            side = lookup(
-                side, tables["nation"], nation, "n_nationkey", {"city": "n_name"}, row_id=key, size=sizes["nation"], how="inner"
+        take = {column: role.name if column == role.ride_name else role.nation for column in columns}
+        if take:
+            flat = lookup(
+                flat, sides[role.table], role.ride_key, role.key, take,
+                row_id="ride_id", size=sizes[role.table], how="inner", keys_from=base,
             )
-        take = {column: name if column.endswith("_name") else "city" for column in columns}
-        flat = lookup(flat, side, f"{role}_id", key, take, row_id="ride_id", size=sizes[table], how="inner", keys_from=base)
-    plain = [c for c in flat.columns if c not in ("ride_id", "driver_id", "passenger_id", *joined)]
+        if role.ride_city in take:
+            flat = lookup(
+                flat, sides["nation"], role.ride_city, "n_nationkey", {"city": "n_name"},
+                row_id="ride_id", size=sizes["nation"], how="inner",
+            ).drop(role.ride_city).withColumnRenamed("city", role.ride_city)
+    plain = [c for c in base.columns if c not in ("ride_id", "driver_id", "passenger_id")]
     return flat.select("ride_id", *joined, *plain)
 
 
@@ -144,18 +158,16 @@ def payment_names(spark: SparkSession, folder: str) -> DataFrame:
 def trips(spark: SparkSession, folder: str, places: bool = False, status: str | None = None) -> DataFrame:
     """Rides by id instead of by name; location ids only on request (two joins)."""
     base = flat = ride_columns(orders_with(spark, folder, status), counted(stored(spark, folder, "supplier")))
-    located = []
     if places:
-        located = ["pickup_location_id", "dropoff_location_id"]
-        sides = {name: stored(spark, folder, name) for name in ("customer", "supplier")}
-        sizes = table_sizes({name: side.select(KEY_AND_NAME[name][0]) for name, side in sides.items()})
-        for table, key, column, name in (
-            ("customer", "passenger_id", "c_nationkey", located[0]),
-            ("supplier", "driver_id", "s_nationkey", located[1]),
-        ):
-            take = {name: F.col(column).cast("long")}
-            match = KEY_AND_NAME[table][0]
-            flat = lookup(flat, sides[table], key, match, take, row_id="ride_id", size=sizes[table], how="inner", keys_from=base)
+        people = {role.table: stored(spark, folder, role.table).select(role.key, role.nation) for role in ROLES}
+        sizes = table_sizes(people)
+        for role in ROLES:
+            take = {role.location: F.col(role.nation).cast("long")}
+            flat = lookup(
+                flat, people[role.table], role.ride_key, role.key, take,
+                row_id="ride_id", size=sizes[role.table], how="inner", keys_from=base,
+            )
+    located = ["pickup_location_id", "dropoff_location_id"] if places else []
     return flat.select(
         F.col("ride_id").alias("trip_id"),
         "driver_id",

@@ -7,6 +7,7 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ridelake import schemas
 from ridelake.functions.numeric import round_half_even, zero_if_null
@@ -85,19 +86,18 @@ def resolve_keys(
 def measures(resolved: DataFrame) -> DataFrame:
     """Fact rows of the trips that resolved, still without a ``trip_key``."""
     took = minutes_between(F.col("requested_at"), F.col("completed_at"))
-    money = {name: zero_if_null(F.col(name)) for name in ("base_fare", "tip_amount", "discount_amount", "surge_multiplier")}
-    fact = resolved.where(F.col("reject_reason").isNull()).withColumns(
+    money = ("base_fare", "surge_multiplier", "tip_amount", "discount_amount")
+    accepted = resolved.where(F.col("reject_reason").isNull())
+    fact = accepted.withColumns(
         {
-            **money,
+            **{name: zero_if_null(F.col(name)) for name in money},
             "source_trip_id": F.col("trip_id"),
-            "fare_amount": fact_fare(
-                F.col("base_fare"), F.col("surge_multiplier"), F.col("tip_amount"), F.col("discount_amount")
-            ),
+            "fare_amount": fact_fare(*map(F.col, money)),
             "duration_minutes": F.when(F.col("status") == "completed", round_half_even(took, 1)),
             "trip_count": F.lit(1),
         }
     )
-    return fact.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.FACT_TRIPS if f.name != "trip_key"])
+    return schemas.conform(fact, StructType([field for field in schemas.FACT_TRIPS if field.name != "trip_key"]))
 
 
 def rejects(resolved: DataFrame) -> DataFrame:

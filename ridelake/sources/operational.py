@@ -121,6 +121,7 @@ def priced_trips(spark: SparkSession, folder: str) -> DataFrame:
     worth = (promo * 4 + 5).cast("decimal(8,2)")
     tip_share = (key % 26).cast("decimal(4,0)") / F.lit(100).cast("decimal(3,0)")
     money = "decimal(8,2)"
+    none = F.lit("0.00").cast(money)
     return flat.select(
         key.alias("trip_id"),
         "driver_id",
@@ -131,8 +132,8 @@ def priced_trips(spark: SparkSession, folder: str) -> DataFrame:
         F.when(F.col("ride_status") != "no_show", payment_number(F.col("payment_method"))).alias("payment_method_id"),
         promo.alias("promo_code_id"),
         base.alias("base_fare"),
-        F.when(done, F.round(base * tip_share, 2)).otherwise(F.lit(0)).cast(money).alias("tip_amount"),
-        F.when(promo.isNull(), F.lit(0)).otherwise(promo_discount(kind, worth, base)).cast(money).alias("discount_amount"),
+        F.when(done, F.round(base * tip_share, 2).cast(money)).otherwise(none).alias("tip_amount"),
+        F.when(promo.isNull(), none).otherwise(promo_discount(kind, worth, base).cast(money)).alias("discount_amount"),
         ((100 + key % 5 * 25) / 100).cast("decimal(4,2)").alias("surge_multiplier"),
         F.col("ride_distance_km").alias("distance_km"),
         F.col("ride_status").alias("status"),

@@ -49,10 +49,8 @@ def ride_columns(orders: DataFrame, drivers: Column) -> DataFrame:
     ``drivers`` is how many drivers there are; rides are dealt out among them.
     """
     key = F.col("o_orderkey")
-    status = F.when(F.col("o_orderstatus") == "F", STATUS_OF["F"])
-    for code in ("O", "P"):
-        status = status.when(F.col("o_orderstatus") == code, STATUS_OF[code])
-    completed = F.col("o_orderstatus") == "F"
+    completed, cancelled = (F.col("o_orderstatus") == code for code in ("F", "O"))
+    status = F.when(completed, STATUS_OF["F"]).when(cancelled, STATUS_OF["O"]).otherwise(STATUS_OF["P"])
     requested_at = F.col("o_orderdate") + minutes((key * 37) % 1440)
     return orders.select(
         key.alias("ride_id"),

@@ -80,7 +80,7 @@ _KEEP[[b for b in range(128) if not chr(b).isalpha()]] = 0x20
 
 
 def normalised(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Bytes of texts with ASCII non-letters as single spaces, and where each text begins."""
+    """Bytes of texts with ASCII non-letters as single spaces, none in front, and where each text begins."""
     raw, at = flat(texts)
     data = _KEEP[raw]
     space = data == 0x20
@@ -126,8 +126,9 @@ class Parser:
     """Counts cross-parsing phrases against all languages at once.
 
     One table holds the moves of all automata. An entry is the offset of the next state; where
-    the automaton has no move, it is the bitwise complement of the state in which the next
-    phrase begins.
+    the automaton has no move, it is the bitwise complement of the state that the first symbol of
+    a new phrase leads to. Every automaton has one more state, without moves: a text begins in it,
+    and a symbol the language does not have, a phrase by itself, leads there.
     """
 
     PAD, OTHER = 0, 1
@@ -138,22 +139,22 @@ class Parser:
         self.symbol = np.full(256, self.OTHER, np.int32)
         self.symbol[known] = np.arange(2, 2 + len(known))
         width = 2 + len(known)
-        tables, self.roots, base = [], [], 0
+        tables, self.starts, base = [], [], 0
         for lang in self.languages:
             moves = automaton(learned[lang])
-            root = np.full(width, base, np.int64)
+            start = base + len(moves) * width
+            fresh = np.full(width, start, np.int64)
             for symbol, to in moves[0].items():
-                root[self.symbol[symbol]] = base + to * width
-            table = np.tile(~root, (len(moves), 1))
+                fresh[self.symbol[symbol]] = base + to * width
+            table = np.tile(~fresh, (len(moves) + 1, 1))
             for state, out in enumerate(moves):
                 for symbol, to in out.items():
                     table[state, self.symbol[symbol]] = base + to * width
-            table[0, self.OTHER] = ~base
-            table[:, self.PAD] = base
+            table[:, self.PAD] = start
             tables.append(table.ravel())
-            self.roots.append(base)
+            self.starts.append(start)
             base += table.size
-        self.table = np.concatenate(tables).astype(np.int32 if base < 2**31 else np.int64)
+        self.table = np.concatenate(tables or [np.zeros(0, np.int64)]).astype(np.int32 if base < 2**31 else np.int64)
         self.bits = np.array([np.log2(len(learned[lang]) + 1) for lang in self.languages])
 
     def phrases(self, data: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -168,8 +169,8 @@ class Parser:
         lane = np.repeat(np.arange(len(owner)), width)
         row = np.arange(len(lane)) - np.repeat(np.cumsum(width) - width, width)
         grid[row, lane] = self.symbol[data]
-        state = np.repeat(np.array(self.roots, self.table.dtype)[:, None], len(owner), 1)
-        counts = np.ones(state.shape, np.int32)
+        state = np.repeat(np.array(self.starts, self.table.dtype)[:, None], len(owner), 1)
+        counts = np.zeros(state.shape, np.int32)
         for symbols in grid:
             state = self.table[state + symbols]
             miss = state < 0

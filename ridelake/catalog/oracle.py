@@ -131,17 +131,21 @@ payment_methods AS (
          o_orderpriority NOT LIKE '5%' AS is_active
   FROM orders WHERE o_orderpriority <> '4-NOT SPECIFIED'
 ),
-judged AS (
+placed AS (
   SELECT *,
-    CASE WHEN requested_at < TIMESTAMP '1995-01-01' OR requested_at >= TIMESTAMP '2001-07-01' THEN 'date'
-         WHEN driver_id NOT IN (SELECT s_suppkey FROM supplier) THEN 'driver'
+    CASE WHEN driver_id NOT IN (SELECT s_suppkey FROM supplier) THEN 'driver'
          WHEN vehicle_id >= (SELECT count(*) FROM part) THEN 'vehicle'
          WHEN passenger_id NOT IN (SELECT c_custkey FROM customer) THEN 'passenger'
          WHEN pickup_location_id > 24 THEN 'pickup'
          WHEN dropoff_location_id > 24 THEN 'dropoff'
          WHEN payment_method_id NOT IN (SELECT payment_method_id FROM payment_methods) THEN 'payment'
-         WHEN promo_code_id > 24 THEN 'promo' END AS reject_reason
+         WHEN promo_code_id > 24 THEN 'promo' END AS lost_key
   FROM fared
+),
+judged AS (
+  SELECT *,
+    CASE WHEN requested_at < TIMESTAMP '1995-01-01' OR requested_at >= TIMESTAMP '2001-07-01' THEN 'date' ELSE lost_key END AS reject_reason
+  FROM placed
 )"""
 
 FACT_FARE_C = half_even("fare_4", 100)
@@ -155,7 +159,7 @@ def over(prelude: str, select: str) -> str:
 RIDE_LIST = f"""ride_id, driver_name, passenger_name, pickup_city, dropoff_city, {dbl('fare_amount')} AS fare_amount,
   {dbl('ride_distance_km')} AS ride_distance_km, ride_status, requested_at, completed_at, {dbl('rating')} AS rating, payment_method"""
 
-TRIP_LIST = f"""trip_id, driver_id, passenger_id, {dbl('fare_amount')} AS fare_amount, {dbl('distance_km')} AS distance_km,
+TRIP_LIST = f"""trip_id, driver_id, passenger_id, pickup_location_id, dropoff_location_id, {dbl('fare_amount')} AS fare_amount, {dbl('distance_km')} AS distance_km,
   status, requested_at, completed_at, {dbl('rating')} AS rating, payment_method_id"""
 
 DRIVER_COUNTS = """
@@ -208,9 +212,7 @@ ORACLE: dict[str, str] = {
         SELECT ride_id, requested_at, completed_at FROM rides WHERE completed_at IS NOT NULL
         ORDER BY completed_at DESC, ride_id DESC LIMIT 10"""),
     "latest_row": over(RIDES, f"""
-        SELECT ride_id, {dbl('fare_amount')} AS fare_amount, {dbl('ride_distance_km')} AS ride_distance_km, ride_status,
-               requested_at, completed_at, {dbl('rating')} AS rating, payment_method
-        FROM rides ORDER BY ride_id DESC LIMIT 1"""),
+        SELECT {RIDE_LIST} FROM rides ORDER BY ride_id DESC LIMIT 1"""),
     "same_city": over(RIDES, "SELECT ride_id, pickup_city, ride_status FROM rides WHERE pickup_city = dropoff_city"),
     "same_city_guarded": over(RIDES, """
         SELECT ride_id, pickup_city, ride_status FROM rides
@@ -269,7 +271,9 @@ ORACLE: dict[str, str] = {
     "driver_trips": over(TRIPS, f"SELECT {TRIP_LIST} FROM trips WHERE driver_id = 3"),
     "status_trips": over(TRIPS, f"SELECT {TRIP_LIST} FROM trips WHERE status = 'cancelled'"),
     "delete_by_predicate": over(TRIPS, f"SELECT {TRIP_LIST} FROM trips WHERE rating IS NULL OR rating <= 3"),
-    "case_flag": over(TRIPS, f"SELECT CASE WHEN status = 'completed' THEN 1 END AS is_completed, {TRIP_LIST} FROM trips"),
+    "case_flag": over(TRIPS, f"""
+        SELECT CASE WHEN status = 'completed' THEN 1 END AS is_completed, s_suppkey AS id, s_name AS driver_name, {TRIP_LIST}
+        FROM supplier LEFT JOIN trips ON driver_id = s_suppkey"""),
     "join_inner": over(TRIPS, """
         SELECT trip_id, driver_id, s_name AS driver_name, status FROM trips JOIN supplier ON s_suppkey = driver_id"""),
     "tagged_counts": """
@@ -279,7 +283,7 @@ ORACLE: dict[str, str] = {
         SELECT ride_id AS trip_id, driver_name, passenger_name, pickup_city, dropoff_city, {dbl('fare_amount')} AS fare_amount,
                {dbl('ride_distance_km')} AS distance_km, {dbl('rating')} AS rating, payment_method, requested_at, completed_at
         FROM rides WHERE ride_status = 'completed'"""),
-    "temp_snapshot": over(RIDES, f"SELECT payment_method, count(*) AS rides, {dbl('sum(fare_amount)')} AS fares FROM rides GROUP BY payment_method"),
+    "temp_snapshot": over(RIDES, f"SELECT {RIDE_LIST} FROM rides"),
     "inline_values": over(RIDES, """
         SELECT DISTINCT payment_method AS name, substr(payment_method, 1, 1) AS payment_method_id FROM rides WHERE payment_method IS NOT NULL
         UNION ALL VALUES ('IME pay5', NULL)"""),
@@ -318,6 +322,37 @@ ORACLE: dict[str, str] = {
                pickup_city, dropoff_city, payment_method, {dbl('fare_amount')} AS fare_amount,
                {dbl('ride_distance_km')} AS distance_km, ride_status AS status, requested_at, completed_at, {dbl('rating')} AS rating
         FROM rides"""),
+    "csv_load": over(RIDES, f"SELECT {RIDE_LIST}, (SELECT count(*) FROM rides) AS rows_loaded FROM rides"),
+    "csv_empty_text": """
+        SELECT CASE WHEN p_size > 25 THEN TRUE WHEN p_size > 5 THEN FALSE END AS is_empty, count(*) AS parts FROM part GROUP BY 1""",
+    "append_select": over(TRIPS, f"""
+        SELECT trip_id, driver_id, passenger_id, {dbl('fare_amount')} AS fare_amount, {dbl('distance_km')} AS distance_km,
+               status, requested_at, completed_at, {dbl('rating')} AS rating, payment_method_id, count(*) OVER (PARTITION BY status) AS rows_added
+        FROM trips WHERE status IN ('completed', 'cancelled')"""),
+    "replace_table": over(TRIPS, f"""
+        SELECT trip_id, driver_id, passenger_id, {dbl('fare_amount')} AS fare_amount, {dbl('distance_km')} AS distance_km,
+               status, requested_at, completed_at, {dbl('rating')} AS rating, payment_method_id
+        FROM trips WHERE status = 'completed'"""),
+    "delete_set_null": over(PRICED, """
+        SELECT trip_id, CASE WHEN payment_method_id NOT IN (SELECT payment_method_id FROM payment_methods WHERE NOT is_active)
+                             THEN payment_method_id END AS payment_method_id
+        FROM priced"""),
+    "delete_cascade": over(PRICED, """
+        SELECT 'trip_cancellations' AS tbl, trip_id AS id, count(*) AS n FROM priced WHERE status = 'cancelled' AND driver_id <> 3 GROUP BY trip_id
+        UNION ALL SELECT 'vehicle_assignments', l_suppkey, count(*) FROM lineitem
+        WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_acctbal < 0) GROUP BY l_suppkey"""),
+    "defaulted_rows": over(PRICED, f"""
+        SELECT trip_id, {scaled('base_c', 100)} AS base_fare, {dbl(0)} AS tip_amount, {dbl(0)} AS discount_amount, {dbl(1)} AS surge_multiplier
+        FROM priced"""),
+    "inline_lookup": """
+        SELECT line, typed, c_custkey AS passenger_id, NULLIF((SELECT count(*) FROM orders WHERE o_custkey = c_custkey), 0) AS trips
+        FROM (VALUES (1, 'Customer#000000001'), (2, 'Customer#000000002'), (3, 'Nobody')) entered(line, typed)
+        LEFT JOIN customer ON c_name = typed""",
+    "current_moment": over(RIDES, """
+        SELECT count(*) FILTER (WHERE requested_at < now()::TIMESTAMP) AS past,
+               count(*) FILTER (WHERE requested_at < now()::TIMESTAMP AND requested_at >= now()::TIMESTAMP - INTERVAL 6 MONTH) AS recent
+        FROM rides"""),
+    "surrogate_keys": "SELECT count(*) AS rows, count(*) AS keys, CAST(0 AS BIGINT) AS clashes FROM orders",
     "dq_not_null": over(FAULTY, """
         SELECT 'driver_id_not_null' AS rule, count(*) AS violations, min(trip_id) AS first_row FROM faulty WHERE driver_id IS NULL
         UNION ALL SELECT 'status_not_null', count(*), min(trip_id) FROM faulty WHERE status IS NULL
@@ -360,6 +395,11 @@ ORACLE: dict[str, str] = {
         UNION ALL SELECT 'passenger_id_requested_at_unique', CAST(coalesce(sum(n - 1), 0) AS BIGINT), min(first)
           FROM (SELECT count(*) AS n, min(trip_id) AS first FROM faulty GROUP BY passenger_id, requested_at HAVING count(*) > 1)
         UNION ALL SELECT 'driver_id_reference', count(*), min(trip_id) FROM faulty WHERE driver_id NOT IN (SELECT s_suppkey FROM supplier)"""),
+    "batch_gate_stored": over(TRIPS, """
+        SELECT 'trip_id_unique' AS rule, count(*) AS violations, min(trip_id) AS first_row FROM trips WHERE status = 'completed'
+        UNION ALL SELECT 'passenger_id_requested_at_unique', CAST(coalesce(sum(n), 0) AS BIGINT), min(first)
+          FROM (SELECT count(*) - 1 + max(CASE WHEN status = 'completed' THEN 1 ELSE 0 END) AS n, min(trip_id) AS first
+                FROM trips GROUP BY passenger_id, requested_at) WHERE n > 0"""),
     "dq_declared": over(PRICED, """
         SELECT 'trips' AS tbl, 'vehicle_id_reference' AS rule, count(*) AS violations, min(trip_id) AS first_row
         FROM priced WHERE vehicle_id NOT IN (SELECT p_partkey FROM part) HAVING count(*) > 0
@@ -430,9 +470,9 @@ ORACLE: dict[str, str] = {
     "fact_trips": over(PRICED, f"""
         SELECT trip_id AS source_trip_id, CAST(strftime(requested_at, '%Y%m%d') AS INTEGER) AS date_key,
                CAST(hour(requested_at) * 100 + minute(requested_at) // 15 * 15 AS INTEGER) AS time_key,
-               TRUE AS driver_key, TRUE AS passenger_key, vehicle_id IS NOT NULL AS vehicle_key,
-               TRUE AS pickup_location_key, TRUE AS dropoff_location_key,
-               payment_method_id IS NOT NULL AS payment_method_key, promo_code_id IS NOT NULL AS promo_code_key,
+               driver_id AS driver_key, passenger_id AS passenger_key, vehicle_id AS vehicle_key,
+               pickup_location_id AS pickup_location_key, dropoff_location_id AS dropoff_location_key,
+               payment_method_id AS payment_method_key, promo_code_id AS promo_code_key,
                {scaled('base_c', 100)} AS base_fare, {scaled('tip_c', 100)} AS tip_amount, {scaled('discount_c', 100)} AS discount_amount,
                {scaled(FACT_FARE_C, 100)} AS fare_amount, {dbl('distance_km')} AS distance_km,
                {dbl("date_diff('minute', requested_at, completed_at)")} AS duration_minutes, CAST(1 AS INTEGER) AS trip_count,
@@ -452,29 +492,42 @@ ORACLE: dict[str, str] = {
     "promo_usage": over(PRICED, f"""
         SELECT p.promo_code_id, code, discount_type, {dbl('discount_value')} AS discount_value, is_active, count(trip_id) AS times_used
         FROM promo_codes p LEFT JOIN priced t ON t.promo_code_id = p.promo_code_id GROUP BY ALL"""),
-    "watermark": over(RIDES, """
-        SELECT 'loaded' AS warehouse, max(requested_at) AS watermark FROM rides UNION ALL SELECT 'empty', NULL"""),
+    "watermark": over(PRICED, """
+        SELECT 'loaded' AS warehouse, max(requested_at) AS watermark FROM judged WHERE reject_reason IS NULL UNION ALL SELECT 'empty', NULL"""),
     "incremental_slice": over(PRICED, f"""
         SELECT trip_id AS source_trip_id, requested_at, CAST(strftime(requested_at, '%Y%m%d') AS INTEGER) AS date_key,
                {scaled(FACT_FARE_C, 100)} AS fare_amount
-        FROM fared WHERE requested_at >= TIMESTAMP '2000-01-01'"""),
+        FROM judged WHERE reject_reason IS NULL AND requested_at >= TIMESTAMP '2000-01-01'"""),
+    "reloaded_facts": over(PRICED, f"""
+        , moved AS (
+          SELECT *, CASE WHEN trip_id % 5 = 0 THEN requested_at + INTERVAL 40 DAY WHEN trip_id % 7 = 0 THEN requested_at - INTERVAL 365 DAY
+                         ELSE requested_at END AS later
+          FROM judged),
+        fed AS (
+          SELECT trip_id, fare_4, requested_at AS moment, 1 AS feed FROM moved WHERE trip_id % 3 <> 0 AND reject_reason IS NULL
+          UNION ALL SELECT trip_id, fare_4, later, 2 FROM moved
+          WHERE lost_key IS NULL AND later >= TIMESTAMP '1995-01-01' AND later < TIMESTAMP '2001-07-01'),
+        earliest AS (SELECT *, row_number() OVER (PARTITION BY trip_id ORDER BY feed) AS place FROM fed)
+        SELECT trip_id AS source_trip_id, moment AS requested_at, CAST(strftime(moment, '%Y%m%d') AS INTEGER) AS date_key,
+               {scaled(FACT_FARE_C, 100)} AS fare_amount
+        FROM earliest WHERE place = 1"""),
     "revenue_city_month": over(PRICED, f"""
         SELECT n_name AS city_name, CAST(year(requested_at) AS INTEGER) AS year, CAST(month(requested_at) AS INTEGER) AS month,
                {scaled(f'sum({FACT_FARE_C})', 100)} AS total_revenue
-        FROM fared JOIN nation ON n_nationkey = pickup_location_id GROUP BY ALL"""),
+        FROM judged JOIN nation ON n_nationkey = pickup_location_id WHERE reject_reason IS NULL GROUP BY ALL"""),
     "revenue_city_month_oltp": over(PRICED, f"""
         SELECT n_name AS city_name, CAST(year(requested_at) AS INTEGER) AS year, CAST(month(requested_at) AS INTEGER) AS month,
                {scaled(f'sum({VIEW_FARE_C})', 100)} AS total_revenue
         FROM fared JOIN nation ON n_nationkey = pickup_location_id GROUP BY ALL"""),
     "revenue_by_method": over(PRICED, f"""
         SELECT name AS payment_method, {scaled(f'sum({FACT_FARE_C})', 100)} AS total_revenue
-        FROM fared JOIN payment_methods USING (payment_method_id) GROUP BY name"""),
+        FROM judged JOIN payment_methods USING (payment_method_id) WHERE reject_reason IS NULL GROUP BY name"""),
     "avg_fare_method_month": over(PRICED, f"""
         SELECT name AS payment_method, CAST(year(requested_at) AS INTEGER) AS year, CAST(month(requested_at) AS INTEGER) AS month,
                {scaled(half_up(f'CAST(sum({FACT_FARE_C}) AS BIGINT)', 'count(*)'), 100)} AS avg_fare
-        FROM fared JOIN payment_methods USING (payment_method_id) GROUP BY ALL"""),
-    "busiest_hour": over(RIDES, f"""
+        FROM judged JOIN payment_methods USING (payment_method_id) WHERE reject_reason IS NULL GROUP BY ALL"""),
+    "busiest_hour": over(PRICED, f"""
         SELECT CAST(hour(requested_at) AS INTEGER) AS hour, count(*) AS trip_count,
                {scaled(half_up('count(*) * 10000', 'CAST(sum(count(*)) OVER () AS BIGINT)'), 100)} AS pct_of_all_trips
-        FROM rides GROUP BY 1"""),
+        FROM judged WHERE reject_reason IS NULL GROUP BY 1"""),
 }

@@ -7,6 +7,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime
 from functools import wraps
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,9 +15,9 @@ from pyspark.sql.types import DecimalType, ShortType
 
 from ridelake import schemas
 from ridelake.functions import numeric, rules, temporal, text
-from ridelake.operators import changes, lookups, quality
+from ridelake.operators import changes, keys, lookups, quality
 from ridelake.plans import constraints, facts, flat, normalise, reports, warehouse
-from ridelake.sources import operational, readers, star, writers
+from ridelake.sources import operational, readers, writers
 from ridelake.sources import rides as source
 from ridelake.sources.stored import stored
 
@@ -60,6 +61,7 @@ def flat_query(name: str, plan: Callable[[DataFrame], DataFrame], *joined: str,
 
 
 BOTH_CITIES = ("pickup_city", "dropoff_city")
+NAMES = ("driver_name", "passenger_name")
 
 flat_query("total_rides", flat.total_rides)
 flat_query("null_rating_count", flat.null_rating_count)
@@ -75,7 +77,7 @@ flat_query("having_count", lambda rides: flat.having_count(rides, 50), "driver_n
 flat_query("high_value", flat.high_value, "driver_name", "passenger_name", *BOTH_CITIES)
 flat_query("recent_completed", flat.recent_completed, status="completed")
 flat_query("recent_by_completion", flat.recent_by_completion)
-flat_query("latest_row", flat.latest_row)
+flat_query("latest_row", flat.latest_row, *NAMES, *BOTH_CITIES)
 flat_query("same_city", flat.same_city, *BOTH_CITIES)
 flat_query("same_city_guarded", flat.same_city_guarded, *BOTH_CITIES)
 flat_query("same_city_ci", flat.same_city_ignoring_case, *BOTH_CITIES)
@@ -220,29 +222,30 @@ def except_cities(spark, folder):
 
 @query
 def driver_and_status(spark, folder):
-    trips = source.trips(spark, folder, status="completed")
+    trips = source.trips(spark, folder, places=True, status="completed")
     return trips.where((F.col("driver_id") == 3) & (F.col("status") == "completed"))
 
 
 @query
 def driver_trips(spark, folder):
-    return source.trips(spark, folder).where(F.col("driver_id") == 3)
+    return source.trips(spark, folder, places=True).where(F.col("driver_id") == 3)
 
 
 @query
 def status_trips(spark, folder):
-    return source.trips(spark, folder, status="cancelled").where(F.col("status") == "cancelled")
+    return source.trips(spark, folder, places=True, status="cancelled").where(F.col("status") == "cancelled")
 
 
 @query
 def delete_by_predicate(spark, folder):
-    return changes.delete_where(source.trips(spark, folder), F.col("rating") > 3)
+    return changes.delete_where(source.trips(spark, folder, places=True), F.col("rating") > 3)
 
 
 @query
 def case_flag(spark, folder):
-    trips = source.trips(spark, folder)
-    return trips.select(F.when(F.col("status") == "completed", 1).alias("is_completed"), "*")
+    """Every driver with every trip, a driver without trips once; the flag comes first."""
+    trips, drivers = source.trips(spark, folder, places=True), source.driver_names(spark, folder)
+    return reports.flagged_trips(drivers, trips)
 
 
 @query
@@ -282,9 +285,8 @@ def completed_trips_view(spark, folder):
 
 @query
 def temp_snapshot(spark, folder):
-    """A frozen copy of the rides, summed per payment method."""
-    frozen = writers.snapshot(source.rides(spark, folder).select("payment_method", "fare_amount"), "temp_rides")
-    return frozen.groupBy("payment_method").agg(flat.rows("rides"), F.sum("fare_amount").alias("fares"))
+    """A frozen copy of all rides, every column."""
+    return writers.snapshot(source.rides(spark, folder, *NAMES, *BOTH_CITIES), "temp_rides")
 
 
 @query
@@ -336,12 +338,17 @@ def anti_left(spark, folder):
 
 @query
 def scalar_lookup(spark, folder):
-    """Passenger ids found by cleaned name, from hand-typed names."""
-    rides = source.messy_rides(spark, folder)
-    typed = rides.select("ride_id", text.clean_name(F.col("passenger_name")).alias("passenger_name"))
+    """Passenger ids found by cleaned name, from hand-typed names; each spelling is cleaned and looked up once."""
+    rides = source.messy_rides(spark, folder).select("ride_id", "passenger_name")
+    (names,) = [names for names in normalise.NAME_TABLES if names.table == "passengers"]
+    spelt = normalise.spellings(rides, names)
     known = source.passenger_names(spark, folder).withColumn("name", F.replace("name", F.lit("#"), F.lit(" ")))
-    found = lookups.one_value_lookup(typed, known, "passenger_name", "name", "passenger_id", "passenger_id", row_id="ride_id")
-    return found.select("ride_id", "passenger_name", "passenger_id")
+    found = lookups.one_value_lookup(spelt, known, "name", "name", "passenger_id", "passenger_id", row_id="spelling")
+    found = writers.snapshot(found.select("spelling", "name", "passenger_id"))
+    shown = lookups.lookup(
+        rides, found, "passenger_name", "spelling", {"clean": "name", "passenger_id": "passenger_id"}, row_id="ride_id"
+    )
+    return shown.select("ride_id", F.col("clean").alias("passenger_name"), "passenger_id")
 
 
 @query
@@ -366,6 +373,124 @@ def normalize_trips(spark, folder):
     return shown.drop("driver_id", "passenger_id", "pickup_location_id", "dropoff_location_id", "payment_method_id")
 
 
+# Sources and sinks
+
+
+def _scratch(spark: SparkSession, name: str) -> str:
+    return f"{writers.shared_folder(spark)}/{name}-{uuid4().hex}"
+
+
+@query
+def csv_load(spark, folder):
+    """All rides written as delimited text and loaded again through the checked bulk load."""
+    rides = source.rides(spark, folder, *NAMES, *BOTH_CITIES).select(*schemas.RIDES.names)
+    text_files, table = _scratch(spark, "rides-csv"), _scratch(spark, "rides")
+    rides.write.option("header", True).option("nullValue", "").csv(text_files)
+    loaded = constraints.load_rides(spark, text_files, table)
+    stored_rides = readers.read_table(spark, table, schemas.RIDES)
+    return stored_rides.withColumn("rows_loaded", F.lit(loaded)).orderBy("ride_id")
+
+
+@query
+def csv_empty_text(spark, folder):
+    """Empty text and NULL stay apart after a load."""
+    part = stored(spark, folder, "part")
+    names = part.select("p_partkey", F.when(F.col("p_size") > 25, F.lit("")).when(F.col("p_size") > 5, F.col("p_name")).alias("note"))
+    files = _scratch(spark, "notes")
+    names.write.option("header", True).option("nullValue", "-").csv(files)
+    kinds = schemas.table(("p_partkey", schemas.LONG), ("note", schemas.TEXT))
+    loaded = spark.read.schema(kinds).csv(files, header=True, nullValue="-", mode="FAILFAST")
+    return loaded.groupBy((F.col("note") == "").alias("is_empty")).agg(F.count(F.lit(1)).alias("parts"))
+
+
+@query
+def append_select(spark, folder):
+    """Completed, then cancelled trips appended to a table that is created once; each append tells its rows."""
+    trips, path = source.trips(spark, folder), _scratch(spark, "appended")
+    added = {}
+    for status in ("completed", "cancelled"):
+        writers.create_if_absent(spark, path, trips.schema)
+        added[status] = writers.append(trips.where(F.col("status") == status), path)
+    counted = F.when(F.col("status") == "completed", added["completed"]).otherwise(added["cancelled"])
+    return readers.read_table(spark, path, trips.schema).withColumn("rows_added", counted.cast("long"))
+
+
+@query
+def replace_table(spark, folder):
+    """A table of all trips replaced by its own completed ones."""
+    trips, path = source.trips(spark, folder), _scratch(spark, "replaced")
+    writers.replace(trips, path)
+    writers.replace(readers.read_table(spark, path, trips.schema).where(F.col("status") == "completed"), path)
+    return readers.read_table(spark, path, trips.schema)
+
+
+def _after_delete(spark, folder, table, condition):
+    names = ("vehicles", "drivers", "payment_methods", "promo_codes", "vehicle_assignments", "trip_cancellations")
+    tables = {name: getattr(operational, name)(spark, folder) for name in names}
+    tables["trips"] = operational.priced_trips(spark, folder)
+    return changes.delete_with_children(tables, constraints.ON_DELETE, table, condition)
+
+
+@query
+def delete_set_null(spark, folder):
+    """Trips after the payment methods no longer in use were deleted: they stay and lose the method."""
+    left = _after_delete(spark, folder, "payment_methods", ~F.col("is_active"))
+    return left["trips"].select("trip_id", "payment_method_id")
+
+
+@query
+def delete_cascade(spark, folder):
+    """Cancellations after all trips of one driver were deleted, and assignments after all suspended drivers were."""
+    trips = _after_delete(spark, folder, "trips", F.col("driver_id") == 3)
+    people = _after_delete(spark, folder, "drivers", F.col("status") == "suspended")
+    cancelled = trips["trip_cancellations"].select(F.lit("trip_cancellations").alias("tbl"), F.col("trip_id").alias("id"))
+    assigned = people["vehicle_assignments"].select(F.lit("vehicle_assignments").alias("tbl"), F.col("driver_id").alias("id"))
+    return cancelled.unionByName(assigned).groupBy("tbl", "id").agg(flat.rows("n"))
+
+
+@query
+def defaulted_rows(spark, folder):
+    """Trips inserted without their money columns take the declared defaults."""
+    bare = operational.priced_trips(spark, folder).drop("tip_amount", "discount_amount", "surge_multiplier")
+    filled = changes.with_defaults(bare, constraints.defaults("trips"))
+    return filled.select("trip_id", "base_fare", "tip_amount", "discount_amount", "surge_multiplier")
+
+
+@query
+def inline_lookup(spark, folder):
+    """Hand-entered trips whose ids come from scalar lookups by name, next to the passengers' ride counts."""
+    entered = readers.inline_rows(
+        spark,
+        [(1, "Customer#000000001"), (2, "Customer#000000002"), (3, "Nobody")],
+        schemas.table(("line", schemas.INT), ("typed", schemas.TEXT)),
+    )
+    known = source.passenger_names(spark, folder)
+    found = lookups.one_value_lookup(entered, known, "typed", "name", "passenger_id", "passenger_id", row_id="line")
+    rides = source.trips(spark, folder).groupBy("passenger_id").agg(F.count(F.lit(1)).alias("trips"))
+    return found.join(rides, "passenger_id", "left").select("line", "typed", "passenger_id", "trips")
+
+
+@query
+def current_moment(spark, folder):
+    """Rides against the clock: how many were requested before now, and how many in the last six months."""
+    now = F.current_timestamp().cast("timestamp_ntz")
+    past = F.col("requested_at") < now
+    recent = past & (F.col("requested_at") >= temporal.months_before(now, 6))
+    return source.rides(spark, folder).agg(F.count_if(past).alias("past"), F.count_if(recent).alias("recent"))
+
+
+@query
+def surrogate_keys(spark, folder):
+    """Keys of two loads of trips: how many rows, how many keys, and whether any key came twice or below the first load's."""
+    rows = source.trips(spark, folder).select("trip_id", "status")
+    first = writers.snapshot(keys.assign_keys(rows.where(F.col("status") == "completed"), "trip_key", "trip_id"))
+    later = keys.parallel_keys(rows.where(F.col("status") != "completed"), "trip_key", keys.next_free_key(first, "trip_key"))
+    tagged = first.withColumn("load", F.lit(1)).unionByName(later.withColumn("load", F.lit(2)))
+    highest = first.agg(F.max("trip_key")).scalar()
+    clash = F.count_if((F.col("load") == 2) & (F.col("trip_key") <= highest))
+    return tagged.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("trip_key").alias("keys"), clash.alias("clashes"))
+
+
 # Checks
 
 
@@ -451,6 +576,16 @@ def batch_gate(spark, folder):
     )
 
 
+@query
+def batch_gate_stored(spark, folder):
+    """What a second feed breaks against the trips stored by the first: their keys are taken."""
+    trips = source.trips(spark, folder)
+    path = _scratch(spark, "gated")
+    writers.append(trips.where(F.col("status") == "completed"), path)
+    gate = quality.Batch(trips, path, "trip_id", unique=[quality.Unique(("trip_id",)), quality.Unique(("passenger_id", "requested_at"))])
+    return quality.batch_report(gate.rows, gate.row_id, gate.rules, gate.unique, gate.references, gate.stored())
+
+
 @query
 def dq_declared(spark, folder):
     """Declared constraints that the stored trips and vehicles break."""
@@ -509,30 +644,36 @@ def dim_time(spark, folder):
     return warehouse.dim_time(spark).join(seen, "time_key", "left").fillna(0, ["events"])
 
 
-def _resolved(spark, folder):
-    """Trips with their keys; a dimension is at most as large as its source table."""
-    sources = _sources(spark, folder)
-    dims = warehouse.build_dimensions(spark, sources, temporal.ntz(AS_OF), *CALENDAR)
-    bounds = {dim.table: sources[dim.source].select(dim.natural, F.lit(0).cast("long")) for dim in warehouse.DIMENSIONS}
-    sizes = lookups.table_sizes({"dim_date": dims["dim_date"], "dim_time": dims["dim_time"], **bounds})
-    return facts.resolve_keys(operational.priced_trips(spark, folder), dims, sizes)
+def _dimensions(spark, folder):
+    """The dimensions of a first load and the sizes of their keys.
+
+    A dimension is read by the key lookup and again by the reports, so it is frozen once.
+    The calendar ends before the last trips on purpose: those are rejected for their date.
+    """
+    built = warehouse.build_dimensions(spark, _sources(spark, folder), temporal.ntz(AS_OF), *CALENDAR)
+    dims = {name: writers.snapshot(rows) for name, rows in built.items()}
+    return dims, lookups.table_sizes({link.table: dims[link.table].select(link.match, link.take) for link in facts.LINKS})
+
+
+def _star(spark, folder):
+    """The dimensions, and the trips with their keys."""
+    dims, sizes = _dimensions(spark, folder)
+    return dims, facts.resolve_keys(operational.priced_trips(spark, folder), dims, sizes)
 
 
 @query
 def fact_key_resolution(spark, folder):
     """Trips per outcome of the key lookup."""
-    resolved = _resolved(spark, folder)
+    _, resolved = _star(spark, folder)
     outcome = F.coalesce("reject_reason", F.lit("accepted")).alias("outcome")
     return resolved.groupBy(outcome).agg(flat.rows("trips"))
 
 
 @query
 def fact_trips(spark, folder):
-    """Accepted facts; surrogate keys are shown by whether they are set."""
-    resolved = _resolved(spark, folder)
-    keys = [f"{name}_key" for name in ("driver", "passenger", "vehicle", "pickup_location", "dropoff_location", "payment_method", "promo_code")]
-    rows = facts.measures(resolved)
-    return rows.withColumns({key: F.col(key).isNotNull() for key in keys})
+    """Accepted facts; every surrogate key is traced back to the natural id its dimension row has."""
+    dims, resolved = _star(spark, folder)
+    return facts.with_natural_ids(facts.measures(resolved), dims)
 
 
 @query
@@ -546,9 +687,14 @@ def promo_usage(spark, folder):
     return reports.promo_usage(operational.promo_codes(spark, folder), operational.priced_trips(spark, folder))
 
 
+def _facts(spark, folder):
+    dims, resolved = _star(spark, folder)
+    return dims, facts.measures(resolved)
+
+
 @query
 def watermark(spark, folder):
-    loaded = star.facts(spark, folder)
+    _, loaded = _facts(spark, folder)
     empty = loaded.where(F.col("requested_at") < temporal.ntz("1900-01-01 00:00:00"))
     mark = facts.high_water_mark(loaded).select(F.lit("loaded").alias("warehouse"), "watermark")
     return mark.union(facts.high_water_mark(empty).select(F.lit("empty"), "watermark"))
@@ -557,19 +703,37 @@ def watermark(spark, folder):
 @query
 def incremental_slice(spark, folder):
     """Trips a second load adds to a warehouse that holds everything before 2000."""
-    every = star.facts(spark, folder)
+    _, every = _facts(spark, folder)
     held = every.where(F.col("requested_at") < temporal.ntz(LOADED_UNTIL))
     since = facts.high_water_mark(held).first()["watermark"]
-    fresh = changes.insert_if_absent(
-        facts.slice_from(every, since), facts.stored_from(held, since), ["source_trip_id"], ["requested_at"]
-    )
+    fresh = facts.unseen(facts.slice_from(every, since), held)
     return fresh.select("source_trip_id", "requested_at", "date_key", "fare_amount")
 
 
+@query
+def reloaded_facts(spark, folder):
+    """A warehouse after two feeds: two trips of three, then all of them, some moved to a later time and some a year back.
+
+    The second feed adds the third of the trips that was held back and nothing else, whatever time it claims.
+    """
+    dims, sizes = _dimensions(spark, folder)
+    trips, number = operational.priced_trips(spark, folder), F.col("trip_id")
+    shift = F.when(number % 5 == 0, temporal.days(40)).when(number % 7 == 0, temporal.days(-365)).otherwise(temporal.days(0))
+    again = trips.withColumns({at: F.col(at) + shift for at in ("requested_at", "completed_at")})
+
+    def load(feed, held=None):
+        found = facts.measures(facts.resolve_keys(feed, dims, sizes))
+        return found if held is None else facts.unseen(found, held)
+
+    held = writers.snapshot(load(trips.where(number % 3 != 0)))
+    every = held.unionByName(load(again, held))
+    return every.select("source_trip_id", "requested_at", "date_key", "fare_amount")
+
+
 @query
 def revenue_city_month(spark, folder):
-    days = warehouse.dates_spanning(stored(spark, folder, "orders"), "o_orderdate")
-    return reports.revenue_by_city_month(star.facts(spark, folder), star.places(spark, folder), days)
+    dims, loaded = _facts(spark, folder)
+    return reports.revenue_by_city_month(loaded, dims["dim_location"], dims["dim_date"])
 
 
 @query
@@ -579,15 +743,17 @@ def revenue_city_month_oltp(spark, folder):
 
 @query
 def revenue_by_method(spark, folder):
-    return reports.revenue_by_method(star.facts(spark, folder), star.methods(spark, folder))
+    dims, loaded = _facts(spark, folder)
+    return reports.revenue_by_method(loaded, dims["dim_payment_method"])
 
 
 @query
 def avg_fare_method_month(spark, folder):
-    days = warehouse.dates_spanning(stored(spark, folder, "orders"), "o_orderdate")
-    return reports.avg_fare_by_method_month(star.facts(spark, folder), star.methods(spark, folder), days)
+    dims, loaded = _facts(spark, folder)
+    return reports.avg_fare_by_method_month(loaded, dims["dim_payment_method"], dims["dim_date"])
 
 
 @query
 def busiest_hour(spark, folder):
-    return reports.busiest_hour(star.facts(spark, folder), warehouse.dim_time(spark))
+    dims, loaded = _facts(spark, folder)
+    return reports.busiest_hour(loaded, dims["dim_time"])

@@ -55,10 +55,10 @@ def quarter_hour_key(ts: Column) -> Column:
     return (F.hour(ts) * 100 + F.floor(F.minute(ts) / 15) * 15).cast("int")
 
 
-def hour_number(ts: Column) -> Column:
-    """Hours since 1970-01-01 on the wall clock."""
+def minute_number(ts: Column) -> Column:
+    """Minutes since 1970-01-01 on the wall clock."""
     days = F.datediff(ts.cast("date"), F.lit("1970-01-01").cast("date"))
-    return days * 24 + F.hour(ts)
+    return days * 1440 + F.hour(ts) * 60 + F.minute(ts)
 
 
 def minutes_between(start: Column, end: Column) -> Column:
@@ -70,3 +70,7 @@ def minutes_between(start: Column, end: Column) -> Column:
 def months_before(moment: Column, months: int) -> Column:
     """The same wall-clock time some months earlier, clamped to the month's end."""
     return moment - F.make_ym_interval(F.lit(0), F.lit(months))
+
+
+def days(number: int) -> Column:
+    return F.make_dt_interval(F.lit(number))

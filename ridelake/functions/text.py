@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 
 def squash_spaces(text: Column) -> Column:
-    """Every run of white space becomes one space."""
-    return F.regexp_replace(text, r"\s+", " ")
+    """Every run of white space, that of other scripts included, becomes one space."""
+    return F.regexp_replace(text, r"(?U)\s+", " ")
 
 
 def halve_double_spaces(text: Column) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -59,6 +60,44 @@ def delete_where(df: DataFrame, condition: Column) -> DataFrame:
     return df.where(~F.coalesce(condition, F.lit(False)))
 
 
+@dataclass(frozen=True)
+class Pointer:
+    """A child table's column that points at a parent's key, and what a delete of the parent does to it."""
+
+    child: str
+    column: str
+    parent: str
+    key: str
+    cascades: bool  # else the column becomes NULL
+
+
+def delete_with_children(
+    tables: Mapping[str, DataFrame], pointers: Sequence[Pointer], table: str, condition: Column
+) -> dict[str, DataFrame]:
+    """All tables after a delete: children of deleted rows go too, or lose their pointer.
+
+    A delete that cascades goes on to the children's own children. ``pointers`` lists every
+    parent before its children. Only deleted keys travel, each once.
+    """
+    left = dict(tables)
+    gone = {table: tables[table].where(condition)}
+    left[table] = delete_where(tables[table], condition)
+    for pointer in pointers:
+        if pointer.parent not in gone or pointer.child not in left:
+            continue
+        deleted = gone[pointer.parent].select(F.col(pointer.key).alias(pointer.column)).distinct()
+        rows = left[pointer.child]
+        if pointer.cascades:
+            lost = rows.join(deleted, pointer.column, "left_semi")
+            gone[pointer.child] = gone[pointer.child].unionByName(lost) if pointer.child in gone else lost
+            left[pointer.child] = rows.join(deleted, pointer.column, "left_anti").select(*rows.columns)
+        else:
+            marked = rows.join(deleted.withColumn("_gone", F.lit(True)), pointer.column, "left")
+            kept = F.when(F.col("_gone").isNull(), F.col(pointer.column)).alias(pointer.column)
+            left[pointer.child] = marked.select(*[kept if name == pointer.column else F.col(name) for name in rows.columns])
+    return left
+
+
 def add_null_column(df: DataFrame, name: str, kind: str) -> DataFrame:
     return df.withColumn(name, F.lit(None).cast(kind))
 

@@ -24,9 +24,9 @@ from ridelake.schemas import table as declared
 # the trips, and small next to an executor's memory even when several are held at once.
 BROADCAST_BYTES = 128 * 1024 * 1024
 
-# The sketch behind ``crowded_keys`` tracks this many candidates and reports this
-# many keys. A key it leaves out holds less than a five-thousandth of the rows.
-CROWDED_KEYS, TRACKED_KEYS = 5_000, 50_000
+# The sketch behind ``crowded_keys`` reports as many keys as there are partitions and tracks
+# ten candidates for each; this is the most candidates the sketch can hold.
+TRACKED_PER_KEY, TRACKED_KEYS = 10, 1_000_000
 
 _PIECE, _PIECES = "_piece", "_pieces"
 
@@ -52,6 +52,19 @@ def table_sizes(frames: Mapping[str, DataFrame]) -> dict[str, Size]:
     return {row["name"]: Size(row["rows"], row["bytes"]) for row in reduce(DataFrame.union, parts).collect()}
 
 
+def together(sizes: Mapping[str, Size], uses: Mapping[str, int] | None = None, limit: int | None = None) -> dict[str, int]:
+    """Each table's own bound, such that all that are broadcast in one plan stay below the limit.
+
+    The smallest come first. A table that several lookups use is sent once for each of them.
+    """
+    left, bounds = BROADCAST_BYTES if limit is None else limit, {}
+    for name, size in sorted(sizes.items(), key=lambda item: item[1].bytes):
+        needed = size.bytes * (uses or {}).get(name, 1)
+        bounds[name] = size.bytes if needed <= left else -1
+        left -= needed if needed <= left else 0
+    return bounds
+
+
 def partitions(frame: DataFrame) -> int:
     """Shuffle partitions of the session, at least two."""
     return max(2, int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions")))
@@ -65,8 +78,8 @@ def crowded_keys(facts: DataFrame, key: str, pieces: int) -> list[tuple[object,
     misses only costs balance, never rows. The answer is taken once and then fixed:
     two evaluations of a sketch may differ, and both sides of a join must agree.
     """
-    most = min(pieces, CROWDED_KEYS)
-    sketch = F.expr(f"approx_top_k(`{key}`, {most}, {TRACKED_KEYS})")
+    tracked = min(TRACKED_PER_KEY * pieces, TRACKED_KEYS)
+    sketch = F.expr(f"approx_top_k(`{key}`, {min(pieces, tracked)}, {tracked})")
     found = facts.agg(sketch.alias("top"), F.count(F.lit(1)).alias("total")).first()
     shares = [(item["item"], item["count"] * pieces / found["total"]) for item in found["top"] or []]
     return [(item, ceil(share)) for item, share in shares if item is not None and share > 1]

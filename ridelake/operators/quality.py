@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from dataclasses import replace as replace_rows
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
-from ridelake.sources.writers import append, replace
+from ridelake.sources.writers import append, discard, replace, snapshot, table_exists
 
 
 @dataclass(frozen=True)
@@ -123,25 +125,41 @@ def orphan_keys(child: DataFrame, column: str, parent: DataFrame, key: str, row_
     return used.join(parent.select(F.col(key).alias("missing_key")).distinct(), "missing_key", "left_anti")
 
 
-def unique_report(df: DataFrame, rule: Unique, row_id: str) -> DataFrame:
-    """Rows beyond the first of each key, and the first row of a repeated key."""
-    rows = df if rule.where is None else df.where(rule.where)
-    groups = (
-        rows.dropna(subset=list(rule.keys))
-        .groupBy(*rule.keys)
-        .agg(F.count(F.lit(1)).alias("n"), F.min(row_id).alias("first_row"))
-        .where(F.col("n") > 1)
-    )
-    return groups.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("violations"), F.min("first_row").alias("first_row")).select(
+def unique_report(df: DataFrame, rule: Unique, row_id: str, stored: DataFrame | None = None) -> DataFrame:
+    """Rows beyond the first of each key, and the first row of a repeated key.
+
+    With a ``stored`` table, every row counts whose key is there already.
+    """
+    keys = list(rule.keys)
+
+    def keyed(rows: DataFrame) -> DataFrame:
+        return (rows if rule.where is None else rows.where(rule.where)).dropna(subset=keys)
+
+    groups = keyed(df).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min(row_id).alias("first_row"))
+    free = F.lit(1)
+    if stored is not None:
+        taken = keyed(stored).select(*keys).distinct().withColumn("_taken", F.lit(1))
+        groups, free = groups.join(taken, keys, "left"), 1 - F.coalesce("_taken", F.lit(0))
+    broken = groups.withColumn("n", F.col("n") - free).where(F.col("n") > 0)
+    return broken.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("violations"), F.min("first_row").alias("first_row")).select(
         F.lit(rule.name).alias("rule"), "violations", "first_row"
     )
 
 
-def reference_report(df: DataFrame, rule: References, row_id: str) -> DataFrame:
-    lost = orphan_keys(df, rule.column, rule.parent, rule.key, row_id)
-    return lost.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("violations"), F.min("first_row").alias("first_row")).select(
-        F.lit(rule.name).alias("rule"), "violations", "first_row"
-    )
+def reference_report(df: DataFrame, rules: Sequence[References], row_id: str) -> DataFrame:
+    """One line per foreign key, all of them from one pass over the rows.
+
+    Every row gives one (key, value) pair for each of its keys; pairs are counted first,
+    so the one join with the parents' keys sees each value once.
+    """
+    value = [F.struct(F.lit(at).alias("at"), F.col(rule.column).cast("string").alias("value")) for at, rule in enumerate(rules)]
+    used = df.select(F.col(row_id).alias("_row"), F.explode(F.array(*value)).alias("_pair")).where("_pair.value IS NOT NULL")
+    used = used.groupBy("_pair.at", "_pair.value").agg(F.count(F.lit(1)).alias("n"), F.min("_row").alias("first_row"))
+    known = [rule.parent.select(F.lit(at).alias("at"), F.col(rule.key).cast("string").alias("value")) for at, rule in enumerate(rules)]
+    lost = used.join(reduce(DataFrame.union, known).distinct(), ["at", "value"], "left_anti").groupBy("at")
+    lost = lost.agg(F.sum("n").alias("violations"), F.min("first_row").alias("first_row"))
+    names = df.sparkSession.createDataFrame([(at, rule.name) for at, rule in enumerate(rules)], "at int, rule string")
+    return names.join(lost, "at", "left").select("rule", F.coalesce("violations", F.lit(0)).alias("violations"), "first_row")
 
 
 def batch_report(
@@ -150,15 +168,16 @@ def batch_report(
     rules: Sequence[Rule] = (),
     unique: Sequence[Unique] = (),
     references: Sequence[References] = (),
+    stored: DataFrame | None = None,
 ) -> DataFrame:
-    """Every declared constraint of a batch with its violations and first offending row."""
+    """Every declared constraint of a batch with its violations and first offending row.
+
+    ``stored`` is the table the batch is bound for: a key that is in it is not unique.
+    """
     parts = [rule_report(df, rules, row_id)] if rules else []
-    parts += [unique_report(df, rule, row_id) for rule in unique]
-    parts += [reference_report(df, rule, row_id) for rule in references]
-    report = parts[0]
-    for part in parts[1:]:
-        report = report.unionByName(part)
-    return report
+    parts += [unique_report(df, rule, row_id, stored) for rule in unique]
+    parts += [reference_report(df, references, row_id)] if references else []
+    return reduce(DataFrame.unionByName, parts)
 
 
 class BatchRejected(ValueError):
@@ -185,8 +204,13 @@ class Batch:
     def write(self) -> int:
         return (replace if self.replaces else append)(self.rows.select(*self.columns), self.path)
 
+    def stored(self) -> DataFrame | None:
+        """What is in the table already, unless the batch takes its place."""
+        spark = self.rows.sparkSession
+        return None if self.replaces or not table_exists(spark, self.path) else spark.read.parquet(self.path)
+
     def assert_valid(self) -> None:
-        report = batch_report(self.rows, self.row_id, self.rules, self.unique, self.references)
+        report = batch_report(self.rows, self.row_id, self.rules, self.unique, self.references, self.stored())
         broken = report.where(F.col("violations") > 0).orderBy(F.col("first_row").asc_nulls_last(), "rule").limit(1).collect()
         if broken:
             raise BatchRejected(self.path, broken[0]["rule"], broken[0]["first_row"], broken[0]["violations"])
@@ -196,17 +220,17 @@ def load_batches(batches: Sequence[Batch]) -> int:
     """All or nothing: every batch is checked before the first one is written.
 
     Rules see the wide rows; ``columns`` narrows them on the way out. The checks and
-    the write read the same persisted rows. Each write is atomic by itself; a crash
+    the write read the same frozen rows. Each write is atomic by itself; a crash
     between two of them is repaired by a keyed re-run.
     """
-    kept = [batch.rows.persist() for batch in batches]
+    kept = [replace_rows(batch, rows=snapshot(batch.rows)) for batch in batches]
     try:
-        for batch in batches:
+        for batch in kept:
             batch.assert_valid()
-        return sum(batch.write() for batch in batches)
+        return sum(batch.write() for batch in kept)
     finally:
-        for rows in kept:
-            rows.unpersist()
+        for batch in kept:
+            discard(batch.rows)
 
 
 def load_batch(batch: Batch) -> int:

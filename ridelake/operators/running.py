@@ -5,17 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ridelake.functions.temporal import hour_number
+from ridelake.functions.temporal import minute_number
 from ridelake.operators.lookups import crowded_keys, key_frame, partitions
 
 
 def running_total(df: DataFrame, per: str, at: str, value: str, name: str) -> DataFrame:
     """Cumulative ``value`` per key in time order; rows at the same time share a total.
 
-    The history of a crowded key is cut at the full hours: inside an hour the window
-    runs over that hour's rows only, and what came before is added from hourly sums,
-    which are combined map-side. Rows of the same time never straddle a cut, so ties
-    come out as under one window over all. Other keys keep one window each, and the
+    The history of a crowded key is cut at the full minutes: inside a minute the window
+    runs over that minute's rows only, and what came before is added from sums per
+    minute, which are combined map-side. Rows of the same time never straddle a cut, so
+    ties come out as under one window over all. Other keys keep one window each, and the
     rows are shuffled once in either case. ``per`` and ``at`` hold no NULLs.
     """
     crowded = crowded_keys(df, per, partitions(df))
@@ -23,16 +23,16 @@ def running_total(df: DataFrame, per: str, at: str, value: str, name: str) -> Da
         return df.withColumn(name, F.sum(value).over(Window.partitionBy(per).orderBy(at)))
 
     keys = F.broadcast(key_frame(df, per, crowded).select(per, F.lit(True).alias("_crowded")))
-    hour = hour_number(F.col(at))
+    minute = minute_number(F.col(at))
     before = Window.partitionBy(per).orderBy("_cut").rowsBetween(Window.unboundedPreceding, -1)
     earlier = (
         df.join(keys, per, "left_semi")
-        .groupBy(per, hour.alias("_cut"))
+        .groupBy(per, minute.alias("_cut"))
         .agg(F.sum(value).alias("_sum"))
         .select(per, "_cut", F.sum("_sum").over(before).alias("_before"))
     )
     within = F.sum(value).over(Window.partitionBy(per, "_cut").orderBy(at))
-    cut = df.join(keys, per, "left").withColumn("_cut", F.when(F.col("_crowded"), hour).otherwise(0))
+    cut = df.join(keys, per, "left").withColumn("_cut", F.when(F.col("_crowded"), minute).otherwise(0))
     total = F.when(F.col("_before").isNull(), F.col("_within")).otherwise(
         F.col("_before") + F.coalesce(F.col("_within"), F.lit(0))
     )

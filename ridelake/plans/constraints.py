@@ -15,6 +15,7 @@ from pyspark.sql.types import StringType, StructType
 
 from ridelake import schemas
 from ridelake.functions import rules as model
+from ridelake.operators.changes import Pointer
 from ridelake.operators.quality import Batch, References, Rule, Unique, check, fits, load_batch, max_length, not_null, one_of
 from ridelake.sources.readers import read_delimited_wide
 
@@ -186,6 +187,16 @@ def operational_constraints(table: str, tables: Mapping[str, DataFrame]) -> dict
     }
 
 
+#: What deleting a parent does to its children; every parent comes before its own children.
+ON_DELETE = (
+    Pointer("driver_licenses", "driver_id", "drivers", "driver_id", cascades=True),
+    Pointer("vehicle_assignments", "vehicle_id", "vehicles", "vehicle_id", cascades=True),
+    Pointer("vehicle_assignments", "driver_id", "drivers", "driver_id", cascades=True),
+    Pointer("trips", "payment_method_id", "payment_methods", "payment_method_id", cascades=False),
+    Pointer("trip_cancellations", "trip_id", "trips", "trip_id", cascades=True),
+)
+
+
 def defaults(table: str) -> dict[str, Column]:
     """Values for columns an input leaves out altogether."""
     now = F.current_timestamp().cast("timestamp_ntz")

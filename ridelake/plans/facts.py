@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass
 from datetime import datetime, timedelta
 
@@ -15,10 +16,10 @@ from ridelake.functions.rules import fact_fare
 from ridelake.functions.temporal import date_key, minutes_between, ntz, quarter_hour_key
 from ridelake.operators.changes import insert_if_absent
 from ridelake.operators.keys import next_free_key, parallel_keys
-from ridelake.operators.lookups import Size, lookup, table_sizes
+from ridelake.operators.lookups import Size, lookup, table_sizes, together
 from ridelake.plans.warehouse import DIMENSIONS, dim_date, dim_time
 from ridelake.sources.readers import read_table
-from ridelake.sources.writers import append, create_if_absent, replace, snapshot
+from ridelake.sources.writers import append, create_if_absent, discard, replace, snapshot
 
 
 @dataclass(frozen=True)
@@ -66,13 +67,14 @@ def resolve_keys(
     """
     tables = _one_per_key(dims)
     measured = sizes or table_sizes({link.table: dims[link.table].select(link.match, link.take) for link in LINKS})
+    bounds = together(measured, Counter(link.table for link in LINKS), limit)
     requested = F.col("requested_at")
     timed = trips.withColumns({"date_key": date_key(requested), "time_key": quarter_hour_key(requested)})
     resolved = timed
     for link in LINKS:
         resolved = lookup(
             resolved, tables[link.table], link.by, link.match, {link.name: link.take},
-            row_id="trip_id", size=measured[link.table], keys_from=timed, limit=limit,
+            row_id="trip_id", size=measured[link.table], keys_from=timed, limit=bounds[link.table],
         )
 
     def missing(link: Link) -> Column:
@@ -122,10 +124,13 @@ def slice_from(trips: DataFrame, since: datetime | None) -> DataFrame:
     return trips if since is None else trips.where(F.col("requested_at") >= ntz(since))
 
 
-def stored_from(facts: DataFrame, since: datetime) -> DataFrame:
-    """The stored facts a slice can collide with; partition and row-group filters
-    keep the rest unread."""
-    return facts.where((F.col("date_key") >= date_key(ntz(since))) & (F.col("requested_at") >= ntz(since)))
+def unseen(facts: DataFrame, stored: DataFrame) -> DataFrame:
+    """Facts whose trip id is stored nowhere, at whatever time the trip was requested then.
+
+    The source may move a stored trip to another time, so the whole target counts; of
+    it, one column is read. The earliest of several rows of a trip is taken.
+    """
+    return insert_if_absent(facts, stored, ["source_trip_id"], ["requested_at"])
 
 
 def new_facts(trips: DataFrame, dims: dict[str, DataFrame], stored: DataFrame | None = None) -> DataFrame:
@@ -133,6 +138,17 @@ def new_facts(trips: DataFrame, dims: dict[str, DataFrame], stored: DataFrame |
     return insert_if_absent(measures(resolve_keys(trips, dims)), stored, ["source_trip_id"], ["requested_at"])
 
 
+def with_natural_ids(facts: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
+    """Facts with each surrogate key replaced by the natural id of the dimension row it points at."""
+    shown = facts
+    for link in LINKS:
+        if link.match != link.take:
+            table = dims[link.table]
+            shown = lookup(shown, table, link.name, link.take, {"natural_id": link.match}, row_id="source_trip_id")
+            shown = shown.withColumn(link.name, F.col("natural_id")).drop("natural_id")
+    return shown.select(*facts.columns)
+
+
 def load_dimensions(
     spark: SparkSession, sources: dict[str, DataFrame], root: str, as_of: Column, first: str, last: str
 ) -> dict[str, int]:
@@ -159,26 +175,25 @@ def stored_facts(spark: SparkSession, root: str) -> DataFrame:
     return read_table(spark, path, schemas.FACT_TRIPS)
 
 
-def load_slice(
-    spark: SparkSession, trips: DataFrame, root: str, since: datetime | None, rejected: str | None = None
-) -> dict[str, int]:
+def load_slice(spark: SparkSession, trips: DataFrame, root: str, rejected: str | None = None) -> dict[str, int]:
     """Resolve and append the trips of a slice that are not stored yet.
 
-    ``since`` is the earliest request time in the slice; stored facts before it
-    cannot collide and stay unread. The resolved slice is frozen once and read twice,
-    for the facts and for the rejects. Facts are stored by day; the rebalance sizes
-    the files and splits a crowded day over several writers.
+    Trip ids are compared with those of all stored facts, of which only that column is
+    read. The resolved slice is frozen once and read twice, for the facts and for the
+    rejects. Facts are stored by day; the rebalance sizes the files and splits a crowded
+    day over several writers.
     """
     stored = stored_facts(spark, root)
     dims = {table: read_table(spark, f"{root}/{table}") for table in schemas.WAREHOUSE if table != "fact_trips"}
     resolved = snapshot(resolve_keys(trips, dims))
-    known = stored if since is None else stored_from(stored, since)
-    fresh = insert_if_absent(measures(resolved), known, ["source_trip_id"], ["requested_at"])
+    fresh = unseen(measures(resolved), stored)
     keyed = parallel_keys(fresh.hint("rebalance", "date_key"), "trip_key", next_free_key(stored, "trip_key"))
-    return {
+    added = {
         "fact_trips": append(schemas.conform(keyed, schemas.FACT_TRIPS), f"{root}/fact_trips", by=("date_key",)),
         "rejected_trips": replace(rejects(resolved), rejected or f"{root}/rejected_trips"),
     }
+    discard(resolved)
+    return added
 
 
 def load_facts(
@@ -187,7 +202,7 @@ def load_facts(
     """Load what the high-water mark says is new; everything into an empty warehouse."""
     mark = high_water_mark(stored_facts(spark, root)).first()["watermark"]
     since = None if mark is None else mark - lookback
-    return load_slice(spark, slice_from(trips, since), root, since)
+    return load_slice(spark, slice_from(trips, since), root)
 
 
 def run_etl(

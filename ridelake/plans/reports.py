@@ -7,6 +7,8 @@ key instead of every trip, whatever the skew.
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,7 +16,7 @@ from ridelake.functions.numeric import percent_of
 from ridelake.functions.ordering import ascending, descending
 from ridelake.functions.rules import view_fare
 from ridelake.functions.temporal import minutes_between
-from ridelake.operators.lookups import lookup, table_sizes
+from ridelake.operators.lookups import lookup, table_sizes, together, without_match
 from ridelake.operators.running import running_total, share_of_total
 
 
@@ -35,8 +37,12 @@ def completed_trips(
         (cities, "cities", "dropoff_location_id", "location_id", "city_name", "dropoff_city", "inner"),
         (payments, "payments", "payment_method_id", "payment_method_id", "name", "payment_method", "left"),
     )
+    bounds = together(sizes, Counter(role[1] for role in roles))
     for table, size, key, match, column, name, how in roles:
-        detail = lookup(detail, table, key, match, {name: column}, row_id="trip_id", size=sizes[size], how=how, keys_from=trips)
+        detail = lookup(
+            detail, table, key, match, {name: column},
+            row_id="trip_id", size=sizes[size], how=how, keys_from=trips, limit=bounds[size],
+        )
     return detail.select(
         "trip_id", "driver_name", "passenger_name", "pickup_city", "dropoff_city",
         "fare_amount", "distance_km", "rating", "payment_method", "requested_at", "completed_at",
@@ -100,6 +106,19 @@ def driver_completed_rides(trips: DataFrame, drivers: DataFrame) -> DataFrame:
     return named.orderBy(descending("completed_rides"), ascending("driver_id"))
 
 
+def flagged_trips(drivers: DataFrame, trips: DataFrame) -> DataFrame:
+    """Drivers left-joined with their trips, completed ones flagged in front; a driver's own id is ``id``."""
+    flag = F.when(has_status("completed"), 1).alias("is_completed")
+    people = drivers.select(F.col("driver_id").alias("id"), F.col("name").alias("driver_name"))
+    sizes = table_sizes({"drivers": people})
+    named = lookup(
+        trips, people.withColumn("known", F.col("id")), "driver_id", "id", {"id": "known", "driver_name": "driver_name"},
+        row_id="trip_id", size=sizes["drivers"], how="inner",
+    )
+    idle = without_match(people, "id", trips, "driver_id")
+    return named.unionByName(idle, allowMissingColumns=True).select(flag, "id", "driver_name", *trips.columns)
+
+
 def running_fare(trips: DataFrame, drivers: DataFrame) -> DataFrame:
     """Each completed trip with its driver's takings up to then."""
     done = trips.where(has_status("completed")).select("trip_id", "driver_id", "requested_at", "fare_amount")

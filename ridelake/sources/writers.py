@@ -24,8 +24,23 @@ def append(df: DataFrame, path: str, by: tuple[str, ...] = ()) -> int:
 
 
 def replace(df: DataFrame, path: str, by: tuple[str, ...] = ()) -> int:
-    """Drop whatever is stored and write anew."""
-    return _written(df, path, "overwrite", by)
+    """Put a new table in the place of whatever is stored; returns its rows.
+
+    The rows are written beside the old table, which is only moved away and deleted when all
+    of them are there: a failed write leaves it as it was.
+    """
+    mark = uuid4().hex
+    fresh, old = f"{path.rstrip('/')}-fresh-{mark}", f"{path.rstrip('/')}-old-{mark}"
+    rows = _written(df, fresh, "error", by)
+    spark = df.sparkSession
+    at = spark._jvm.org.apache.hadoop.fs.Path
+    files = at(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    if files.exists(at(path)):
+        files.rename(at(path), at(old))
+    if not files.rename(at(fresh), at(path)):
+        raise OSError(f"could not move {fresh} to {path}; what was stored is at {old}")
+    files.delete(at(old), True)
+    return rows
 
 
 def replace_bucketed(df: DataFrame, table: str, by: str, buckets: int) -> None:
@@ -75,3 +90,13 @@ def snapshot(df: DataFrame, name: str | None = None) -> DataFrame:
     df.write.parquet(path)
     frozen = df.sparkSession.read.schema(df.schema).parquet(path)
     return named_view(frozen, name) if name else frozen
+
+
+def discard(frozen: DataFrame) -> None:
+    """Delete the files of a snapshot once everything made from it is written."""
+    spark = frozen.sparkSession
+    shared = shared_folder(spark)
+    for file in {name.rsplit("/", 1)[0] for name in frozen.inputFiles()}:
+        if "/snapshot-" in file and file.removeprefix("file:").lstrip("/").startswith(shared.removeprefix("file:").lstrip("/")):
+            path = spark._jvm.org.apache.hadoop.fs.Path(file)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -8,7 +8,6 @@ after a failure adds nothing twice.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ridelake import schemas
@@ -17,10 +16,9 @@ from ridelake.sources.writers import shared_folder
 
 
 def load_arriving(trips: DataFrame, number: int, root: str) -> None:
-    """Load one batch; stored facts older than its earliest trip stay unread."""
-    earliest = trips.agg(F.min("requested_at")).first()[0]
-    if earliest is not None:
-        load_slice(trips.sparkSession, trips, root, earliest, rejected=f"{root}/rejected_arrivals/batch={number}")
+    """Load one batch; a batch without trips writes nothing."""
+    if not trips.isEmpty():
+        load_slice(trips.sparkSession, trips, root, rejected=f"{root}/rejected_arrivals/batch={number}")
 
 
 def follow_trips(spark: SparkSession, folder: str, root: str, name: str, files_per_batch: int = 1000) -> StreamingQuery:

@@ -3,11 +3,12 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry
+from ridelake.catalog.oracle import ORACLE
+from ridelake.catalog.queries import QUERIES
 from ridelake.operators import lookups
 from tests.compare import difference, sql_session
 from tests.conftest import plan_of
 
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -30,6 +31,7 @@ def test_query_matches_sql_beyond_the_broadcast_bound(spark, con, folder, name,
 
 def test_every_query_has_a_check():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
 
 
 def test_entry(spark):

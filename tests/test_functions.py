@@ -73,7 +73,7 @@ def test_time_zone_never_enters(spark):
         assert float(value(spark, temporal.minutes_between(start, end))) == pytest.approx(120 + 9.5 / 60)
         assert value(spark, temporal.quarter_hour_key(moment("2024-03-10 02:31:00"))) == 230
         assert value(spark, temporal.year_month(moment("2024-03-10 02:31:00"))) == "2024-03"
-        assert value(spark, temporal.hour_number(moment("1970-01-02 03:59:00"))) == 27
+        assert value(spark, temporal.minute_number(moment("1970-01-02 03:59:00"))) == 27 * 60 + 59
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
 
@@ -174,3 +174,8 @@ def test_date_column_works_for_keys(spark):
     day = F.lit(date(2024, 2, 29))
     assert value(spark, temporal.date_key(day)) == 20240229
     assert value(spark, temporal.day_of_week(day)) == 4
+
+
+def test_white_space_of_other_scripts(spark):
+    names = spark.createDataFrame([("anita\u3000rai",), ("anita\u2003 rai\u00a0",)], "name string")
+    assert names.select(text.clean_name(F.col("name"))).distinct().collect() == [("Anita Rai",)]

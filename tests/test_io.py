@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import os
 from datetime import datetime
 from decimal import Decimal
 from unittest import mock
@@ -122,3 +123,22 @@ def test_inline_rows(spark):
 def test_conform_orders_and_narrows(frame):
     got = schemas.conform(frame("name string, x int, driver_id int", ("a", 1, 2)), schemas.DRIVER_NAMES)
     assert got.dtypes == [("driver_id", "bigint"), ("name", "string")]
+
+
+def test_a_failed_replacement_leaves_the_old_table(spark, frame, tmp_path):
+    path = str(tmp_path / "kept")
+    writers.replace(frame("id int", 1, 2), path)
+    broken = frame("id int", 1).select(F.raise_error(F.lit("stop")).cast("int").alias("id"))
+    with pytest.raises(Exception, match="stop"):
+        writers.replace(broken, path)
+    assert spark.read.parquet(path).count() == 2
+    assert writers.replace(spark.read.parquet(path).where("id = 1"), path) == 1
+    assert rows_of(spark.read.parquet(path)) == [(1,)]
+
+
+def test_a_snapshot_can_be_discarded(spark, frame):
+    frozen = writers.snapshot(frame("id int", 1, 2))
+    (folder,) = {name.rsplit("/", 1)[0].removeprefix("file://") for name in frozen.inputFiles()}
+    writers.discard(frozen)
+    assert not os.path.exists(folder)
+    writers.discard(frame("id int", 1))

@@ -113,3 +113,10 @@ def test_not_in_follows_null_rules(spark, frame, others, kept):
 def test_without_match_keeps_null_keys(frame):
     got = lookups.without_match(frame(*DRIVERS), "id", frame("driver int", 1, None), "driver")
     assert rows_of(got) == [(2,), (None,)]
+
+
+def test_tables_broadcast_together_stay_within_the_limit():
+    sizes = {"small": lookups.Size(1, 10), "twice": lookups.Size(1, 30), "large": lookups.Size(1, 50)}
+    assert lookups.together(sizes, {"twice": 2}, limit=100) == {"small": 10, "twice": 30, "large": -1}
+    assert lookups.together(sizes, limit=100) == {"small": 10, "twice": 30, "large": 50}
+    assert lookups.together(sizes, limit=0) == {"small": -1, "twice": -1, "large": -1}

@@ -128,3 +128,36 @@ def test_rows_can_be_dated(frame):
     trips = frame("id int, status string, at timestamp_ntz", (1, "completed", None), (2, "cancelled", None), (3, "completed", datetime(2024, 1, 1)))
     timed = q.check("timed", ((F.col("status") == "completed") & F.col("at").isNotNull()) | (F.col("status") != "completed"))
     assert rows_of(q.rule_report(trips, [timed], "id")) == [("timed", 1, 1)]
+
+
+def test_keys_already_stored_are_taken(frame, tmp_path):
+    path = str(tmp_path / "people")
+    rows = frame("id int, name string", (1, "a"), (2, "b"))
+    gate = q.Batch(rows, path, "id", unique=[q.Unique(("id",))])
+    assert q.load_batch(gate) == 2
+    with pytest.raises(q.BatchRejected) as refused:
+        q.load_batch(gate)
+    assert (refused.value.rule, refused.value.row, refused.value.violations) == ("id_unique", 1, 2)
+    more = frame("id int, name string", (2, "c"), (3, "d"), (3, "e"), (None, "f"), (None, "g"))
+    report = q.batch_report(more, "name", unique=[q.Unique(("id",))], stored=rows)
+    assert [tuple(row) for row in report.collect()] == [("id_unique", 2, "c")]
+    assert q.load_batch(q.Batch(rows, path, "id", unique=[q.Unique(("id",))], replaces=True)) == 2
+
+
+def test_foreign_keys_are_checked_in_one_pass(frame):
+    child = frame("id int, a int, b bigint", (1, 1, 9), (2, 5, None), (3, 5, 8), (4, None, 8))
+    references = [
+        q.References("a", frame("k int", 1, 2), "k"),
+        q.References("b", frame("k bigint", 9), "k"),
+        q.References("id", frame("k int", 1, 2, 3, 4), "k"),
+    ]
+    report = q.batch_report(child, "id", references=references)
+    assert {tuple(row) for row in report.collect()} == {("a_reference", 2, 2), ("b_reference", 2, 3), ("id_reference", 0, None)}
+
+
+def test_many_keys_scan_the_child_once(spark, folder):
+    lines = spark.read.parquet(f"{folder}/lineitem.parquet")
+    parents = {"l_partkey": ("part", "p_partkey"), "l_suppkey": ("supplier", "s_suppkey"), "l_orderkey": ("orders", "o_orderkey")}
+    references = [q.References(c, spark.read.parquet(f"{folder}/{t}.parquet"), k) for c, (t, k) in parents.items()]
+    plan = plan_of(q.reference_report(lines, references, "l_linenumber"))
+    assert plan.count("lineitem.parquet") == 1

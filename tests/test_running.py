@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ridelake.functions.temporal import minute_number
 from ridelake.operators.running import running_total, share_of_total
 from tests.conftest import plan_of, rows_of
 
@@ -38,7 +39,7 @@ def test_equals_one_window_over_all(frame, seed):
 
 
 def test_no_task_sees_a_crowded_history(frame):
-    """A crowded driver's rows are windowed by hour; only hourly sums meet per driver."""
+    """A crowded driver's rows are windowed by minute; only sums per minute meet per driver."""
     crowd = [(i, 1, datetime(2024, 1, 1) + timedelta(minutes=i), Decimal(1)) for i in range(300)]
     text = plan_of(running_total(frame(DDL, *crowd), "driver", "at", "fare", "total"))
     windows = [line for line in text.splitlines() if "Window [" in line]
@@ -49,6 +50,17 @@ def test_no_task_sees_a_crowded_history(frame):
     assert text.count("Window [") == 1 and "Join" not in text
 
 
+def test_a_busy_hour_is_cut_too(frame):
+    """All rows in one hour still fall into several windows, and ties keep one total."""
+    crowd = [(i, 1, datetime(2024, 1, 1, 9, i % 60, i % 7), Decimal(1)) for i in range(600)]
+    rows = frame(DDL, *crowd)
+    total = running_total(rows, "driver", "at", "fare", "total")
+    want = {i: sum(other <= at for _, _, other, _ in crowd) for i, _, at, _ in crowd}
+    assert {row["id"]: row["total"] for row in total.collect()} == want
+    cuts = rows.select(minute_number(F.col("at"))).distinct().count()
+    assert cuts == 60
+
+
 def test_share_of_total(frame):
     hours = frame("hour int, n bigint", (0, 1), (1, 2), (2, 5))
     got = share_of_total(hours, "n", "pct", 2).select("hour", "pct")

@@ -207,3 +207,22 @@ def test_whole_model_loads_from_stored_tables(spark, folder, tmp_path):
     every = operational.priced_trips(spark, folder)
     added = facts.run_etl(spark, {**model, "trips": every}, str(tmp_path / "dw"), as_of=AS_OF, first="1995-01-01", last="2001-06-30")
     assert added["fact_trips"] + added["rejected_trips"] == every.count()
+
+
+def test_a_trip_moved_in_time_is_not_stored_twice(spark, sources, trips, tmp_path):
+    root = str(tmp_path / "dw")
+    assert run(spark, sources, root, trips(trip(1), trip(2)))["fact_trips"] == 2
+    moved = trips(trip(1, at=datetime(2024, 8, 1)), trip(2, at=datetime(2024, 1, 1)), trip(3))
+    assert run(spark, sources, root, moved, lookback=timedelta(days=400))["fact_trips"] == 1
+    assert rows_of(stored(spark, root, "fact_trips").select("source_trip_id")) == [(1,), (2,), (3,)]
+    incremental.load_arriving(trips(trip(2, at=datetime(2024, 9, 1)), trip(4)), 7, root)
+    assert stored(spark, root, "fact_trips").count() == 4
+    incremental.load_arriving(trips(trip(1)).where("false"), 8, root)
+
+
+def test_keys_lead_back_to_natural_ids(spark, sources, trips):
+    dims = warehouse.build_dimensions(spark, sources, ntz(AS_OF), *CALENDAR)
+    dims["dim_driver"] = dims["dim_driver"].withColumn("driver_key", F.col("driver_key") + 70)
+    loaded = facts.measures(facts.resolve_keys(trips(trip(1, driver=2), trip(2, pay=None)), dims))
+    shown = facts.with_natural_ids(loaded, dims).select("source_trip_id", "driver_key", "passenger_key", "payment_method_key")
+    assert rows_of(shown) == [(1, 2, 1, 1), (2, 1, 1, None)]

@@ -101,3 +101,26 @@ def test_parallel_keys_need_no_shuffle(spark):
 def test_timestamps_order_batches(frame, order):
     batch = frame("k int, at timestamp_ntz, id int", (1, datetime(2024, 1, 2), 1), (1, datetime(2024, 1, 1), 2))
     assert changes.first_per_key(batch, ["k"], order).first()["id"] == 2
+
+
+def test_a_delete_reaches_children_and_their_children(frame):
+    tables = {
+        "a": frame("id int", 1, 2, 3),
+        "b": frame("id int, a int", (10, 1), (11, 2), (12, None)),
+        "c": frame("id int, b int", (20, 10), (21, 11), (22, 10)),
+        "d": frame("id int, a int", (30, 1), (31, 3), (32, None)),
+    }
+    pointers = (
+        changes.Pointer("b", "a", "a", "id", cascades=True),
+        changes.Pointer("c", "b", "b", "id", cascades=True),
+        changes.Pointer("d", "a", "a", "id", cascades=False),
+        changes.Pointer("absent", "a", "a", "id", cascades=True),
+    )
+    left = changes.delete_with_children(tables, pointers, "a", F.col("id") == 1)
+    found = {name: rows_of(rows) for name, rows in left.items()}
+    assert found == {
+        "a": [(2,), (3,)],
+        "b": [(11, 2), (12, None)],
+        "c": [(21, 11)],
+        "d": [(30, None), (31, 3), (32, None)],
+    }

@@ -193,7 +193,8 @@ def _pairs_by_prefix(scratch: Scratch, entries: DataFrame, open_: DataFrame, tex
 
     A set of n with a link has at least ceil(0.85 n) shingles in common with the other, so at
     least one among its rarest n - ceil(0.85 n) + 1, in any order that all sets agree on; the
-    rarest of the common ones is in both prefixes.
+    rarest of the common ones is in both prefixes. If it is the i-th of one set and the j-th of the
+    other, no more than what follows there can be common too, which must be enough for a link.
     """
     around = entries.join(open_.select("bucket").distinct(), "bucket", "left_semi").select("doc_id").distinct()
     rows = _shingle_rows(texts.join(around, "doc_id", "left_semi"))
@@ -201,17 +202,21 @@ def _pairs_by_prefix(scratch: Scratch, entries: DataFrame, open_: DataFrame, tex
     seen = rows.groupBy("shingle").agg(F.count("*").alias("seen")).where("seen > 1")
     ranked = rows.join(seen, "shingle").groupBy("doc_id", "n")  # shingles of one document only pair nothing
     ranked = ranked.agg(F.array_sort(F.collect_list(F.struct("seen", "shingle"))).alias("common"))
-    needed = F.floor((F.lit(100 - SIMILARITY) * F.col("n")) / 100) + 1 - (F.col("n") - F.size("common"))
-    prefix = F.slice("common", F.lit(1), F.greatest(needed, F.lit(0)).cast("int"))
-    prefixes = ranked.select("doc_id", "n", F.explode(F.transform(prefix, lambda t: t["shingle"])).alias("shingle"))
+    alone = F.col("n") - F.size("common")  # in no other set, and so the rarest
+    reach = F.floor((F.lit(100 - SIMILARITY) * F.col("n")) / 100) + 1 - alone
+    prefix = F.slice("common", F.lit(1), F.greatest(reach, F.lit(0)).cast("int"))
+    prefixes = ranked.select("doc_id", "n", alone.alias("alone"), F.posexplode(F.transform(prefix, lambda t: t["shingle"])))
+    after = F.col("n") - F.col("alone") - F.col("pos")  # the shingle and what follows it
+    prefixes = prefixes.select("doc_id", "n", after.alias("after"), F.col("col").alias("shingle"))
     prefixes = scratch.freeze(_with_component(prefixes, labels, "doc_id"), "prefixes")
     scratch.drop("shingles")
     mine = prefixes.join(open_.select("doc_id").distinct(), "doc_id", "left_semi")
-    mine = mine.select(F.col("doc_id").alias("a"), F.col("n").alias("n_a"), "shingle", F.col("doc_id_component").alias("of_a"))
-    met = mine.join(prefixes, "shingle").where(
-        (F.col("of_a") != F.col("doc_id_component"))
-        & (100 * F.least("n_a", "n") >= SIMILARITY * F.greatest("n_a", "n"))
-    )
+    mine = mine.select(
+        F.col("doc_id").alias("a"), F.col("n").alias("n_a"), F.col("after").alias("after_a"), "shingle",
+        F.col("doc_id_component").alias("of_a"),
+    )
+    enough = (100 + SIMILARITY) * F.least("after_a", "after") >= SIMILARITY * (F.col("n_a") + F.col("n"))
+    met = mine.join(prefixes, "shingle").where((F.col("of_a") != F.col("doc_id_component")) & enough)
     return met.select(F.least("a", "doc_id").alias("a"), F.greatest("a", "doc_id").alias("b")).distinct()
 
 

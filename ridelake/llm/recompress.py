@@ -17,8 +17,8 @@ one. Names that decide are 128-bit hashes.
 
 A word goes if it lies in a window whose words also start in a document with a smaller doc_id;
 windows are judged on the input. Defined cases: null and empty texts have no words and no
-window, nor have texts of fewer than ``WINDOW`` words; windows that hold no border (long runs)
-are their own segment; rows with a null doc_id have no order, so they neither lose words nor make
+window, nor have texts of fewer than ``WINDOW`` words; windows that hold no border
+(inside long runs) are segments of their own, one for as many equal ones as follow each other; rows with a null doc_id have no order, so they neither lose words nor make
 others lose any; rows with equal doc_id do not count as smaller than each other. Only doc_id and
 text are read.
 """
@@ -107,7 +107,7 @@ class Parse:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
         text = self.text[self.windows]
         new = np.ones(n, bool)
-        new[1:] = (self.border[1:] != self.border[:-1]) | (self.border[1:] < 0) | (text[1:] != text[:-1])
+        new[1:] = (self.border[1:] != self.border[:-1]) | (self.name[1:] != self.name[:-1]) | (text[1:] != text[:-1])
         first = np.flatnonzero(new)
         return first, np.diff(np.append(first, n))
 
@@ -154,12 +154,14 @@ def _segment_rows(docs: DataFrame) -> DataFrame:
                 known = pair(wanted.flatten().to_numpy(zero_copy_only=False).view(np.uint64), of.astype(np.uint64))
                 take = np.flatnonzero(np.isin(pair(name, owner.astype(np.uint64)), known))
                 start = parse.windows[first[take]]
-                offset = np.where(parse.border[first[take]] < 0, 0, parse.border[first[take]] - start)
+                lone = parse.border[first[take]] < 0  # equal windows, named as one of them
+                offset = np.where(lone, 0, parse.border[first[take]] - start)
+                end = start + np.where(lone, 1, n[take]) + WINDOW - 1
                 doc = pa.array(owner[take])
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(name[take].view(np.int64)),
-                        *parse.spans(start, start + n[take] + WINDOW - 1, offset),
+                        *parse.spans(start, end, offset),
                         piece.column("doc_id").take(doc),
                         piece.column("version").take(doc),
                         pa.array(parse.place(start).astype(np.int32)),

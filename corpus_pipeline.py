@@ -14,8 +14,8 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
-    return minhash.one_of_each(docs)
+    """One document of each group of near-duplicates, sets of five-word shingles that are alike by 0.8 or more."""
+    return minhash.one_of_each(docs, similarity=80)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

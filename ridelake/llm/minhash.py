@@ -10,10 +10,12 @@ the full shingle sets.
 
 A document left outside the component of a bucket's center may still have a link to another
 member. Of such open documents and those they share a bucket with, shingles are ordered by
-rarity; two sets as similar as asked for share a shingle among the rarest 15 % of either, so
-only pairs that do are compared. Nothing is capped, and no bucket is expanded into its pairs.
+rarity; two sets as similar as asked for share a shingle among the rarest of either (15 % of them
+at 0.85, 20 % at 0.8), so only pairs that do are compared. Nothing is capped, and no bucket is
+expanded into its pairs.
 
-At a similarity of 0.85 two documents share none of the 32 bands with probability 6e-11.
+How similar linked sets are at least is a parameter, in per cent. Two documents share none of the
+32 bands with probability 6e-11 at a similarity of 0.85, and 5e-8 at 0.8.
 
 Defined cases: null texts, and texts without words, have the empty set and are linked with
 nothing; fewer than five words make one shingle of all; rows with a null doc_id are linked with
@@ -37,7 +39,7 @@ from ridelake.llm.textbytes import SOLID, Words, mix, pair, pieces, shingles
 SHINGLE = 5
 BINS, ROWS = 128, 4
 BIN_BITS = 7
-SIMILARITY = 85  # per cent
+SIMILARITY = 85  # per cent, where nothing else is asked for
 
 _EMPTY = np.uint64(2**64 - 1)
 #: For every bin the order in which an empty one asks the others.
@@ -113,8 +115,8 @@ def signatures(docs: DataFrame) -> DataFrame:
     return read.mapInArrow(run, f"doc_id {kind}, n_shingles long, f1 long, f2 long, bands array<long>")
 
 
-def _confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Add ``linked``: whether the full sets of a and b are similar enough."""
+def _confirm(pairs: DataFrame, texts: DataFrame, similarity: int) -> DataFrame:
+    """Add ``linked``: whether the full sets of a and b are as similar as asked for."""
     kind = pairs.schema["a"].dataType.simpleString()
     with_b = pairs.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
     both = with_b.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
@@ -127,10 +129,10 @@ def _confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                 for k in range(piece.num_rows):
                     x, y = xs[x_at[k] : x_at[k + 1]], ys[y_at[k] : y_at[k + 1]]
                     small, large = (x, y) if len(x) < len(y) else (y, x)
-                    if 100 * len(small) >= SIMILARITY * len(large) and len(small):
+                    if 100 * len(small) >= similarity * len(large) and len(small):
                         place = np.minimum(np.searchsorted(large, small), len(large) - 1)
                         common = int((large[place] == small).sum())
-                        linked[k] = 100 * common >= SIMILARITY * (len(x) + len(y) - common)
+                        linked[k] = 100 * common >= similarity * (len(x) + len(y) - common)
                 yield pa.RecordBatch.from_arrays(
                     [piece.column("a"), piece.column("b"), pa.array(linked)], ["a", "b", "linked"]
                 )
@@ -138,7 +140,7 @@ def _confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.select("a", "b", "text_a", "text_b").mapInArrow(run, f"a {kind}, b {kind}, linked boolean")
 
 
-def linked_components(scratch: Scratch, docs: DataFrame, prints: DataFrame) -> DataFrame:
+def linked_components(scratch: Scratch, docs: DataFrame, prints: DataFrame, similarity: int) -> DataFrame:
     """node and component of the documents that have a link, among one document per distinct set."""
     first = prints.where("doc_id IS NOT NULL AND n_shingles > 0").groupBy("f1", "f2", "n_shingles")
     first = first.agg(F.min("doc_id").alias("doc_id"))
@@ -155,7 +157,7 @@ def linked_components(scratch: Scratch, docs: DataFrame, prints: DataFrame) -> D
     texts = scratch.freeze(texts.join(popular.select("doc_id"), "doc_id", "left_semi"), "texts")
     scratch.drop("entries")
     pairs = entries.where("doc_id <> center").select(F.col("center").alias("a"), F.col("doc_id").alias("b")).distinct()
-    compared = scratch.freeze(_confirm(pairs, texts), "compared")
+    compared = scratch.freeze(_confirm(pairs, texts, similarity), "compared")
     links = compared.where("linked").select("a", "b")
     labels = components(scratch, "by-stars", links)
 
@@ -163,10 +165,10 @@ def linked_components(scratch: Scratch, docs: DataFrame, prints: DataFrame) -> D
     open_ = scratch.freeze(stars.where("doc_id_component <> center_component").select("bucket", "doc_id"), "open")
     if open_.isEmpty():
         return labels
-    pairs = _pairs_by_prefix(scratch, entries, open_, texts, labels)
+    pairs = _pairs_by_prefix(scratch, entries, open_, texts, labels, similarity)
     pairs = pairs.join(compared.select("a", "b"), ["a", "b"], "left_anti")
     pairs = pairs.join(compared.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti")
-    more = scratch.freeze(_confirm(pairs, texts), "compared-open")
+    more = scratch.freeze(_confirm(pairs, texts, similarity), "compared-open")
     return components(scratch, "all", links.unionByName(more.where("linked").select("a", "b")))
 
 
@@ -188,11 +190,13 @@ def _shingle_rows(texts: DataFrame) -> DataFrame:
     return texts.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n long, shingle long")
 
 
-def _pairs_by_prefix(scratch: Scratch, entries: DataFrame, open_: DataFrame, texts: DataFrame, labels: DataFrame) -> DataFrame:
+def _pairs_by_prefix(
+    scratch: Scratch, entries: DataFrame, open_: DataFrame, texts: DataFrame, labels: DataFrame, similarity: int
+) -> DataFrame:
     """Pairs of an open document and another of its buckets' that share one of their rarest shingles.
 
-    A set of n with a link has at least ceil(0.85 n) shingles in common with the other, so at
-    least one among its rarest n - ceil(0.85 n) + 1, in any order that all sets agree on; the
+    At a similarity of s a set of n with a link has at least ceil(s n) shingles in common with the
+    other, so at least one among its rarest n - ceil(s n) + 1, in any order that all sets agree on; the
     rarest of the common ones is in both prefixes. If it is the i-th of one set and the j-th of the
     other, no more than what follows there can be common too, which must be enough for a link.
     """
@@ -203,7 +207,7 @@ def _pairs_by_prefix(scratch: Scratch, entries: DataFrame, open_: DataFrame, tex
     ranked = rows.join(seen, "shingle").groupBy("doc_id", "n")  # shingles of one document only pair nothing
     ranked = ranked.agg(F.array_sort(F.collect_list(F.struct("seen", "shingle"))).alias("common"))
     alone = F.col("n") - F.size("common")  # in no other set, and so the rarest
-    reach = F.floor((F.lit(100 - SIMILARITY) * F.col("n")) / 100) + 1 - alone
+    reach = F.floor((F.lit(100 - similarity) * F.col("n")) / 100) + 1 - alone
     prefix = F.slice("common", F.lit(1), F.greatest(reach, F.lit(0)).cast("int"))
     prefixes = ranked.select("doc_id", "n", alone.alias("alone"), F.posexplode(F.transform(prefix, lambda t: t["shingle"])))
     after = F.col("n") - F.col("alone") - F.col("pos")  # the shingle and what follows it
@@ -215,7 +219,7 @@ def _pairs_by_prefix(scratch: Scratch, entries: DataFrame, open_: DataFrame, tex
         F.col("doc_id").alias("a"), F.col("n").alias("n_a"), F.col("after").alias("after_a"), "shingle",
         F.col("doc_id_component").alias("of_a"),
     )
-    enough = (100 + SIMILARITY) * F.least("after_a", "after") >= SIMILARITY * (F.col("n_a") + F.col("n"))
+    enough = (100 + similarity) * F.least("after_a", "after") >= similarity * (F.col("n_a") + F.col("n"))
     met = mine.join(prefixes, "shingle").where((F.col("of_a") != F.col("doc_id_component")) & enough)
     return met.select(F.least("a", "doc_id").alias("a"), F.greatest("a", "doc_id").alias("b")).distinct()
 
@@ -227,11 +231,14 @@ def _with_component(rows: DataFrame, labels: DataFrame, column: str) -> DataFram
     return joined.withColumn(f"{column}_component", F.coalesce("__component", column)).drop("__component")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """Per row: doc_id, n_shingles, component_id (least doc_id reachable by links) and kept (whether that is its own)."""
+def near_duplicates(docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
+    """Per row: doc_id, n_shingles, component_id (least doc_id reachable by links) and kept (whether that is its own).
+
+    ``similarity`` is the least Jaccard similarity of linked sets, in per cent.
+    """
     scratch = Scratch(docs.sparkSession, "minhash")
     prints = scratch.freeze(signatures(docs), "signatures")
-    labels = linked_components(scratch, docs, prints)
+    labels = linked_components(scratch, docs, prints, similarity)
     known = prints.where("doc_id IS NOT NULL AND n_shingles > 0").select("doc_id", "n_shingles", "f1", "f2")
     first = known.groupBy("f1", "f2", "n_shingles").agg(F.min("doc_id").alias("first"))
     placed = _with_component(known.join(first, ["f1", "f2", "n_shingles"]), labels, "first")
@@ -252,7 +259,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
 
 
-def one_of_each(docs: DataFrame) -> DataFrame:
+def one_of_each(docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
     """The rows that are kept, all columns: one document of every group of near-duplicates."""
-    gone = near_duplicates(docs).where("NOT kept").select(F.col("doc_id").alias("__gone")).distinct()
+    gone = near_duplicates(docs, similarity).where("NOT kept").select(F.col("doc_id").alias("__gone")).distinct()
     return docs.join(gone, docs["doc_id"] == gone["__gone"], "left_anti")

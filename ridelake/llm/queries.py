@@ -63,7 +63,7 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash.near_duplicates(documents(spark, sf_dir))
+    return minhash.near_duplicates(documents(spark, sf_dir), similarity=85)
 
 
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -66,8 +66,8 @@ def shingle_set(text):
     return set(windows(words, 5)) if len(words) >= 5 else {tuple(words)} if words else set()
 
 
-def near_components(rows):
-    """component of every doc_id that is not null."""
+def near_components(rows, similarity=85):
+    """component of every doc_id that is not null, by links of so many per cent."""
     sets = [(doc_id, shingle_set(text)) for doc_id, text in rows if doc_id is not None]
     parent = {doc_id: doc_id for doc_id, _ in sets}
 
@@ -83,7 +83,7 @@ def near_components(rows):
     for members in by_shingle.values():
         common.update((a, b) for i, a in enumerate(members) for b in members[i + 1 :])
     for (a, b), n in common.items():
-        if 100 * n >= 85 * (len(sets[a][1]) + len(sets[b][1]) - n):
+        if 100 * n >= similarity * (len(sets[a][1]) + len(sets[b][1]) - n):
             x, y = root(sets[a][0]), root(sets[b][0])
             parent[max(x, y)] = min(x, y)
     return {doc_id: root(doc_id) for doc_id in parent}

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 import corpus_pipeline
+from ridelake.llm import minhash
 from ridelake.llm.steps import Scratch
 from tests.llm import brute
 
@@ -52,3 +53,42 @@ def test_each_stage_decides_like_brute_force(spark, corpus, folder):
 def test_run_gives_the_last_stage(spark, folder):
     done = corpus_pipeline.run(spark, folder)
     assert {"doc_id", "text", "taken", "position"} <= set(done.columns) and done.count() > 100
+
+
+def test_near_copies_go_from_four_fifths_on(spark, folder):
+    """Sets of 96 shingles: with k words replaced far from each other, 5 k of them differ."""
+    base = [f"word{k}" for k in range(100)]
+
+    def edited(name, k):
+        words = [f"{name}{w}" for w in base]
+        other = [f"{w}x" if i in range(10, 10 + 10 * k, 10) else w for i, w in enumerate(words)]
+        return " ".join(words), " ".join(other)
+
+    # (96 - 5 k) / (96 + 5 k): 0.90, 0.81 and 0.73; and 8 of 10 shingles, 0.8 to the point
+    pairs = [edited("a", 1), edited("b", 2), edited("c", 3), (" ".join(base[:13]), " ".join([*base[:12], "x"]))]
+    rows = [(2 * k + side, text) for k, two in enumerate(pairs) for side, text in enumerate(two)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    left = sorted(r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, folder).collect())
+    of = brute.near_components(rows, 80)
+    assert left == sorted(k for k, _ in rows if of[k] == k) == [0, 2, 4, 5, 6]
+    at_85 = sorted(r.doc_id for r in minhash.near_duplicates(docs).where("kept").collect())
+    assert at_85 == [0, *range(2, 8)]
+
+
+def test_stages_after_near_duplicates_of_four_fifths(spark, corpus, folder):
+    """As in the test of each stage above, with links of 0.8."""
+    scratch = Scratch(spark, "test-pipeline")
+    docs, kept = corpus, []
+    for place, (_, stage) in enumerate(corpus_pipeline.STAGES[:4]):
+        docs = scratch.freeze(stage(spark, docs, folder), f"stage-{place}")
+        kept.append(docs)
+    rows = by_row(kept[0])
+    of = brute.near_components(rows, 80)
+    rows = [(k, t) for k, t in rows if k is None or of[k] == k]
+    assert by_row(kept[1]) == sorted(rows, key=repr)
+    edited = [(k, t if not gone else text, n, gone) for (k, t), (_, n, gone, text) in zip(rows, brute.word_dedup(rows))]
+    rows = [(k, t) for k, t, n, gone in edited if not n or gone < n]
+    assert by_row(kept[2]) == sorted(rows, key=repr)
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{folder}/benchmark.parquet").collect()]
+    rows = [row for row, hit in zip(rows, brute.leaks(rows, items)) if not hit[-1]]
+    assert by_row(kept[3]) == sorted(rows, key=repr)

@@ -5,6 +5,20 @@ failed rule. A policy is a versioned mask over those bits, so applying another v
 asking what leaving one rule out would change, is bit arithmetic on the ledger and reads no
 text. All of it is built-in column functions.
 
+Policy 3 has customary bounds. What ``ablation`` says of it on the 10,000 documents of sf0.1, of
+which 571 are labelled as of quality 0 and 3,409 as of quality 1; in brackets those that would be
+kept without the rule:
+
+    rule                 all         quality 0   quality 1
+    few_words            153 (137)     9 (2)       63 (63)
+    repeated_words       693 (424)   261 (164)     16 (7)
+    some_symbols         712 (698)   304 (296)      0
+    some_repeated_lines  279 (14)     96 (0)       15 (6)
+    short_mean_word        5 (0)       2 (0)        0
+    long_mean_word         6 (1)       0            0
+
+It drops 566 of quality 0 and 85 of quality 1; policy 2 drops 424 and 79.
+
 Defined cases: null text has no words and counts as empty text; it fails the rule on length.
 Repeated rows are judged alike; columns other than doc_id and text are not read; an empty table
 gives an empty ledger. Five-word windows are told apart by a 64-bit hash within one text.
@@ -22,6 +36,11 @@ from ridelake.llm.steps import SOLID_WORD, solid_words
 SYMBOL = r"[#*$%&|<>]"
 WINDOW = 5
 
+#: Customary bounds, of policy 3: symbols a word, lines that repeat another, and characters a word on average.
+SYMBOLS_A_HUNDRED_WORDS = 10
+REPEATED_LINES_PERCENT = 30
+MEAN_WORD = (3, 10)
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -36,6 +55,10 @@ RULES = (
     Rule("symbols", "n_symbols > n_words"),
     Rule("repeated_lines", "2 * n_dup_lines > n_lines"),
     Rule("long_words", "word_chars > 100 * n_words"),
+    Rule("some_symbols", f"100 * n_symbols > {SYMBOLS_A_HUNDRED_WORDS} * n_words"),
+    Rule("some_repeated_lines", f"100 * n_dup_lines > {REPEATED_LINES_PERCENT} * n_lines"),
+    Rule("short_mean_word", f"word_chars < {MEAN_WORD[0]} * n_words"),
+    Rule("long_mean_word", f"word_chars > {MEAN_WORD[1]} * n_words"),
 )
 
 BASE = ("few_words", "repeated_words")
@@ -44,6 +67,7 @@ BASE = ("few_words", "repeated_words")
 POLICIES = {
     1: BASE,
     2: (*BASE, "symbols", "repeated_lines", "long_words"),
+    3: (*BASE, "some_symbols", "some_repeated_lines", "short_mean_word", "long_mean_word"),
 }
 
 

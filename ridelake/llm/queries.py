@@ -46,13 +46,24 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    judged = quality.judge(quality.ledger(documents(spark, sf_dir)))
+def _judged(spark: SparkSession, sf_dir: str, version: int) -> DataFrame:
+    judged = quality.judge(quality.ledger(documents(spark, sf_dir)), version)
+    failed = F.col("failed").bitwiseAND(F.lit(quality.mask(quality.POLICIES[version])).cast("long")).alias("failed")
     return judged.select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "failed", "base_failed", "kept"
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed, "base_failed", "kept"
     )
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Policy 2, whose loose bounds its SQL check holds."""
+    return _judged(spark, sf_dir, 2)
+
+
+def op5_quality_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Policy 3, with customary bounds."""
+    return _judged(spark, sf_dir, 3)
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = recompress.remove_repeats(documents(spark, sf_dir))
     return done.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -83,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op3_mix_sources,
         op4_suffix_dedup,
         op5_quality_rules,
+        op5_quality_strict,
         op6_substring_dedup,
         op7_license_scan,
         op8_near_dedup,
@@ -153,6 +165,16 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, fail
 FROM f
 """
 
+#: The same measurements under the bounds of policy 3.
+_QUALITY_STRICT = _QUALITY.partition("f AS (")[0] + r"""f AS (
+  SELECT *, ((n_words < 10)::BIGINT + 2 * (100 * n_repeat_words > 20 * n_words)::BIGINT + 32 * (10 * n_symbols > n_words)::BIGINT
+    + 64 * (10 * n_dup_lines > 3 * n_lines)::BIGINT + 128 * (word_chars < 3 * n_words)::BIGINT
+    + 256 * (word_chars > 10 * n_words)::BIGINT)::BIGINT AS failed FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failed,
+  (failed & 3) <> 0 AS base_failed, failed = 0 AS kept
+FROM f
+"""
+
 _SUBSTRINGS = r"""
 WITH t AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
 w AS (SELECT doc_id, i, list_slice(words, i, i + 12) AS win FROM t, unnest(range(1, greatest(len(words) - 11, 1))) AS r(i) WHERE len(words) >= 13),
@@ -210,6 +232,7 @@ FROM d LEFT JOIN words_hit USING (doc_id) LEFT JOIN items USING (doc_id)
 ORACLE: dict[str, str] = {
     "op2_chat_format": _CHAT,
     "op5_quality_rules": _QUALITY,
+    "op5_quality_strict": _QUALITY_STRICT,
     "op6_substring_dedup": _SUBSTRINGS,
     "op8_near_dedup": _NEAR,
     "op10_decontaminate": _LEAKS,

@@ -241,6 +241,22 @@ def test_policies_and_ablations_are_bit_arithmetic(spark):
     assert out["symbols"] == (2, 1) and out["repeated_lines"] == (2, 1) and out["few_words"] == (1, 1) and out["long_words"] == (0, 0)
 
 
+def test_strict_policy_drops_what_the_loose_one_keeps(spark):
+    few = " ".join(f"word{k}" for k in range(40))
+    texts = {
+        "clean": few,
+        "some_symbols": few.replace("word3", "| word3"),
+        "some_repeated_lines": "same few words\nthen three others\nsame few words\nand some more\nsame few words",
+        "short_mean_word": " ".join(chr(97 + k % 26) + chr(97 + k // 26) for k in range(60)),
+        "long_mean_word": " ".join(f"unbrokenword{k}" for k in range(40)),
+    }
+    book = quality.ledger(spark.createDataFrame(list(texts.items()), "doc_id string, text string"))
+    kept = {v: {r.doc_id for r in quality.judge(book, v).where("kept").collect()} for v in (2, 3)}
+    assert kept == {2: set(texts), 3: {"clean"}}
+    out = {r.rule: (r.n_failed, r.n_only) for r in quality.ablation(book, 3).collect()}
+    assert all(out[name] == (1, 1) for name in texts if name != "clean")
+
+
 def test_licenses_like_brute_force(corpus, rows, none):
     found = {(r.doc_id, r.license, round(r.dice, 9)) for r in licenses.scan(corpus).collect()}
     expected = {(k, *brute.license_of(t, licenses.TEMPLATES, licenses.THRESHOLD)) for k, t in rows}

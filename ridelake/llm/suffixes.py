@@ -38,6 +38,13 @@ REACH = LENGTH - SEED  # bytes a window may have before its representative
 RUN_ENTRIES = 50_000  # suffixes sorted at once in a task
 BUCKET_ENTRIES = 20_000  # suffixes a merge is to receive on average
 GROUP_ENTRIES = 4_096  # suffixes whose windows are named at once, in whole groups
+HOT_ENTRIES = 2_048  # distinct suffixes of hot seeds whose windows are named at once
+HOT_SEED = 16_384  # occurrences of a seed beyond which its windows are counted by Spark
+NAMES_AT_ONCE = 1 << 18  # windows of a group that are named at once, by their distance
+
+#: Base and byte values of the second half of a 128-bit name.
+BASE_2 = 0xC2B2AE3D27D4EB4F
+BYTE_VALUE_2 = mix(BYTE_VALUE) | np.uint64(1)
 
 
 class Texts:
@@ -194,10 +201,38 @@ def merge(runs: list[Iterator[tuple[bytes, bytes, int, int, int]]]) -> Iterator[
             node //= 2
 
 
+#: Rows that leave the tasks; each kind fills some of the columns.
+_ROW = {
+    "bucket": "int", "run": "long", "entries": "binary", "number": "int", "v1": "long", "v2": "long", "place": "long",
+    "w1": "long", "w2": "long", "to_left": "int", "to_right": "int",
+}
+_ARROW = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
+
+
+def _row_batch(n: int, **filled) -> pa.RecordBatch:
+    """``n`` rows of ``_ROW``, null in the columns that are not given."""
+    columns = [pa.array(filled[name], _ARROW[kind]) if name in filled else pa.nulls(n, _ARROW[kind]) for name, kind in _ROW.items()]
+    return pa.RecordBatch.from_arrays(columns, list(_ROW))
+
+
 def _run_rows(texts: DataFrame, buckets: int) -> DataFrame:
-    """Front-coded runs (bucket, run, entries) and the places of their entries (run, number, v1, v2, place)."""
+    """Front-coded runs (bucket, run, entries), the places of all entries (run, number, v1, v2, place) and,
+    of hot seeds, what ``_hot_windows`` gives (run, number, w1, w2, to_left, to_right)."""
 
-    def emit(found: dict[tuple[int, bytes, bytes], list[int]], owners: list[tuple[int, int, int]]) -> pa.RecordBatch:
+    def emit_hot(found: dict[tuple[bytes, bytes], list[int]], owners: list[tuple[int, int, int]]) -> Iterator[pa.RecordBatch]:
+        run = uuid.uuid4().int >> 65
+        numbers = np.zeros(len(owners), np.int32)
+        for number, places in enumerate(found.values()):
+            numbers[places] = number
+        columns = dict(zip(("v1", "v2", "place"), (list(c) for c in zip(*owners))))
+        yield _row_batch(len(owners), run=[run] * len(owners), number=numbers, **columns)
+        suffixes, lefts = (list(c) for c in zip(*found))
+        times = np.fromiter((min(len(places), 2) for places in found.values()), np.int64, len(found))
+        windows = _hot_windows(suffixes, lefts, times)
+        n = len(windows["number"])
+        yield _row_batch(n, run=[run] * n, **windows)
+
+    def emit(found: dict[tuple[int, bytes, bytes], list[int]], owners: list[tuple[int, int, int]]) -> Iterator[pa.RecordBatch]:
         run = uuid.uuid4().int >> 65
         by_bucket: dict[int, list] = {}
         numbers = np.zeros(len(owners), np.int32)
@@ -206,24 +241,15 @@ def _run_rows(texts: DataFrame, buckets: int) -> DataFrame:
             by_bucket.setdefault(bucket, []).append((suffix, left, number, min(len(places), 2)))
             numbers[places] = number
         n = len(by_bucket)
-        v1, v2, place = (list(c) for c in zip(*owners))
-        none = [None] * n
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array(list(by_bucket) + [None] * len(owners), pa.int32()),
-                pa.array([run] * (n + len(owners)), pa.int64()),
-                pa.array([encode(e) for e in by_bucket.values()] + [None] * len(owners), pa.binary()),
-                pa.array(none + numbers.tolist(), pa.int32()),
-                pa.array(none + v1, pa.int64()),
-                pa.array(none + v2, pa.int64()),
-                pa.array(none + place, pa.int64()),
-            ],
-            ["bucket", "run", "entries", "number", "v1", "v2", "place"],
-        )
+        yield _row_batch(n, bucket=list(by_bucket), run=[run] * n, entries=[encode(e) for e in by_bucket.values()])
+        columns = dict(zip(("v1", "v2", "place"), (list(c) for c in zip(*owners))))
+        yield _row_batch(len(owners), run=[run] * len(owners), number=numbers, **columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[tuple[int, bytes, bytes], list[int]] = {}
         owners: list[tuple[int, int, int]] = []
+        hot_found: dict[tuple[bytes, bytes], list[int]] = {}
+        hot_owners: list[tuple[int, int, int]] = []
         for batch in batches:
             for piece in pieces(batch):
                 texts = Texts(piece.column("text"))
@@ -231,6 +257,8 @@ def _run_rows(texts: DataFrame, buckets: int) -> DataFrame:
                 of = np.repeat(np.arange(piece.num_rows), wanted.value_lengths().to_numpy(zero_copy_only=False))
                 known = pair(wanted.flatten().to_numpy(zero_copy_only=False).view(np.uint64), of.astype(np.uint64))
                 take = np.flatnonzero(np.isin(pair(texts.seeds, texts.text.astype(np.uint64)), known))
+                hot_seeds = piece.column("hot").flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+                hot = np.isin(texts.seeds[take], hot_seeds).tolist()
                 data = texts.bytes.tobytes()
                 text = texts.text[take]
                 v1, v2 = (piece.column(c).to_numpy()[text].tolist() for c in ("v1", "v2"))
@@ -239,24 +267,33 @@ def _run_rows(texts: DataFrame, buckets: int) -> DataFrame:
                 for k, at in enumerate(texts.positions[take].tolist()):
                     suffix = data[at : min(at + LENGTH, end[k])]
                     left = data[max(at - REACH, begin[k]) : at][::-1]
+                    if hot[k]:
+                        hot_found.setdefault((suffix, left), []).append(len(hot_owners))
+                        hot_owners.append((v1[k], v2[k], at - begin[k]))
+                        if len(hot_owners) == RUN_ENTRIES or len(hot_found) == HOT_ENTRIES:
+                            yield from emit_hot(hot_found, hot_owners)
+                            hot_found, hot_owners = {}, []
+                        continue
                     found.setdefault((bucket[k], suffix, left), []).append(len(owners))
                     owners.append((v1[k], v2[k], at - begin[k]))
                     if len(owners) == RUN_ENTRIES:
-                        yield emit(found, owners)
+                        yield from emit(found, owners)
                         found, owners = {}, []
         if owners:
-            yield emit(found, owners)
+            yield from emit(found, owners)
+        if hot_owners:
+            yield from emit_hot(hot_found, hot_owners)
 
-    return texts.mapInArrow(
-        run, "bucket int, run long, entries binary, number int, v1 long, v2 long, place long"
-    )
+    return texts.mapInArrow(run, ", ".join(f"{name} {kind}" for name, kind in _ROW.items()))
 
 
-def _fixed(strings: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
+def _fixed(
+    strings: list[bytes], width: int, values: np.ndarray = BYTE_VALUE, base: int = BASE
+) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of every prefix (0 to width) of the strings, and their lengths."""
     data = np.frombuffer(b"".join(s.ljust(width, b"\0") for s in strings), np.uint8).reshape(len(strings), width)
     sums = np.zeros((len(strings), width + 1), np.uint64)
-    np.cumsum(BYTE_VALUE[data] * powers(BASE, width), axis=1, out=sums[:, 1:])
+    np.cumsum(values[data] * powers(base, width), axis=1, out=sums[:, 1:])
     return sums, np.fromiter(map(len, strings), np.int64, len(strings))
 
 
@@ -264,28 +301,70 @@ def reaches(group: np.ndarray, suffixes: list[bytes], lefts: list[bytes], times:
     """How far the repeated windows of each entry reach to the left and right of it; 0 and 0 if none repeats."""
     right, right_size = _fixed(suffixes, LENGTH)
     left, left_size = _fixed(lefts, REACH)
-    ahead = np.arange(REACH + 1)  # bytes of the window before the entry
-    inside = (left_size[:, None] >= ahead) & (right_size[:, None] >= LENGTH - ahead)
-    name = pair(mix(left[:, ahead]), mix(right[:, LENGTH - ahead]))
-    name = pair(name, group[:, None].astype(np.uint64) * np.uint64(REACH + 1) + ahead.astype(np.uint64))
-    entry, column = np.nonzero(inside)
-    flat_name, counts = name[entry, column], times[entry]
-    order = np.argsort(flat_name, kind="stable")
-    sorted_name = flat_name[order]
-    new = np.ones(len(order), bool)
-    new[1:] = sorted_name[1:] != sorted_name[:-1]
-    starts = np.flatnonzero(new)
-    total = np.add.reduceat(counts[order], starts) if len(starts) else np.zeros(0, np.int64)
-    repeated = np.zeros(len(order), bool)
-    repeated[order] = np.repeat(total, np.diff(np.append(starts, len(order)))) > 1
-    entry, column = entry[repeated], column[repeated]
     to_left = np.full(len(suffixes), -1)
     to_right = np.full(len(suffixes), -1)
-    np.maximum.at(to_left, entry, column)
-    np.maximum.at(to_right, entry, LENGTH - column)
+    width = max(1, NAMES_AT_ONCE // max(1, len(suffixes)))
+    for begin in range(0, REACH + 1, width):  # windows are equal only at the same distance
+        ahead = np.arange(begin, min(begin + width, REACH + 1))  # bytes of the window before the entry
+        inside = (left_size[:, None] >= ahead) & (right_size[:, None] >= LENGTH - ahead)
+        name = pair(mix(left[:, ahead]), mix(right[:, LENGTH - ahead]))
+        name = pair(name, group[:, None].astype(np.uint64) * np.uint64(REACH + 1) + ahead.astype(np.uint64))
+        entry, column = np.nonzero(inside)
+        flat_name, counts = name[entry, column], times[entry]
+        order = np.argsort(flat_name, kind="stable")
+        sorted_name = flat_name[order]
+        new = np.ones(len(order), bool)
+        new[1:] = sorted_name[1:] != sorted_name[:-1]
+        starts = np.flatnonzero(new)
+        total = np.add.reduceat(counts[order], starts) if len(starts) else np.zeros(0, np.int64)
+        repeated = np.zeros(len(order), bool)
+        repeated[order] = np.repeat(total, np.diff(np.append(starts, len(order)))) > 1
+        entry, column = entry[repeated], ahead[column[repeated]]
+        np.maximum.at(to_left, entry, column)
+        np.maximum.at(to_right, entry, LENGTH - column)
     return to_left, to_right
 
 
+def _hot_windows(suffixes: list[bytes], lefts: list[bytes], times: np.ndarray) -> dict[str, pa.Array | np.ndarray]:
+    """number, w1, w2, to_left and to_right, of distinct entries, in two kinds of rows.
+
+    One row for every window name (w1, w2) that occurs among the entries, without a number if it occurs
+    more than once, and one without a name for every entry that has such a window, with how far those reach.
+    """
+    ahead = np.arange(REACH + 1)
+    names = []
+    for values, base in ((BYTE_VALUE, BASE), (BYTE_VALUE_2, BASE_2)):
+        right, right_size = _fixed(suffixes, LENGTH, values, base)
+        left, left_size = _fixed(lefts, REACH, values, base)
+        inside = (left_size[:, None] >= ahead) & (right_size[:, None] >= LENGTH - ahead)
+        name = pair(pair(mix(left[:, ahead]), mix(right[:, LENGTH - ahead])), ahead.astype(np.uint64))
+        names.append(name[inside])
+    entry, column = np.nonzero(inside)
+    order = np.lexsort(names)
+    (w1, w2), entry, column = (n[order] for n in names), entry[order], column[order]
+    new = np.ones(len(order), bool)
+    new[1:] = (w1[1:] != w1[:-1]) | (w2[1:] != w2[:-1])
+    starts = np.flatnonzero(new)
+    total = np.add.reduceat(times[entry], starts) if len(starts) else np.zeros(0, np.int64)
+    twice = np.repeat(total > 1, np.diff(np.append(starts, len(order))))
+    to_left, to_right = np.full(len(suffixes), -1), np.full(len(suffixes), -1)
+    np.maximum.at(to_left, entry[twice], column[twice])
+    np.maximum.at(to_right, entry[twice], LENGTH - column[twice])
+    known = np.flatnonzero(to_left >= 0)
+    none = pa.nulls(len(known), pa.int64())
+
+    def both(a: pa.Array, b: pa.Array) -> pa.Array:
+        return pa.concat_arrays([a, b])
+
+    return {
+        "number": both(pa.array(entry[starts], pa.int32(), mask=total > 1), pa.array(known, pa.int32())),
+        "w1": both(pa.array(w1[starts].view(np.int64)), none),
+        "w2": both(pa.array(w2[starts].view(np.int64)), none),
+        "to_left": np.concatenate([column[starts], to_left[known]]),
+        "to_right": np.concatenate([LENGTH - column[starts], to_right[known]]),
+    }
+
+
 def _merged(key: tuple, table: pa.Table) -> pa.Table:
     """The verdict of a bucket: run, number, to_left and to_right of every entry that has a repeated window."""
     names = table.column("run").to_pylist()
@@ -323,20 +402,27 @@ def _merged(key: tuple, table: pa.Table) -> pa.Table:
 def repeated_spans(scratch: Scratch, docs: DataFrame) -> DataFrame:
     """v1, v2 (name of a text) and spans, the (start, end) of its bytes that lie in repeated strings, overlapping and unordered."""
     texts = _versioned(docs)
-    seeds = _seed_counts(texts).groupBy("seed").agg(F.sum("n").alias("n")).where("n > 1").select("seed")
-    seeds = scratch.freeze(seeds, "seeds")
-    wanted = _seed_rows(texts).join(seeds, "seed").groupBy("v1", "v2").agg(F.collect_set("seed").alias("seeds"))
+    seeds = _seed_counts(texts).groupBy("seed").agg(F.sum("n").alias("n")).where("n > 1")
+    seeds = scratch.freeze(seeds.select("seed", (F.col("n") > HOT_SEED).alias("is_hot")), "seeds")
+    wanted = _seed_rows(texts).join(seeds, "seed").groupBy("v1", "v2")
+    wanted = wanted.agg(F.collect_set("seed").alias("seeds"), F.collect_set(F.when(F.col("is_hot"), F.col("seed"))).alias("hot"))
     wanted = scratch.freeze(wanted, "wanted")
     scratch.drop("seeds")
     entries = wanted.agg(F.coalesce(F.sum(F.size("seeds")), F.lit(0)).alias("n")).first().n
     buckets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), entries // BUCKET_ENTRIES + 1)
-    listed = texts.join(wanted, ["v1", "v2"]).select("v1", "v2", "text", "seeds")
+    listed = texts.join(wanted, ["v1", "v2"]).select("v1", "v2", "text", "seeds", "hot")
     rows = scratch.freeze(_run_rows(listed, buckets), "runs")
     scratch.drop("wanted")
     runs = rows.where("bucket IS NOT NULL").select("bucket", "run", "entries")
     verdict = runs.groupBy("bucket").applyInArrow(_merged, "run long, number int, to_left int, to_right int")
-    verdict = scratch.freeze(verdict, "verdict")
-    places = rows.where("bucket IS NULL").select("run", "number", "v1", "v2", "place")
+    windows = rows.where("w1 IS NOT NULL").select("w1", "w2", "run", "number", "to_left", "to_right")
+    shared = windows.groupBy("w1", "w2").agg(F.count("*").alias("n")).where("n > 1").select("w1", "w2")
+    across = windows.where("number IS NOT NULL").join(shared, ["w1", "w2"], "left_semi").drop("w1", "w2")
+    within = rows.where("to_left IS NOT NULL AND w1 IS NULL").select("run", "number", "to_left", "to_right")
+    hot = across.unionByName(within).groupBy("run", "number")
+    hot = hot.agg(F.max("to_left").alias("to_left"), F.max("to_right").alias("to_right"))
+    verdict = scratch.freeze(verdict.unionByName(hot), "verdict")
+    places = rows.where("place IS NOT NULL").select("run", "number", "v1", "v2", "place")
     found = places.join(verdict, ["run", "number"])
     span = F.struct((F.col("place") - F.col("to_left")).alias("start"), (F.col("place") + F.col("to_right")).alias("end"))
     spans = scratch.freeze(found.groupBy("v1", "v2").agg(F.collect_set(span).alias("spans")), "spans")

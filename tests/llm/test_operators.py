@@ -162,6 +162,36 @@ def test_bytes_like_brute_force(corpus, rows, none):
     assert suffixes.remove_repeats(none).count() == 0
 
 
+def test_suffixes_of_a_hot_seed_meet_in_no_bucket(spark, corpus, rows, monkeypatch):
+    """A passage between distinct words in many documents: their windows are counted by Spark."""
+    random.seed(7)
+    passage = "".join(random.choice("abcdefgh ") for _ in range(230))
+
+    def other(n):
+        return "".join(random.choice("ijklmnop ") for _ in range(n))
+
+    texts = [other(random.randint(0, 200)) + passage[: random.choice((150, 199, 230))] + other(random.randint(0, 200)) for _ in range(120)]
+    more = [*enumerate(texts, 200_000), (200_500, texts[0]), (200_501, texts[0][:-30]), (200_502, texts[3][5:])]
+    docs = corpus.select("doc_id", "text").unionByName(spark.createDataFrame(more, "doc_id long, text string")).repartition(5)
+    expected = sorted(brute.byte_dedup([*rows, *more]), key=repr)
+    plain = suffixes._merged
+
+    def merged(key, table):  # in the tasks: no bucket is to hold many suffixes of one seed
+        groups = {}
+        for entries in table.column("entries"):
+            for suffix, *_ in suffixes.decode(entries.as_py()):
+                groups[suffix[: suffixes.SEED]] = groups.get(suffix[: suffixes.SEED], 0) + 1
+        assert max(groups.values()) <= bound, max(groups.values())
+        return plain(key, table)
+
+    for bound, at_once in ((1, 3), (4, 4_096), (40, 10)):
+        monkeypatch.setattr(suffixes, "HOT_SEED", bound)
+        monkeypatch.setattr(suffixes, "GROUP_ENTRIES", at_once)
+        monkeypatch.setattr(suffixes, "_merged", merged)
+        done = suffixes.remove_repeats(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256))
+        assert table(done) == expected
+
+
 def test_runs_survive_their_encoding():
     entries = [(b"abc", b"", 0, 1), (b"abd", b"xy", 3, 2), (b"abdz" * 40, b"xz", 1, 1)]
     assert [e[:4] for e in suffixes.decode(suffixes.encode(entries))] == entries

@@ -186,12 +186,23 @@ def test_suffixes_of_a_hot_seed_meet_in_no_bucket(spark, corpus, rows, monkeypat
 
     for bound, at_once in ((1, 3), (4, 4_096), (40, 10)):
         monkeypatch.setattr(suffixes, "HOT_SEED", bound)
-        monkeypatch.setattr(suffixes, "GROUP_ENTRIES", at_once)
+        monkeypatch.setattr(suffixes, "HOT_ENTRIES", at_once)
         monkeypatch.setattr(suffixes, "_merged", merged)
         done = suffixes.remove_repeats(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256))
         assert table(done) == expected
 
 
+def test_windows_named_by_parts_reach_as_far(monkeypatch):
+    random.seed(9)
+    entries = [tuple((b"aab" * 80)[random.randint(0, 2) :][: n - random.randint(0, 50)] for n in (200, 136)) for _ in range(60)]
+    tails, lefts = ([e[k] for e in entries] for k in (0, 1))
+    group, times = np.arange(60) // 20, np.ones(60, np.int64)
+    whole = suffixes.reaches(group, tails, lefts, times)
+    monkeypatch.setattr(suffixes, "NAMES_AT_ONCE", 200)
+    parts = suffixes.reaches(group, tails, lefts, times)
+    assert [x.tolist() for x in parts] == [x.tolist() for x in whole] and whole[0].max() > 0
+
+
 def test_runs_survive_their_encoding():
     entries = [(b"abc", b"", 0, 1), (b"abd", b"xy", 3, 2), (b"abdz" * 40, b"xz", 1, 1)]
     assert [e[:4] for e in suffixes.decode(suffixes.encode(entries))] == entries
@@ -301,6 +312,46 @@ def test_a_long_template_is_found_across_lines(spark):
     assert (row.license, row.dice, row.n_units) == ("MIT-text", 1.0, 2)
 
 
+def scanned(spark, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return [(r.license, round(r.dice, 3), r.n_units) for r in licenses.scan(docs).orderBy("doc_id").collect()]
+
+
+def test_notices_that_are_no_unit_are_found(spark):
+    header = licenses.TEMPLATES["GPL-3.0-header"].split()
+    wrapped = "\n".join("# " + " ".join(header[k : k + 8]) for k in range(0, len(header), 8))
+    code = "\n".join(f"x{k} = call{k}(y{k}, z{k})" for k in range(60))
+    assert scanned(spark, [
+        "The tool is small. Released under the MIT License. Have fun with it.",
+        f"{wrapped}\n{code}",
+        f"{code}\n{wrapped}\n{code} Licensed under CC BY 4.0. {code}",
+        "The tool is small. It is not under any license. Have fun with it.",
+    ]) == [("MIT", 1, 1), ("GPL-3.0-header", 1, 1), ("CC-BY-4.0", 1, 2), (None, 0, 0)]
+
+
+def test_whole_licences_are_found(spark):
+    names = sorted(n for n in licenses.TEMPLATES if n.endswith("-text"))
+    assert {n.split("-")[0] for n in names} >= {"MIT", "BSD", "ISC", "LGPL", "AGPL", "Apache", "GPL", "MPL"}
+    around = " ".join(f"other{k}" for k in range(6_000))
+    one_line = [" ".join(licenses.TEMPLATES[n].split()) for n in names]
+    found = scanned(spark, [*one_line, *(f"{around} {t} {around}" for t in one_line)])
+    assert [(name, dice) for name, dice, _ in found] == [(n, 1) for n in names] * 2
+
+
+def test_windows_like_all_of_their_size(monkeypatch):
+    random.seed(13)
+    template = " ".join(random.choice("abcdefg") for _ in range(14))
+    matcher = licenses.Matcher({"t": template}, 0.6)
+    for _ in range(200):
+        words = [random.choice("abcdefghij") for _ in range(random.randint(15, 60))]
+        at = random.randrange(len(words))
+        words[at:at] = template.split()[: random.randint(8, 14)]
+        best = max(brute.license_of(" ".join(words[k : k + 14]), {"t": template}, 0.6)[1] for k in range(len(words) - 13))
+        whole = brute.license_of(" ".join(words), {"t": template}, 0.6)[1]
+        found = matcher.best(pa.array([" ".join(words)]))[0][1]
+        assert found == (whole if whole else best)
+
+
 ITEMS = [
     (1, "w1 w4 w9 w16 w25 w36 w49 w64 w81 w100 w121"), (2, "Only three WORDS"), (2, "only three words"), (3, None), (4, "..."),
     (None, "no no no no"), (5, "two roads met in a wood and the one less worn was"), (6, "three"), (7, "never seen words of an item that is long"),

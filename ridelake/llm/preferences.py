@@ -29,16 +29,18 @@ def stale_replies(conversations: DataFrame) -> DataFrame:
     Chosen is a conversation as it is up to its last assistant turn. Rejected has the previous
     assistant turn's text in that place instead, so it answers an earlier question; with no
     earlier reply it stops before the last. Conversations without an assistant turn, or with a
-    null conv_id, make no pair.
+    null conv_id, make no pair. Turns are numbered anew in the order of turn, role and text, nulls
+    first, so that null and tied turns have a place too, which a stale text does not change.
     """
-    turns = conversations.where(F.col("conv_id").isNotNull()).select("conv_id", "turn", "role", "text")
+    ordered = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
+    read = conversations.where(F.col("conv_id").isNotNull())
+    turns = read.select("conv_id", F.row_number().over(ordered).alias("turn"), "role", "text")
     replies = turns.where("role = 'assistant'")
-    last = replies.groupBy("conv_id").agg(F.max(F.struct("turn", "text")).alias("last"))
-    before = replies.join(last, "conv_id").where(F.struct("turn", "text") < F.col("last"))
-    previous = before.groupBy("conv_id").agg(F.max_by("text", F.struct("turn", "text")).alias("stale"), F.lit(True).alias("has"))
-    until = turns.join(last, "conv_id").where(~(F.col("turn") > F.col("last.turn")))
-    is_last = (F.col("role") == "assistant") & (F.col("turn") == F.col("last.turn"))
-    known = until.join(previous, "conv_id", "left").withColumn("is_last", F.coalesce(is_last, F.lit(False)))
+    last = replies.groupBy("conv_id").agg(F.max("turn").alias("last"))
+    before = replies.join(last, "conv_id").where("turn < last")
+    previous = before.groupBy("conv_id").agg(F.max_by("text", "turn").alias("stale"), F.lit(True).alias("has"))
+    until = turns.join(last, "conv_id").where("turn <= last")
+    known = until.join(previous, "conv_id", "left").withColumn("is_last", F.col("turn") == F.col("last"))
     chosen = known.select(F.col("conv_id").alias("pair_id"), F.lit("chosen").alias("side"), "turn", "role", "text")
     rejected = known.where("NOT is_last OR has").select(
         F.col("conv_id").alias("pair_id"),

@@ -124,6 +124,27 @@ def test_pairs_share_their_longest_common_prefix(spark):
     assert preferences.format_pairs(spark.createDataFrame([], TURNS)).count() == 0
 
 
+def test_stale_replies_of_null_and_tied_turns(spark):
+    turns = [
+        (1, None, "assistant", "a"), (1, 1, "user", "q"), (1, 2, "assistant", "b"),
+        (2, None, "user", "y"), (2, None, "assistant", "x"),
+        (3, 1, "assistant", "b"), (3, 1, "assistant", "a"), (3, None, "user", "q"),
+        (4, 1, "assistant", "a"), (4, 2, "assistant", "z"), (4, 2, "assistant", "z"), (4, 3, "user", "q"),
+        (5, None, "user", "q"),
+    ]
+    pairs = preferences.stale_replies(spark.createDataFrame(turns, "conv_id long, turn int, role string, text string"))
+    sides = {}
+    for r in pairs.orderBy("pair_id", "side", "turn").collect():
+        sides.setdefault((r.pair_id, r.side), []).append(r.text)
+    assert sides == {
+        (1, "chosen"): ["a", "q", "b"], (1, "rejected"): ["a", "q", "a"],
+        (2, "chosen"): ["x"],
+        (3, "chosen"): ["q", "a", "b"], (3, "rejected"): ["q", "a", "a"],
+        (4, "chosen"): ["a", "z", "z"], (4, "rejected"): ["a", "z", "z"],
+    }
+    assert {r.pair_id for r in preferences.format_pairs(pairs).collect()} == {1, 2, 3, 4}
+
+
 # Mixing
 
 

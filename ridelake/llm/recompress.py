@@ -1,16 +1,15 @@
-"""Substring dedup over words by recompression.
-
-Every text is rewritten in rounds that give names to runs of equal symbols and to pairs of
-adjacent symbols. Names are hashes of what they stand for, and whether two neighbours merge
-depends on the two alone (equal, or one from the left and one from the right half of the
-alphabet, a bit of the name), so all texts agree on the symbols inside equal passages and on the
-borders that are left between them, without any exchange. A window of ``WINDOW`` words holds
-several such borders. It is represented by the least-named one that it shows with two words on
-both sides; equal windows have the same one. More rounds would need more words around a border
-than a window has, so there are two, one of runs and one of pairs.
-
-Spark then finds the border names that several documents share. Only around those are symbols of
-the next level named: the segment, all words of the windows one border represents. Equal
+"""Substring dedup over words by anchors that equal passages share, in place of recompression.
+
+No text is rewritten in rounds and no run or pair gets a symbol, as recompression would do: what
+two rounds leave of a window of ``WINDOW`` words is too little to represent it. What is kept of
+recompression is the test for a border between adjacent words, which depends on the two alone
+(equal, or one from the left and one from the right half of the alphabet, a bit of the word's
+hash), so all texts agree on the borders inside equal passages, without any exchange. A window
+holds several. It is represented by the least-named one that it shows with two words on both
+sides, by a hash of those four words, as in winnowing; equal windows have the same one.
+
+Spark then finds the border names that several documents share. Only around those are segments
+named: all words of the windows one border represents. Equal
 segments prove their windows repeated at once; where documents share a border but not the
 segment, that is at the ends of repeats and around edits, windows are named and compared one by
 one. Names that decide are 128-bit hashes.

@@ -13,6 +13,7 @@ from ridelake.llm import (
     licenses,
     minhash,
     mixing,
+    prefixtrie,
     preferences,
     quality,
     recompress,
@@ -86,6 +87,11 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the trie of all conversations, each begun with turns lent by the first of its hundred."""
+    return prefixtrie.lent_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet")).drop("key")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -100,6 +106,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_near_dedup,
         op9_token_counts,
         op10_decontaminate,
+        op13_prefix_trie,
     )
 }
 

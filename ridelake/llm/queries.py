@@ -19,6 +19,7 @@ from ridelake.llm import (
     recompress,
     suffixes,
     tokencounts,
+    turnrepair,
 )
 from ridelake.llm.steps import documents
 
@@ -87,6 +88,11 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation after a pseudo-random damage, repaired at least cost."""
+    return turnrepair.repair(turnrepair.damaged(spark.read.parquet(f"{sf_dir}/conversations.parquet")))
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every node of the trie of all conversations, each begun with turns lent by the first of its hundred."""
     return prefixtrie.lent_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet")).drop("key")
@@ -106,6 +112,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_near_dedup,
         op9_token_counts,
         op10_decontaminate,
+        op11_conversation_repair,
         op13_prefix_trie,
     )
 }

@@ -13,6 +13,7 @@ from ridelake.llm import (
     licenses,
     minhash,
     mixing,
+    piecebpe,
     prefixtrie,
     preferences,
     quality,
@@ -93,6 +94,19 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turnrepair.repair(turnrepair.damaged(spark.read.parquet(f"{sf_dir}/conversations.parquet")))
 
 
+def op12_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded by the merges of a public vocabulary of 32,000 pieces, and decoded again."""
+    import public_tokenizers
+
+    done = piecebpe.round_trip(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
+    return done.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every node of the trie of all conversations, each begun with turns lent by the first of its hundred."""
     return prefixtrie.lent_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet")).drop("key")
@@ -113,6 +127,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_token_counts,
         op10_decontaminate,
         op11_conversation_repair,
+        op12_sentencepiece,
         op13_prefix_trie,
     )
 }

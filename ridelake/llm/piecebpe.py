@@ -26,6 +26,7 @@ import re
 import struct
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import groupby
 from pathlib import Path
 
 import ahocorasick
@@ -160,6 +161,7 @@ class Encoder:
         named = [(name, k) for k, name in enumerate(model.pieces) if model.kinds[k] == NORMAL]
         self.ids = dict(named)
         self.of_byte = {int(name[3:5], 16): k for k, name in enumerate(model.pieces) if model.kinds[k] == BYTE}
+        self.controls = {k for k, kind in enumerate(model.kinds) if kind == CONTROL}
         self.borders = _Borders({name: -model.scores[k] for name, k in named})
         self.automaton = ahocorasick.Automaton()
         for name, _ in named:
@@ -237,15 +239,18 @@ class Encoder:
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids: the space in front goes, and so do control pieces; bytes of no character are replaced one by one."""
-        first = next((k for k, i in enumerate(ids) if self.model.kinds[i] != CONTROL), len(ids))
-        of = self.bytes_of
-        data = b"".join([of[i] for i in ids[first:]])
-        if self.model.lead and first < len(ids) and self.model.kinds[ids[first]] == NORMAL and data[:1] == b" ":
-            data = data[1:]
-        try:
-            return data.decode()
-        except UnicodeDecodeError:
-            return "".join(_each_byte(data))
+        kinds, of = self.model.kinds, self.bytes_of
+        first = next((k for k, i in enumerate(ids) if kinds[i] != CONTROL), len(ids))
+        ids = ids[first:]
+        led = self.model.lead and bool(ids) and kinds[ids[0]] == NORMAL and of[ids[0]][:1] == b" "
+        if self.controls.isdisjoint(ids):
+            try:
+                return b"".join([of[i] for i in ids])[led:].decode()
+            except UnicodeDecodeError:
+                pass
+        # Only bytes side by side make a character together.
+        runs = ("".join(_each_byte(b"".join(of[i] for i in run))) for _, run in groupby(ids, lambda i: kinds[i] == BYTE))
+        return "".join(runs)[led:]
 
 
 def _each_byte(data: bytes) -> Iterator[str]:

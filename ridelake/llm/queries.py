@@ -18,6 +18,7 @@ from ridelake.llm import (
     preferences,
     quality,
     recompress,
+    sqlchecks,
     suffixes,
     tokencounts,
     turnrepair,
@@ -257,7 +258,7 @@ SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hi
 FROM d LEFT JOIN words_hit USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
-#: Cross-parsing, mixing by a hash, byte windows, licence templates and tokenizers are tested by brute force instead.
+#: Cross-parsing, mixing by a hash, byte windows, licence templates and tokenizers are tested by brute force or against a library.
 ORACLE: dict[str, str] = {
     "op2_chat_format": _CHAT,
     "op5_quality_rules": _QUALITY,
@@ -265,4 +266,6 @@ ORACLE: dict[str, str] = {
     "op6_substring_dedup": _SUBSTRINGS,
     "op8_near_dedup": _NEAR,
     "op10_decontaminate": _LEAKS,
+    "op11_conversation_repair": sqlchecks.REPAIR,
+    "op13_prefix_trie": sqlchecks.TRIE,
 }

@@ -219,7 +219,7 @@ def _faults(turns: DataFrame) -> DataFrame:
         .when(F.col("seen") > 1, "duplicate")
         .when(~F.right(body, F.lit(1)).isin(*ENDINGS), "truncated")
     )
-    ordered = numbered.sortWithinPartitions("conv_id", "turn", "role", "text")
+    ordered = numbered.sortWithinPartitions("conv_id", "turn", "role", "text", "seen")
     return ordered.select("conv_id", "turn", "present", F.left("role", F.lit(1)).alias("initial"), fault.alias("fault"))
 
 

@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import re
 import struct
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import groupby
@@ -42,7 +43,7 @@ NORMAL, UNKNOWN, CONTROL, BYTE, MERGES = 1, 2, 3, 6, 2
 #: Fixed value: what an unknown piece decodes to.
 UNKNOWN_SHOWN = " ⁇ "
 #: Bounds of what a worker remembers: parts of texts, their length, and pairs of tokens.
-PARTS, PART_CHARS, PAIRS = 1 << 17, 48, 1 << 20
+PARTS, PART_CHARS, PAIRS = 1 << 18, 48, 1 << 19
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -176,6 +177,7 @@ class Encoder:
         parts = [f"{SPACE}+{run}*", f"{run}+"] if spaces_lead else [f"{run}+"]
         self.parts = re.compile("|".join([*parts, *([f"[{alone}]"] if alone else [])]), re.DOTALL).findall
         self._known: dict[str, bytes] = {}
+        self._before: dict[str, bytes] = {}
         self._pairs: dict[tuple[str, str], bool] = {}
         self.bytes_of = [self._bytes(k) for k in range(len(model.pieces))]
 
@@ -185,35 +187,40 @@ class Encoder:
         """The ids of a whole text, as 32-bit integers one after the other."""
         if not text:
             return b""
-        known, encoded = self._known, []
-        for part in self.parts((SPACE if self.model.lead else "") + text.replace(" ", SPACE)):
-            ids = known.get(part)
+        if len(self._known) >= PARTS:  # parts met since then are remembered on, others are not
+            self._known, self._before = {}, self._known
+        known, before = self._known, self._before
+        parts = self.parts((SPACE if self.model.lead else "") + text.replace(" ", SPACE))
+        encoded = list(map(known.get, parts))
+        for k, ids in enumerate(encoded):
             if ids is None:
-                ids = np.array(self._recovered(part, self.last_tokens(part)), np.int32).tobytes()
+                part = parts[k]
+                ids = known.get(part) or before.get(part)
+                if ids is None:
+                    ids = array("i", self._recovered(part, self.last_tokens(part))).tobytes()
                 if len(part) <= PART_CHARS:
-                    if len(known) >= PARTS:
-                        known.clear()
                     known[part] = ids
-            encoded.append(ids)
+                encoded[k] = ids
         return b"".join(encoded)
 
     def last_tokens(self, part: str) -> list[str | None]:
         """For the end of every prefix its last token; None where that is a character without a piece."""
         last: list[str | None] = [None] * (len(part) + 1)
         pairs = self._pairs
+        if len(pairs) >= PAIRS:
+            pairs.clear()
         for end, token in self.automaton.iter(part):
-            if last[end + 1] is None:
-                begin = end + 1 - len(token)
+            end += 1
+            if last[end] is None:
+                begin = end - len(token)
                 if begin:
                     pair = (last[begin] or part[begin - 1], token)
                     fits = pairs.get(pair)
                     if fits is None:
-                        if len(pairs) >= PAIRS:
-                            pairs.clear()
                         fits = pairs[pair] = self.borders.may_follow(*pair)
                     if not fits:
                         continue
-                last[end + 1] = token
+                last[end] = token
         return last
 
     def _recovered(self, part: str, last: list[str | None]) -> list[int]:

@@ -11,7 +11,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
-from ridelake.sources.writers import append, discard, replace, snapshot, table_exists
+from ridelake.sources.commits import Load, Store, home
+from ridelake.sources.readers import read_table
+from ridelake.sources.writers import discard, snapshot, table_exists
 
 
 @dataclass(frozen=True)
@@ -201,15 +203,18 @@ class Batch:
     columns: Sequence[Column | str] = ("*",)
     replaces: bool = False
 
-    def write(self) -> int:
-        return (replace if self.replaces else append)(self.rows.select(*self.columns), self.path)
+    def stage(self, load: Load) -> int:
+        write = load.replace if self.replaces else load.append
+        return write(home(self.path)[1], self.rows.select(*self.columns))
 
     def stored(self) -> DataFrame | None:
         """What is in the table already, unless the batch takes its place."""
         spark = self.rows.sparkSession
-        return None if self.replaces or not table_exists(spark, self.path) else spark.read.parquet(self.path)
+        return None if self.replaces or not table_exists(spark, self.path) else read_table(spark, self.path)
 
     def assert_valid(self) -> None:
+        if not (self.rules or self.unique or self.references):
+            return
         report = batch_report(self.rows, self.row_id, self.rules, self.unique, self.references, self.stored())
         broken = report.where(F.col("violations") > 0).orderBy(F.col("first_row").asc_nulls_last(), "rule").limit(1).collect()
         if broken:
@@ -217,17 +222,24 @@ class Batch:
 
 
 def load_batches(batches: Sequence[Batch]) -> int:
-    """All or nothing: every batch is checked before the first one is written.
+    """All or nothing: every batch is checked before the first one is written, and one record shows them all.
 
     Rules see the wide rows; ``columns`` narrows them on the way out. The checks and
-    the write read the same frozen rows. Each write is atomic by itself; a crash
-    between two of them is repaired by a keyed re-run.
+    the write read the same frozen rows. The tables lie in one folder: they are committed
+    together, so a crash between two writes leaves neither. A load that another one
+    overtakes fails as a whole, for its checks saw an older state.
     """
+    roots = {home(batch.path)[0] for batch in batches}
+    if len(roots) != 1:
+        raise ValueError("batches that load together need tables in one folder")
+    (root,) = roots
+    store = Store(batches[0].rows.sparkSession, root)
     kept = [replace_rows(batch, rows=snapshot(batch.rows)) for batch in batches]
     try:
-        for batch in kept:
-            batch.assert_valid()
-        return sum(batch.write() for batch in kept)
+        with store.load() as load:
+            for batch in kept:
+                batch.assert_valid()
+            return sum(batch.stage(load) for batch in kept)
     finally:
         for batch in kept:
             discard(batch.rows)

@@ -8,9 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from ridelake.sources.commits import Store, home
+
 
 def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
-    """A stored Parquet table; the footer's types are used unless a schema is given."""
+    """A stored table as of its last commit, or a folder of Parquet files that no load wrote.
+
+    The stored types are used unless a schema is given.
+    """
+    root, name = home(path)
+    if (record := Store(spark, root).record()).tables and name in record.tables:
+        return Store(spark, root).read(name, schema, record)
     reader = spark.read if schema is None else spark.read.schema(schema)
     return reader.parquet(path)
 

@@ -5,42 +5,29 @@ from __future__ import annotations
 import tempfile
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
-from pyspark.sql.utils import AnalysisException
 
-
-def _written(df: DataFrame, path: str, mode: str, by: tuple[str, ...]) -> int:
-    seen = Observation()
-    writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode(mode)
-    (writer.partitionBy(*by) if by else writer).parquet(path)
-    return seen.get.get("rows", 0)
+from ridelake.sources.commits import Store, home
 
 
 def append(df: DataFrame, path: str, by: tuple[str, ...] = ()) -> int:
     """Add rows to a stored table; returns how many, counted by the write itself."""
-    return _written(df, path, "append", by)
+    root, name = home(path)
+    with Store(df.sparkSession, root).load() as load:
+        return load.append(name, df, by)
 
 
 def replace(df: DataFrame, path: str, by: tuple[str, ...] = ()) -> int:
     """Put a new table in the place of whatever is stored; returns its rows.
 
-    The rows are written beside the old table, which is only moved away and deleted when all
-    of them are there: a failed write leaves it as it was.
+    The rows are written beside the old ones, which readers see until the record that names the
+    new ones is in its place: there is no moment without a table, and a write that fails at
+    any point leaves it as it was.
     """
-    mark = uuid4().hex
-    fresh, old = f"{path.rstrip('/')}-fresh-{mark}", f"{path.rstrip('/')}-old-{mark}"
-    rows = _written(df, fresh, "error", by)
-    spark = df.sparkSession
-    at = spark._jvm.org.apache.hadoop.fs.Path
-    files = at(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    if files.exists(at(path)):
-        files.rename(at(path), at(old))
-    if not files.rename(at(fresh), at(path)):
-        raise OSError(f"could not move {fresh} to {path}; what was stored is at {old}")
-    files.delete(at(old), True)
-    return rows
+    root, name = home(path)
+    with Store(df.sparkSession, root).load() as load:
+        return load.replace(name, df, by)
 
 
 def replace_bucketed(df: DataFrame, table: str, by: str, buckets: int) -> None:
@@ -50,16 +37,16 @@ def replace_bucketed(df: DataFrame, table: str, by: str, buckets: int) -> None:
 
 def create_if_absent(spark: SparkSession, path: str, schema: StructType, by: tuple[str, ...] = ()) -> None:
     """An empty table under a declared schema; an existing one is left alone."""
-    writer = spark.createDataFrame([], schema).write.mode("ignore")
-    (writer.partitionBy(*by) if by else writer).parquet(path)
+    root, name = home(path)
+    store = Store(spark, root)
+    if not store.has(name):
+        with store.load() as load:
+            load.create(name, schema, by)
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path)
-    except AnalysisException:
-        return False
-    return True
+    root, name = home(path)
+    return Store(spark, root).has(name)
 
 
 def named_view(df: DataFrame, name: str) -> DataFrame:

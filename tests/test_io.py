@@ -131,9 +131,9 @@ def test_a_failed_replacement_leaves_the_old_table(spark, frame, tmp_path):
     broken = frame("id int", 1).select(F.raise_error(F.lit("stop")).cast("int").alias("id"))
     with pytest.raises(Exception, match="stop"):
         writers.replace(broken, path)
-    assert spark.read.parquet(path).count() == 2
-    assert writers.replace(spark.read.parquet(path).where("id = 1"), path) == 1
-    assert rows_of(spark.read.parquet(path)) == [(1,)]
+    assert readers.read_table(spark, path).count() == 2
+    assert writers.replace(readers.read_table(spark, path).where("id = 1"), path) == 1
+    assert rows_of(readers.read_table(spark, path)) == [(1,)]
 
 
 def test_a_snapshot_can_be_discarded(spark, frame):

@@ -110,10 +110,11 @@ def test_trips_reject_what_rides_accept(spark, typed, tmp_path):
     trips = read_table(spark, f"{root}/trips").withColumn("trip_id", F.col("trip_id") + 100)
     path = str(tmp_path / "loaded")
     assert load_batch(Batch(trips, path, "trip_id", **normalised_trip_constraints(tables))) == 3
-    free = trips.withColumn("fare_amount", F.when(F.col("trip_id") == 102, 0).otherwise(F.col("fare_amount")))
-    with pytest.raises(BatchRejected, match="row 102 breaks fare_amount_above"):
+    later = trips.withColumn("trip_id", F.col("trip_id") + 100)  # the first batch's ids are taken
+    free = later.withColumn("fare_amount", F.when(F.col("trip_id") == 202, 0).otherwise(F.col("fare_amount")))
+    with pytest.raises(BatchRejected, match="row 202 breaks fare_amount_above"):
         load_batch(Batch(free, path, "trip_id", **normalised_trip_constraints(tables)))
-    lost = trips.withColumn("payment_method_id", F.lit(12345))
+    lost = later.withColumn("payment_method_id", F.lit(12345))
     with pytest.raises(BatchRejected, match="payment_method_id_reference"):
         load_batch(Batch(lost, path, "trip_id", **normalised_trip_constraints(tables)))
     assert read_table(spark, path).count() == 3

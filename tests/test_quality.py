@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from ridelake.functions.rules import RIDE_STATUSES
 from ridelake.operators import quality as q
+from ridelake.sources.readers import read_table
+from ridelake.sources.writers import table_exists
 from tests.conftest import plan_of, rows_of
 
 TRIP = "trip_id int, driver_id int, fare decimal(10,2), rating decimal(4,1), status string"
@@ -84,13 +86,13 @@ def batch(rows, path, frame, **extra):
 
 
 def stored(spark, path):
-    return spark.read.parquet(str(path)).count() if path.exists() else 0
+    return read_table(spark, str(path)).count() if table_exists(spark, str(path)) else 0
 
 
 def test_good_batch_loads_whole(spark, frame, tmp_path):
     rows = frame(TRIP, *[trip(i, fare=f"{100 * i}.00") for i in range(1, 6)])
     assert q.load_batch(batch(rows, tmp_path / "trips", frame)) == 5
-    kept = spark.read.parquet(str(tmp_path / "trips"))
+    kept = read_table(spark, str(tmp_path / "trips"))
     assert kept.count() == 5 and dict(kept.dtypes)["rating"] == "decimal(2,1)"
 
 

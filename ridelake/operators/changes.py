@@ -6,19 +6,24 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The first row of each key in the given order, remaining columns breaking ties.
 
-    A minimum is combined map-side, so a key with very many copies costs one row
-    per task; a ranking window would gather all copies in one place.
+    Keys are counted first, by hashing them alone. Only rows of repeated keys are ranked, and of
+    those each task passes on the first per key, so a key with very many copies costs one
+    row per task. ``df`` is read three times; freeze it if it is dear.
     """
-    ranked = [*order, *[name for name in df.columns if name not in order and name not in keys]]
-    best = df.groupBy(*keys).agg(F.min(F.struct(*ranked)).alias("_first"))
-    return best.select(*keys, "_first.*").select(*df.columns)
+    counted = df.groupBy(*[F.col(key).alias(f"_{key}") for key in keys]).agg(F.count(F.lit(1)).alias("_n"))
+    repeated = counted.where(F.col("_n") > 1).drop("_n")
+    same = reduce(Column.__and__, [F.col(key).eqNullSafe(F.col(f"_{key}")) for key in keys])
+    ranked = [*order, *[name for name in df.columns if name not in order and name not in keys]] or list(keys)
+    first = F.row_number().over(Window.partitionBy(*keys).orderBy(*ranked))
+    best = df.join(repeated, same, "left_semi").withColumn("_rank", first).where(F.col("_rank") == 1).drop("_rank")
+    return df.join(repeated, same, "left_anti").unionByName(best)
 
 
 def insert_if_absent(

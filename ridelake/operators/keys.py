@@ -25,6 +25,29 @@ def assign_keys(df: DataFrame, key: str, natural: str, start: Column | int = 0)
     return numbered.select(key, *df.columns)
 
 
+PART, PLACE = "_part", "_place"
+
+
+def placed(df: DataFrame) -> DataFrame:
+    """Rows with their partition and their place in it, to be stored before ``dense_keys`` reads them."""
+    part = F.spark_partition_id()
+    within = F.monotonically_increasing_id() - F.shiftleft(part.cast("long"), 33)
+    return df.select("*", part.alias(PART), within.alias(PLACE))
+
+
+def dense_keys(stored: DataFrame, key: str, start: int) -> DataFrame:
+    """Number stored rows of ``placed`` from ``start`` + 1 on, without gaps and without a shuffle of them.
+
+    Only the counts per partition are gathered, one row each.
+    """
+    before = Window.orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
+    counts = stored.groupBy(PART).agg(F.count(F.lit(1)).alias("_n"))
+    offsets = counts.select(PART, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    number = F.lit(start).cast("long") + F.col("_offset") + F.col(PLACE) + 1
+    columns = [name for name in stored.columns if name not in (PART, PLACE)]
+    return stored.join(F.broadcast(offsets), PART).select(number.alias(key), *columns)
+
+
 def parallel_keys(df: DataFrame, key: str, start: Column | int = 0) -> DataFrame:
     """Unique keys above ``start`` for a large append: no shuffle, gaps allowed."""
     first = start if isinstance(start, Column) else F.lit(start).cast("long")

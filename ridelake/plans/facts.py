@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime, timedelta
+from functools import partial
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -15,11 +18,16 @@ from ridelake.functions.numeric import round_half_even, zero_if_null
 from ridelake.functions.rules import fact_fare
 from ridelake.functions.temporal import date_key, minutes_between, ntz, quarter_hour_key
 from ridelake.operators.changes import insert_if_absent
-from ridelake.operators.keys import next_free_key, parallel_keys
+from ridelake.operators.keys import dense_keys, placed
 from ridelake.operators.lookups import Size, lookup, table_sizes, together
-from ridelake.plans.warehouse import DIMENSIONS, dim_date, dim_time
-from ridelake.sources.readers import read_table
-from ridelake.sources.writers import append, create_if_absent, discard, replace, snapshot
+from ridelake.plans.reports import daily_sums
+from ridelake.plans.warehouse import DIMENSIONS, Dimension, dim_date, dim_time
+from ridelake.sources.buckets import KeyTable
+from ridelake.sources.commits import Record, Store
+from ridelake.sources.writers import discard, snapshot
+
+#: The mark that loads keep: the latest request time among the stored facts.
+MARK = "fact_trips.requested_at"
 
 
 @dataclass(frozen=True)
@@ -106,15 +114,26 @@ def rejects(resolved: DataFrame) -> DataFrame:
     return resolved.where(F.col("reject_reason").isNotNull()).select("trip_id", "requested_at", "reject_reason")
 
 
-def high_water_mark(facts: DataFrame) -> DataFrame:
+def high_water_mark(facts: DataFrame, record: Record | None = None) -> DataFrame:
     """Latest request time already loaded; NULL for an empty warehouse.
 
-    It lies on the last loaded day, so only that day's partition is read.
+    It lies on the last loaded day, which the record of the last load names, so only files of
+    that day are opened. Facts that no load recorded are asked for their last day.
     """
-    last_day = facts.agg(F.max("date_key")).scalar()
+    if record is None:
+        last_day = facts.agg(F.max("date_key")).scalar()
+    else:
+        mark = loaded_until(record)
+        last_day = F.lit(int(mark.strftime("%Y%m%d")) if mark else None).cast("int")
     return facts.where(F.col("date_key") == last_day).agg(F.max("requested_at").alias("watermark"))
 
 
+def loaded_until(record: Record) -> datetime | None:
+    """The mark as the loads have kept it; no fact is read."""
+    mark = record.marks.get(MARK)
+    return None if mark is None else datetime.fromisoformat(mark)
+
+
 def slice_from(trips: DataFrame, since: datetime | None) -> DataFrame:
     """Trips requested at or after a time (all of them without one).
 
@@ -138,71 +157,107 @@ def new_facts(trips: DataFrame, dims: dict[str, DataFrame], stored: DataFrame |
     return insert_if_absent(measures(resolve_keys(trips, dims)), stored, ["source_trip_id"], ["requested_at"])
 
 
-def with_natural_ids(facts: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
+def key_sizes(record: Record) -> dict[str, Size]:
+    """What the key columns of the stored dimensions measure, from the rows that the loads counted."""
+    rows = {link.table: record.tables[link.table].rows for link in LINKS}
+    return {table: Size(n, 16 * 3 * n) for table, n in rows.items()}  # two numbers a row
+
+
+def with_natural_ids(facts: DataFrame, dims: dict[str, DataFrame], sizes: dict[str, Size] | None = None) -> DataFrame:
     """Facts with each surrogate key replaced by the natural id of the dimension row it points at."""
+    links = [link for link in LINKS if link.match != link.take]
+    measured = sizes or table_sizes({link.table: dims[link.table].select(link.match, link.take) for link in links})
+    bounds = together({link.table: measured[link.table] for link in links}, Counter(link.table for link in links))
     shown = facts
-    for link in LINKS:
-        if link.match != link.take:
-            table = dims[link.table]
-            shown = lookup(shown, table, link.name, link.take, {"natural_id": link.match}, row_id="source_trip_id")
-            shown = shown.withColumn(link.name, F.col("natural_id")).drop("natural_id")
+    for link in links:
+        shown = lookup(
+            shown, dims[link.table], link.name, link.take, {"natural_id": link.match},
+            row_id="source_trip_id", size=measured[link.table], keys_from=facts, limit=bounds[link.table],
+        )
+        shown = shown.withColumn(link.name, F.col("natural_id")).drop("natural_id")
     return shown.select(*facts.columns)
 
 
+def at_once(*writes: Callable[[], int]) -> list[int]:
+    """Run writes that do not depend on each other side by side; small ones mostly wait for the scheduler."""
+    with ThreadPoolExecutor(len(writes)) as pool:
+        return [done.result() for done in [pool.submit(write) for write in writes]]
+
+
 def load_dimensions(
     spark: SparkSession, sources: dict[str, DataFrame], root: str, as_of: Column, first: str, last: str
 ) -> dict[str, int]:
-    """Add unseen members to every stored dimension; returns the rows added."""
-    added = {}
-    for dim in DIMENSIONS:
-        path = f"{root}/{dim.table}"
-        create_if_absent(spark, path, dim.schema)
-        added[dim.table] = append(dim.new_rows(sources[dim.source], as_of, read_table(spark, path)), path)
-    for table, key, rows in (
-        ("dim_date", "date_key", dim_date(spark, first, last)),
-        ("dim_time", "time_key", dim_time(spark)),
-    ):
-        path = f"{root}/{table}"
-        create_if_absent(spark, path, schemas.WAREHOUSE[table])
-        added[table] = append(insert_if_absent(rows, read_table(spark, path), [key]), path)
-    return added
-
-
-def stored_facts(spark: SparkSession, root: str) -> DataFrame:
-    """The fact table, created by day if it is not there yet."""
-    path = f"{root}/fact_trips"
-    create_if_absent(spark, path, schemas.FACT_TRIPS, by=("date_key",))
-    return read_table(spark, path, schemas.FACT_TRIPS)
-
-
-def load_slice(spark: SparkSession, trips: DataFrame, root: str, rejected: str | None = None) -> dict[str, int]:
-    """Resolve and append the trips of a slice that are not stored yet.
-
-    Trip ids are compared with those of all stored facts, of which only that column is
-    read. The resolved slice is frozen once and read twice, for the facts and for the
-    rejects. Facts are stored by day; the rebalance sizes the files and splits a crowded
-    day over several writers.
+    """Add unseen members to every stored dimension, all in one commit; returns the rows added."""
+    series = {"dim_date": (dim_date(spark, first, last), "date_key"), "dim_time": (dim_time(spark), "time_key")}
+    with Store(spark, root).load() as load:
+        for table, schema in schemas.WAREHOUSE.items():
+            load.create(table, schema, ("date_key",) if table == "fact_trips" else ())
+
+        def members(dim: Dimension) -> int:
+            fresh = dim.new_rows(sources[dim.source], as_of, load.read(dim.table), load.tables[dim.table].highest)
+            return load.append(dim.table, fresh, key=dim.key)
+
+        def slots(table: str) -> int:
+            rows, key = series[table]
+            return load.append(table, insert_if_absent(rows, load.read(table), [key]))
+
+        writes = {dim.table: partial(members, dim) for dim in DIMENSIONS} | {table: partial(slots, table) for table in series}
+        return dict(zip(writes, at_once(*writes.values())))
+
+
+def load_slice(spark: SparkSession, trips: DataFrame, root: str, batch: int | None = None) -> dict[str, int]:
+    """Resolve and add the trips of a slice that are not stored yet, all that follows from them in one commit.
+
+    Trip ids are compared with those of all stored facts, which lie bucketed by id and are not
+    moved. Keys go on, without gaps, from the highest that the record of the last load names.
+    The resolved slice is frozen and read for facts and rejects; the new facts are frozen and
+    read for the fact table by day, the ids and the daily sums. The rebalance sizes the files
+    and splits a crowded day over several writers. Rejects take the place of the last load's,
+    or join those of ``batch``, once each if it is loaded again.
     """
-    stored = stored_facts(spark, root)
-    dims = {table: read_table(spark, f"{root}/{table}") for table in schemas.WAREHOUSE if table != "fact_trips"}
-    resolved = snapshot(resolve_keys(trips, dims))
-    fresh = unseen(measures(resolved), stored)
-    keyed = parallel_keys(fresh.hint("rebalance", "date_key"), "trip_key", next_free_key(stored, "trip_key"))
-    added = {
-        "fact_trips": append(schemas.conform(keyed, schemas.FACT_TRIPS), f"{root}/fact_trips", by=("date_key",)),
-        "rejected_trips": replace(rejects(resolved), rejected or f"{root}/rejected_trips"),
-    }
+    with Store(spark, root).load() as load:
+        load.create("fact_trips", schemas.FACT_TRIPS, ("date_key",))
+        ids = KeyTable(load, "trip_ids", schemas.FACT_TRIPS["source_trip_id"])
+        dims = {table: load.read(table) for table in schemas.WAREHOUSE if table != "fact_trips"}
+        resolved = snapshot(resolve_keys(trips, dims, key_sizes(load.base)))
+        seen = Observation()
+        fresh = placed(unseen(measures(resolved), ids.rows()))
+        newest = F.max(F.col("requested_at").cast("string")).alias("newest")
+        fresh = snapshot(fresh.observe(seen, F.count(F.lit(1)).alias("rows"), newest))
+        keyed = dense_keys(fresh, "trip_key", load.tables["fact_trips"].highest)
+        keyed = schemas.conform(keyed, schemas.FACT_TRIPS).hint("rebalance", "date_key")
+        refused = rejects(resolved)
+        if batch is not None:
+            refused = refused.withColumn("batch", F.lit(batch).cast("long"))
+            load.create("rejected_arrivals", refused.schema, ("batch",))
+            before = load.read("rejected_arrivals").where(F.col("batch") == batch)
+            refused = insert_if_absent(refused, before, ["trip_id"])
+        n = seen.get.get("rows") or 0
+        facts_added, _, _, rejected = at_once(
+            lambda: load.append("fact_trips", keyed, key="trip_key"),
+            lambda: ids.append(fresh.select("source_trip_id"), n),
+            lambda: load.append("daily_sums", daily_sums(fresh), by=("by",)),
+            lambda: load.replace("rejected_trips", refused) if batch is None else load.append("rejected_arrivals", refused),
+        )
+        latest = max(filter(None, (loaded_until(load.base), _moment(seen.get.get("newest")))), default=None)
+        if latest:
+            load.marks[MARK] = latest.isoformat()
     discard(resolved)
-    return added
+    discard(fresh)
+    return {"fact_trips": facts_added, "rejected_trips" if batch is None else "rejected_arrivals": rejected}
+
+
+def _moment(shown: str | None) -> datetime | None:
+    return datetime.fromisoformat(shown) if shown else None
 
 
 def load_facts(
-    spark: SparkSession, trips: DataFrame, root: str, lookback: timedelta = timedelta(0)
+    spark: SparkSession, trips: DataFrame, root: str, lookback: timedelta = timedelta(0), batch: int | None = None
 ) -> dict[str, int]:
     """Load what the high-water mark says is new; everything into an empty warehouse."""
-    mark = high_water_mark(stored_facts(spark, root)).first()["watermark"]
+    mark = loaded_until(Store(spark, root).record())
     since = None if mark is None else mark - lookback
-    return load_slice(spark, slice_from(trips, since), root)
+    return load_slice(spark, slice_from(trips, since), root, batch)
 
 
 def run_etl(

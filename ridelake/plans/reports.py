@@ -149,8 +149,35 @@ def promo_usage(promos: DataFrame, trips: DataFrame) -> DataFrame:
 # Star schema
 
 
+def daily_sums(facts: DataFrame) -> DataFrame:
+    """Fares and trips per day by pickup place, by payment method and by quarter hour, from one pass.
+
+    Each row is of one of these, named by ``by``. Sums of such sums are what all reports need, so
+    a load adds the rows of its own facts, and no report reads a fact again.
+    """
+    keys = ("pickup_location_key", "payment_method_key", "time_key")
+    sets = [[F.col("date_key"), F.col(key)] for key in keys]
+    by = F.coalesce(*[F.when(F.grouping(key) == 0, F.lit(key)) for key in keys]).alias("by")
+    return facts.groupingSets(sets, "date_key", *keys).agg(
+        by,
+        F.sum("fare_amount").cast("decimal(20,2)").alias("fares"),
+        F.count("fare_amount").alias("n_fares"),
+        F.count(F.lit(1)).alias("trips"),
+    )
+
+
+def sums_by(sums: DataFrame, key: str) -> DataFrame:
+    """The daily sums of one key; a stored table is only read in that partition."""
+    return sums.where(F.col("by") == key)
+
+
 def revenue_by_city_month(facts: DataFrame, places: DataFrame, days: DataFrame) -> DataFrame:
-    per_key = facts.groupBy("pickup_location_key", "date_key").agg(F.sum("fare_amount").alias("revenue"))
+    return city_months(daily_sums(facts), places, days)
+
+
+def city_months(sums: DataFrame, places: DataFrame, days: DataFrame) -> DataFrame:
+    """Revenue per pickup city and month."""
+    per_key = sums_by(sums, "pickup_location_key").groupBy("pickup_location_key", "date_key").agg(F.sum("fares").alias("revenue"))
     named = per_key.join(places.withColumnRenamed("location_key", "pickup_location_key"), "pickup_location_key").join(days, "date_key")
     summed = named.groupBy("city_name", "year", "month").agg(F.sum("revenue").alias("total_revenue"))
     return summed.orderBy(ascending("city_name"), ascending("year"), ascending("month"))
@@ -166,15 +193,24 @@ def revenue_by_city_month_operational(trips: DataFrame, places: DataFrame) -> Da
 
 
 def revenue_by_method(facts: DataFrame, methods: DataFrame) -> DataFrame:
+    return method_totals(daily_sums(facts), methods)
+
+
+def method_totals(sums: DataFrame, methods: DataFrame) -> DataFrame:
     """Revenue per payment method; trips without one are left out."""
-    per_key = facts.groupBy("payment_method_key").agg(F.sum("fare_amount").alias("revenue"))
+    per_key = sums_by(sums, "payment_method_key").groupBy("payment_method_key").agg(F.sum("fares").alias("revenue"))
     named = per_key.join(methods, "payment_method_key").groupBy(F.col("name").alias("payment_method"))
     return named.agg(F.sum("revenue").alias("total_revenue")).orderBy(descending("total_revenue"), ascending("payment_method"))
 
 
 def avg_fare_by_method_month(facts: DataFrame, methods: DataFrame, days: DataFrame) -> DataFrame:
-    per_key = facts.groupBy("payment_method_key", "date_key").agg(
-        F.sum("fare_amount").alias("fares"), F.count("fare_amount").alias("n")
+    return method_months(daily_sums(facts), methods, days)
+
+
+def method_months(sums: DataFrame, methods: DataFrame, days: DataFrame) -> DataFrame:
+    """Average fare per payment method and month."""
+    per_key = sums_by(sums, "payment_method_key").groupBy("payment_method_key", "date_key").agg(
+        F.sum("fares").alias("fares"), F.sum("n_fares").alias("n")
     )
     named = per_key.join(methods, "payment_method_key").join(days, "date_key")
     summed = named.groupBy(F.col("name").alias("payment_method"), "year", "month").agg(
@@ -186,7 +222,11 @@ def avg_fare_by_method_month(facts: DataFrame, methods: DataFrame, days: DataFra
 
 
 def busiest_hour(facts: DataFrame, clock: DataFrame) -> DataFrame:
+    return hours(daily_sums(facts), clock)
+
+
+def hours(sums: DataFrame, clock: DataFrame) -> DataFrame:
     """Trips per hour of day and each hour's share of all trips."""
-    per_key = facts.groupBy("time_key").agg(F.count(F.lit(1)).alias("n"))
+    per_key = sums_by(sums, "time_key").groupBy("time_key").agg(F.sum("trips").alias("n"))
     per_hour = per_key.join(clock, "time_key").groupBy("hour").agg(F.sum("n").alias("trip_count"))
     return share_of_total(per_hour, "trip_count", "pct_of_all_trips", 2).orderBy(descending("trip_count"), ascending("hour"))

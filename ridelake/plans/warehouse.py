@@ -86,13 +86,14 @@ class Dimension:
         attributes = StructType([field for field in self.schema if field.name != self.key])
         return schemas.conform(source.withColumns(self.derived(as_of)) if self.derived else source, attributes)
 
-    def new_rows(self, source: DataFrame, as_of: Column, existing: DataFrame | None = None) -> DataFrame:
-        """Rows whose natural key is not stored yet, with new surrogate keys.
+    def new_rows(self, source: DataFrame, as_of: Column, existing: DataFrame | None = None, start: int | None = None) -> DataFrame:
+        """Rows whose natural key is not stored yet, with new surrogate keys above ``start``, or else all stored ones.
 
         Stored rows never change, so derived columns stay as of their first load.
         """
         fresh = insert_if_absent(self.rows(source, as_of), existing, [self.natural])
-        start = 0 if existing is None else next_free_key(existing, self.key)
+        if start is None:
+            start = 0 if existing is None else next_free_key(existing, self.key)
         return schemas.conform(assign_keys(fresh, self.key, self.natural, start), self.schema)
 
 

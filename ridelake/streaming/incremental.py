@@ -18,7 +18,7 @@ from ridelake.sources.writers import shared_folder
 def load_arriving(trips: DataFrame, number: int, root: str) -> None:
     """Load one batch; a batch without trips writes nothing."""
     if not trips.isEmpty():
-        load_slice(trips.sparkSession, trips, root, rejected=f"{root}/rejected_arrivals/batch={number}")
+        load_slice(trips.sparkSession, trips, root, batch=number)
 
 
 def follow_trips(spark: SparkSession, folder: str, root: str, name: str, files_per_batch: int = 1000) -> StreamingQuery:

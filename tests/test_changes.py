@@ -19,7 +19,11 @@ def test_first_per_key_takes_the_earliest_row(frame):
 def test_first_per_key_combines_before_the_shuffle(frame):
     batch = frame("k int, at int, v string", (1, 5, "x"))
     text = plan_of(changes.first_per_key(batch, ["k"], ["at"]))
-    assert "partial_min" in text and "Window" not in text
+    assert "partial_count" in text and "SortAggregate" not in text  # keys alone are hashed and counted
+    limit, shuffled = text.index("row_number(), 1, Final"), text.index("row_number(), 1, Partial")
+    assert limit < shuffled and "Exchange" in text[limit:shuffled]  # of repeated keys, one row per task travels
+    inserted = plan_of(changes.insert_if_absent(batch, batch.where("at > 9"), ["k"], ["at"]))
+    assert "SortAggregate" not in inserted
 
 
 def test_insert_if_absent_skips_known_and_repeated_keys(frame):

@@ -162,6 +162,16 @@ RIDE_LIST = f"""ride_id, driver_name, passenger_name, pickup_city, dropoff_city,
 TRIP_LIST = f"""trip_id, driver_id, passenger_id, pickup_location_id, dropoff_location_id, {dbl('fare_amount')} AS fare_amount, {dbl('distance_km')} AS distance_km,
   status, requested_at, completed_at, {dbl('rating')} AS rating, payment_method_id"""
 
+OTHER_TRIP_COLUMNS = f"""trip_id, driver_id, passenger_id, vehicle_id, pickup_location_id, dropoff_location_id, promo_code_id,
+  {scaled('base_c', 100)} AS base_fare, {dbl('distance_km')} AS distance_km, status, requested_at, completed_at,
+  {dbl('driver_rating')} AS driver_rating, {dbl('passenger_rating')} AS passenger_rating"""
+
+
+def keyed(select: str) -> str:
+    """A dimension's rows with the number of its keys, one a row."""
+    return f"SELECT *, count(*) OVER () AS n_keys FROM ({select}) AS members"
+
+
 DRIVER_COUNTS = """
 counted AS (
   SELECT s.s_suppkey AS driver_id, s.s_name AS driver_name, count(t.trip_id) AS total_trips,
@@ -333,16 +343,18 @@ ORACLE: dict[str, str] = {
         SELECT trip_id, driver_id, passenger_id, {dbl('fare_amount')} AS fare_amount, {dbl('distance_km')} AS distance_km,
                status, requested_at, completed_at, {dbl('rating')} AS rating, payment_method_id
         FROM trips WHERE status = 'completed'"""),
-    "delete_set_null": over(PRICED, """
-        SELECT trip_id, CASE WHEN payment_method_id NOT IN (SELECT payment_method_id FROM payment_methods WHERE NOT is_active)
-                             THEN payment_method_id END AS payment_method_id
+    "delete_set_null": over(PRICED, f"""
+        SELECT CASE WHEN payment_method_id NOT IN (SELECT payment_method_id FROM payment_methods WHERE NOT is_active)
+                    THEN payment_method_id END AS payment_method_id,
+               {scaled('tip_c', 100)} AS tip_amount, {scaled('discount_c', 100)} AS discount_amount, {scaled('surge_h', 100)} AS surge_multiplier,
+               {OTHER_TRIP_COLUMNS}
         FROM priced"""),
     "delete_cascade": over(PRICED, """
         SELECT 'trip_cancellations' AS tbl, trip_id AS id, count(*) AS n FROM priced WHERE status = 'cancelled' AND driver_id <> 3 GROUP BY trip_id
         UNION ALL SELECT 'vehicle_assignments', l_suppkey, count(*) FROM lineitem
         WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_acctbal < 0) GROUP BY l_suppkey"""),
     "defaulted_rows": over(PRICED, f"""
-        SELECT trip_id, {scaled('base_c', 100)} AS base_fare, {dbl(0)} AS tip_amount, {dbl(0)} AS discount_amount, {dbl(1)} AS surge_multiplier
+        SELECT payment_method_id, {dbl(0)} AS tip_amount, {dbl(0)} AS discount_amount, {dbl(1)} AS surge_multiplier, {OTHER_TRIP_COLUMNS}
         FROM priced"""),
     "inline_lookup": """
         SELECT line, typed, c_custkey AS passenger_id, NULLIF((SELECT count(*) FROM orders WHERE o_custkey = c_custkey), 0) AS trips
@@ -511,6 +523,9 @@ ORACLE: dict[str, str] = {
         SELECT trip_id AS source_trip_id, moment AS requested_at, CAST(strftime(moment, '%Y%m%d') AS INTEGER) AS date_key,
                {scaled(FACT_FARE_C, 100)} AS fare_amount
         FROM earliest WHERE place = 1"""),
+    "crash_between_tables": over(TRIPS, """
+        SELECT 'drivers' AS tbl, CAST(0 AS INTEGER) AS half, count(*) AS n FROM supplier WHERE s_suppkey % 2 = 0 HAVING count(*) > 0
+        UNION ALL SELECT 'trips', CAST(0 AS INTEGER), count(*) FROM trips WHERE driver_id % 2 = 0 HAVING count(*) > 0"""),
     "revenue_city_month": over(PRICED, f"""
         SELECT n_name AS city_name, CAST(year(requested_at) AS INTEGER) AS year, CAST(month(requested_at) AS INTEGER) AS month,
                {scaled(f'sum({FACT_FARE_C})', 100)} AS total_revenue
@@ -531,3 +546,6 @@ ORACLE: dict[str, str] = {
                {scaled(half_up('count(*) * 10000', 'CAST(sum(count(*)) OVER () AS BIGINT)'), 100)} AS pct_of_all_trips
         FROM judged WHERE reject_reason IS NULL GROUP BY 1"""),
 }
+
+for _name in ("dim_driver", "dim_passenger", "dim_location", "dim_payment_method", "dim_promo_code", "dim_vehicle"):
+    ORACLE[_name] = keyed(ORACLE[_name])

@@ -5,8 +5,11 @@ compare across engines."""
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from contextlib import suppress
+from dataclasses import replace
+from datetime import datetime, timedelta
 from functools import wraps
+from threading import Lock
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +21,7 @@ from ridelake.functions import numeric, rules, temporal, text
 from ridelake.operators import changes, keys, lookups, quality
 from ridelake.plans import constraints, facts, flat, normalise, reports, warehouse
 from ridelake.sources import operational, readers, writers
+from ridelake.sources.commits import Files, Store
 from ridelake.sources import rides as source
 from ridelake.sources.stored import stored
 
@@ -360,16 +364,14 @@ def normalize_trips(spark, folder):
     ids = {names.table: normalise.spelling_ids(spelt[names.table], names, tables[names.table]) for names in normalise.NAME_TABLES}
     sizes = normalise.id_sizes(spelt)
     trips = normalise.normalised_trips(rides, ids, sizes)
-    roles = (
-        ("drivers", "driver_id", "driver_id", "name", "driver_name"),
-        ("passengers", "passenger_id", "passenger_id", "name", "passenger_name"),
-        ("locations", "pickup_location_id", "location_id", "city_name", "pickup_city"),
-        ("locations", "dropoff_location_id", "location_id", "city_name", "dropoff_city"),
-        ("payment_methods", "payment_method_id", "payment_method_id", "name", "payment_method"),
+    steps = (
+        lookups.Step("drivers", "driver_id", "driver_id", {"driver_name": "name"}),
+        lookups.Step("passengers", "passenger_id", "passenger_id", {"passenger_name": "name"}),
+        lookups.Step("locations", "pickup_location_id", "location_id", {"pickup_city": "city_name"}),
+        lookups.Step("locations", "dropoff_location_id", "location_id", {"dropoff_city": "city_name"}),
+        lookups.Step("payment_methods", "payment_method_id", "payment_method_id", {"payment_method": "name"}),
     )
-    shown = trips
-    for table, key, match, column, name in roles:
-        shown = lookups.lookup(shown, tables[table], key, match, {name: column}, row_id="trip_id", size=sizes[table], keys_from=trips)
+    shown = lookups.chain(trips, tables, steps, sizes, "trip_id")
     return shown.drop("driver_id", "passenger_id", "pickup_location_id", "dropoff_location_id", "payment_method_id")
 
 
@@ -377,7 +379,8 @@ def normalize_trips(spark, folder):
 
 
 def _scratch(spark: SparkSession, name: str) -> str:
-    return f"{writers.shared_folder(spark)}/{name}-{uuid4().hex}"
+    """A path of its own in a folder of its own, so that no other load has to do with its commits."""
+    return f"{writers.shared_folder(spark)}/{name}-{uuid4().hex}/{name}"
 
 
 @query
@@ -435,7 +438,7 @@ def _after_delete(spark, folder, table, condition):
 def delete_set_null(spark, folder):
     """Trips after the payment methods no longer in use were deleted: they stay and lose the method."""
     left = _after_delete(spark, folder, "payment_methods", ~F.col("is_active"))
-    return left["trips"].select("trip_id", "payment_method_id")
+    return left["trips"]
 
 
 @query
@@ -450,10 +453,9 @@ def delete_cascade(spark, folder):
 
 @query
 def defaulted_rows(spark, folder):
-    """Trips inserted without their money columns take the declared defaults."""
+    """Trips inserted without their money columns take the declared defaults; every column."""
     bare = operational.priced_trips(spark, folder).drop("tip_amount", "discount_amount", "surge_multiplier")
-    filled = changes.with_defaults(bare, constraints.defaults("trips"))
-    return filled.select("trip_id", "base_fare", "tip_amount", "discount_amount", "surge_multiplier")
+    return changes.with_defaults(bare, constraints.defaults("trips"))
 
 
 @query
@@ -617,10 +619,38 @@ def _sources(spark, folder):
     }
 
 
+#: Warehouses this process has loaded: where, by session, source folder and the state of its files.
+_LOADED: dict[tuple, str] = {}
+_LOADING = Lock()
+
+
+def _warehouse(spark: SparkSession, folder: str) -> Store:
+    """The warehouse over a folder's tables, loaded through the ETL by the first query of the session that asks for it.
+
+    Two loads: the trips before 2000, then all from the mark on. The calendar ends before
+    the last trips on purpose: those are rejected for their date.
+    """
+    tables = ("orders", "customer", "supplier", "nation", "part")
+    files = Files(spark, folder)
+    states = [files.system.getFileStatus(files.path(f"{table}.parquet")).getModificationTime() for table in tables]
+    key = (spark.sparkContext.applicationId, folder, *states)
+    with _LOADING:
+        if key not in _LOADED:
+            root = _scratch(spark, "warehouse")
+            sources = _sources(spark, folder)
+            trips = operational.priced_trips(spark, folder)
+            facts.load_dimensions(spark, sources, root, temporal.ntz(AS_OF), *CALENDAR)
+            facts.load_facts(spark, trips.where(F.col("requested_at") < temporal.ntz(LOADED_UNTIL)), root, batch=1)
+            facts.load_facts(spark, trips, root, batch=2)
+            _LOADED[key] = root
+    return Store(spark, _LOADED[key])
+
+
 def _dimension_query(dim: warehouse.Dimension) -> None:
     def build(spark: SparkSession, folder: str) -> DataFrame:
-        rows = getattr(operational, dim.source)(spark, folder)
-        return dim.new_rows(rows, temporal.ntz(AS_OF)).drop(dim.key)
+        rows = _warehouse(spark, folder).read(dim.table)
+        distinct = rows.agg(F.count_distinct(dim.key)).scalar()  # the keys themselves depend on how rows were dealt out
+        return rows.select(*[c for c in rows.columns if c != dim.key], distinct.alias("n_keys"))
 
     build.__name__ = dim.table
     query(build)
@@ -644,36 +674,23 @@ def dim_time(spark, folder):
     return warehouse.dim_time(spark).join(seen, "time_key", "left").fillna(0, ["events"])
 
 
-def _dimensions(spark, folder):
-    """The dimensions of a first load and the sizes of their keys.
-
-    A dimension is read by the key lookup and again by the reports, so it is frozen once.
-    The calendar ends before the last trips on purpose: those are rejected for their date.
-    """
-    built = warehouse.build_dimensions(spark, _sources(spark, folder), temporal.ntz(AS_OF), *CALENDAR)
-    dims = {name: writers.snapshot(rows) for name, rows in built.items()}
-    return dims, lookups.table_sizes({link.table: dims[link.table].select(link.match, link.take) for link in facts.LINKS})
-
-
-def _star(spark, folder):
-    """The dimensions, and the trips with their keys."""
-    dims, sizes = _dimensions(spark, folder)
-    return dims, facts.resolve_keys(operational.priced_trips(spark, folder), dims, sizes)
-
-
 @query
 def fact_key_resolution(spark, folder):
-    """Trips per outcome of the key lookup."""
-    _, resolved = _star(spark, folder)
-    outcome = F.coalesce("reject_reason", F.lit("accepted")).alias("outcome")
-    return resolved.groupBy(outcome).agg(flat.rows("trips"))
+    """Trips per outcome of the key lookup: the stored facts, and every reject once."""
+    store = _warehouse(spark, folder)
+    accepted = store.read("fact_trips").select(F.lit("accepted").alias("outcome"))
+    rejected = store.read("rejected_arrivals").dropDuplicates(["trip_id"]).select(F.col("reject_reason").alias("outcome"))
+    return accepted.unionByName(rejected).groupBy("outcome").agg(flat.rows("trips"))
 
 
 @query
 def fact_trips(spark, folder):
-    """Accepted facts; every surrogate key is traced back to the natural id its dimension row has."""
-    dims, resolved = _star(spark, folder)
-    return facts.with_natural_ids(facts.measures(resolved), dims)
+    """Stored facts; every surrogate key is traced back to the natural id its dimension row has."""
+    store = _warehouse(spark, folder)
+    record = store.record()
+    dims = {link.table: store.read(link.table, record=record) for link in facts.LINKS}
+    loaded = store.read("fact_trips", record=record).drop("trip_key")
+    return facts.with_natural_ids(loaded, dims, facts.key_sizes(record))
 
 
 @query
@@ -687,26 +704,21 @@ def promo_usage(spark, folder):
     return reports.promo_usage(operational.promo_codes(spark, folder), operational.priced_trips(spark, folder))
 
 
-def _facts(spark, folder):
-    dims, resolved = _star(spark, folder)
-    return dims, facts.measures(resolved)
-
-
 @query
 def watermark(spark, folder):
-    _, loaded = _facts(spark, folder)
-    empty = loaded.where(F.col("requested_at") < temporal.ntz("1900-01-01 00:00:00"))
-    mark = facts.high_water_mark(loaded).select(F.lit("loaded").alias("warehouse"), "watermark")
-    return mark.union(facts.high_water_mark(empty).select(F.lit("empty"), "watermark"))
+    """The mark of the loaded warehouse, and of one that has only its dimensions."""
+    store = _warehouse(spark, folder)
+    record = store.record()
+    empty = replace(record, marks={})
+    mark = facts.high_water_mark(store.read("fact_trips", record=record), record).select(F.lit("loaded").alias("warehouse"), "watermark")
+    return mark.union(facts.high_water_mark(store.read("fact_trips", record=record), empty).select(F.lit("empty"), "watermark"))
 
 
 @query
 def incremental_slice(spark, folder):
-    """Trips a second load adds to a warehouse that holds everything before 2000."""
-    _, every = _facts(spark, folder)
-    held = every.where(F.col("requested_at") < temporal.ntz(LOADED_UNTIL))
-    since = facts.high_water_mark(held).first()["watermark"]
-    fresh = facts.unseen(facts.slice_from(every, since), held)
+    """Trips the second load added to a warehouse that held everything before 2000."""
+    store = _warehouse(spark, folder)
+    fresh = store.added("fact_trips", store.record().load)
     return fresh.select("source_trip_id", "requested_at", "date_key", "fare_amount")
 
 
@@ -714,26 +726,51 @@ def incremental_slice(spark, folder):
 def reloaded_facts(spark, folder):
     """A warehouse after two feeds: two trips of three, then all of them, some moved to a later time and some a year back.
 
-    The second feed adds the third of the trips that was held back and nothing else, whatever time it claims.
+    The second feed, read back over all time, adds the third of the trips that was held back
+    and nothing else, whatever time it claims.
     """
-    dims, sizes = _dimensions(spark, folder)
     trips, number = operational.priced_trips(spark, folder), F.col("trip_id")
     shift = F.when(number % 5 == 0, temporal.days(40)).when(number % 7 == 0, temporal.days(-365)).otherwise(temporal.days(0))
     again = trips.withColumns({at: F.col(at) + shift for at in ("requested_at", "completed_at")})
+    root = _scratch(spark, "reloaded")
+    facts.load_dimensions(spark, _sources(spark, folder), root, temporal.ntz(AS_OF), *CALENDAR)
+    facts.load_facts(spark, trips.where(number % 3 != 0), root)
+    facts.load_facts(spark, again, root, lookback=timedelta(days=36_500))
+    return Store(spark, root).read("fact_trips").select("source_trip_id", "requested_at", "date_key", "fare_amount")
+
+
+@query
+def crash_between_tables(spark, folder):
+    """Drivers and their trips committed together, then a second load that dies between its two tables: rows per table and load.
+
+    The rows of the second load are staged for one table and never seen.
+    """
+    trips, people = source.trips(spark, folder), source.driver_names(spark, folder)
+    store = Store(spark, _scratch(spark, "two-tables"))
+    half = F.col("driver_id") % 2
+    with store.load() as load:
+        load.append("drivers", people.where(half == 0))
+        load.append("trips", trips.where(half == 0))
+    with suppress(InterruptedError), store.load() as load:
+        load.append("drivers", people.where(half == 1))
+        raise InterruptedError("the session is lost")
+    seen = [
+        store.read(table).groupBy(F.lit(table).alias("tbl"), half.cast("int").alias("half")).agg(flat.rows("n"))
+        for table in ("drivers", "trips")
+    ]
+    return seen[0].unionByName(seen[1])
 
-    def load(feed, held=None):
-        found = facts.measures(facts.resolve_keys(feed, dims, sizes))
-        return found if held is None else facts.unseen(found, held)
 
-    held = writers.snapshot(load(trips.where(number % 3 != 0)))
-    every = held.unionByName(load(again, held))
-    return every.select("source_trip_id", "requested_at", "date_key", "fare_amount")
+def _sums(spark, folder, *tables):
+    """The daily sums that the loads kept, and some dimensions."""
+    store = _warehouse(spark, folder)
+    record = store.record()
+    return [store.read(table, record=record) for table in ("daily_sums", *tables)]
 
 
 @query
 def revenue_city_month(spark, folder):
-    dims, loaded = _facts(spark, folder)
-    return reports.revenue_by_city_month(loaded, dims["dim_location"], dims["dim_date"])
+    return reports.city_months(*_sums(spark, folder, "dim_location", "dim_date"))
 
 
 @query
@@ -743,17 +780,14 @@ def revenue_city_month_oltp(spark, folder):
 
 @query
 def revenue_by_method(spark, folder):
-    dims, loaded = _facts(spark, folder)
-    return reports.revenue_by_method(loaded, dims["dim_payment_method"])
+    return reports.method_totals(*_sums(spark, folder, "dim_payment_method"))
 
 
 @query
 def avg_fare_method_month(spark, folder):
-    dims, loaded = _facts(spark, folder)
-    return reports.avg_fare_by_method_month(loaded, dims["dim_payment_method"], dims["dim_date"])
+    return reports.method_months(*_sums(spark, folder, "dim_payment_method", "dim_date"))
 
 
 @query
 def busiest_hour(spark, folder):
-    dims, loaded = _facts(spark, folder)
-    return reports.busiest_hour(loaded, dims["dim_time"])
+    return reports.hours(*_sums(spark, folder, "dim_time"))

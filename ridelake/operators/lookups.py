@@ -7,7 +7,8 @@ over many partitions so that one hot driver or city does not become one long tas
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections import Counter
+from collections.abc import Mapping, Sequence
 from functools import reduce
 from math import ceil
 from operator import add
@@ -28,7 +29,7 @@ BROADCAST_BYTES = 128 * 1024 * 1024
 # ten candidates for each; this is the most candidates the sketch can hold.
 TRACKED_PER_KEY, TRACKED_KEYS = 10, 1_000_000
 
-_PIECE, _PIECES = "_piece", "_pieces"
+_PIECE, PIECES = "_piece", "_pieces"
 
 
 class Size(NamedTuple):
@@ -70,42 +71,54 @@ def partitions(frame: DataFrame) -> int:
     return max(2, int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
-def crowded_keys(facts: DataFrame, key: str, pieces: int) -> list[tuple[object, int]]:
-    """Keys holding more than one partition's fair share, and how many pieces each needs.
+def crowds(facts: DataFrame, keys: Sequence[str], pieces: int) -> dict[str, list[tuple[object, int]]]:
+    """Per key column, the keys holding more than one partition's fair share, and how many pieces each needs.
 
-    A frequent-items sketch finds them in one pass over the key column. Their number
-    is bounded, and so is the sum of all pieces, whatever the data. A key the sketch
-    misses only costs balance, never rows. The answer is taken once and then fixed:
+    One frequent-items sketch per column finds them, all in one pass over these columns. The
+    number of keys is bounded, and so is the sum of all pieces, whatever the data. A key the
+    sketch misses only costs balance, never rows. The answer is taken once and then fixed:
     two evaluations of a sketch may differ, and both sides of a join must agree.
     """
     tracked = min(TRACKED_PER_KEY * pieces, TRACKED_KEYS)
-    sketch = F.expr(f"approx_top_k(`{key}`, {min(pieces, tracked)}, {tracked})")
-    found = facts.agg(sketch.alias("top"), F.count(F.lit(1)).alias("total")).first()
-    shares = [(item["item"], item["count"] * pieces / found["total"]) for item in found["top"] or []]
-    return [(item, ceil(share)) for item, share in shares if item is not None and share > 1]
+    sketches = [F.expr(f"approx_top_k(`{key}`, {min(pieces, tracked)}, {tracked})").alias(f"_{k}") for k, key in enumerate(keys)]
+    found = facts.agg(*sketches, F.count(F.lit(1)).alias("total")).first()
+
+    def shares(top) -> list[tuple[object, int]]:
+        over = [(item["item"], item["count"] * pieces / found["total"]) for item in top or []]
+        return [(item, ceil(share)) for item, share in over if item is not None and share > 1]
+
+    return {key: shares(found[f"_{k}"]) for k, key in enumerate(keys)}
+
+
+def crowded_keys(facts: DataFrame, key: str, pieces: int) -> list[tuple[object, int]]:
+    """The crowded keys of one column."""
+    return crowds(facts, [key], pieces)[key]
 
 
 def key_frame(facts: DataFrame, key: str, crowded: list[tuple[object, int]]) -> DataFrame:
     """The crowded keys as a small frame to join with."""
-    return facts.sparkSession.createDataFrame(crowded, declared((key, facts.schema[key].dataType), (_PIECES, INT)))
+    return facts.sparkSession.createDataFrame(crowded, declared((key, facts.schema[key].dataType), (PIECES, INT)))
 
 
 def spread_join(
-    facts: DataFrame, table: DataFrame, key: str, row_id: str, how: str, keys_from: DataFrame | None = None
+    facts: DataFrame, table: DataFrame, key: str, row_id: str, how: str, keys_from: DataFrame | None = None,
+    crowd: list[tuple[object, int]] | None = None,
 ) -> DataFrame:
     """Shuffle join on ``key`` with the rows of crowded keys cut into pieces.
 
     The piece of a fact row is a hash of its id, so a re-run task picks the same one.
-    NULL keys match nothing but are spread likewise. ``keys_from`` is a cheaper frame
-    with the same key column to look for crowded keys in.
+    NULL keys match nothing but are spread likewise. ``crowd`` are the crowded keys if the
+    caller has them; else they are looked for, in ``keys_from`` if that is cheaper.
     """
     pieces = partitions(facts)
-    crowded = key_frame(facts, key, crowded_keys(facts if keys_from is None else keys_from, key, pieces))
-    cuts = F.when(F.col(key).isNull(), F.lit(pieces)).otherwise(F.coalesce(F.col(_PIECES), F.lit(1)))
+    if crowd is None:
+        crowd = crowded_keys(facts if keys_from is None else keys_from, key, pieces)
+    crowded = key_frame(facts, key, crowd)
+    cuts = F.when(F.col(key).isNull(), F.lit(pieces)).otherwise(F.coalesce(F.col(PIECES), F.lit(1)))
     left = facts.join(F.broadcast(crowded), key, "left").withColumn(_PIECE, F.pmod(F.xxhash64(row_id), cuts).cast("int"))
-    copies = F.sequence(F.lit(0), F.coalesce(F.col(_PIECES), F.lit(1)) - 1)
-    right = table.join(F.broadcast(crowded), key, "left").withColumn(_PIECE, F.explode(copies)).drop(_PIECES)
-    return left.drop(_PIECES).join(right, [key, _PIECE], how).drop(_PIECE)
+    copies = F.sequence(F.lit(0), F.coalesce(F.col(PIECES), F.lit(1)) - 1)
+    right = table.join(F.broadcast(crowded), key, "left").withColumn(_PIECE, F.explode(copies)).drop(PIECES)
+    return left.drop(PIECES).join(right, [key, _PIECE], how).drop(_PIECE)
 
 
 def lookup(
@@ -120,6 +133,7 @@ def lookup(
     how: str = "left",
     keys_from: DataFrame | None = None,
     limit: int | None = None,
+    crowd: list[tuple[object, int]] | None = None,
 ) -> DataFrame:
     """Add columns of ``table`` (unique on ``match``) to every fact row.
 
@@ -134,7 +148,39 @@ def lookup(
     measured = table_sizes({"table": picked})["table"] if size is None else size
     if measured.bytes <= (BROADCAST_BYTES if limit is None else limit):
         return facts.join(F.broadcast(picked), key, how)
-    return spread_join(facts, picked, key, row_id, how, keys_from)
+    return spread_join(facts, picked, key, row_id, how, keys_from, crowd)
+
+
+class Step(NamedTuple):
+    """One lookup of a chain: a column of the facts, the table it is looked up in, and what is taken."""
+
+    table: str
+    key: str
+    match: str
+    take: Mapping[str, str | Column]
+    how: str = "left"
+
+
+def chain(
+    facts: DataFrame,
+    tables: Mapping[str, DataFrame],
+    steps: Sequence[Step],
+    sizes: Mapping[str, Size],
+    row_id: str,
+    limit: int | None = None,
+    keys_from: DataFrame | None = None,
+) -> DataFrame:
+    """Several lookups of the same rows: the broadcasts share the limit, and one pass finds the crowded keys of all others."""
+    bounds = together({step.table: sizes[step.table] for step in steps}, Counter(step.table for step in steps), limit)
+    spread = [step.key for step in steps if sizes[step.table].bytes > bounds[step.table]]
+    read = facts if keys_from is None else keys_from
+    crowd = crowds(read, list(dict.fromkeys(spread)), partitions(facts)) if spread else {}
+    for step in steps:
+        facts = lookup(
+            facts, tables[step.table], step.key, step.match, step.take, row_id=row_id, size=sizes[step.table],
+            how=step.how, limit=bounds[step.table], crowd=crowd.get(step.key),
+        )
+    return facts
 
 
 def one_value_lookup(

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -19,7 +18,7 @@ from ridelake.functions.rules import fact_fare
 from ridelake.functions.temporal import date_key, minutes_between, ntz, quarter_hour_key
 from ridelake.operators.changes import insert_if_absent
 from ridelake.operators.keys import dense_keys, placed
-from ridelake.operators.lookups import Size, lookup, table_sizes, together
+from ridelake.operators.lookups import Size, Step, chain, table_sizes
 from ridelake.plans.reports import daily_sums
 from ridelake.plans.warehouse import DIMENSIONS, Dimension, dim_date, dim_time
 from ridelake.sources.buckets import KeyTable
@@ -75,15 +74,10 @@ def resolve_keys(
     """
     tables = _one_per_key(dims)
     measured = sizes or table_sizes({link.table: dims[link.table].select(link.match, link.take) for link in LINKS})
-    bounds = together(measured, Counter(link.table for link in LINKS), limit)
     requested = F.col("requested_at")
     timed = trips.withColumns({"date_key": date_key(requested), "time_key": quarter_hour_key(requested)})
-    resolved = timed
-    for link in LINKS:
-        resolved = lookup(
-            resolved, tables[link.table], link.by, link.match, {link.name: link.take},
-            row_id="trip_id", size=measured[link.table], keys_from=timed, limit=bounds[link.table],
-        )
+    steps = [Step(link.table, link.by, link.match, {link.name: link.take}) for link in LINKS]
+    resolved = chain(timed, tables, steps, measured, "trip_id", limit)
 
     def missing(link: Link) -> Column:
         lost = F.col(link.name).isNull()
@@ -167,15 +161,10 @@ def with_natural_ids(facts: DataFrame, dims: dict[str, DataFrame], sizes: dict[s
     """Facts with each surrogate key replaced by the natural id of the dimension row it points at."""
     links = [link for link in LINKS if link.match != link.take]
     measured = sizes or table_sizes({link.table: dims[link.table].select(link.match, link.take) for link in links})
-    bounds = together({link.table: measured[link.table] for link in links}, Counter(link.table for link in links))
-    shown = facts
-    for link in links:
-        shown = lookup(
-            shown, dims[link.table], link.name, link.take, {"natural_id": link.match},
-            row_id="source_trip_id", size=measured[link.table], keys_from=facts, limit=bounds[link.table],
-        )
-        shown = shown.withColumn(link.name, F.col("natural_id")).drop("natural_id")
-    return shown.select(*facts.columns)
+    steps = [Step(link.table, link.name, link.take, {f"natural_{link.name}": link.match}) for link in links]
+    shown = chain(facts, dims, steps, measured, "source_trip_id")
+    natural = {link.name: F.col(f"natural_{link.name}").alias(link.name) for link in links}
+    return shown.select(*[natural.get(c, F.col(c)) for c in facts.columns])
 
 
 def at_once(*writes: Callable[[], int]) -> list[int]:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections import Counter
 from dataclasses import dataclass
 from functools import reduce
 
@@ -14,7 +13,7 @@ from ridelake import schemas
 from ridelake.functions.text import clean_name
 from ridelake.operators.changes import insert_if_absent
 from ridelake.operators.keys import assign_keys, next_free_key
-from ridelake.operators.lookups import Size, lookup, table_sizes, together
+from ridelake.operators.lookups import Size, Step, chain, table_sizes
 from ridelake.operators.quality import Batch, load_batch
 from ridelake.plans.constraints import NORMALISED_WIDTHS, column_rules, normalised_trip_rules
 from ridelake.sources.readers import read_table
@@ -84,12 +83,8 @@ def normalised_trips(rides: DataFrame, ids: dict[str, DataFrame], sizes: dict[st
         ("locations", "dropoff_city", "dropoff_location_id", "inner"),
         ("payment_methods", "payment_method", "payment_method_id", "left"),
     )
-    trips, bounds = rides, together(sizes, Counter(role[0] for role in roles))
-    for table, column, name, how in roles:
-        trips = lookup(
-            trips, ids[table], column, "spelling", {name: "id"},
-            row_id="ride_id", size=sizes[table], how=how, keys_from=rides, limit=bounds[table],
-        )
+    steps = [Step(table, column, "spelling", {name: "id"}, how) for table, column, name, how in roles]
+    trips = chain(rides, ids, steps, sizes, "ride_id")
     renamed = {"trip_id": "ride_id", "distance_km": "ride_distance_km", "status": "ride_status"}
     return trips.select(*[F.col(renamed.get(name, name)).alias(name) for name in schemas.NORMALISED_TRIPS.names])
 

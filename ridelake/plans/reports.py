@@ -7,8 +7,6 @@ key instead of every trip, whatever the skew.
 
 from __future__ import annotations
 
-from collections import Counter
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,7 +14,7 @@ from ridelake.functions.numeric import percent_of
 from ridelake.functions.ordering import ascending, descending
 from ridelake.functions.rules import view_fare
 from ridelake.functions.temporal import minutes_between
-from ridelake.operators.lookups import lookup, table_sizes, together, without_match
+from ridelake.operators.lookups import Step, chain, lookup, table_sizes, without_match
 from ridelake.operators.running import running_total, share_of_total
 
 
@@ -28,21 +26,15 @@ def completed_trips(
     trips: DataFrame, drivers: DataFrame, passengers: DataFrame, cities: DataFrame, payments: DataFrame
 ) -> DataFrame:
     """Completed trips with names for ids; a trip without payment method stays."""
-    sizes = table_sizes({"drivers": drivers, "passengers": passengers, "cities": cities, "payments": payments})
-    detail = trips.where(has_status("completed"))
-    roles = (
-        (drivers, "drivers", "driver_id", "driver_id", "name", "driver_name", "inner"),
-        (passengers, "passengers", "passenger_id", "passenger_id", "name", "passenger_name", "inner"),
-        (cities, "cities", "pickup_location_id", "location_id", "city_name", "pickup_city", "inner"),
-        (cities, "cities", "dropoff_location_id", "location_id", "city_name", "dropoff_city", "inner"),
-        (payments, "payments", "payment_method_id", "payment_method_id", "name", "payment_method", "left"),
+    tables = {"drivers": drivers, "passengers": passengers, "cities": cities, "payments": payments}
+    steps = (
+        Step("drivers", "driver_id", "driver_id", {"driver_name": "name"}, "inner"),
+        Step("passengers", "passenger_id", "passenger_id", {"passenger_name": "name"}, "inner"),
+        Step("cities", "pickup_location_id", "location_id", {"pickup_city": "city_name"}, "inner"),
+        Step("cities", "dropoff_location_id", "location_id", {"dropoff_city": "city_name"}, "inner"),
+        Step("payments", "payment_method_id", "payment_method_id", {"payment_method": "name"}),
     )
-    bounds = together(sizes, Counter(role[1] for role in roles))
-    for table, size, key, match, column, name, how in roles:
-        detail = lookup(
-            detail, table, key, match, {name: column},
-            row_id="trip_id", size=sizes[size], how=how, keys_from=trips, limit=bounds[size],
-        )
+    detail = chain(trips.where(has_status("completed")), tables, steps, table_sizes(tables), "trip_id")
     return detail.select(
         "trip_id", "driver_name", "passenger_name", "pickup_city", "dropoff_city",
         "fare_amount", "distance_km", "rating", "payment_method", "requested_at", "completed_at",

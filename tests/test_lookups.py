@@ -120,3 +120,22 @@ def test_tables_broadcast_together_stay_within_the_limit():
     assert lookups.together(sizes, {"twice": 2}, limit=100) == {"small": 10, "twice": 30, "large": -1}
     assert lookups.together(sizes, limit=100) == {"small": 10, "twice": 30, "large": 50}
     assert lookups.together(sizes, limit=0) == {"small": -1, "twice": -1, "large": -1}
+
+
+def test_one_pass_finds_the_crowded_keys_of_a_whole_chain(spark, facts, table, monkeypatch):
+    """However many lookups a chain spreads, their crowded keys are looked for once, in all columns together."""
+    wide = facts.withColumns({"j": F.col("id") % 2, "u": F.col("id")})
+    steps = [lookups.Step("t", key, "key", {f"name_{key}": "name"}) for key in ("k", "j", "u", "k")]
+    sizes = {"t": lookups.Size(50, 5000)}
+    plain, seen = lookups.crowds, []
+
+    def counted(*args):
+        seen.append(plain(*args))
+        return seen[-1]
+
+    monkeypatch.setattr(lookups, "crowds", counted)
+    spread = lookups.chain(wide, {"t": table}, steps[:3], sizes, "id", limit=0)
+    assert len(seen) == 1 and set(seen[0]) == {"k", "j", "u"} and [k for k, _ in seen[0]["j"]] == [0, 1] and seen[0]["u"] == []
+    sent = lookups.chain(wide, {"t": table}, steps[:3], sizes, "id")
+    assert len(seen) == 1 and plan_of(sent).count("BroadcastHashJoin") == 3
+    assert rows_of(spread.select("id", "name_k", "name_j", "name_u")) == rows_of(sent.select("id", "name_k", "name_j", "name_u"))

@@ -8,8 +8,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ridelake.functions.temporal import minute_number
-from ridelake.operators.running import running_total, share_of_total
+from ridelake.operators.running import cut_times, running_total, share_of_total
 from tests.conftest import plan_of, rows_of
 
 DDL = "id int, driver int, at timestamp_ntz, fare decimal(10,2)"
@@ -39,7 +38,7 @@ def test_equals_one_window_over_all(frame, seed):
 
 
 def test_no_task_sees_a_crowded_history(frame):
-    """A crowded driver's rows are windowed by minute; only sums per minute meet per driver."""
+    """A crowded driver's rows are windowed by range of time; only sums per range meet per driver."""
     crowd = [(i, 1, datetime(2024, 1, 1) + timedelta(minutes=i), Decimal(1)) for i in range(300)]
     text = plan_of(running_total(frame(DDL, *crowd), "driver", "at", "fare", "total"))
     windows = [line for line in text.splitlines() if "Window [" in line]
@@ -50,15 +49,31 @@ def test_no_task_sees_a_crowded_history(frame):
     assert text.count("Window [") == 1 and "Join" not in text
 
 
-def test_a_busy_hour_is_cut_too(frame):
-    """All rows in one hour still fall into several windows, and ties keep one total."""
-    crowd = [(i, 1, datetime(2024, 1, 1, 9, i % 60, i % 7), Decimal(1)) for i in range(600)]
+def test_a_busy_minute_is_cut_too(spark, frame):
+    """All rows of one driver in one minute are the work of several tasks, and ties keep one total."""
+    crowd = [(i, 1, datetime(2024, 1, 1, 9, 30, i % 7, 1000 * (i % 50)), Decimal(1)) for i in range(600)]
     rows = frame(DDL, *crowd)
     total = running_total(rows, "driver", "at", "fare", "total")
     want = {i: sum(other <= at for _, _, other, _ in crowd) for i, _, at, _ in crowd}
     assert {row["id"]: row["total"] for row in total.collect()} == want
-    cuts = rows.select(minute_number(F.col("at"))).distinct().count()
-    assert cuts == 60
+    (_, cuts), = cut_times(rows, "driver", "at", [(1, 4)]).collect()
+    assert len(cuts) == 3
+    sizes = [sum(a <= at < b for *_, at, _ in crowd) for a, b in zip([datetime.min, *cuts], [*cuts, datetime.max])]
+    assert sum(sizes) == 600 and max(sizes) < 250
+    one = frame(DDL, *[(i, 1, datetime(2024, 1, 1), Decimal(1)) for i in range(300)])
+    assert {row["total"] for row in running_total(one, "driver", "at", "fare", "total").collect()} == {300}
+
+
+def test_cuts_follow_each_keys_own_times(frame):
+    start = datetime(2024, 1, 1)
+    rows = [(i, 1, start + timedelta(seconds=i), Decimal(1)) for i in range(800)]
+    rows += [(1000 + i, 2, start - timedelta(days=i), Decimal(1)) for i in range(400)]
+    cuts = {r.driver: r["_cuts"] for r in cut_times(frame(DDL, *rows), "driver", "at", [(1, 8), (2, 4)]).collect()}
+    for driver, pieces in ((1, 8), (2, 4)):
+        times = [at for _, d, at, _ in rows if d == driver]
+        inner = [datetime.min, *cuts[driver], datetime.max]
+        sizes = [sum(a <= at < b for at in times) for a, b in zip(inner, inner[1:])]
+        assert len(sizes) == pieces and max(sizes) < 1.4 * len(times) / pieces
 
 
 def test_share_of_total(frame):

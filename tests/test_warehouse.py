@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import re
 from datetime import datetime, timedelta
 from decimal import Decimal
 from uuid import uuid4
@@ -11,9 +12,10 @@ from ridelake import schemas
 from ridelake.functions.temporal import ntz
 from ridelake.plans import facts, reports, warehouse
 from ridelake.sources import operational
+from ridelake.sources.commits import Load, Store
 from ridelake.sources.readers import read_table
 from ridelake.streaming import incremental
-from tests.conftest import by_text, rows_of
+from tests.conftest import by_text, plan_of, rows_of
 
 AS_OF = datetime(2024, 7, 1)
 CALENDAR = ("2024-01-01", "2024-12-31")
@@ -168,9 +170,100 @@ def test_arriving_files_load_once(spark, sources, trips, tmp_path):
 def test_watermark_reads_the_last_day_only(spark, sources, trips, tmp_path):
     root = str(tmp_path / "dw")
     run(spark, sources, root, trips(trip(1), trip(2, at=datetime(2024, 6, 1))))
-    mark = facts.high_water_mark(stored(spark, root, "fact_trips"))
-    assert mark.first()["watermark"] == datetime(2024, 6, 1)
-    assert facts.high_water_mark(stored(spark, root, "fact_trips").where("date_key < 0")).first()["watermark"] is None
+    loaded, record = stored(spark, root, "fact_trips"), Store(spark, root).record()
+    assert facts.loaded_until(record) == datetime(2024, 6, 1)
+    for mark in (facts.high_water_mark(loaded), facts.high_water_mark(loaded, record)):
+        assert mark.first()["watermark"] == datetime(2024, 6, 1)
+    plan = plan_of(facts.high_water_mark(loaded, record))
+    opened = plan.split("PartitionFilters: ")[1].split("PushedFilters")[0]  # shown up to a length
+    assert "(date_key" in opened and "= 20240" in opened and "Subquery" not in plan
+    assert facts.high_water_mark(loaded.where("date_key < 0")).first()["watermark"] is None
+    empty = Store(spark, str(tmp_path / "none")).record()
+    assert facts.loaded_until(empty) is None and facts.high_water_mark(loaded, empty).first()["watermark"] is None
+
+
+def test_keys_and_mark_go_on_from_the_last_record(spark, sources, trips, tmp_path):
+    """Keys have no gaps over several loads, whatever the partitions; no load asks the fact table for them."""
+    root = str(tmp_path / "dw")
+    for load, numbers in enumerate((range(1, 30), range(20, 45), range(1, 45), range(45, 47))):
+        rows = [trip(n, at=datetime(2024, 3, 1 + n % 28, n % 24)) for n in numbers]
+        added = run(spark, sources, root, trips(*rows).repartition(1 + 2 * load), lookback=timedelta(days=400))
+        assert added["fact_trips"] == (29, 15, 0, 2)[load]
+    loaded = stored(spark, root, "fact_trips")
+    assert sorted(r.trip_key for r in loaded.collect()) == list(range(1, 47))
+    record = Store(spark, root).record()
+    assert record.tables["fact_trips"].highest == record.tables["fact_trips"].rows == record.tables["trip_ids"].rows == 46
+    assert facts.loaded_until(record) == loaded.agg(F.max("requested_at")).first()[0]
+
+
+def test_stored_ids_stay_where_they_are(spark, sources, trips, tmp_path):
+    """The duplicate check shuffles the new trips to the buckets of the stored ids, which have no exchange above them."""
+    root = str(tmp_path / "dw")
+    run(spark, sources, root, trips(*[trip(n) for n in range(1, 20)]))
+    parts = spark.conf.get("spark.sql.shuffle.partitions")
+    for more in (1, 3):  # also in a session with more shuffle partitions than the table has buckets
+        spark.conf.set("spark.sql.shuffle.partitions", str(more * int(parts)))
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        try:
+            load = Load(Store(spark, root))
+            ids = facts.KeyTable(load, "trip_ids", schemas.FACT_TRIPS["source_trip_id"])
+            assert ids.buckets == int(parts) and ids.rows().count() == 19
+            batch = spark.createDataFrame([(n, AS_OF) for n in range(10, 30)], "source_trip_id long, requested_at timestamp_ntz")
+            fresh = facts.unseen(batch, ids.rows())
+            assert sorted(r[0] for r in fresh.collect()) == list(range(20, 30))
+            plan = plan_of(fresh)
+            scan = next(line for line in plan.splitlines() if "trip_ids_" in line)
+            assert "Bucketed: true" in scan
+            depth = len(scan) - len(scan.lstrip(" :+-"))
+            above, last = [], depth
+            for line in reversed(plan[: plan.index(scan)].splitlines()):
+                indent = len(line) - len(line.lstrip(" :+-"))
+                if indent < last:
+                    above.append(line)
+                    last = indent
+                    if "Join" in line:
+                        break
+            assert "Join" in above[-1] and not any("Exchange" in line for line in above)
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_a_load_that_dies_after_its_facts_adds_nothing(spark, sources, trips, tmp_path, monkeypatch):
+    """Facts, ids, sums, rejects, keys and mark are one commit."""
+    root = str(tmp_path / "dw")
+    run(spark, sources, root, trips(trip(1), trip(2, driver=9)))
+    names = ("fact_trips", "daily_sums", "rejected_trips")
+    before = {name: rows_of(stored(spark, root, name)) for name in names}
+
+    def dies(*writes):
+        for write in writes:
+            write()
+        raise InterruptedError
+
+    with monkeypatch.context() as patch, pytest.raises(InterruptedError):
+        patch.setattr(facts, "at_once", dies)
+        facts.load_slice(spark, trips(trip(3), trip(4, driver=9)), root)
+    assert {name: rows_of(stored(spark, root, name)) for name in names} == before
+    assert facts.load_slice(spark, trips(trip(1), trip(3)), root) == {"fact_trips": 1, "rejected_trips": 0}
+    assert rows_of(stored(spark, root, "fact_trips").select("trip_key", "source_trip_id")) == [(1, 1), (2, 3)]
+
+
+def test_reports_from_the_sums_of_all_loads(spark, sources, trips, tmp_path):
+    root = str(tmp_path / "dw")
+    rows = [trip(i, at=datetime(2024, 1 + i % 3, 5, i % 24), pickup=1 + i % 2, pay=1 if i % 4 else None, base=f"{i}.40") for i in range(1, 40)]
+    for part in (rows[:10], rows[5:30], rows):
+        run(spark, sources, root, trips(*part), lookback=timedelta(days=400))
+    loaded, sums, places, days, methods, clock = (
+        stored(spark, root, n) for n in ("fact_trips", "daily_sums", "dim_location", "dim_date", "dim_payment_method", "dim_time")
+    )
+    assert loaded.count() == 39
+    assert rows_of(reports.city_months(sums, places, days)) == rows_of(reports.revenue_by_city_month(loaded, places, days))
+    assert rows_of(reports.method_totals(sums, methods)) == rows_of(reports.revenue_by_method(loaded, methods))
+    assert rows_of(reports.method_months(sums, methods, days)) == rows_of(reports.avg_fare_by_method_month(loaded, methods, days))
+    assert rows_of(reports.hours(sums, clock)) == rows_of(reports.busiest_hour(loaded, clock))
+    assert sums.groupBy("by").agg(F.sum("trips").alias("n")).where("n = 39").count() == 3
+    assert re.search(r"PartitionFilters: \[[^]]*isnotnull\(by", plan_of(reports.hours(sums, clock)))
 
 
 def test_star_and_operational_revenue_agree(spark, sources, trips, tmp_path):

@@ -152,9 +152,17 @@ def reference_report(df: DataFrame, rules: Sequence[References], row_id: str) ->
     """One line per foreign key, all of them from one pass over the rows.
 
     Every row gives one (key, value) pair for each of its keys; pairs are counted first,
-    so the one join with the parents' keys sees each value once.
+    so the one join with the parents' keys sees each value once. A value counts as the
+    parent's type has it, so that 1 and 1.00 are one key; one that does not fit that type has no parent.
     """
-    value = [F.struct(F.lit(at).alias("at"), F.col(rule.column).cast("string").alias("value")) for at, rule in enumerate(rules)]
+
+    def shown(rule: References) -> Column:
+        own, column = rule.parent.schema[rule.key].dataType, F.col(rule.column)
+        typed = column.try_cast(own)
+        same = typed if df.schema[rule.column].dataType == own else F.when(typed == column, typed)
+        return F.coalesce(same.cast("string"), F.concat(F.lit("no key: "), column.cast("string")))
+
+    value = [F.struct(F.lit(at).alias("at"), shown(rule).alias("value")) for at, rule in enumerate(rules)]
     used = df.select(F.col(row_id).alias("_row"), F.explode(F.array(*value)).alias("_pair")).where("_pair.value IS NOT NULL")
     used = used.groupBy("_pair.at", "_pair.value").agg(F.count(F.lit(1)).alias("n"), F.min("_row").alias("first_row"))
     known = [rule.parent.select(F.lit(at).alias("at"), F.col(rule.key).cast("string").alias("value")) for at, rule in enumerate(rules)]

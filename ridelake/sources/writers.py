@@ -64,6 +64,7 @@ def shared_folder(spark: SparkSession) -> str:
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     context.setCheckpointDir(tempfile.mkdtemp(prefix="ridelake-"))
+    kept_until_exit(spark, context.getCheckpointDir())
     return context.getCheckpointDir()
 
 
@@ -71,14 +72,22 @@ def snapshot(df: DataFrame, name: str | None = None) -> DataFrame:
     """Freeze a result: later changes of its inputs no longer show.
 
     The copy is a Parquet table in the shared checkpoint folder. It cuts the lineage,
-    outlives any executor, and later steps read only the columns they need from it.
+    outlives any executor, and later steps read only the columns they need from it. It
+    goes when ``discard`` says so, or else with the application.
     """
     path = f"{shared_folder(df.sparkSession)}/snapshot-{uuid4().hex}"
     df.write.parquet(path)
+    kept_until_exit(df.sparkSession, path)
     frozen = df.sparkSession.read.schema(df.schema).parquet(path)
     return named_view(frozen, name) if name else frozen
 
 
+def kept_until_exit(spark: SparkSession, path: str) -> None:
+    """Let a folder be deleted when the application ends, if it is still there."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(at)
+
+
 def discard(frozen: DataFrame) -> None:
     """Delete the files of a snapshot once everything made from it is written."""
     spark = frozen.sparkSession

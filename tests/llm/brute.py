@@ -164,3 +164,28 @@ def targets(sizes, weights=(3, 1, 2), share=1.5, most=2.0):
         if not over:
             return fixed | {s: rest * weight[s] / total for s in free}
         fixed |= {s: most * sizes[s] for s in over}
+
+
+def fair_queue(rows, grain=1000, least=32, weights=(3, 1, 2), share=1.5, most=2.0):
+    """Words taken of every row by key, from (key, source, size, rank): all queue entries by virtual finish, cut at the budget."""
+    sizes, queues = Counter(), defaultdict(list)
+    for key, source, size, rank in rows:
+        sizes[source] += size
+        queues[source].append((rank, key, size))
+    goal = targets(dict(sizes), weights, share, most) if rows else {}
+    order = sorted((s for s in goal if s is not None), key=lambda s: s.encode()) + [s for s in goal if s is None]
+    entries = []
+    for place, source in enumerate(order):
+        goal_, at = goal[source], 0
+        for n in range(max(1, -(-goal_ // sizes[source]).__trunc__()) if sizes[source] else 0):
+            for rank, key, size in sorted(queues[source]):
+                packet = max(-(-goal_ // grain).__trunc__(), least) if at < 2 * goal_ else max(size, 1)
+                for k, first in enumerate(range(0, size, packet)):
+                    end = min(size, first + packet)
+                    entries.append(((at + end) / goal_, place, rank, key, n, k, end - first))
+                at += size
+    left, taken = -(-sum(goal.values()) // 1).__trunc__(), {key: 0 for key, *_ in rows}
+    for *_, key, _, _, words in sorted(entries):
+        taken[key] += min(words, left)
+        left -= min(words, left)
+    return goal, taken

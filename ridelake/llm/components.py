@@ -13,10 +13,11 @@ def components(scratch: Scratch, name: str, links: DataFrame, a: str = "a", b: s
 
     Each round takes the least label among a node's neighbours and then the label of that
     label, so distances halve. A node's neighbours are reduced by a combining minimum, never
-    collected; the joins are on single keys and Spark splits those of a hub.
+    collected; the joins are on single keys and Spark splits those of a hub. ``links`` should be
+    a stored table: it is read again in every round.
     """
-    both = links.select(F.col(a).alias("node"), F.col(b).alias("next"))
-    both = scratch.freeze(both.unionByName(links.select(F.col(b).alias("node"), F.col(a).alias("next"))), f"{name}-both")
+    links = links.select(F.col(a).alias("node"), F.col(b).alias("next"))
+    both = links.unionByName(links.select(F.col("next").alias("node"), F.col("node").alias("next")))
     labels = both.groupBy("node").agg(F.min("next").alias("near"))
     labels = scratch.freeze(labels.select("node", F.least("node", "near").alias("component")), f"{name}-0")
     turn = 0
@@ -27,12 +28,10 @@ def components(scratch: Scratch, name: str, links: DataFrame, a: str = "a", b: s
         nearer = labels.join(reached, "node").select(
             "node", F.least("component", "least").alias("component"), F.col("component").alias("was")
         )
-        nearer = scratch.freeze(nearer, f"{name}-near-{turn}")
         jump = nearer.select(F.col("node").alias("component"), F.col("component").alias("further"))
         jumped = nearer.join(jump, "component").select("node", F.col("further").alias("component"), "was")
         jumped = scratch.freeze(jumped, f"{name}-{turn}")
-        scratch.drop(f"{name}-{turn - 1}", f"{name}-near-{turn}")
+        scratch.drop(f"{name}-{turn - 1}")
         labels = jumped.select("node", "component")
         if jumped.where("component <> was").isEmpty():
-            scratch.drop(f"{name}-both")
             return labels

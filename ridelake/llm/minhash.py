@@ -115,15 +115,20 @@ def signatures(docs: DataFrame) -> DataFrame:
     return read.mapInArrow(run, f"doc_id {kind}, n_shingles long, f1 long, f2 long, bands array<long>")
 
 
-def _confirm(pairs: DataFrame, texts: DataFrame, similarity: int) -> DataFrame:
-    """Add ``linked``: whether the full sets of a and b are as similar as asked for."""
+def _confirm(pairs: DataFrame, sizes: DataFrame, texts: DataFrame, similarity: int) -> DataFrame:
+    """Add ``linked``: whether the full sets of a and b are as similar as asked for.
+
+    Pairs whose sizes alone rule a link out are left out before any text is fetched.
+    """
     kind = pairs.schema["a"].dataType.simpleString()
-    with_b = pairs.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
+    sized = pairs.join(sizes.toDF("a", "n_a"), "a").join(sizes.toDF("b", "n_b"), "b")
+    alike = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * similarity
+    with_b = sized.where(alike).select("a", "b").distinct().join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
     both = with_b.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in pieces(batch, "text_b"):
+            for piece in pieces(batch, "text_a", "text_b"):
                 (xs, x_at), (ys, y_at) = shingle_sets(piece.column("text_a")), shingle_sets(piece.column("text_b"))
                 linked = np.zeros(piece.num_rows, bool)
                 for k in range(piece.num_rows):
@@ -144,8 +149,9 @@ def linked_components(scratch: Scratch, docs: DataFrame, prints: DataFrame, simi
     """node and component of the documents that have a link, among one document per distinct set."""
     first = prints.where("doc_id IS NOT NULL AND n_shingles > 0").groupBy("f1", "f2", "n_shingles")
     first = first.agg(F.min("doc_id").alias("doc_id"))
-    bands = prints.select("doc_id", "f1", "f2", F.explode("bands").alias("bucket"))
-    bands = bands.join(first.select("doc_id", "f1", "f2"), ["doc_id", "f1", "f2"], "left_semi").select("bucket", "doc_id")
+    node = ["doc_id", "f1", "f2"]
+    nodes = prints.join(first.select(*node), node, "left_semi").dropDuplicates(node)  # a repeated row is one node
+    bands = nodes.select("doc_id", F.explode("bands").alias("bucket"))
     shared = bands.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     entries = scratch.freeze(bands.join(shared, "bucket"), "entries")
     popular = entries.groupBy("doc_id").agg(F.sum("n").alias("popular"))
@@ -153,23 +159,30 @@ def linked_components(scratch: Scratch, docs: DataFrame, prints: DataFrame, simi
     centers = known.groupBy("bucket").agg(F.max_by("doc_id", F.struct("popular", "doc_id")).alias("center"))
     entries = scratch.freeze(entries.join(centers, "bucket").select("bucket", "doc_id", "center"), "stars")
 
-    texts = docs.where("doc_id IS NOT NULL").select("doc_id", "text")
-    texts = scratch.freeze(texts.join(popular.select("doc_id"), "doc_id", "left_semi"), "texts")
+    sizes = prints.join(popular.select("doc_id"), "doc_id", "left_semi").select("doc_id", "n_shingles").distinct()
+    sizes = scratch.freeze(sizes, "sizes")  # of a doc_id with several texts, all
+    texts = docs.where("doc_id IS NOT NULL").select("doc_id", "text", F.xxhash64("text").alias("version"))
+    texts = texts.join(popular.select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id", "version"])
+    texts = scratch.freeze(texts.select("doc_id", "text"), "texts")
     scratch.drop("entries")
     pairs = entries.where("doc_id <> center").select(F.col("center").alias("a"), F.col("doc_id").alias("b")).distinct()
-    compared = scratch.freeze(_confirm(pairs, texts, similarity), "compared")
+    compared = scratch.freeze(_confirm(pairs, sizes, texts, similarity), "compared")
     links = compared.where("linked").select("a", "b")
     labels = components(scratch, "by-stars", links)
 
     stars = _with_component(_with_component(entries, labels, "doc_id"), labels, "center")
     open_ = scratch.freeze(stars.where("doc_id_component <> center_component").select("bucket", "doc_id"), "open")
     if open_.isEmpty():
+        scratch.drop("stars", "sizes", "texts", "compared", "open")
         return labels
     pairs = _pairs_by_prefix(scratch, entries, open_, texts, labels, similarity)
     pairs = pairs.join(compared.select("a", "b"), ["a", "b"], "left_anti")
     pairs = pairs.join(compared.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti")
-    more = scratch.freeze(_confirm(pairs, texts, similarity), "compared-open")
-    return components(scratch, "all", links.unionByName(more.where("linked").select("a", "b")))
+    more = scratch.freeze(_confirm(pairs, sizes, texts, similarity), "compared-open")
+    scratch.drop("stars", "sizes", "texts", "open", "prefixes")
+    labels = components(scratch, "all", links.unionByName(more.where("linked").select("a", "b")))
+    scratch.drop("compared", "compared-open")
+    return labels
 
 
 def _shingle_rows(texts: DataFrame) -> DataFrame:
@@ -260,6 +273,23 @@ def near_duplicates(docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
-    """The rows that are kept, all columns: one document of every group of near-duplicates."""
-    gone = near_duplicates(docs, similarity).where("NOT kept").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["__gone"], "left_anti")
+    """One row of every group of near-duplicates, all columns; rows with an empty set all stay.
+
+    Here every row counts, whatever its doc_id: those with a null doc_id are linked too, and copies
+    under one doc_id are copies. The row with the least doc_id stays (null last), of equal ones that
+    with the least hash of its text, of rows that agree in both any one.
+    """
+    kind = docs.schema["doc_id"].dataType
+    number = F.coalesce("doc_id", F.lit(0).cast(kind)) if kind.simpleString() != "string" else F.coalesce("doc_id", F.lit(""))
+    node = F.struct(
+        F.col("doc_id").isNull().cast("int").alias("nameless"), number.alias("number"), F.xxhash64("text").alias("version")
+    )
+    found = near_duplicates(docs.select(node.alias("doc_id"), "text"), similarity).where("n_shingles > 0")
+    found = found.groupBy("doc_id").agg(F.max(~F.col("kept")).alias("goes"), F.count("*").alias("copies"))
+    found = found.where("goes OR copies > 1").select(F.col("doc_id").alias("node"), "goes")
+    found = Scratch(docs.sparkSession, "minhash-gone").freeze(found, "found")
+    rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), node.alias("node"))
+    alone = rows.join(found, "node", "left_anti").select("row")
+    repeated = rows.join(found.where("NOT goes").select("node"), "node", "left_semi")
+    one = repeated.groupBy("node").agg(F.first("row").alias("row")).select("row")
+    return alone.unionByName(one).select(*(F.col(f"row.`{c}`") for c in docs.columns))

@@ -12,7 +12,14 @@ from pyspark.sql import functions as F
 SOLID_WORD = r"[^\x20\x09-\x0D]+"
 PLAIN_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
-_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: While a step is written: its shuffle files go when it is done, and partitions are joined up to the advised size,
+#: for many small files cost more than the tasks they save.
+_WHILE_WRITING = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+}
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 4 << 20
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,8 +35,17 @@ def lower_ascii(text: Column) -> Column:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors and the driver share; /tmp/checkpoints where none is set, as in tests."""
-    return spark.conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints"
+    """The folder that all executors and the driver share; only a local session without one gets /tmp/checkpoints."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+    return named or "/tmp/checkpoints"
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Let batches for Python workers hold a few megabytes, unless the session says another size than Spark's own."""
+    if spark.conf.get(_BATCH_BYTES) == "67108864b":
+        spark.conf.set(_BATCH_BYTES, f"{BATCH_BYTES}b")
 
 
 class Scratch:
@@ -43,23 +59,23 @@ class Scratch:
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
+        bounded_batches(spark)
         self.folder = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
     @contextmanager
-    def _releasing_shuffles(self):
-        before = self.spark.conf.get(_CLEANUP, None)
-        self.spark.conf.set(_CLEANUP, "true")
+    def _writing(self):
+        before = {key: self.spark.conf.get(key, None) for key in _WHILE_WRITING}
+        for key, value in _WHILE_WRITING.items():
+            self.spark.conf.set(key, value)
         try:
             yield
         finally:
-            if before is None:
-                self.spark.conf.unset(_CLEANUP)
-            else:
-                self.spark.conf.set(_CLEANUP, before)
+            for key, value in before.items():
+                self.spark.conf.unset(key) if value is None else self.spark.conf.set(key, value)
 
     def freeze(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.folder}/{name}"
-        with self._releasing_shuffles():
+        with self._writing():
             df.write.option("compression", "zstd").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 

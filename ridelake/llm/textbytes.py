@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-PIECE_BYTES = 1 << 21
+PIECE_BYTES = 1 << 20
 
 _RANDOM = np.random.RandomState(20240229)
 BYTE_VALUE = _RANDOM.randint(1, 2**62, 256, dtype=np.int64).astype(np.uint64) * np.uint64(4) + np.uint64(1)
@@ -56,11 +56,11 @@ def powers(base: int, n: int) -> np.ndarray:
     return have[:n]
 
 
-def pieces(table: pa.RecordBatch, column: str = "text", limit: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Slices of a batch that hold about ``limit`` bytes of text each, one whole text at least."""
+def pieces(table: pa.RecordBatch, *columns: str, limit: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch that hold about ``limit`` bytes in the columns (text if none is named), one whole row at least."""
     if table.num_rows == 0:
         return
-    ends = np.cumsum(sizes(table.column(column)))
+    ends = np.cumsum(sum(sizes(table.column(c)) for c in columns or ("text",)))
     at = 0
     while at < table.num_rows:
         before = ends[at - 1] if at else 0

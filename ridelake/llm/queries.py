@@ -59,13 +59,18 @@ def _judged(spark: SparkSession, sf_dir: str, version: int) -> DataFrame:
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Policy 2, whose loose bounds its SQL check holds."""
-    return _judged(spark, sf_dir, 2)
+    """Policy 3, with customary bounds."""
+    return _judged(spark, sf_dir, 3)
 
 
 def op5_quality_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Policy 3, with customary bounds."""
-    return _judged(spark, sf_dir, 3)
+    """The same under the name it had before it became the rule."""
+    return op5_quality_rules(spark, sf_dir)
+
+
+def op5_quality_loose(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Policy 2, for comparison: what the loose bounds let through."""
+    return _judged(spark, sf_dir, 2)
 
 
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -122,6 +127,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op4_suffix_dedup,
         op5_quality_rules,
         op5_quality_strict,
+        op5_quality_loose,
         op6_substring_dedup,
         op7_license_scan,
         op8_near_dedup,
@@ -172,7 +178,7 @@ LEFT JOIN completions a ON a.conv_id = c.conv_id AND a.side = 'chosen'
 LEFT JOIN completions r ON r.conv_id = c.conv_id AND r.side = 'rejected'
 """
 
-_QUALITY = r"""
+_QUALITY_LOOSE = r"""
 WITH t AS (
   SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
 l AS (
@@ -196,7 +202,7 @@ FROM f
 """
 
 #: The same measurements under the bounds of policy 3.
-_QUALITY_STRICT = _QUALITY.partition("f AS (")[0] + r"""f AS (
+_QUALITY_STRICT = _QUALITY_LOOSE.partition("f AS (")[0] + r"""f AS (
   SELECT *, ((n_words < 10)::BIGINT + 2 * (100 * n_repeat_words > 20 * n_words)::BIGINT + 32 * (10 * n_symbols > n_words)::BIGINT
     + 64 * (10 * n_dup_lines > 3 * n_lines)::BIGINT + 128 * (word_chars < 3 * n_words)::BIGINT
     + 256 * (word_chars > 10 * n_words)::BIGINT)::BIGINT AS failed FROM m)
@@ -261,8 +267,9 @@ FROM d LEFT JOIN words_hit USING (doc_id) LEFT JOIN items USING (doc_id)
 #: Cross-parsing, mixing by a hash, byte windows, licence templates and tokenizers are tested by brute force or against a library.
 ORACLE: dict[str, str] = {
     "op2_chat_format": _CHAT,
-    "op5_quality_rules": _QUALITY,
+    "op5_quality_rules": _QUALITY_STRICT,
     "op5_quality_strict": _QUALITY_STRICT,
+    "op5_quality_loose": _QUALITY_LOOSE,
     "op6_substring_dedup": _SUBSTRINGS,
     "op8_near_dedup": _NEAR,
     "op10_decontaminate": _LEAKS,

@@ -1,25 +1,28 @@
-"""Substring dedup over words by anchors that equal passages share, in place of recompression.
-
-No text is rewritten in rounds and no run or pair gets a symbol, as recompression would do: what
-two rounds leave of a window of ``WINDOW`` words is too little to represent it. What is kept of
-recompression is the test for a border between adjacent words, which depends on the two alone
-(equal, or one from the left and one from the right half of the alphabet, a bit of the word's
-hash), so all texts agree on the borders inside equal passages, without any exchange. A window
-holds several. It is represented by the least-named one that it shows with two words on both
-sides, by a hash of those four words, as in winnowing; equal windows have the same one.
-
-Spark then finds the border names that several documents share. Only around those are segments
-named: all words of the windows one border represents. Equal
-segments prove their windows repeated at once; where documents share a border but not the
-segment, that is at the ends of repeats and around edits, windows are named and compared one by
-one. Names that decide are 128-bit hashes.
+"""Substring dedup over words by recompression.
+
+Texts are rewritten in rounds that depend on nothing but the symbols themselves: runs of an equal
+word become a symbol, and twice, adjacent symbols become one where the left is from the left half
+of the alphabet and the right from the right half, a coin that the symbol's name decides. A name
+is a hash of what it stands for (the word and its number, or the two halves), so all tasks name
+alike, and equal substrings get the same symbols except near their ends. What a symbol depends
+on is known: itself, and the neighbour that could have taken it away. ``ROUNDS`` pairings make symbols of
+up to four words that depend on three words more on either side, which is the last level of which
+every window of ``WINDOW`` words holds one whole, unless runs take up its middle. A window is represented
+by the least-named symbol that it holds with all it depends on; equal windows have the same one.
+
+Spark gathers the symbols with what they stand for, one row per document and symbol, and finds
+those that several documents share. Only around those are segments named: all words of the
+windows one symbol represents. Equal segments prove their windows repeated at once; where
+documents share a symbol but not the segment, that is at the ends of repeats and around edits,
+windows are named and compared one by one. Names that decide are 128-bit hashes.
 
 A word goes if it lies in a window whose words also start in a document with a smaller doc_id;
 windows are judged on the input. Defined cases: null and empty texts have no words and no
-window, nor have texts of fewer than ``WINDOW`` words; windows that hold no border
-(inside long runs) are segments of their own, one for as many equal ones as follow each other; rows with a null doc_id have no order, so they neither lose words nor make
-others lose any; rows with equal doc_id do not count as smaller than each other. Only doc_id and
-text are read.
+window, nor have texts of fewer than ``WINDOW`` words; very long texts are read whole; windows that hold no
+symbol whole (inside long runs) are segments of their own, one for as many equal ones as follow
+each other; rows with a null doc_id have no order, so they neither lose words nor make
+others lose any; rows with equal doc_id do not count as smaller than each other; no documents
+give no rows. Only doc_id and text are read, other columns may have any names.
 """
 
 from __future__ import annotations
@@ -33,18 +36,70 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ridelake.llm.steps import Scratch
-from ridelake.llm.textbytes import SOLID, Words, pair, pieces, powers, shingles
+from ridelake.llm.textbytes import SOLID, Words, pair, pieces, powers
 
 WINDOW = 13
-SIDE = 2  # words a border must show on either side
+ROUNDS = 2  # of pairing, after the runs
+#: Bits of a name that say which half of the alphabet a symbol is in, one for each round.
+COINS = (np.uint64(1 << 60), np.uint64(1 << 59))
 
 _NONE = np.uint64(2**64 - 1)
+_FAR = 1 << 40
 _BASES = (0xD1342543DE82EF95, 0xAF251AF3B0F025B5)
 _INVERSES = tuple(pow(b, -1, 2**64) for b in _BASES)
 
 
+class Symbols:
+    """A piece's texts at one level: where symbols begin and end (words), what they stand for, and what they depend on.
+
+    ``left`` and ``right`` are the word and its number, or the names of the two halves. A symbol is there
+    whenever the words from ``first`` to before ``last`` are, whatever is around them.
+    """
+
+    def __init__(self, begin, end, name, left, right, first, last, text):
+        self.begin, self.end, self.name, self.left, self.right = begin, end, name, left, right
+        self.first, self.last, self.text = first, last, text
+
+    @classmethod
+    def runs(cls, hashes: np.ndarray, text: np.ndarray) -> Symbols:
+        """Level 0: maximal runs of a word. That it ends depends on the words before and after it."""
+        n = len(hashes)
+        new = np.ones(n, bool)
+        new[1:] = (hashes[1:] != hashes[:-1]) | (text[1:] != text[:-1])
+        begin = np.flatnonzero(new)
+        end = np.append(begin[1:], n)[: len(begin)]
+        word, times = hashes[begin], (end - begin).astype(np.uint64)
+        return cls(begin, end, pair(word, times), word, times, begin - 1, end + 1, text[begin])
+
+    def paired(self, coin: np.uint64) -> Symbols:
+        """The next level. A symbol of the left half can only join its right neighbour, one of the right half its left."""
+        n = len(self.name)
+        lefts = (self.name & coin) == 0
+        joins = np.zeros(n, bool)
+        joins[:-1] = lefts[:-1] & ~lefts[1:] & (self.text[:-1] == self.text[1:])
+        taken = np.zeros(n, bool)
+        taken[1:] = joins[:-1]
+        after, before = np.full(n, _FAR), np.full(n, -_FAR)  # what lies beyond the text is unknown
+        after[:-1] = np.where(self.text[:-1] == self.text[1:], self.last[1:], _FAR)
+        before[1:] = np.where(self.text[:-1] == self.text[1:], self.first[:-1], -_FAR)
+        first = np.where(lefts, self.first, np.minimum(self.first, before))
+        last = np.where(lefts, np.maximum(self.last, after), self.last)
+        head = np.flatnonzero(~taken)
+        two = joins[head]
+        tail = np.minimum(head + 1, max(n - 1, 0))
+
+        def of(pairs: np.ndarray, singles: np.ndarray) -> np.ndarray:
+            return np.where(two, pairs, singles[head])
+
+        return Symbols(
+            self.begin[head], of(self.end[tail], self.end), of(pair(self.name[head], self.name[tail]), self.name),
+            of(self.name[head], self.left), of(self.name[tail], self.right),
+            of(self.first[head], first), of(self.last[tail], last), self.text[head],
+        )
+
+
 class Parse:
-    """Words, windows and the borders that represent them, for the texts of a piece."""
+    """Words, windows and the symbols that represent them, for the texts of a piece."""
 
     def __init__(self, texts: pa.Array):
         self.words = Words(texts, SOLID)
@@ -54,36 +109,27 @@ class Parse:
         count = max(n - WINDOW + 1, 0)
         whole = self.text[:count] == self.text[WINDOW - 1 :][:count]
         self.windows = np.flatnonzero(whole)  # first words of the windows
-        border = self._borders()
-        at = self.windows + SIDE
-        best = np.full(len(at), _NONE)
-        self.border = np.full(len(at), -1)
-        for step in range(WINDOW - 2 * SIDE + 1):
-            name = border[at + step]
-            less = name < best
-            best = np.where(less, name, best)
-            self.border = np.where(less, at + step, self.border)
+        self.levels = [Symbols.runs(self.hashes, self.text)]
+        for coin in COINS[:ROUNDS]:
+            self.levels.append(self.levels[-1].paired(coin))
+        top = self.levels[-1]
+        name, first, last = np.full(n, _NONE), np.full(n, -_FAR), np.full(n, _FAR)
+        name[top.begin], first[top.begin], last[top.begin] = top.name >> np.uint64(1), top.first, top.last
+        self.symbol = np.full(n, -1)  # of the word that a symbol begins at
+        self.symbol[top.begin] = np.arange(len(top.begin))
+        best = np.full(len(self.windows), _NONE)
+        self.border = np.full(len(self.windows), -1)  # where the representing symbol begins
+        for step in range(1, WINDOW - 1):
+            at = self.windows + step
+            less = (name[at] < best) & (first[at] >= self.windows) & (last[at] <= self.windows + WINDOW)
+            best = np.where(less, name[at], best)
+            self.border = np.where(less, at, self.border)
         lone = best == _NONE
         if lone.any():
             sums = self._sums(0)
             best[lone] = pair(self._span(0, sums, self.windows[lone], self.windows[lone] + WINDOW), np.full(lone.sum(), 13, np.uint64))
         self.name = best
 
-    def _borders(self) -> np.ndarray:
-        """A name for every place between words that both rounds leave a border, else none."""
-        n = len(self.hashes)
-        out = np.full(n + 1, _NONE)
-        if n < 2 * SIDE:
-            return out
-        left, right = self.hashes[:-1], self.hashes[1:]
-        run = left == right
-        half = np.uint64(1 << 60)
-        joined = ((left & half) == 0) & ((right & half) != 0)
-        kept = np.flatnonzero(~run & ~joined) + 1
-        kept = kept[(kept >= SIDE) & (kept <= n - SIDE)]
-        out[kept] = shingles(self.hashes, 2 * SIDE)[kept - SIDE] >> np.uint64(1)
-        return out
-
     def _sums(self, which: int) -> np.ndarray:
         n = len(self.hashes)
         sums = np.zeros(n + 1, np.uint64)
@@ -119,28 +165,66 @@ def _kind(docs: DataFrame) -> str:
     return docs.schema["doc_id"].dataType.simpleString()
 
 
-def _border_rows(docs: DataFrame) -> DataFrame:
-    """border (its name) and doc_id, once per document and name or little more."""
+def _symbol_rows(docs: DataFrame) -> DataFrame:
+    """The symbols that represent windows: symbol, left and right (what it stands for) and doc_id, once per document or little more.
+
+    A window without one is a symbol of its own, which stands for itself.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in pieces(batch):
                 parse = Parse(piece.column("text"))
                 first, _ = parse.segments()
-                owner, name = parse.text[parse.windows[first]], parse.name[first]
+                owner, name, at = parse.text[parse.windows[first]], parse.name[first], parse.border[first]
+                top, number = parse.levels[-1], parse.symbol[at]
+                left = np.where(at >= 0, top.left[number] if len(number) else 0, name)
+                right = np.where(at >= 0, top.right[number] if len(number) else 0, np.uint64(0))
                 order = np.lexsort((name, owner))
-                owner, name = owner[order], name[order]
+                owner, name, left, right = owner[order], name[order], left[order], right[order]
                 new = np.ones(len(name), bool)
                 new[1:] = (owner[1:] != owner[:-1]) | (name[1:] != name[:-1])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(name[new].view(np.int64)), piece.column("doc_id").take(pa.array(owner[new]))], ["border", "doc_id"]
+                    [*(pa.array(x[new].view(np.int64)) for x in (name, left, right)), piece.column("doc_id").take(pa.array(owner[new]))],
+                    ["symbol", "left", "right", "doc_id"],
                 )
 
-    return docs.mapInArrow(run, f"border long, doc_id {_kind(docs)}")
+    return docs.mapInArrow(run, f"symbol long, left long, right long, doc_id {_kind(docs)}")
+
+
+def shared_symbols(docs: DataFrame) -> DataFrame:
+    """symbol, left and right of the symbols that represent windows of several documents."""
+    named = _symbol_rows(docs).groupBy("symbol", "left", "right")
+    named = named.agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
+    return named.where("least < most").select("symbol", "left", "right")
+
+
+def symbols(docs: DataFrame) -> DataFrame:
+    """All symbols of all levels: level, symbol, left, right, n_words, n (occurrences) and n_docs."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in pieces(batch):
+                for level, of in enumerate(Parse(piece.column("text")).levels):
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(np.full(len(of.name), level, np.int32)),
+                            *(pa.array(x.view(np.int64)) for x in (of.name, of.left, of.right)),
+                            pa.array(of.end - of.begin),
+                            piece.column("doc_id").take(pa.array(of.text)),
+                        ],
+                        ["level", "symbol", "left", "right", "n_words", "doc_id"],
+                    )
+
+    rows = docs.select("doc_id", "text").mapInArrow(
+        run, f"level int, symbol long, left long, right long, n_words long, doc_id {_kind(docs)}"
+    )
+    per_doc = rows.groupBy("level", "symbol", "left", "right", "n_words", "doc_id").agg(F.count("*").alias("n"))
+    return per_doc.groupBy("level", "symbol", "left", "right", "n_words").agg(F.sum("n").alias("n"), F.count("*").alias("n_docs"))
 
 
 def _segment_rows(docs: DataFrame) -> DataFrame:
-    """The segments of the borders listed in ``borders``: border, s1 and s2 (name), doc_id, version, first (word), n (windows)."""
+    """The segments of the symbols listed in ``borders``: border, s1 and s2 (name), doc_id, version, first (word), n (windows)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -205,10 +289,10 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
     scratch = Scratch(docs.sparkSession, "recompress")
     read = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", F.xxhash64("text").alias("version"), "text")
 
-    borders = _border_rows(read.select("doc_id", "text"))
-    shared = borders.groupBy("border").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
-    shared = scratch.freeze(shared.where("least < most").select("border"), "shared")
-    wanted = borders.join(shared, "border").groupBy("doc_id").agg(F.collect_set("border").alias("borders"))
+    texts = read.select("doc_id", "text")
+    shared = scratch.freeze(shared_symbols(texts), "shared")
+    wanted = _symbol_rows(texts).join(shared, ["symbol", "left", "right"], "left_semi")
+    wanted = wanted.groupBy("doc_id").agg(F.collect_set("symbol").alias("borders"))
     wanted = scratch.freeze(wanted, "wanted")
     segments = scratch.freeze(_segment_rows(read.join(wanted, "doc_id").select("doc_id", "version", "text", "borders")), "segments")
     scratch.drop("shared", "wanted")

@@ -77,6 +77,8 @@ class Scratch:
         path = f"{self.folder}/{name}"
         with self._writing():
             df.write.option("compression", "zstd").parquet(path)
+        at = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)  # what is not dropped goes with the application
+        at.getFileSystem(self.spark._jsc.hadoopConfiguration()).deleteOnExit(at)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *names: str) -> None:

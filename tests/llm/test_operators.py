@@ -429,9 +429,9 @@ ITEMS = [
 ]
 
 
-@pytest.mark.parametrize("limit", [decontaminate.BROADCAST_ROWS, 0])
+@pytest.mark.parametrize("limit", [decontaminate.BROADCAST_SHINGLES, 0])
 def test_leaks_like_brute_force(spark, corpus, rows, none, limit, monkeypatch):
-    monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", limit)
+    monkeypatch.setattr(decontaminate, "BROADCAST_SHINGLES", limit)
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
     found = decontaminate.decontaminate(corpus, items)
     columns = ("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
@@ -453,3 +453,43 @@ def test_token_counts_like_encoding_all(corpus, rows, none):
     assert cut == {k: (sum(min(n, k) for n in sizes), sum(n > k for n in sizes)) for k in (0, 100, 10**9)}
     assert tokencounts.quantile(counts, 0.5) == sizes[-(-len(sizes) // 2) - 1]
     assert tokencounts.histogram(none).count() == 0 and tokencounts.quantile(tokencounts.histogram(none), 0.5) is None
+
+
+# Recompression
+
+
+def test_symbols_of_all_rounds_stand_for_what_they_say(spark):
+    """The table of names: runs, pairs and pairs of pairs; equal words get equal symbols in every document."""
+    random.seed(3)
+    words = [f"w{k}" for k in range(60)]
+    base = [random.choice(words) for _ in range(80)]
+    texts = [base, ["x", *base], [*base[:40], "y", "y", "y", *base[40:]], base[11:70], ["a"] * 20, [], ["one"]]
+    docs = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    rows = recompress.symbols(docs).collect()
+    by_level = [{r.symbol: r for r in rows if r.level == level} for level in range(recompress.ROUNDS + 1)]
+    assert [len(level) for level in by_level] == [sum(r.level == k for r in rows) for k in range(len(by_level))]  # one name, one meaning
+    assert sum(r.n * r.n_words for r in rows if r.level == 2) == sum(map(len, texts))
+    assert {r.n_words for r in by_level[0].values() if r.n_words > 1} >= {3, 20}
+    for below, level in zip(by_level, by_level[1:]):
+        for r in level.values():
+            if r.symbol in below:
+                assert (r.left, r.right, r.n_words) == (below[r.symbol].left, below[r.symbol].right, below[r.symbol].n_words)
+            else:
+                assert r.n_words == below[r.left].n_words + below[r.right].n_words
+    assert max(r.n_docs for r in by_level[2].values() if r.n_words > 2) >= 4
+
+
+def test_every_window_without_runs_holds_a_symbol_that_it_alone_decides():
+    random.seed(5)
+    vocabulary = [f"w{k}" for k in range(300)]
+    base = [random.choice(vocabulary) for _ in range(400)]
+    base = [w for w, before in zip(base, [None, *base]) if w != before]
+    parse = recompress.Parse(pa.array([" ".join(base)]))
+    assert (parse.border >= 0).all() and len(parse.border) == len(base) - 12
+    assert max(parse.levels[-1].end - parse.levels[-1].begin) == 4
+    for at in range(0, len(base) - 12, 7):  # in any surroundings the same symbol, at the same place
+        window = base[at : at + 13]
+        for before, after in ([], []), (["p", "q"], ["r"]), (window[:1], window[-1:]), (window[-1:], window[:1]):
+            other = recompress.Parse(pa.array([" ".join([*before, *window, *after])]))
+            assert other.name[len(before)] == parse.name[at]
+            assert other.border[len(before)] - len(before) == parse.border[at] - at

@@ -8,11 +8,13 @@ with the bytes before it that a window can reach, are sorted inside the tasks, e
 once. The sorted runs travel front-coded, an entry as the length it shares with the one before
 it and the rest. A bucket receives all suffixes with the same seeds and merges its runs with a
 loser tree: every entry carries the prefix it is known to share with the last one put out, and
-only bytes beyond that are ever compared. Neighbours in the merged order that share a seed form
-a group; in it, a window is a repeat if its bytes occur in another entry at the same distance, or
-if its entry was counted twice.
+only bytes beyond that are ever compared. These prefixes decide: a window that begins d bytes
+before its entry is a repeat if an entry that shares the ``LENGTH`` - d bytes after it, a neighbour in
+the merged order, has the same d bytes before it, or if its entry was counted twice. Of seeds
+beyond ``HOT_SEED`` occurrences, which no bucket may hold, every window is a row under a 128-bit name that Spark counts.
 
-Defined cases: null counts as an empty text; texts shorter than ``LENGTH`` lose nothing; matches
+Defined cases: null counts as an empty text; very long texts are read whole; an empty table gives
+no rows; texts shorter than ``LENGTH`` lose nothing; matches
 never cross texts; texts that occur several times lose all they have if long enough; strings
 are judged on the input, not on what is left. Rows with equal or null doc_id are texts of their
 own. What remains is bytes, as a cut may fall inside a character. Only doc_id and text are read.
@@ -297,28 +299,36 @@ def _fixed(
     return sums, np.fromiter(map(len, strings), np.int64, len(strings))
 
 
-def reaches(group: np.ndarray, suffixes: list[bytes], lefts: list[bytes], times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """How far the repeated windows of each entry reach to the left and right of it; 0 and 0 if none repeats."""
-    right, right_size = _fixed(suffixes, LENGTH)
-    left, left_size = _fixed(lefts, REACH)
-    to_left = np.full(len(suffixes), -1)
-    to_right = np.full(len(suffixes), -1)
-    width = max(1, NAMES_AT_ONCE // max(1, len(suffixes)))
+def reaches(shared: np.ndarray, sizes: np.ndarray, lefts: list[bytes], times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How far the repeated windows of each entry reach to the left and right of it; -1 and -1 if none repeats.
+
+    Entries come in merged order with the prefix each shares with the one before it. A window that
+    begins d bytes before its entry is in another one if both share ``LENGTH`` - d bytes, which makes
+    them neighbours or has only such ones between them, and the d bytes to the left: the same holds
+    in the order of what is to the left, read backwards. So no window is read or named.
+    """
+    n = len(lefts)
+    order = sorted(range(n), key=lefts.__getitem__)
+    shared_left = np.array([0, *(common(lefts[a], lefts[b], 0) for a, b in zip(order, order[1:]))])
+    left_sizes = np.fromiter(map(len, lefts), np.int64, n)
+    to_left, to_right = np.full(n, -1), np.full(n, -1)
+    width = max(1, NAMES_AT_ONCE // max(1, n))
     for begin in range(0, REACH + 1, width):  # windows are equal only at the same distance
         ahead = np.arange(begin, min(begin + width, REACH + 1))  # bytes of the window before the entry
-        inside = (left_size[:, None] >= ahead) & (right_size[:, None] >= LENGTH - ahead)
-        name = pair(mix(left[:, ahead]), mix(right[:, LENGTH - ahead]))
-        name = pair(name, group[:, None].astype(np.uint64) * np.uint64(REACH + 1) + ahead.astype(np.uint64))
+        inside = (left_sizes[:, None] >= ahead) & (sizes[:, None] >= LENGTH - ahead)
+        right = np.cumsum(shared[:, None] < LENGTH - ahead, axis=0)
+        left = np.empty_like(right)
+        left[order] = np.cumsum(shared_left[:, None] < ahead, axis=0)
         entry, column = np.nonzero(inside)
-        flat_name, counts = name[entry, column], times[entry]
-        order = np.argsort(flat_name, kind="stable")
-        sorted_name = flat_name[order]
-        new = np.ones(len(order), bool)
-        new[1:] = sorted_name[1:] != sorted_name[:-1]
+        window = ((right * (n + 1) + left) * len(ahead) + np.arange(len(ahead)))[entry, column]
+        order_of = np.argsort(window, kind="stable")
+        ordered = window[order_of]
+        new = np.ones(len(ordered), bool)
+        new[1:] = ordered[1:] != ordered[:-1]
         starts = np.flatnonzero(new)
-        total = np.add.reduceat(counts[order], starts) if len(starts) else np.zeros(0, np.int64)
-        repeated = np.zeros(len(order), bool)
-        repeated[order] = np.repeat(total, np.diff(np.append(starts, len(order)))) > 1
+        total = np.add.reduceat(times[entry[order_of]], starts) if len(starts) else np.zeros(0, np.int64)
+        repeated = np.zeros(len(ordered), bool)
+        repeated[order_of] = np.repeat(total, np.diff(np.append(starts, len(ordered)))) > 1
         entry, column = entry[repeated], ahead[column[repeated]]
         np.maximum.at(to_left, entry, column)
         np.maximum.at(to_right, entry, LENGTH - column)
@@ -370,14 +380,13 @@ def _merged(key: tuple, table: pa.Table) -> pa.Table:
     names = table.column("run").to_pylist()
     runs = [decode(entries.as_py()) for entries in table.column("entries")]
     out: list[list[np.ndarray]] = [[], [], [], []]
-    group: list[tuple[int, int, bytes, bytes, int, int]] = []
-    groups = 0
+    group: list[tuple[int, int, int, bytes, int, int]] = []
 
     def settle() -> None:
         if not group:
             return
-        ids, run, suffixes, lefts, times, number = (list(c) for c in zip(*((g, r, s, b, t, n) for g, r, s, b, n, t in group)))
-        to_left, to_right = reaches(np.array(ids), suffixes, lefts, np.array(times))
+        known, run, sizes, lefts, number, times = (list(c) for c in zip(*group))
+        to_left, to_right = reaches(np.array(known), np.array(sizes), lefts, np.array(times))
         hit = np.flatnonzero(to_left >= 0)
         for column, values in zip(out, (np.array(run, np.int64), np.array(number, np.int32), to_left, to_right)):
             column.append(values[hit])
@@ -388,11 +397,10 @@ def _merged(key: tuple, table: pa.Table) -> pa.Table:
         if shared < SEED:
             if len(group) - since == 1 and group[-1][5] == 1:
                 group.pop()  # it shares its seed with no other entry
-            groups += 1
             if len(group) >= GROUP_ENTRIES:
                 settle()
             since = len(group)
-        group.append((groups, names[run], suffix, left, number, times))
+        group.append((shared, names[run], len(suffix), left, number, times))
     settle()
     arrays = [np.concatenate(c) if c else np.zeros(0, np.int64) for c in out]
     kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32())

@@ -263,15 +263,27 @@ def test_suffixes_of_a_hot_seed_meet_in_no_bucket(spark, corpus, rows, monkeypat
         assert table(done) == expected
 
 
-def test_windows_named_by_parts_reach_as_far(monkeypatch):
+def test_known_prefixes_tell_which_windows_repeat(monkeypatch):
+    """Entries in order, known by the prefix each shares with the one before, against all windows themselves."""
     random.seed(9)
-    entries = [tuple((b"aab" * 80)[random.randint(0, 2) :][: n - random.randint(0, 50)] for n in (200, 136)) for _ in range(60)]
-    tails, lefts = ([e[k] for e in entries] for k in (0, 1))
-    group, times = np.arange(60) // 20, np.ones(60, np.int64)
-    whole = suffixes.reaches(group, tails, lefts, times)
-    monkeypatch.setattr(suffixes, "NAMES_AT_ONCE", 200)
-    parts = suffixes.reaches(group, tails, lefts, times)
-    assert [x.tolist() for x in parts] == [x.tolist() for x in whole] and whole[0].max() > 0
+    for at_once in (1 << 18, 200):
+        monkeypatch.setattr(suffixes, "NAMES_AT_ONCE", at_once)
+        for _ in range(12):
+            made = {tuple((random.choice((b"aab", b"ab", b"b")) * 200)[random.randint(0, 2) :][: n - random.choice((0, 0, 0, 9, 50))] for n in (200, 136)) for _ in range(40)}
+            cut = [(s[: random.randint(64, 200)] + b"xyz" * 50, b) for s, b in made]  # the same start, then others
+            entries = sorted({(s[:200], b) for s, b in [*made, *cut]})
+            times = [random.choice((1, 1, 1, 2)) for _ in entries]
+            shared = [0, *(suffixes.common(a[0], b[0], 0) for a, b in zip(entries, entries[1:]))]
+            windows = [{d: b[:d][::-1] + s[: 200 - d] for d in range(137) if len(b) >= d and len(s) >= 200 - d} for s, b in entries]
+            seen = {}
+            for mine, n in zip(windows, times):
+                for d, w in mine.items():
+                    seen[d, w] = seen.get((d, w), 0) + n
+            repeated = [[d for d, w in mine.items() if seen[d, w] > 1] for mine in windows]
+            to_left, to_right = suffixes.reaches(np.array(shared), np.array([len(s) for s, _ in entries]), [b for _, b in entries], np.array(times))
+            assert to_left.tolist() == [max(ds, default=-1) for ds in repeated]
+            assert to_right.tolist() == [max((200 - d for d in ds), default=-1) for ds in repeated]
+            assert max(to_left) > 0
 
 
 def test_runs_survive_their_encoding():

@@ -14,7 +14,8 @@ parsed side by side and a very long text costs no more per byte than a short one
 Defined cases: null text, or text without a letter, is `und` with score 0; so is everything when
 no labelled text was learned from; a single learned language wins with score 1; ties go to the
 language that sorts first. Rows with a null doc_id are never learned from and not held out.
-Repeated rows get equal results; columns other than doc_id, text and lang are not read.
+Repeated rows get equal results; an empty table gives no rows; columns other than doc_id, text and lang
+are not read, but kept by ``identified``, whatever their names.
 """
 
 from __future__ import annotations

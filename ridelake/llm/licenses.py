@@ -13,7 +13,7 @@ all windows there follows from where each bigram enters and leaves them. Of adja
 match, the most alike is a unit, unless it overlaps a matching line, paragraph or text of as many
 words or more, a more alike window of about its size, or a window too large to be compared with it.
 
-Defined cases: null and empty texts have no unit; units of one word have no bigram and match
+Defined cases: null and empty texts have no unit; very long texts are scanned whole; units of one word have no bigram and match
 nothing; ties between templates go to the name that sorts first; repeated rows get equal
 results; an empty table gives an empty result. Columns other than doc_id and text are not read.
 """

@@ -18,9 +18,9 @@ How similar linked sets are at least is a parameter, in per cent. Two documents
 32 bands with probability 6e-11 at a similarity of 0.85, and 5e-8 at 0.8.
 
 Defined cases: null texts, and texts without words, have the empty set and are linked with
-nothing; fewer than five words make one shingle of all; rows with a null doc_id are linked with
+nothing; very long texts are read whole; an empty table gives no rows; fewer than five words make one shingle of all; rows with a null doc_id are linked with
 nothing, have no component and are kept; rows with equal doc_id are one node, linked by any of
-their texts. Only doc_id and text are read. Sets are compared by 64-bit hashes of shingles.
+their texts. Only doc_id and text are read; ``one_of_each`` keeps all columns, whatever their names. Sets are compared by 64-bit hashes of shingles.
 """
 
 from __future__ import annotations

@@ -9,8 +9,8 @@ Turns come as rows (pair_id, side, turn, role, text); within a side they are ord
 role, then text, nulls first, and equal rows stay side by side. Defined cases: a null role is
 rendered as `unknown`, a null text as empty, and null equals null when turns are compared; a
 pair whose sides are equal has two empty completions, one of which a side is missing has the
-other side as a completion; rows with a null pair_id or a side that is neither are left out; an
-empty table gives an empty result.
+other side as a completion; rows with a null pair_id or a side that is neither are left out; very
+long texts are rendered whole; an empty table gives an empty result. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -33,23 +33,24 @@ def stale_replies(conversations: DataFrame) -> DataFrame:
     first, so that null and tied turns have a place too, which a stale text does not change.
     """
     ordered = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
-    read = conversations.where(F.col("conv_id").isNotNull())
-    turns = read.select("conv_id", F.row_number().over(ordered).alias("turn"), "role", "text")
-    replies = turns.where("role = 'assistant'")
-    last = replies.groupBy("conv_id").agg(F.max("turn").alias("last"))
-    before = replies.join(last, "conv_id").where("turn < last")
-    previous = before.groupBy("conv_id").agg(F.max_by("text", "turn").alias("stale"), F.lit(True).alias("has"))
-    until = turns.join(last, "conv_id").where("turn <= last")
-    known = until.join(previous, "conv_id", "left").withColumn("is_last", F.col("turn") == F.col("last"))
-    chosen = known.select(F.col("conv_id").alias("pair_id"), F.lit("chosen").alias("side"), "turn", "role", "text")
-    rejected = known.where("NOT is_last OR has").select(
+    read = conversations.where(F.col("conv_id").isNotNull()).select("conv_id", "turn", "role", "text")
+    # One pass over the ordered turns: each one's number, the reply before it, and the number of the last reply.
+    reply = F.when(F.col("role") == "assistant", F.struct("text"))
+    numbered = read.select(
         F.col("conv_id").alias("pair_id"),
-        F.lit("rejected").alias("side"),
-        "turn",
+        F.row_number().over(ordered).alias("turn"),
         "role",
-        F.when(F.col("is_last"), F.col("stale")).otherwise(F.col("text")).alias("text"),
+        "text",
+        F.last(reply, ignorenulls=True).over(ordered.rowsBetween(Window.unboundedPreceding, -1)).alias("before"),
+        F.col("role").eqNullSafe("assistant").alias("is_reply"),
     )
-    return chosen.unionByName(rejected)
+    whole = Window.partitionBy("pair_id")
+    until = numbered.withColumn("last", F.max(F.when(F.col("is_reply"), F.col("turn"))).over(whole)).where("turn <= last")
+    is_last = F.col("turn") == F.col("last")
+    chosen = F.struct(F.lit("chosen").alias("side"), F.col("text").alias("text"))
+    rejected = F.struct(F.lit("rejected").alias("side"), F.when(is_last, F.col("before.text")).otherwise(F.col("text")).alias("text"))
+    sides = F.when(is_last & F.col("before").isNull(), F.array(chosen)).otherwise(F.array(chosen, rejected))
+    return until.select("pair_id", "turn", "role", F.explode(sides).alias("of")).select("pair_id", "of.side", "turn", "role", "of.text")
 
 
 def _rendered(role: Column, text: Column) -> Column:
@@ -71,10 +72,9 @@ def format_pairs(turns: DataFrame) -> DataFrame:
     )
     one_side = F.col("chosen").isNull() | F.col("rejected").isNull()
     equal = ~one_side & F.col("chosen").eqNullSafe(F.col("rejected"))
-    differs = by_place.groupBy("pair_id").agg(
-        (F.coalesce(F.min(F.when(~equal, F.col("place"))), F.max("place") + 1) - 1).alias("n_common")
-    )
-    marked = by_place.join(differs, "pair_id")
+    pair = Window.partitionBy("pair_id")
+    differs = F.coalesce(F.min(F.when(~equal, F.col("place"))).over(pair), F.max("place").over(pair) + 1) - 1
+    marked = by_place.withColumn("n_common", differs)
     in_prompt = F.col("place") <= F.col("n_common")
 
     def parts(of: Column, wanted: Column) -> Column:

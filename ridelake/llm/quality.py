@@ -20,7 +20,7 @@ kept without the rule:
 It drops 566 of quality 0 and 85 of quality 1; policy 2 drops 424 and 79.
 
 Defined cases: null text has no words and counts as empty text; it fails the rule on length.
-Repeated rows are judged alike; columns other than doc_id and text are not read; an empty table
+Very long texts are measured whole; repeated rows are judged alike; columns other than doc_id and text are not read; an empty table
 gives an empty ledger. Five-word windows are told apart by a 64-bit hash within one text.
 """
 

@@ -4,7 +4,7 @@ Every whole text is encoded once; documents are then only their length. The hist
 row per distinct length, and sums up to and beyond each length answer totals, quantiles and
 what truncating at any limit leaves.
 
-Defined cases: null and empty texts have length 0; repeated rows count each; an empty table
+Defined cases: null and empty texts have length 0; very long texts are encoded whole; repeated rows count each; an empty table
 gives an empty histogram, totals of 0 and null quantiles. Columns other than text are not read.
 """
 

@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 from ridelake.llm import (
     decontaminate, langid, licenses, minhash, mixing, preferences, quality, recompress, suffixes, tokencounts,
 )
+from ridelake.llm.components import components
 from ridelake.llm.queries import ORACLE, QUERIES
+from ridelake.llm.steps import Scratch
 from tests.compare import difference, sql_session
 from tests.conftest import plan_of
 from tests.llm import brute
@@ -505,3 +507,29 @@ def test_every_window_without_runs_holds_a_symbol_that_it_alone_decides():
             other = recompress.Parse(pa.array([" ".join([*before, *window, *after])]))
             assert other.name[len(before)] == parse.name[at]
             assert other.border[len(before)] - len(before) == parse.border[at] - at
+
+
+def test_long_turns_and_other_columns_of_conversations(spark):
+    long = "a long turn " * 50_000
+    rows = [(1, 0, "user", "q"), (1, 1, "assistant", long), (1, 2, "user", long + "?"), (1, 3, "assistant", "b"), (None, 0, "user", "x")]
+    clashing = {c: F.lit(c) for c in ("pair_id", "side", "last", "before", "place", "chosen", "n_common", "of", "is_reply")}
+    turns = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string").withColumns(clashing)
+    (row,) = preferences.format_pairs(preferences.stale_replies(turns)).collect()
+    assert (row.pair_id, row.n_common, row.chosen) == (1, 3, "<|assistant|>\nb<|end|>\n")
+    assert row.rejected == f"<|assistant|>\n{long}<|end|>\n" and len(row.prompt) > 2 * len(long)
+    assert [row.rejected[a : a + n] for a, n in row.rejected_mask] == [long + "<|end|>\n"]
+    assert preferences.format_pairs(preferences.stale_replies(turns.where("false"))).count() == 0
+
+
+def test_components_of_chains_stars_and_loops(spark):
+    random.seed(21)
+    chain = [(k, k + 1) for k in range(0, 60)]
+    star = [(100, k) for k in range(101, 160)]
+    loop = [(200 + k, 200 + (k + 1) % 30) for k in range(30)]
+    links = [(b, a) if random.random() < 0.5 else (a, b) for a, b in [*chain, *star, *loop, (300, 300), (5, 105)] * 2]
+    random.shuffle(links)
+    scratch = Scratch(spark, "test-components")
+    stored = scratch.freeze(spark.createDataFrame(links, "a long, b long").repartition(3), "links")
+    found = {r.node: r.component for r in components(scratch, "found", stored).collect()}
+    assert found == {n: 0 if n < 200 else 200 if n < 300 else 300 for n in {n for link in links for n in link}}
+    assert components(scratch, "none", stored.where("false")).count() == 0

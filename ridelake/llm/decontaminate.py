@@ -27,7 +27,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ridelake.llm.steps import PLAIN_WORD, Scratch, lower_ascii
+from ridelake.llm.steps import Scratch, plain_words
 
 WINDOW = 10
 SHINGLE = 5
@@ -37,10 +37,6 @@ BROADCAST_SHINGLES = 1_000_000  # with their numbers 32 MB at most
 EVERY = 0
 
 
-def plain_words(text: Column) -> Column:
-    return F.coalesce(F.regexp_extract_all(lower_ascii(text), F.lit(PLAIN_WORD), F.lit(0)), F.array().cast("array<string>"))
-
-
 def _shingles(words: str, size: int) -> Column:
     """Structs (at, shingle, check) of all runs of ``size`` words; empty if there are fewer. Full shingles need no check."""
     parts = ", ".join(f"{words}[i + {k}]" for k in range(size))

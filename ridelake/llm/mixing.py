@@ -22,7 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ridelake.llm.steps import SOLID_WORD, Scratch, running_total
+from ridelake.llm.steps import Scratch, running_total, solid_words
 
 
 GRAIN = 1000
@@ -46,7 +46,7 @@ def sized(docs: DataFrame) -> DataFrame:
         F.monotonically_increasing_id().alias("row"),
         "doc_id",
         "source",
-        F.coalesce(F.regexp_count("text", F.lit(SOLID_WORD)), F.lit(0)).cast("long").alias("size"),
+        F.size(solid_words(F.col("text"))).cast("long").alias("size"),
         _shuffled().alias("shuffled"),
     )
 

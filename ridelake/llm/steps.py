@@ -8,9 +8,9 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-#: Words by white space, and words as decontamination sees them; both as Java patterns.
+#: Words by white space, what is between them, and what is between words as decontamination sees them; Java patterns.
 SOLID_WORD = r"[^\x20\x09-\x0D]+"
-PLAIN_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+BETWEEN_SOLID, BETWEEN_PLAIN = r"[\x20\x09-\x0D]+", r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 #: While a step is written: its shuffle files go when it is done, and partitions are joined up to the advised size,
 #: for many small files cost more than the tasks they save.
@@ -26,8 +26,17 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def words(text: Column, between: str) -> Column:
+    """What lies between runs of separators. Cutting there is several times faster than extracting every word."""
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), between), "")
+
+
 def solid_words(text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit(SOLID_WORD), F.lit(0))
+    return words(text, BETWEEN_SOLID)
+
+
+def plain_words(text: Column) -> Column:
+    return words(lower_ascii(text), BETWEEN_PLAIN)
 
 
 def lower_ascii(text: Column) -> Column:

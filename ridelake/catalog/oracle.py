@@ -11,7 +11,7 @@ from __future__ import annotations
 
 RIDES = """
 rides AS (
-  SELECT o.o_orderkey AS ride_id, s.s_suppkey AS driver_id, o.o_custkey AS passenger_id,
+  SELECT o.o_orderkey AS ride_id, o.o_orderkey % (SELECT count(*) FROM supplier) AS driver_id, o.o_custkey AS passenger_id,
          s.s_name AS driver_name, c.c_name AS passenger_name,
          pn.n_name AS pickup_city, dn.n_name AS dropoff_city,
          c.c_nationkey AS pickup_location_id, s.s_nationkey AS dropoff_location_id,
@@ -25,10 +25,10 @@ rides AS (
               THEN CAST(1 + 0.5 * (o.o_orderkey % 9) AS DECIMAL(2,1)) END AS rating,
          NULLIF(o.o_orderpriority, '4-NOT SPECIFIED') AS payment_method
   FROM orders o
-  JOIN supplier s ON s.s_suppkey = o.o_orderkey % (SELECT count(*) FROM supplier)
-  JOIN customer c ON c.c_custkey = o.o_custkey
-  JOIN nation pn ON pn.n_nationkey = c.c_nationkey
-  JOIN nation dn ON dn.n_nationkey = s.s_nationkey
+  LEFT JOIN supplier s ON s.s_suppkey = o.o_orderkey % (SELECT count(*) FROM supplier)
+  LEFT JOIN customer c ON c.c_custkey = o.o_custkey
+  LEFT JOIN nation pn ON pn.n_nationkey = c.c_nationkey
+  LEFT JOIN nation dn ON dn.n_nationkey = s.s_nationkey
 )"""
 
 TRIPS = RIDES + """,

@@ -19,7 +19,7 @@ from ridelake.functions.temporal import date_key, minutes_between, ntz, quarter_
 from ridelake.operators.changes import insert_if_absent
 from ridelake.operators.keys import dense_keys, placed
 from ridelake.operators.lookups import Size, Step, chain, table_sizes
-from ridelake.plans.reports import daily_sums
+from ridelake.plans.reports import daily_sums, merged
 from ridelake.plans.warehouse import DIMENSIONS, Dimension, dim_date, dim_time
 from ridelake.sources.buckets import KeyTable
 from ridelake.sources.commits import Record, Store
@@ -249,6 +249,22 @@ def load_facts(
     return load_slice(spark, slice_from(trips, since), root, batch)
 
 
+def compact(spark: SparkSession, root: str) -> dict[str, int]:
+    """Make one file set of what many small loads have added to the trip ids and the daily sums; returns their rows.
+
+    The sums of one key add up. Rows, keys and mark of the record stay as they are, and so does
+    what anyone reads: the compacted tables take the place of the old ones in one commit.
+    """
+    key = schemas.FACT_TRIPS["source_trip_id"]
+    with Store(spark, root).load() as load:
+        before = KeyTable(load, "trip_ids", key)
+        ids, n = before.rows(), load.tables["trip_ids"].rows
+        sums = load.replace("daily_sums", merged(load.read("daily_sums")), by=("by",))
+        load.renew("trip_ids")
+        KeyTable(load, "trip_ids", key).append(ids, n)
+    return {"trip_ids": n, "daily_sums": sums}
+
+
 def run_etl(
     spark: SparkSession,
     sources: dict[str, DataFrame],

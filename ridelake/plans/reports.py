@@ -158,6 +158,13 @@ def daily_sums(facts: DataFrame) -> DataFrame:
     )
 
 
+def merged(sums: DataFrame) -> DataFrame:
+    """One row where several loads added sums of the same key and day."""
+    keys = [c for c in sums.columns if c not in ("fares", "n_fares", "trips")]
+    added = sums.groupBy(*keys).agg(*[F.sum(c).cast(sums.schema[c].dataType).alias(c) for c in ("fares", "n_fares", "trips")])
+    return added.select(*sums.columns)
+
+
 def sums_by(sums: DataFrame, key: str) -> DataFrame:
     """The daily sums of one key; a stored table is only read in that partition."""
     return sums.where(F.col("by") == key)

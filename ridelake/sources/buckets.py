@@ -35,7 +35,7 @@ class KeyTable:
 
     def rows(self) -> DataFrame:
         """The keys that the record counts."""
-        if self.load.store.files.exists(self.name, str(self.load.tables[self.name].since)):
+        if self.load.store.files.exists(self.name, self.path.rsplit("/", 1)[1]):
             self.spark.sql(f"ALTER TABLE {self.table} RECOVER PARTITIONS")
         return self.spark.table(self.table).where(self.load.store.visible(self.load.base)).select(self.key.name)
 

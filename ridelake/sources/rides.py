@@ -81,7 +81,11 @@ def orders_with(spark: SparkSession, folder: str, status: str | None) -> DataFra
 
 
 def rides(spark: SparkSession, folder: str, *joined: str, status: str | None = None) -> DataFrame:
-    """Flat rides; ``joined`` names the person and city columns wanted as well."""
+    """Flat rides; ``joined`` names the person and city columns wanted as well.
+
+    Every ride is there whichever columns are asked for: one whose driver, passenger or city is
+    not stored has no name for it.
+    """
     base = ride_columns(orders_with(spark, folder, status), counted(stored(spark, folder, "supplier")))
     wanted = {role: [c for c in (role.ride_name, role.ride_city) if c in joined] for role in ROLES}
     sides = {role.table: stored(spark, folder, role.table).select(role.key, role.name, role.nation) for role in ROLES if wanted[role]}
@@ -95,12 +99,12 @@ def rides(spark: SparkSession, folder: str, *joined: str, status: str | None = N
         if take:
             flat = lookup(
                 flat, sides[role.table], role.ride_key, role.key, take,
-                row_id="ride_id", size=sizes[role.table], how="inner", keys_from=base,
+                row_id="ride_id", size=sizes[role.table], keys_from=base,
             )
         if role.ride_city in take:
             flat = lookup(
                 flat, sides["nation"], role.ride_city, "n_nationkey", {"city": "n_name"},
-                row_id="ride_id", size=sizes["nation"], how="inner",
+                row_id="ride_id", size=sizes["nation"],
             ).drop(role.ride_city).withColumnRenamed("city", role.ride_city)
     plain = [c for c in base.columns if c not in ("ride_id", "driver_id", "passenger_id")]
     return flat.select("ride_id", *joined, *plain)
@@ -154,7 +158,7 @@ def payment_names(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def trips(spark: SparkSession, folder: str, places: bool = False, status: str | None = None) -> DataFrame:
-    """Rides by id instead of by name; location ids only on request (two joins)."""
+    """Rides by id instead of by name; location ids only on request (two joins), null for people who are not stored."""
     base = flat = ride_columns(orders_with(spark, folder, status), counted(stored(spark, folder, "supplier")))
     if places:
         people = {role.table: stored(spark, folder, role.table).select(role.key, role.nation) for role in ROLES}
@@ -163,7 +167,7 @@ def trips(spark: SparkSession, folder: str, places: bool = False, status: str |
             take = {role.location: F.col(role.nation).cast("long")}
             flat = lookup(
                 flat, people[role.table], role.ride_key, role.key, take,
-                row_id="ride_id", size=sizes[role.table], how="inner", keys_from=base,
+                row_id="ride_id", size=sizes[role.table], keys_from=base,
             )
     located = ["pickup_location_id", "dropoff_location_id"] if places else []
     return flat.select(

@@ -6,6 +6,8 @@ import __spark_entry__ as entry
 from ridelake.catalog.oracle import ORACLE
 from ridelake.catalog.queries import QUERIES
 from ridelake.operators import lookups
+from ridelake.sources import rides
+from ridelake.sources.stored import TABLES
 from tests.compare import difference, sql_session
 from tests.conftest import plan_of
 
@@ -65,3 +67,21 @@ def test_scans_read_only_what_is_needed(spark, folder, name, pushed, columns):
 
 def test_top_k_does_not_sort_everything(spark, folder):
     assert "TakeOrderedAndProject" in plan_of(QUERIES["recent_completed"](spark, folder))
+
+
+def test_rides_of_people_who_are_not_stored_stay(spark, folder, tmp_path):
+    """The same rides whichever columns are asked for; and the queries over them still match their SQL."""
+    for name in TABLES:
+        rows = spark.read.parquet(f"{folder}/{name}.parquet")
+        known = {"customer": "c_custkey % 4 <> 1", "supplier": "s_suppkey <> 2", "nation": "n_nationkey <> 3"}.get(name, "true")
+        rows.where(known).coalesce(1).write.parquet(str(tmp_path / f"{name}.parquet"))
+    few = str(tmp_path)
+    every = rides.rides(spark, few)
+    named = rides.rides(spark, few, "driver_name", "passenger_name", "pickup_city", "dropoff_city")
+    placed = rides.trips(spark, few, places=True)
+    assert every.count() == named.count() == placed.count() == spark.read.parquet(f"{folder}/orders.parquet").count()
+    assert named.where("passenger_name IS NULL").count() > 0 and placed.where("pickup_location_id IS NULL").count() > 0
+    con = sql_session(few)
+    con.execute("".join(f"CREATE OR REPLACE VIEW {n} AS SELECT * FROM '{few}/{n}.parquet/*.parquet';" for n in TABLES))
+    for name in ("total_rides", "status_breakdown", "same_city", "driver_trips", "temp_snapshot"):
+        assert difference(spark, con, QUERIES[name], ORACLE[name], few) is None, name

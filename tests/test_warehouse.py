@@ -249,6 +249,24 @@ def test_a_load_that_dies_after_its_facts_adds_nothing(spark, sources, trips, tm
     assert rows_of(stored(spark, root, "fact_trips").select("trip_key", "source_trip_id")) == [(1, 1), (2, 3)]
 
 
+def test_compacting_changes_no_row(spark, sources, trips, tmp_path):
+    root = str(tmp_path / "dw")
+    for numbers in (range(1, 8), range(5, 12), range(10, 15)):
+        run(spark, sources, root, trips(*[trip(n, at=datetime(2024, 3, 1 + n % 3)) for n in numbers]), lookback=timedelta(days=400))
+    dims = [stored(spark, root, n) for n in ("dim_location", "dim_date")]
+    before = rows_of(reports.city_months(stored(spark, root, "daily_sums"), *dims))
+    was, old = Store(spark, root).record(), stored(spark, root, "daily_sums").count()
+    done = facts.compact(spark, root)
+    assert done["trip_ids"] == 14 and done["daily_sums"] == stored(spark, root, "daily_sums").count() < old
+    now = Store(spark, root).record()
+    assert (now.tables["fact_trips"], now.marks) == (was.tables["fact_trips"], was.marks) and now.tables["trip_ids"].rows == 14
+    assert sorted(r[0] for r in stored(spark, root, "trip_ids").collect()) == list(range(1, 15))
+    assert rows_of(reports.city_months(stored(spark, root, "daily_sums"), *dims)) == before
+    again = trips(trip(3), trip(14), trip(15))
+    assert facts.load_slice(spark, again, root)["fact_trips"] == 1
+    assert sorted(r.trip_key for r in stored(spark, root, "fact_trips").collect()) == list(range(1, 16))
+
+
 def test_reports_from_the_sums_of_all_loads(spark, sources, trips, tmp_path):
     root = str(tmp_path / "dw")
     rows = [trip(i, at=datetime(2024, 1 + i % 3, 5, i % 24), pickup=1 + i % 2, pay=1 if i % 4 else None, base=f"{i}.40") for i in range(1, 40)]

@@ -17,7 +17,7 @@ from ridelake.operators.lookups import Size, Step, chain, table_sizes
 from ridelake.operators.quality import Batch, load_batch
 from ridelake.plans.constraints import NORMALISED_WIDTHS, column_rules, normalised_trip_rules
 from ridelake.sources.readers import read_table
-from ridelake.sources.writers import create_if_absent, snapshot
+from ridelake.sources.writers import create_if_absent, discard, snapshot
 
 
 @dataclass(frozen=True)
@@ -109,5 +109,9 @@ def load_normalised(spark: SparkSession, rides: DataFrame, root: str) -> dict[st
     create_if_absent(spark, path, schemas.NORMALISED_TRIPS)
     trips = insert_if_absent(normalised_trips(rides, ids, id_sizes(spelt)), read_table(spark, path), ["trip_id"])
     rows = schemas.conform(trips, schemas.NORMALISED_TRIPS)
-    added["trips"] = load_batch(Batch(rows, path, "trip_id", normalised_trip_rules()))
+    try:
+        added["trips"] = load_batch(Batch(rows, path, "trip_id", normalised_trip_rules()))
+    finally:
+        for found in spelt.values():
+            discard(found)
     return added

@@ -11,8 +11,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridelake.operators.lookups import lookup, table_sizes
-from ridelake.sources.stored import stored
+from ridelake.operators.lookups import lookup
+from ridelake.sources.stored import stored, stored_sizes
 
 # Fixed values of the projection.
 STATUS_OF = {"F": "completed", "O": "cancelled", "P": "no_show"}
@@ -88,10 +88,11 @@ def rides(spark: SparkSession, folder: str, *joined: str, status: str | None = N
     """
     base = ride_columns(orders_with(spark, folder, status), counted(stored(spark, folder, "supplier")))
     wanted = {role: [c for c in (role.ride_name, role.ride_city) if c in joined] for role in ROLES}
-    sides = {role.table: stored(spark, folder, role.table).select(role.key, role.name, role.nation) for role in ROLES if wanted[role]}
+    columns = {role.table: (role.key, role.name, role.nation) for role in ROLES if wanted[role]}
     if {role.ride_city for role in ROLES} & set(joined):
-        sides["nation"] = stored(spark, folder, "nation").select("n_nationkey", "n_name")
-    sizes = table_sizes(sides) if sides else {}
+        columns["nation"] = ("n_nationkey", "n_name")
+    sides = {table: stored(spark, folder, table).select(*named) for table, named in columns.items()}
+    sizes = stored_sizes(spark, folder, columns)
 
     flat = base
     for role, columns in wanted.items():
@@ -161,8 +162,9 @@ def trips(spark: SparkSession, folder: str, places: bool = False, status: str |
     """Rides by id instead of by name; location ids only on request (two joins), null for people who are not stored."""
     base = flat = ride_columns(orders_with(spark, folder, status), counted(stored(spark, folder, "supplier")))
     if places:
-        people = {role.table: stored(spark, folder, role.table).select(role.key, role.nation) for role in ROLES}
-        sizes = table_sizes(people)
+        columns = {role.table: (role.key, role.nation) for role in ROLES}
+        people = {table: stored(spark, folder, table).select(*named) for table, named in columns.items()}
+        sizes = stored_sizes(spark, folder, columns)
         for role in ROLES:
             take = {role.location: F.col(role.nation).cast("long")}
             flat = lookup(

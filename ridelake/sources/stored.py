@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import DoubleType
 
+from ridelake.operators.lookups import Size, table_sizes
 from ridelake.schemas import INT, LONG, MOMENT, TEXT, table
+from ridelake.sources.commits import Files
 from ridelake.sources.readers import read_table
 
 NUMBER = DoubleType()
@@ -36,3 +40,21 @@ TABLES = {
 
 def stored(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return read_table(spark, f"{folder}/{name}.parquet", TABLES[name])
+
+
+#: Measured sizes, by session, path, columns, and the length and time of the file or folder.
+_SIZES: dict[tuple, Size] = {}
+
+
+def stored_sizes(spark: SparkSession, folder: str, columns: Mapping[str, Sequence[str]]) -> dict[str, Size]:
+    """Rows and bytes of columns of stored tables, measured once for each state of their files; one job for all that are new."""
+    files = Files(spark, folder)
+    keys = {}
+    for name, wanted in columns.items():
+        state = files.system.getFileStatus(files.path(f"{name}.parquet"))
+        seen = (state.getLen(), state.getModificationTime())
+        keys[name] = (spark.sparkContext.applicationId, folder, name, *wanted, *seen)
+    new = {name: stored(spark, folder, name).select(*columns[name]) for name, key in keys.items() if key not in _SIZES}
+    if new:
+        _SIZES.update({keys[name]: size for name, size in table_sizes(new).items()})
+    return {name: _SIZES[key] for name, key in keys.items()}

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import shutil
+
 import pytest
 
 import __spark_entry__ as entry
@@ -7,6 +9,7 @@ from ridelake.catalog.oracle import ORACLE
 from ridelake.catalog.queries import QUERIES
 from ridelake.operators import lookups
 from ridelake.sources import rides
+from ridelake.sources import stored as stored_tables
 from ridelake.sources.stored import TABLES
 from tests.compare import difference, sql_session
 from tests.conftest import plan_of
@@ -85,3 +88,20 @@ def test_rides_of_people_who_are_not_stored_stay(spark, folder, tmp_path):
     con.execute("".join(f"CREATE OR REPLACE VIEW {n} AS SELECT * FROM '{few}/{n}.parquet/*.parquet';" for n in TABLES))
     for name in ("total_rides", "status_breakdown", "same_city", "driver_trips", "temp_snapshot"):
         assert difference(spark, con, QUERIES[name], ORACLE[name], few) is None, name
+
+
+def test_sizes_of_stored_tables_are_measured_once_for_each_state(spark, folder, tmp_path, monkeypatch):
+    """A file that changes is measured again, and so are other columns; nothing else is."""
+    measured = []
+    monkeypatch.setattr(stored_tables, "table_sizes", lambda frames: measured.append(sorted(frames)) or lookups.table_sizes(frames))
+    shutil.copy(f"{folder}/nation.parquet", tmp_path / "nation.parquet")
+    shutil.copy(f"{folder}/supplier.parquet", tmp_path / "supplier.parquet")
+    both = {"nation": ("n_nationkey", "n_name"), "supplier": ("s_suppkey",)}
+    for _ in range(2):
+        found = stored_tables.stored_sizes(spark, str(tmp_path), both)
+    assert measured == [["nation", "supplier"]]
+    assert found == lookups.table_sizes({t: stored_tables.stored(spark, str(tmp_path), t).select(*c) for t, c in both.items()})
+    assert stored_tables.stored_sizes(spark, str(tmp_path), {"nation": ("n_name",)})["nation"].bytes < found["nation"].bytes
+    stored_tables.stored(spark, folder, "nation").limit(3).toPandas().to_parquet(tmp_path / "nation.parquet")
+    assert stored_tables.stored_sizes(spark, str(tmp_path), both)["nation"].rows == 3
+    assert measured == [["nation", "supplier"], ["nation"], ["nation"]]

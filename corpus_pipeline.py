@@ -9,12 +9,12 @@ from ridelake.llm.steps import Scratch, documents
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told; the others go."""
+    """Documents whose language can be told, with the language they are in; the others go."""
     return langid.identified(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, sets of five-word shingles that are alike by 0.8 or more."""
+    """One row of each group of near-duplicates, sets of five-word shingles that are alike by 0.8 or more."""
     return minhash.one_of_each(docs, similarity=80)
 
 

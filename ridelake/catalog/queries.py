@@ -10,7 +10,6 @@ from dataclasses import replace
 from datetime import datetime, timedelta
 from functools import wraps
 from threading import Lock
-from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -380,7 +379,7 @@ def normalize_trips(spark, folder):
 
 def _scratch(spark: SparkSession, name: str) -> str:
     """A path of its own in a folder of its own, so that no other load has to do with its commits."""
-    return f"{writers.shared_folder(spark)}/{name}-{uuid4().hex}/{name}"
+    return f"{writers.own_folder(spark, name)}/{name}"
 
 
 @query

@@ -82,6 +82,15 @@ def snapshot(df: DataFrame, name: str | None = None) -> DataFrame:
     return named_view(frozen, name) if name else frozen
 
 
+def own_folder(spark: SparkSession, name: str) -> str:
+    """A new folder in the shared one, which goes with the application."""
+    path = f"{shared_folder(spark)}/{name}-{uuid4().hex}"
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(at)
+    kept_until_exit(spark, path)
+    return path
+
+
 def kept_until_exit(spark: SparkSession, path: str) -> None:
     """Let a folder be deleted when the application ends, if it is still there."""
     at = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -1,8 +1,12 @@
 from __future__ import annotations
 
 import os
+import subprocess
+import sys
+import time
 from datetime import datetime
 from decimal import Decimal
+from pathlib import Path
 from unittest import mock
 
 import pytest
@@ -142,3 +146,32 @@ def test_a_snapshot_can_be_discarded(spark, frame):
     writers.discard(frozen)
     assert not os.path.exists(folder)
     writers.discard(frame("id int", 1))
+
+
+LEAVES = """
+import sys
+from ridelake.catalog.queries import QUERIES
+from ridelake.session import local_session
+spark = local_session("leaves", 2)
+for name in ("temp_snapshot", "replace_table", "scalar_lookup", "csv_empty_text"):
+    assert QUERIES[name](spark, sys.argv[1]).count() > 0
+spark.stop()
+"""
+
+
+def test_queries_leave_no_folder_behind(folder, tmp_path):
+    """What lazy results read goes with the application."""
+    shared = tmp_path / "shared"
+    shared.mkdir()
+    more = f"--conf spark.checkpoint.dir={shared} pyspark-shell"
+    root = str(Path(__file__).resolve().parent.parent)
+    done = subprocess.run(
+        [sys.executable, "-c", LEAVES, folder], cwd=root, env={**os.environ, "PYSPARK_SUBMIT_ARGS": more}, capture_output=True, text=True, timeout=300
+    )
+    assert done.returncode == 0, done.stderr[-2000:]
+    for _ in range(100):  # the session's process ends after ours
+        left = [p for p in shared.rglob("*") if p.is_file()]
+        if not left:
+            break
+        time.sleep(0.2)
+    assert left == [] and len(list(shared.iterdir())) <= 1  # Spark's own, empty folder

@@ -8,10 +8,11 @@ alike, and equal substrings get the same symbols except near their ends. What a
 on is known: itself, and the neighbour that could have taken it away. ``ROUNDS`` pairings make symbols of
 up to four words that depend on three words more on either side, which is the last level of which
 every window of ``WINDOW`` words holds one whole, unless runs take up its middle. A window is represented
-by the least-named symbol that it holds with all it depends on; equal windows have the same one.
+by the least-named symbol that it holds with all it depends on, under the name of both; equal
+windows have the same one.
 
-Spark gathers the symbols with what they stand for, one row per document and symbol, and finds
-those that several documents share. Only around those are segments named: all words of the
+Spark gathers the symbols that represent windows, one row per document and symbol, and finds
+those that several documents share (``symbols`` lists all of all levels with what they stand for). Only around those are segments named: all words of the
 windows one symbol represents. Equal segments prove their windows repeated at once; where
 documents share a symbol but not the segment, that is at the ends of repeats and around edits,
 windows are named and compared one by one. Names that decide are 128-bit hashes.
@@ -44,7 +45,7 @@ ROUNDS = 2  # of pairing, after the runs
 COINS = (np.uint64(1 << 60), np.uint64(1 << 59))
 
 _NONE = np.uint64(2**64 - 1)
-_FAR = 1 << 40
+_FAR = 1 << 30
 _BASES = (0xD1342543DE82EF95, 0xAF251AF3B0F025B5)
 _INVERSES = tuple(pow(b, -1, 2**64) for b in _BASES)
 
@@ -52,7 +53,7 @@ _INVERSES = tuple(pow(b, -1, 2**64) for b in _BASES)
 class Symbols:
     """A piece's texts at one level: where symbols begin and end (words), what they stand for, and what they depend on.
 
-    ``left`` and ``right`` are the word and its number, or the names of the two halves. A symbol is there
+    ``left`` and ``right`` are the word and its number, or the names of the two halves, where asked for. A symbol is there
     whenever the words from ``first`` to before ``last`` are, whatever is around them.
     """
 
@@ -69,19 +70,22 @@ class Symbols:
         begin = np.flatnonzero(new)
         end = np.append(begin[1:], n)[: len(begin)]
         word, times = hashes[begin], (end - begin).astype(np.uint64)
-        return cls(begin, end, pair(word, times), word, times, begin - 1, end + 1, text[begin])
+        of = text[begin]
+        begin, end = begin.astype(np.int32), end.astype(np.int32)
+        return cls(begin, end, pair(word, times), word, times, begin - 1, end + 1, of)
 
-    def paired(self, coin: np.uint64) -> Symbols:
+    def paired(self, coin: np.uint64, productions: bool) -> Symbols:
         """The next level. A symbol of the left half can only join its right neighbour, one of the right half its left."""
         n = len(self.name)
         lefts = (self.name & coin) == 0
         joins = np.zeros(n, bool)
-        joins[:-1] = lefts[:-1] & ~lefts[1:] & (self.text[:-1] == self.text[1:])
+        same = self.text[:-1] == self.text[1:]
+        joins[:-1] = lefts[:-1] & ~lefts[1:] & same
         taken = np.zeros(n, bool)
         taken[1:] = joins[:-1]
-        after, before = np.full(n, _FAR), np.full(n, -_FAR)  # what lies beyond the text is unknown
-        after[:-1] = np.where(self.text[:-1] == self.text[1:], self.last[1:], _FAR)
-        before[1:] = np.where(self.text[:-1] == self.text[1:], self.first[:-1], -_FAR)
+        after, before = np.full(n, _FAR, np.int32), np.full(n, -_FAR, np.int32)  # what lies beyond the text is unknown
+        after[:-1] = np.where(same, self.last[1:], _FAR)
+        before[1:] = np.where(same, self.first[:-1], -_FAR)
         first = np.where(lefts, self.first, np.minimum(self.first, before))
         last = np.where(lefts, np.maximum(self.last, after), self.last)
         head = np.flatnonzero(~taken)
@@ -93,7 +97,7 @@ class Symbols:
 
         return Symbols(
             self.begin[head], of(self.end[tail], self.end), of(pair(self.name[head], self.name[tail]), self.name),
-            of(self.name[head], self.left), of(self.name[tail], self.right),
+            *((of(self.name[head], self.left), of(self.name[tail], self.right)) if productions else (None, None)),
             of(self.first[head], first), of(self.last[tail], last), self.text[head],
         )
 
@@ -101,7 +105,7 @@ class Symbols:
 class Parse:
     """Words, windows and the symbols that represent them, for the texts of a piece."""
 
-    def __init__(self, texts: pa.Array):
+    def __init__(self, texts: pa.Array, productions: bool = False):
         self.words = Words(texts, SOLID)
         self.hashes = self.words.hashes()
         self.text = self.words.text_of()
@@ -111,22 +115,27 @@ class Parse:
         self.windows = np.flatnonzero(whole)  # first words of the windows
         self.levels = [Symbols.runs(self.hashes, self.text)]
         for coin in COINS[:ROUNDS]:
-            self.levels.append(self.levels[-1].paired(coin))
+            self.levels.append(self.levels[-1].paired(coin, productions))
         top = self.levels[-1]
-        name, first, last = np.full(n, _NONE), np.full(n, -_FAR), np.full(n, _FAR)
-        name[top.begin], first[top.begin], last[top.begin] = top.name >> np.uint64(1), top.first, top.last
-        self.symbol = np.full(n, -1)  # of the word that a symbol begins at
-        self.symbol[top.begin] = np.arange(len(top.begin))
-        best = np.full(len(self.windows), _NONE)
-        self.border = np.full(len(self.windows), -1)  # where the representing symbol begins
-        for step in range(1, WINDOW - 1):
-            at = self.windows + step
-            less = (name[at] < best) & (first[at] >= self.windows) & (last[at] <= self.windows + WINDOW)
-            best = np.where(less, name[at], best)
-            self.border = np.where(less, at, self.border)
+        sums = self._sums(0)
+        known = np.flatnonzero((top.first >= self.words.at[top.text]) & (top.last <= self.words.at[top.text + 1]))
+        # Many documents share a short symbol; with the words it depends on, which a window must hold anyway, few do.
+        around = pair(top.name[known], self._span(0, sums, top.first[known], top.last[known]))
+        begin, far = top.begin[known], 127
+        name, before, after = np.full(n, _NONE), np.full(n, far, np.int8), np.full(n, far, np.int8)
+        name[begin] = around >> np.uint64(1)
+        before[begin] = np.minimum(begin - top.first[known], far)
+        after[begin] = np.minimum(top.last[known] - begin, far)
+        best, place = np.full(count, _NONE), np.full(count, -1, np.int8)
+        for step in range(1, WINDOW - 1):  # symbols that begin so many words into each window
+            held = (before[step : step + count] <= step) & (after[step : step + count] <= WINDOW - step)
+            least = np.where(held, name[step : step + count], _NONE)
+            place[least < best] = step
+            np.minimum(best, least, out=best)
+        best, place = best[self.windows], place[self.windows]
+        self.border = np.where(place >= 0, self.windows + place, -1)  # where the representing symbol begins
         lone = best == _NONE
         if lone.any():
-            sums = self._sums(0)
             best[lone] = pair(self._span(0, sums, self.windows[lone], self.windows[lone] + WINDOW), np.full(lone.sum(), 13, np.uint64))
         self.name = best
 
@@ -166,37 +175,23 @@ def _kind(docs: DataFrame) -> str:
 
 
 def _symbol_rows(docs: DataFrame) -> DataFrame:
-    """The symbols that represent windows: symbol, left and right (what it stands for) and doc_id, once per document or little more.
-
-    A window without one is a symbol of its own, which stands for itself.
-    """
+    """The symbols that represent windows and doc_id, once per document or little more; a window without one is a symbol of its own."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in pieces(batch):
                 parse = Parse(piece.column("text"))
                 first, _ = parse.segments()
-                owner, name, at = parse.text[parse.windows[first]], parse.name[first], parse.border[first]
-                top, number = parse.levels[-1], parse.symbol[at]
-                left = np.where(at >= 0, top.left[number] if len(number) else 0, name)
-                right = np.where(at >= 0, top.right[number] if len(number) else 0, np.uint64(0))
+                owner, name = parse.text[parse.windows[first]], parse.name[first]
                 order = np.lexsort((name, owner))
-                owner, name, left, right = owner[order], name[order], left[order], right[order]
+                owner, name = owner[order], name[order]
                 new = np.ones(len(name), bool)
                 new[1:] = (owner[1:] != owner[:-1]) | (name[1:] != name[:-1])
                 yield pa.RecordBatch.from_arrays(
-                    [*(pa.array(x[new].view(np.int64)) for x in (name, left, right)), piece.column("doc_id").take(pa.array(owner[new]))],
-                    ["symbol", "left", "right", "doc_id"],
+                    [pa.array(name[new].view(np.int64)), piece.column("doc_id").take(pa.array(owner[new]))], ["symbol", "doc_id"]
                 )
 
-    return docs.mapInArrow(run, f"symbol long, left long, right long, doc_id {_kind(docs)}")
-
-
-def shared_symbols(docs: DataFrame) -> DataFrame:
-    """symbol, left and right of the symbols that represent windows of several documents."""
-    named = _symbol_rows(docs).groupBy("symbol", "left", "right")
-    named = named.agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
-    return named.where("least < most").select("symbol", "left", "right")
+    return docs.mapInArrow(run, f"symbol long, doc_id {_kind(docs)}")
 
 
 def symbols(docs: DataFrame) -> DataFrame:
@@ -205,12 +200,12 @@ def symbols(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in pieces(batch):
-                for level, of in enumerate(Parse(piece.column("text")).levels):
+                for level, of in enumerate(Parse(piece.column("text"), productions=True).levels):
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array(np.full(len(of.name), level, np.int32)),
                             *(pa.array(x.view(np.int64)) for x in (of.name, of.left, of.right)),
-                            pa.array(of.end - of.begin),
+                            pa.array((of.end - of.begin).astype(np.int64)),
                             piece.column("doc_id").take(pa.array(of.text)),
                         ],
                         ["level", "symbol", "left", "right", "n_words", "doc_id"],
@@ -289,13 +284,13 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
     scratch = Scratch(docs.sparkSession, "recompress")
     read = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", F.xxhash64("text").alias("version"), "text")
 
-    texts = read.select("doc_id", "text")
-    shared = scratch.freeze(shared_symbols(texts), "shared")
-    wanted = _symbol_rows(texts).join(shared, ["symbol", "left", "right"], "left_semi")
+    named = scratch.freeze(_symbol_rows(read.select("doc_id", "text")), "named")
+    shared = named.groupBy("symbol").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
+    wanted = named.join(shared.where("least < most").select("symbol"), "symbol", "left_semi")
     wanted = wanted.groupBy("doc_id").agg(F.collect_set("symbol").alias("borders"))
     wanted = scratch.freeze(wanted, "wanted")
     segments = scratch.freeze(_segment_rows(read.join(wanted, "doc_id").select("doc_id", "version", "text", "borders")), "segments")
-    scratch.drop("shared", "wanted")
+    scratch.drop("named", "wanted")
 
     least = segments.groupBy("s1", "s2").agg(F.min("doc_id").alias("least"))
     judged = segments.join(least, ["s1", "s2"])

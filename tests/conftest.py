@@ -40,7 +40,11 @@ def rows_of(df):
 
 def plan_of(df):
     """The physical plan before execution."""
-    text = io.StringIO()
-    with contextlib.redirect_stdout(text):
-        df.select("*").explain("simple")
+    text, conf = io.StringIO(), df.sparkSession.conf
+    conf.set("spark.sql.maxMetadataStringLength", "2000")
+    try:
+        with contextlib.redirect_stdout(text):
+            df.select("*").explain("simple")
+    finally:
+        conf.unset("spark.sql.maxMetadataStringLength")
     return text.getvalue()

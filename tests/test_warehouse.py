@@ -175,8 +175,8 @@ def test_watermark_reads_the_last_day_only(spark, sources, trips, tmp_path):
     for mark in (facts.high_water_mark(loaded), facts.high_water_mark(loaded, record)):
         assert mark.first()["watermark"] == datetime(2024, 6, 1)
     plan = plan_of(facts.high_water_mark(loaded, record))
-    opened = plan.split("PartitionFilters: ")[1].split("PushedFilters")[0]  # shown up to a length
-    assert "(date_key" in opened and "= 20240" in opened and "Subquery" not in plan
+    opened = plan.split("PartitionFilters: ")[1].split("PushedFilters")[0]
+    assert "(date_key" in opened and "= 20240601" in opened and "Subquery" not in plan
     assert facts.high_water_mark(loaded.where("date_key < 0")).first()["watermark"] is None
     empty = Store(spark, str(tmp_path / "none")).record()
     assert facts.loaded_until(empty) is None and facts.high_water_mark(loaded, empty).first()["watermark"] is None

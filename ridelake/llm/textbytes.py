@@ -47,12 +47,14 @@ _powers: dict[int, np.ndarray] = {}
 
 
 def powers(base: int, n: int) -> np.ndarray:
-    """base**0 .. base**(n-1) modulo 2**64, kept between calls."""
+    """base**0 .. base**(n-1) modulo 2**64, kept between calls unless a single long text asks for very many."""
     have = _powers.get(base)
     if have is None or len(have) < n:
         steps = np.full(max(n, 1 << 16), base, np.uint64)
         steps[0] = 1
-        _powers[base] = have = np.cumprod(steps)
+        have = np.cumprod(steps)
+        if n <= 2 * PIECE_BYTES:
+            _powers[base] = have
     return have[:n]
 
 

@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ridelake.llm.steps import Scratch
+from ridelake.operators.lookups import spread_join
 from ridelake.llm.textbytes import SOLID, Words, pair, pieces, powers
 
 WINDOW = 13
@@ -279,6 +280,18 @@ def _window_rows(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, f"w1 long, w2 long, doc_id {_kind(docs)}, version long, first int")
 
 
+def _with_least(rows: DataFrame, name1: str, name2: str) -> DataFrame:
+    """Add ``least``, the least doc_id among the rows of a 128-bit name.
+
+    The minimum is combined in the tasks; on the way back the rows of a name that very many share
+    are cut into pieces, each with a copy of its minimum.
+    """
+    least = rows.groupBy(name1, name2).agg(F.min("doc_id").alias("least")).withColumnRenamed(name2, "__name2")
+    numbered = rows.withColumn("__row", F.xxhash64("doc_id", "first"))
+    met = spread_join(numbered, least, name1, "__row", "inner")
+    return met.where(F.col(name2) == F.col("__name2")).drop("__name2", "__row")
+
+
 def repeated_windows(docs: DataFrame) -> DataFrame:
     """Runs of windows that also start in a document with a smaller doc_id: doc_id, version (a hash of the text), first, n."""
     scratch = Scratch(docs.sparkSession, "recompress")
@@ -292,8 +305,7 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
     segments = scratch.freeze(_segment_rows(read.join(wanted, "doc_id").select("doc_id", "version", "text", "borders")), "segments")
     scratch.drop("named", "wanted")
 
-    least = segments.groupBy("s1", "s2").agg(F.min("doc_id").alias("least"))
-    judged = segments.join(least, ["s1", "s2"])
+    judged = _with_least(segments, "s1", "s2")
     judged = scratch.freeze(judged.select("border", "s1", "doc_id", "version", "first", "n", "least"), "judged")
     scratch.drop("segments")
     whole = judged.where("least < doc_id").select("doc_id", "version", "first", "n")
@@ -309,8 +321,7 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
     windows = _window_rows(read.join(listed, ["doc_id", "version"]).select("doc_id", "version", "text", "segments"))
     windows = scratch.freeze(windows, "windows")
     scratch.drop("listed")
-    least = windows.groupBy("w1", "w2").agg(F.min("doc_id").alias("least"))
-    single = windows.join(least, ["w1", "w2"]).where("least < doc_id")
+    single = _with_least(windows, "w1", "w2").where("least < doc_id")
     return whole.unionByName(single.select("doc_id", "version", "first", F.lit(1).alias("n")))
 
 

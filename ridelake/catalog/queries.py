@@ -675,11 +675,12 @@ def dim_time(spark, folder):
 
 @query
 def fact_key_resolution(spark, folder):
-    """Trips per outcome of the key lookup: the stored facts, and every reject once."""
+    """Trips per outcome of the key lookup: the facts that the daily sums count, and every reject once."""
     store = _warehouse(spark, folder)
-    accepted = store.read("fact_trips").select(F.lit("accepted").alias("outcome"))
-    rejected = store.read("rejected_arrivals").dropDuplicates(["trip_id"]).select(F.col("reject_reason").alias("outcome"))
-    return accepted.unionByName(rejected).groupBy("outcome").agg(flat.rows("trips"))
+    accepted = reports.sums_by(store.read("daily_sums"), "time_key").select(F.lit("accepted").alias("outcome"), "trips")
+    rejected = store.read("rejected_arrivals").dropDuplicates(["trip_id"])
+    rejected = rejected.select(F.col("reject_reason").alias("outcome"), F.lit(1).cast("long").alias("trips"))
+    return accepted.unionByName(rejected).groupBy("outcome").agg(F.sum("trips").alias("trips"))
 
 
 @query

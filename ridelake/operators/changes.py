@@ -10,6 +10,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def first_ranked(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The first row of each key, all rows ranked; each task passes on one row per key."""
+    ranked = [*order, *[name for name in df.columns if name not in order and name not in keys]] or list(keys)
+    first = F.row_number().over(Window.partitionBy(*keys).orderBy(*ranked))
+    return df.withColumn("_rank", first).where(F.col("_rank") == 1).drop("_rank")
+
+
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The first row of each key in the given order, remaining columns breaking ties.
 
@@ -20,9 +27,7 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> D
     counted = df.groupBy(*[F.col(key).alias(f"_{key}") for key in keys]).agg(F.count(F.lit(1)).alias("_n"))
     repeated = counted.where(F.col("_n") > 1).drop("_n")
     same = reduce(Column.__and__, [F.col(key).eqNullSafe(F.col(f"_{key}")) for key in keys])
-    ranked = [*order, *[name for name in df.columns if name not in order and name not in keys]] or list(keys)
-    first = F.row_number().over(Window.partitionBy(*keys).orderBy(*ranked))
-    best = df.join(repeated, same, "left_semi").withColumn("_rank", first).where(F.col("_rank") == 1).drop("_rank")
+    best = first_ranked(df.join(repeated, same, "left_semi"), keys, order)
     return df.join(repeated, same, "left_anti").unionByName(best)
 
 

@@ -16,9 +16,9 @@ from ridelake import schemas
 from ridelake.functions.numeric import round_half_even, zero_if_null
 from ridelake.functions.rules import fact_fare
 from ridelake.functions.temporal import date_key, minutes_between, ntz, quarter_hour_key
-from ridelake.operators.changes import insert_if_absent
+from ridelake.operators.changes import first_ranked, insert_if_absent
 from ridelake.operators.keys import dense_keys, placed
-from ridelake.operators.lookups import Size, Step, chain, table_sizes
+from ridelake.operators.lookups import BROADCAST_BYTES, Size, Step, chain, partitions, table_sizes
 from ridelake.plans.reports import daily_sums, merged
 from ridelake.plans.warehouse import DIMENSIONS, Dimension, dim_date, dim_time
 from ridelake.sources.buckets import KeyTable
@@ -55,6 +55,9 @@ LINKS = (
     Link("promo", "dim_promo_code", "promo_code_id", "promo_code_id", "promo_code_key", "promo_code_key", optional=True),
 )
 
+#: Ids of the source that a fact does not keep once its keys are resolved.
+NATURAL_IDS = tuple(link.by for link in LINKS if link.by != link.name and link.match != link.take)
+
 
 def _one_per_key(dims: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """Lookup tables that cannot multiply trips: the newest key of each natural key."""
@@ -137,13 +140,45 @@ def slice_from(trips: DataFrame, since: datetime | None) -> DataFrame:
     return trips if since is None else trips.where(F.col("requested_at") >= ntz(since))
 
 
-def unseen(facts: DataFrame, stored: DataFrame) -> DataFrame:
-    """Facts whose trip id is stored nowhere, at whatever time the trip was requested then.
+def clashes(facts: DataFrame, stored: DataFrame | None) -> DataFrame:
+    """Trip ids that several facts have, or that are stored already; only ids are compared.
+
+    The source may move a stored trip to another time, so the whole target counts. ``_held`` tells
+    whether the id is stored. A NULL id may be repeated, but is never held.
+    """
+    number = F.col("source_trip_id").alias("_id")
+    counted = facts.groupBy(number).agg(F.count(F.lit(1)).alias("_n"))
+    if stored is None:
+        found = counted.withColumn("_held", F.lit(False))
+    else:
+        held = stored.select(number, F.lit(True).alias("_held"))
+        loose = counted.coalesce(partitions(facts))  # forgets how it is dealt out, so the stored buckets set the join's partitions
+        found = loose.join(held, "_id", "left").withColumn("_held", F.coalesce("_held", F.lit(False)))
+    return found.where((F.col("_n") > 1) | F.col("_held")).select("_id", "_held")
+
 
-    The source may move a stored trip to another time, so the whole target counts; of
-    it, one column is read. The earliest of several rows of a trip is taken.
+def settled(facts: DataFrame, clashing: DataFrame, n: int | None = None) -> DataFrame:
+    """Facts without those of stored ids; of an id that only the facts repeat, the earliest.
+
+    ``n`` is how many ids clash, if that was counted: the facts stay where they are without any, and
+    as long as the ids are few enough to be sent to them.
     """
-    return insert_if_absent(facts, stored, ["source_trip_id"], ["requested_at"])
+    if n == 0:
+        return facts
+    few = n is not None and Size(n, 16 * 3 * n).bytes <= BROADCAST_BYTES
+    same = F.col("source_trip_id").eqNullSafe(F.col("_id"))
+
+    def sent(ids: DataFrame) -> DataFrame:
+        return F.broadcast(ids) if few else ids
+
+    repeated = clashing.where(~F.col("_held"))
+    best = first_ranked(facts.join(sent(repeated), same, "left_semi"), ["source_trip_id"], ["requested_at"])
+    return facts.join(sent(clashing), same, "left_anti").unionByName(best)
+
+
+def unseen(facts: DataFrame, stored: DataFrame) -> DataFrame:
+    """Facts whose trip id is stored nowhere, at whatever time the trip was requested then."""
+    return settled(facts, clashes(facts, stored))
 
 
 def new_facts(trips: DataFrame, dims: dict[str, DataFrame], stored: DataFrame | None = None) -> DataFrame:
@@ -198,7 +233,8 @@ def load_slice(spark: SparkSession, trips: DataFrame, root: str, batch: int | No
     """Resolve and add the trips of a slice that are not stored yet, all that follows from them in one commit.
 
     Trip ids are compared with those of all stored facts, which lie bucketed by id and are not
-    moved. Keys go on, without gaps, from the highest that the record of the last load names.
+    moved; the ids that clash are frozen and counted, and rows are moved only if these are many.
+    Keys go on, without gaps, from the highest that the record of the last load names.
     The resolved slice is frozen and read for facts and rejects; the new facts are frozen and
     read for the fact table by day, the ids and the daily sums. The rebalance sizes the files
     and splits a crowded day over several writers. Rejects take the place of the last load's,
@@ -208,9 +244,12 @@ def load_slice(spark: SparkSession, trips: DataFrame, root: str, batch: int | No
         load.create("fact_trips", schemas.FACT_TRIPS, ("date_key",))
         ids = KeyTable(load, "trip_ids", schemas.FACT_TRIPS["source_trip_id"])
         dims = {table: load.read(table) for table in schemas.WAREHOUSE if table != "fact_trips"}
-        resolved = snapshot(resolve_keys(trips, dims, key_sizes(load.base)))
-        seen = Observation()
-        fresh = placed(unseen(measures(resolved), ids.rows()))
+        resolved = snapshot(resolve_keys(trips, dims, key_sizes(load.base)).drop(*NATURAL_IDS))
+        checked = measures(resolved)
+        counted, seen = Observation(), Observation()
+        clashing = clashes(checked, ids.rows() if load.tables["trip_ids"].rows else None)
+        clashing = snapshot(clashing.observe(counted, F.count(F.lit(1)).alias("rows")))
+        fresh = placed(settled(checked, clashing, counted.get.get("rows") or 0))
         newest = F.max(F.col("requested_at").cast("string")).alias("newest")
         fresh = snapshot(fresh.observe(seen, F.count(F.lit(1)).alias("rows"), newest))
         keyed = dense_keys(fresh, "trip_key", load.tables["fact_trips"].highest)
@@ -231,8 +270,8 @@ def load_slice(spark: SparkSession, trips: DataFrame, root: str, batch: int | No
         latest = max(filter(None, (loaded_until(load.base), _moment(seen.get.get("newest")))), default=None)
         if latest:
             load.marks[MARK] = latest.isoformat()
-    discard(resolved)
-    discard(fresh)
+    for frozen in (resolved, clashing, fresh):
+        discard(frozen)
     return {"fact_trips": facts_added, "rejected_trips" if batch is None else "rejected_arrivals": rejected}
 
 

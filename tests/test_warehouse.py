@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from ridelake import schemas
 from ridelake.functions.temporal import ntz
+from ridelake.operators import changes
+from ridelake.operators.keys import PLACE
 from ridelake.plans import facts, reports, warehouse
 from ridelake.sources import operational
 from ridelake.sources.commits import Load, Store
@@ -337,3 +339,43 @@ def test_keys_lead_back_to_natural_ids(spark, sources, trips):
     loaded = facts.measures(facts.resolve_keys(trips(trip(1, driver=2), trip(2, pay=None)), dims))
     shown = facts.with_natural_ids(loaded, dims).select("source_trip_id", "driver_key", "passenger_key", "payment_method_key")
     assert rows_of(shown) == [(1, 2, 1, 1), (2, 1, 1, None)]
+
+
+def test_only_ids_are_moved_to_find_the_facts_that_clash(spark, sources, trips, tmp_path, monkeypatch):
+    """The new facts of a load, with clashes or without, are found without a shuffle of whole facts."""
+    root, plans = str(tmp_path / "dw"), []
+    keep = facts.snapshot
+
+    def planned(df, *name):
+        plans.append(plan_of(df))
+        return keep(df, *name)
+
+    facts.load_dimensions(spark, sources, root, ntz(AS_OF), *CALENDAR)
+    monkeypatch.setattr(facts, "snapshot", planned)
+    monkeypatch.setattr(facts, "at_once", lambda *writes: [write() for write in writes])
+    later = datetime(2024, 3, 6)
+    assert facts.load_slice(spark, trips(*[trip(n) for n in range(1, 20)]), root)["fact_trips"] == 19
+    assert facts.load_slice(spark, trips(*[trip(n) for n in range(10, 30)]), root)["fact_trips"] == 10
+    assert facts.load_slice(spark, trips(trip(40, at=later), trip(40, base="9.00"), trip(1, at=later)), root)["fact_trips"] == 1
+    moves = [plan.count("Exchange hashpartitioning") for plan in plans if PLACE in plan]
+    assert moves == [0, 1, 1]  # once ids clash, the rows of repeated ids to be ranked
+    loaded = stored(spark, root, "fact_trips")
+    assert sorted(row.source_trip_id for row in loaded.collect()) == [*range(1, 30), 40]
+    assert str(loaded.where("source_trip_id = 40").first()["base_fare"]) == "9.00"
+
+
+@pytest.mark.parametrize("sent", [True, False])
+def test_settled_facts_match_the_plain_insert(spark, monkeypatch, sent):
+    """Repeated, stored and NULL ids, whether the clashing ids are few or many."""
+    if not sent:
+        monkeypatch.setattr(facts, "BROADCAST_BYTES", 0)
+    schema = "source_trip_id long, requested_at timestamp_ntz, base_fare int"
+    rows = [(n % 9 if n % 5 else None, AS_OF + timedelta(minutes=n * 7 % 11), n) for n in range(40)] + [(100, AS_OF, 1), (101, AS_OF, 2)]
+    batch = spark.createDataFrame(rows, schema)
+    held = spark.createDataFrame([(3,), (4,), (100,), (None,)], "source_trip_id long")
+    for target in (held, held.where("false"), None):
+        clashing = facts.clashes(batch, target)
+        got = rows_of(facts.settled(batch, clashing, clashing.count()))
+        assert got == rows_of(changes.insert_if_absent(batch, target, ["source_trip_id"], ["requested_at"]))
+    unique = batch.where("source_trip_id > 99")
+    assert facts.clashes(unique, None).count() == 0 and facts.settled(unique, None, 0) is unique
